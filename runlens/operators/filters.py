@@ -150,7 +150,7 @@ def in_project(col: Column | str, roots: list[str], prefixes: list[str], tracer:
     name = F.col(col) if isinstance(col, str) else col
     inside = F.lit(False)
     for root in roots:
-        relative = F.ltrim(F.lit("/"), F.substring(name, len(root) + 1, 1 << 30))
+        relative = F.ltrim(F.substring(name, len(root) + 1, 1 << 30), F.lit("/"))
         allowed = F.lit(True)
         if prefixes:
             allowed = reduce(Column.__or__, [relative.startswith(p) for p in prefixes])

@@ -69,7 +69,7 @@ SELECT 'i' || CAST(o_custkey AS VARCHAR(20)) AS instance_id,
        'src/m' || CAST(l_suppkey AS VARCHAR(20)) || '.py' AS file,
        CAST(l_linenumber AS BIGINT) AS lineno,
        CAST(l_quantity AS BIGINT) AS call_count,
-       CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 0.0 ELSE l_extendedprice / 100000.0 END AS exclusive_time_s,
+       CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 0.0 ELSE floor(l_extendedprice) / 65536.0 END AS exclusive_time_s,
        CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) * 1000 END AS exclusive_alloc_bytes,
        CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS BIGINT) * 1100 - 9000 END AS exclusive_rss_bytes,
        l_discount, l_tax, l_returnflag, l_linestatus
@@ -85,7 +85,7 @@ SELECT 'i' || CAST(o_custkey AS VARCHAR(20)) AS instance_id,
        o_orderpriority = '1-URGENT' AS is_assertion,
        CASE WHEN o_orderstatus <> 'O' THEN o_custkey END AS failure_line,
        CASE WHEN o_orderstatus <> 'O' THEN CASE o_orderpriority WHEN '3-MEDIUM' THEN 'ValueError' WHEN '5-LOW' THEN 'KeyError' ELSE '' END END AS exception_type,
-       CASE WHEN o_totalprice < 50000 THEN 0.0005 ELSE o_totalprice / 10000.0 END AS wall_time_s,
+       CASE WHEN o_totalprice < 50000 THEN 0.0005 ELSE floor(o_totalprice) / 8192.0 END AS wall_time_s,
        CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN CAST(o_custkey AS BIGINT) * 100 END AS start_rss_bytes,
        CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(floor(o_totalprice) AS BIGINT) END AS peak_rss_bytes,
        CASE WHEN o_orderpriority <> '3-MEDIUM' THEN CAST(o_custkey AS BIGINT) * 10 END AS start_traced_bytes,
@@ -97,15 +97,15 @@ FROM orders
 
 # Auxiliary passes over the same tests and functions, with gaps.
 VIEWS["fx_walltime"] = """
-SELECT instance_id, test, CASE WHEN outcome = 'failed' THEN NULL ELSE wall_time_s * 0.9 END AS wall_time_s
+SELECT instance_id, test, CASE WHEN outcome = 'failed' THEN NULL ELSE wall_time_s * 0.875 END AS wall_time_s
 FROM fx_tests WHERE tracemalloc_enabled
 """
 
 VIEWS["fx_cprofile"] = """
-SELECT instance_id, test, func, file AS filename, min(lineno) AS firstlineno, func AS qualname,
+SELECT instance_id, test, func, min(file) AS filename, min(lineno) AS firstlineno, func AS qualname,
        sum(call_count) AS call_count,
-       CASE WHEN max(l_tax) >= 0.08 THEN NULL ELSE sum(exclusive_time_s * (1 - l_discount)) END AS exclusive_time_s
-FROM fx_functions WHERE l_returnflag <> 'R' GROUP BY instance_id, test, func, file
+       CASE WHEN max(l_tax) >= 0.08 THEN NULL ELSE sum(exclusive_time_s * CASE WHEN l_discount > 0.05 THEN 0.5 ELSE 0.75 END) END AS exclusive_time_s
+FROM fx_functions WHERE l_returnflag <> 'R' GROUP BY instance_id, test, func
 """
 
 VIEWS["fx_memprof_functions"] = """
@@ -196,3 +196,41 @@ SELECT c.*, COALESCE(reason3, CASE WHEN
        THEN 'group has no base state' END) AS reason
 FROM fx_chain3 c
 """
+
+# Responses: order lines are samples, suppliers are spread over eight models in two groups.
+VIEWS["fx_responses"] = """
+SELECT CASE WHEN l_suppkey % 8 < 4 THEN 'plain' ELSE 'tuned' END AS grp, 'm' || CAST(l_suppkey % 8 AS VARCHAR(8)) AS model,
+       'q' || CAST(l_orderkey AS VARCHAR(20)) || '-' || CAST(l_partkey AS VARCHAR(20)) || '-' || CAST(l_linenumber AS VARCHAR(8)) AS sample_id,
+       'combined' AS task, CASE WHEN l_linenumber > 3 THEN 'post' ELSE 'pre' END AS side,
+       CASE WHEN l_tax >= 0.08 THEN 'rate limit' END AS error, l_tax < 0.07 AS valid,
+       CASE WHEN l_tax < 0.07 THEN CASE l_returnflag WHEN 'A' THEN 'Passed ' WHEN 'N' THEN 'failed' ELSE CASE WHEN l_linestatus = 'F' THEN 'error' ELSE 'maybe' END END END AS pred_outcome,
+       CASE WHEN l_discount > 0.03 THEN 'ValueError' END AS pred_exception,
+       CASE WHEN l_tax < 0.07 THEN floor(l_extendedprice * 2 * (1 - l_discount)) END AS pred_peak,
+       CASE WHEN l_tax < 0.06 THEN floor(l_extendedprice * (1 - l_discount)) / 64 END AS pred_wall,
+       CASE WHEN l_quantity < 20 THEN 'passed' WHEN l_linestatus = 'F' THEN 'failed' ELSE 'error' END AS gt_outcome,
+       CASE WHEN l_quantity >= 20 THEN CASE WHEN l_linestatus = 'F' THEN 'ValueError' ELSE 'KeyError' END END AS gt_exception,
+       floor(l_extendedprice * 2) AS gt_peak, floor(l_extendedprice) / 64 AS gt_wall
+FROM (SELECT l_orderkey, l_partkey, l_linenumber, min(l_suppkey) AS l_suppkey, min(l_tax) AS l_tax, min(l_discount) AS l_discount, min(l_returnflag) AS l_returnflag,
+             min(l_linestatus) AS l_linestatus, min(l_extendedprice) AS l_extendedprice, min(l_quantity) AS l_quantity FROM lineitem GROUP BY 1, 2, 3)
+"""
+
+# Rankings: an order is a sample, its parts are the names.
+VIEWS["fx_score_values"] = """
+SELECT 'o' || CAST(l_orderkey AS VARCHAR(20)) AS sample_id,
+       CASE l_returnflag WHEN 'A' THEN 'hot_methods_time' WHEN 'R' THEN 'hot_lines_time'
+            ELSE CASE l_linestatus WHEN 'F' THEN 'hot_methods_alloc' ELSE 'hot_lines_alloc' END END AS subtask,
+       'f' || CAST(l_partkey AS VARCHAR(20)) AS name,
+       CASE WHEN min(l_quantity) < 5 THEN 0.0 ELSE floor(min(l_extendedprice)) / 64 END AS value, max(l_quantity) AS quantity
+FROM lineitem GROUP BY 1, 2, 3
+"""
+VIEWS["fx_score_truth"] = """
+SELECT sample_id, subtask, name, CAST(row_number() OVER (PARTITION BY sample_id, subtask ORDER BY value DESC, name) AS BIGINT) - 1 AS pos FROM fx_score_values
+"""
+VIEWS["fx_score_preds"] = """
+SELECT model, sample_id, subtask, CASE WHEN model = 'm1' AND quantity > 40 THEN 'g' || name ELSE name END AS name,
+       CAST(row_number() OVER (PARTITION BY model, sample_id, subtask ORDER BY quantity, name) AS BIGINT) - 1 AS pos
+FROM fx_score_values JOIN (SELECT 'm0' AS model UNION ALL SELECT 'm1' AS model) m ON model = 'm0' OR quantity > 10
+"""
+VIEWS["fx_score_rows"] = """
+SELECT DISTINCT sample_id, model FROM fx_score_values JOIN (SELECT 'm0' AS model UNION ALL SELECT 'm1' AS model) m ON true
+"""
