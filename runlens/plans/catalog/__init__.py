@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from runlens.plans.catalog.registry import ORACLES, QUERIES
 from runlens.plans.catalog import (  # noqa: F401  (importing registers the queries)
     builds,
+    runs,
     scores,
+    texts,
     traces,
     states,
 )

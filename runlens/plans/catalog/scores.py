@@ -118,7 +118,7 @@ def aggregate_numeric(spark, sf_dir):
 
 
 # Rankings.
-_H = "list_aggregate(list_transform(range(1, CAST(least(5, {n}) AS BIGINT) + 1), i -> 1 / log2(i + 1)), 'sum')"
+_H = "list_aggregate(list_transform(range(1, CAST(least(5, {n}) AS BIGINT) + 1), lambda i: 1 / log2(i + 1)), 'sum')"
 VIEWS["fx_hot_truth"] = f"""
 SELECT t.sample_id, t.subtask, sum(CASE WHEN r <= 5 THEN value / log2(r + 1) END) AS idcg,
        avg(CASE WHEN pos < 5 THEN value END) * {_H.format(n='count(*)')} AS gt5,

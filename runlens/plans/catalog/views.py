@@ -69,7 +69,7 @@ SELECT 'i' || CAST(o_custkey AS VARCHAR(20)) AS instance_id,
        'src/m' || CAST(l_suppkey AS VARCHAR(20)) || '.py' AS file,
        CAST(l_linenumber AS BIGINT) AS lineno,
        CAST(l_quantity AS BIGINT) AS call_count,
-       CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 0.0 ELSE floor(l_extendedprice) / 65536.0 END AS exclusive_time_s,
+       CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN CAST(0 AS DOUBLE) ELSE CAST(floor(l_extendedprice) AS DOUBLE) / 65536 END AS exclusive_time_s,
        CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) * 1000 END AS exclusive_alloc_bytes,
        CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS BIGINT) * 1100 - 9000 END AS exclusive_rss_bytes,
        l_discount, l_tax, l_returnflag, l_linestatus
@@ -85,7 +85,7 @@ SELECT 'i' || CAST(o_custkey AS VARCHAR(20)) AS instance_id,
        o_orderpriority = '1-URGENT' AS is_assertion,
        CASE WHEN o_orderstatus <> 'O' THEN o_custkey END AS failure_line,
        CASE WHEN o_orderstatus <> 'O' THEN CASE o_orderpriority WHEN '3-MEDIUM' THEN 'ValueError' WHEN '5-LOW' THEN 'KeyError' ELSE '' END END AS exception_type,
-       CASE WHEN o_totalprice < 50000 THEN 0.0005 ELSE floor(o_totalprice) / 8192.0 END AS wall_time_s,
+       CASE WHEN o_totalprice < 50000 THEN CAST(0.0005 AS DOUBLE) ELSE CAST(floor(o_totalprice) AS DOUBLE) / 8192 END AS wall_time_s,
        CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN CAST(o_custkey AS BIGINT) * 100 END AS start_rss_bytes,
        CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(floor(o_totalprice) AS BIGINT) END AS peak_rss_bytes,
        CASE WHEN o_orderpriority <> '3-MEDIUM' THEN CAST(o_custkey AS BIGINT) * 10 END AS start_traced_bytes,
