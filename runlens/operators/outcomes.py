@@ -208,8 +208,9 @@ def check_outcomes(before: DataFrame, after: DataFrame, expected: DataFrame) ->
         flags(after, "after"), ["instance_id", "test"], "left"
     )
     fails_before = ~flag("_passed_before") & ~flag("_skipped_before")
-    f2p = F.when(F.col("kind") == "fail_to_pass", fails_before & flag("_passed_after"))
-    p2p = F.when(F.col("kind") == "pass_to_pass", flag("_passed_before") & flag("_passed_after"))
+    named = F.col("test").isNotNull()
+    f2p = F.when(named & (F.col("kind") == "fail_to_pass"), fails_before & flag("_passed_after"))
+    p2p = F.when(named & (F.col("kind") == "pass_to_pass"), flag("_passed_before") & flag("_passed_after"))
     return joined.groupBy("instance_id").agg(
         F.coalesce(F.bool_and(f2p), F.lit(True)).alias("fail_to_pass_match"),
         F.coalesce(F.bool_and(p2p), F.lit(True)).alias("pass_to_pass_match"),

@@ -148,7 +148,7 @@ def collect_summary(spark, sf_dir):
     "cost_totals",
     """
     SELECT role, count(*) AS calls, CAST(sum(length(text)) AS BIGINT) AS input_tokens, CAST(sum(turn) AS BIGINT) AS output_tokens,
-           sum(CASE WHEN turn > 1 THEN turn * 0.25 ELSE 0 END) AS cost_usd FROM conversations GROUP BY role
+           sum(CASE WHEN turn > 1 THEN CAST(turn AS DOUBLE) / 4 ELSE 0 END) AS cost_usd FROM conversations GROUP BY role
     """,
 )
 def cost_totals(spark, sf_dir):
@@ -297,7 +297,7 @@ def keep_predictions(spark, sf_dir):
 @query(
     "prediction_states",
     f"""
-    SELECT s.instance_id[:-6] || '__prediction_stem_' || substr(e.model_name_or_path, 6) AS instance_id, s.container,
+    SELECT s.instance_id[:-7] || '__prediction_stem_' || substr(e.model_name_or_path, 6) AS instance_id, s.container,
            'diff --git a/m' || substr(e.model_name_or_path, 6) || ' b/m' || chr(10) AS patch, s.group_id, e.gold_speedup
     FROM fx_states s JOIN ({_ENRICHED}) e ON e.instance_id = s.group_id JOIN fx_predictions p ON p.instance_id = e.instance_id AND p.model_name_or_path = e.model_name_or_path
     WHERE s.variant = 'base' AND p.status IS DISTINCT FROM 'error' AND p.model_patch LIKE 'diff%'
@@ -319,7 +319,7 @@ def prediction_states(spark, sf_dir):
 @query(
     "trajectory_states",
     """
-    SELECT s.instance_id[:-6] || '__rebench_trajectory_' || CAST(o_orderkey AS VARCHAR) AS instance_id, s.container, s.instance_id AS parent,
+    SELECT s.instance_id[:-7] || '__rebench_trajectory_' || CAST(o_orderkey AS VARCHAR) AS instance_id, s.container, s.instance_id AS parent,
            lpad(CAST(s.grp AS VARCHAR), 8, '0') AS base_id, 'flaky' AS failures
     FROM fx_states s JOIN orders ON o_custkey = s.grp WHERE s.variant = 'base' AND o_orderstatus <> 'P'
     """,
@@ -508,7 +508,7 @@ def commit_at_step(spark, sf_dir):
 @query(
     "augment_states",
     """
-    SELECT s.instance_id[:-6] || '__aug' || CAST(o_orderkey AS VARCHAR) AS instance_id, s.instance_id AS parent, o_orderstatus = 'F' AS modifies_test_scope
+    SELECT s.instance_id[:-7] || '__aug' || CAST(o_orderkey AS VARCHAR) AS instance_id, s.instance_id AS parent, o_orderstatus = 'F' AS modifies_test_scope
     FROM fx_states s JOIN orders ON o_custkey = s.grp WHERE s.variant = 'base'
     """,
 )

@@ -357,7 +357,7 @@ def assemble_prompt(spark, sf_dir):
            CASE WHEN c_nationkey < 10 THEN CASE c_mktsegment WHEN 'BUILDING' THEN 'AMD Milan' WHEN 'MACHINERY' THEN 'AMD Genoa' END
                 ELSE CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'Intel Haswell' END END AS microarch,
            CASE WHEN c_acctbal > 0 THEN c_name END AS named_model, 3 AS flag_count,
-           substr(sha256('avx ' || lower(c_mktsegment) || ' sse'), 1, 12) AS flags_hash
+           substr(sha256(array_to_string(list_sort(['avx', lower(c_mktsegment), 'sse']), ' ')), 1, 12) AS flags_hash
     FROM customer
     """,
 )
