@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from runlens.plans.catalog.registry import ORACLES, QUERIES
 from runlens.plans.catalog import (  # noqa: F401  (importing registers the queries)
+    answers,
     builds,
     runs,
     scores,
+    states,
+    streams,
     texts,
     traces,
-    states,
 )
 
 

@@ -629,17 +629,17 @@ JOIN (SELECT 'call' AS kind UNION ALL SELECT 'return' AS kind) k ON true
 """
 
 
-@query(
-    "segment_tests",
-    """
-    SELECT f.session, f.seq, COALESCE(o.func, 'session') AS test, o.seq AS test_start
-    FROM fx_frames f LEFT JOIN (
-      SELECT c.session, c.func, c.seq, c.depth, CAST(floor(c.seq / 8) AS BIGINT) AS block,
-             row_number() OVER (PARTITION BY c.session, floor(c.seq / 8) ORDER BY c.depth) AS rn
-      FROM fx_frames c WHERE c.kind = 'call' AND starts_with(c.func, 'test_')) o
-    ON o.rn = 1 AND o.session = f.session AND o.block = CAST(floor(f.seq / 8) AS BIGINT) AND f.depth >= o.depth
-    """,
-)
+SEGMENTS = """
+SELECT f.session, f.seq, COALESCE(o.func, 'session') AS test, o.seq AS test_start
+FROM fx_frames f LEFT JOIN (
+  SELECT c.session, c.func, c.seq, c.depth, CAST(floor(c.seq / 8) AS BIGINT) AS block,
+         row_number() OVER (PARTITION BY c.session, floor(c.seq / 8) ORDER BY c.depth) AS rn
+  FROM fx_frames c WHERE c.kind = 'call' AND starts_with(c.func, 'test_')) o
+ON o.rn = 1 AND o.session = f.session AND o.block = CAST(floor(f.seq / 8) AS BIGINT) AND f.depth >= o.depth
+"""
+
+
+@query("segment_tests", SEGMENTS)
 def segment_tests(spark, sf_dir):
     done = events.segment_tests(frame(spark, sf_dir, "fx_frames"))
     return done.select("session", "seq", "test", "test_start")

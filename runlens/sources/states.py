@@ -86,5 +86,5 @@ def with_metadata_key(states: DataFrame, key: str, value: Column) -> DataFrame:
     decoded = F.try_parse_json(_or_empty("metadata"))
     entries = F.coalesce(F.try_variant_get(decoded, "$", "map<string,variant>"), F.expr("cast(map() as map<string,variant>)"))
     others = F.map_filter(entries, lambda name, _: name != key)
-    added = F.create_map(F.lit(key), F.parse_json(F.to_json(value)))
+    added = F.create_map(F.lit(key), value.cast("variant"))
     return states.withColumn("metadata", F.to_json(F.map_concat(others, added)))
