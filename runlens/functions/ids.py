@@ -30,7 +30,7 @@ def valid_test_scope(col: Column | str) -> Column:
     """A non-empty list of non-blank repo-relative paths without `..` segments."""
     fine = F.forall(
         _col(col),
-        lambda path: (F.regexp_replace(path, r"\s", "") != "")
+        lambda path: path.rlike(r"\S")
         & ~path.startswith("/")
         & ~F.array_contains(F.split(path, "/"), ".."),
     )

@@ -39,7 +39,7 @@ def filter_test_sections(col: Column | str) -> Column:
 
     def is_source(section: Column) -> Column:
         touched = _header_path(section, 1).rlike(TEST_PATH) | _header_path(section, 2).rlike(TEST_PATH)
-        return (F.trim(F.regexp_replace(section, r"\s", "")) != "") & ~touched
+        return section.rlike(r"\S") & ~touched
 
     return F.array_join(F.filter(sections(col), is_source), "")
 
@@ -120,12 +120,15 @@ def diff_fingerprint(col: Column | str) -> Column:
     Line offsets, blob ids, whitespace and the order of the files do not matter.
     """
 
+    def counts(line: Column) -> Column:
+        return ~line.startswith("index ") & ~line.startswith("@@ ") & ~line.startswith("\\ ")
+
     def clean(section: Column) -> Column:
-        body = F.regexp_replace(section, r"(?m)^(?:index |@@ |\\ ).*$", "")
-        return F.sha2(F.regexp_replace(body, r"\s", ""), 256)
+        body = F.array_join(F.filter(F.split(section, "\n"), counts), "")
+        return F.sha2(F.regexp_replace(body, r"\s+", ""), 256)
 
     digests = F.array_sort(F.transform(sections(col), clean))
-    return F.when(F.regexp_replace(_col(col), r"\s", "") != "", F.sha2(F.array_join(digests, ""), 256))
+    return F.when(_col(col).rlike(r"\S"), F.sha2(F.array_join(digests, ""), 256))
 
 
 def heredoc_patch(col: Column | str) -> Column:

@@ -15,7 +15,7 @@ def keep_predictions(preds: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Usable predictions with repaired patches, and the rest with a reason."""
     fixed = patches.normalize_patch(F.coalesce("model_patch", F.lit("")))
     reason = F.when(F.col("status").eqNullSafe("error"), "status=error").when(
-        F.regexp_replace(fixed, r"\s", "") == "", "empty model_patch"
+        ~fixed.rlike(r"\S"), "empty model_patch"
     )
     judged = preds.withColumn("reason", reason)
     kept = judged.where(F.col("reason").isNull()).drop("reason").withColumn("model_patch", fixed)
@@ -116,7 +116,7 @@ def trajectory_states(base: DataFrame, trajectories: DataFrame, dataset: str) ->
         trajectories.select(F.col("instance_id").alias("rebench_instance_id"), "trajectory_id", F.col("patch").alias("_diff")),
         "rebench_instance_id",
     )
-    rows = rows.where(F.regexp_replace("_diff", r"\s", "") != "")
+    rows = rows.where(F.col("_diff").rlike(r"\S"))
     stem = _without_last(F.col("instance_id"))
     new_id = F.concat(stem, F.lit("__rebench_trajectory_"), "trajectory_id")
     inherited = F.from_json(F.get_json_object(meta, f"{own}.integration_failures"), "array<string>")
@@ -196,7 +196,7 @@ def verify_golden(rows: DataFrame, cache: DataFrame, prs: DataFrame, diffs: Data
     """
     number = ids.trailing_number("instance_id")
     combined = patches.concat_patches(
-        *[F.when(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s", "") != "", F.col(c)) for c in ("patch", "test_patch")]
+        *[F.when(F.col(c).rlike(r"\S"), F.col(c)) for c in ("patch", "test_patch")]
     )
     keyed = rows.withColumn("number", number).withColumn("_own", patches.diff_fingerprint(combined))
     fetched = diffs.where(F.col("text").isNotNull()).withColumn("_print", patches.diff_fingerprint("text"))
@@ -218,7 +218,7 @@ def verify_golden(rows: DataFrame, cache: DataFrame, prs: DataFrame, diffs: Data
     status, own = F.col("status"), F.col("_own")
     error = (
         F.when(F.col("_cached").isNotNull(), F.lit(None).cast("string"))
-        .when(F.regexp_replace(F.coalesce("patch", F.lit("")), r"\s", "") == "", "no_patch")
+        .when(~F.coalesce("patch", F.lit("")).rlike(r"\S"), "no_patch")
         .when(blank("repo") | blank("base_commit") | blank("instance_id"), "missing_fields")
         .when(F.col("number").isNull(), "unparseable_pr_number")
         .when(status.isNull(), "pr_fetch_failed")

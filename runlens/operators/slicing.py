@@ -168,7 +168,7 @@ def render_slices(rows: DataFrame, budget: Column) -> DataFrame:
     """
     filled = fill_budget("droppable", F.col("essential_chars"), budget)
     rows = rows.withColumn("_budget", budget).withColumn("_left", filled["left"]).withColumn("_gaps", _gaps(F.col("_left")))
-    blank = F.regexp_replace("content", r"\s", "") == ""
+    blank = ~F.col("content").rlike(r"\S")
     plain = blank | ~F.col("parsed")
     text = F.when(plain, F.col("content")).otherwise(_render(F.col("_lines"), F.col("_gaps")))
     rows = rows.withColumn("slice", text)
@@ -237,7 +237,7 @@ def smart_context(
     nothing left, so the sequential step sees at most about one budget's worth of text per sample.
     """
     rows = classified(files, executed).join(samples.select("sample_id", "start_chars"), "sample_id")
-    blank = F.regexp_replace("content", r"\s", "") == ""
+    blank = ~F.col("content").rlike(r"\S")
     narrow = rows.select(
         "sample_id",
         "file_id",

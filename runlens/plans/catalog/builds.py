@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from runlens.functions import prompts
 from runlens.operators import filters, hotspots, sampling
 from runlens.plans import datasets
-from runlens.plans.catalog.inputs import states
+from runlens.plans.catalog.inputs import narrow_states, states
 from runlens.plans.catalog.registry import frame, query
 from runlens.plans.catalog.views import VIEWS
 
@@ -62,12 +62,8 @@ _LABELS = f"SELECT d.group_id, d.test, {_label('base')} AS base_label, {_label('
 
 def _source(spark, sf_dir):
     """Filtered narrow states and their outcomes, as the builds see them."""
-    outs = frame(spark, sf_dir, "fx_measured").select("instance_id", "test", "status")
-    told = sampling.reported(outs).groupBy("instance_id").agg(F.lit(True).alias("has_outcomes"))
-    narrow = frame(spark, sf_dir, "fx_states").join(told, "instance_id", "left")
-    narrow = narrow.withColumn("has_outcomes", F.coalesce("has_outcomes", F.lit(False)))
-    kept, _ = datasets.filter_narrow(narrow, frame(spark, sf_dir, "fx_known_groups"))
-    return kept, outs
+    kept, _ = datasets.filter_states(narrow_states(spark, sf_dir), frame(spark, sf_dir, "fx_known_groups"))
+    return kept, frame(spark, sf_dir, "fx_measured").select("instance_id", "test", "status")
 
 
 @query(

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.operators.outcomes import fold_outcomes
+from runlens.operators.sampling import reported
+from runlens.plans import datasets
 from runlens.plans.catalog.registry import frame
 from runlens.schemas import OUTCOME_FIELDS
 
@@ -27,9 +29,15 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States in record form: five lists each, null where nothing was measured."""
     lists = fold_outcomes(frame(spark, sf_dir, "fx_outcomes"), frame(spark, sf_dir, "fx_discovery")).drop("part")
     joined = state_scalars(spark, sf_dir).join(lists, "instance_id", "left")
-    for field in OUTCOME_FIELDS:
-        joined = joined.withColumn(field, F.when(F.col("measured"), F.col(field)))
-    return joined
+    others = [c for c in joined.columns if c not in OUTCOME_FIELDS]
+    return joined.select(*others, *[F.when(F.col("measured"), F.col(c)).alias(c) for c in OUTCOME_FIELDS])
+
+
+def narrow_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scalar state rows as the dataset filters take them, outcomes reduced to a flag."""
+    told = reported(frame(spark, sf_dir, "fx_measured")).groupBy("instance_id").agg(F.lit(True).alias("has_outcomes"))
+    joined = frame(spark, sf_dir, "fx_states").join(told, "instance_id", "left")
+    return joined.select(*datasets.NARROW[:-1], F.coalesce("has_outcomes", F.lit(False)).alias("has_outcomes"))
 
 
 def joined_list(col, alias: str):

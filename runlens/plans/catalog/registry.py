@@ -43,13 +43,24 @@ def with_views(sql: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + sql
 
 
+# Table readers per session and folder: the schema is read from a footer only once.
+_READS: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    place = (spark.sparkContext.applicationId, sf_dir, table)
+    if place not in _READS:
+        _READS[place] = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return _READS[place]
+
+
 def frame(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run view SQL on Spark; a bare name means the whole view or table."""
     if re.fullmatch(r"\w+", sql):
         sql = f"SELECT * FROM {sql}"
     text = with_views(sql)
     for table in _uses(text, TABLES):
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+        _table(spark, sf_dir, table).createOrReplaceTempView(table)
     return spark.sql(text)
 
 

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from runlens.functions import ids
 from runlens.operators import dedup, filters, outcomes, pairing, sets
 from runlens.plans import datasets
-from runlens.plans.catalog.inputs import joined_list, state_scalars, states
+from runlens.plans.catalog.inputs import joined_list, narrow_states, state_scalars, states
 from runlens.plans.catalog.registry import frame, query
 from runlens.schemas import OUTCOME_FIELDS
+from runlens.session import reliable_checkpoint
 
 
 def _folded(status: str) -> str:
@@ -595,8 +596,8 @@ for _name, (_condition, _rules) in _CHAIN_RULES.items():
     """,
 )
 def filter_chain(spark, sf_dir):
-    df = filters.with_group(states(spark, sf_dir).drop("group_id", "variant"))
-    kept, dropped = filters.filter_chain(df, datasets.standard_rules(frame(spark, sf_dir, "fx_known_groups")))
+    narrow = reliable_checkpoint(narrow_states(spark, sf_dir))
+    kept, dropped = filters.filter_chain(narrow, datasets.standard_rules(frame(spark, sf_dir, "fx_known_groups")))
     return kept.select("instance_id", F.lit("kept").alias("reason"), F.lit(None).cast("string").alias("detail")).unionByName(
         dropped.select("instance_id", "reason", "detail")
     )

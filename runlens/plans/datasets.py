@@ -31,20 +31,22 @@ def standard_rules(known: DataFrame) -> list[filters.Rule]:
     ]
 
 
-def sampled_source(states: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Narrow states the draws work on, and what the filters left out.
+NARROW = ["instance_id", "repo", "base_commit", "container", "group_id", "variant", "row_index", "has_outcomes"]
 
-    `states` carries group_id, variant and row_index; list columns are only looked at for emptiness.
-    """
-    narrow = states.withColumn(
-        "has_outcomes", filters.has_entries("passed_tests", "failed_tests", "errored_tests")
-    ).select("instance_id", "repo", "base_commit", "container", "group_id", "variant", "row_index", "has_outcomes")
-    return filter_narrow(narrow, known)
+
+def narrow_states(states: DataFrame) -> DataFrame:
+    """Scalar columns the filters and draws work on; list columns are only looked at for emptiness."""
+    flag = filters.has_entries("passed_tests", "failed_tests", "errored_tests")
+    return states.select(*NARROW[:-1], flag.alias("has_outcomes"))
 
 
-def filter_narrow(narrow: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Filter scalar state rows; the kept ones feed several draws, so they are checkpointed once."""
-    kept, dropped = filters.filter_chain(narrow, standard_rules(known))
+def filter_states(narrow: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Kept and dropped scalar rows.
+
+    Each rule that looks at whole groups reads the rows again, and the kept ones feed several draws.
+    Both are a few scalars per state, so they are checkpointed instead of recomputed from the source.
+    """
+    kept, dropped = filters.filter_chain(reliable_checkpoint(narrow), standard_rules(known))
     return reliable_checkpoint(kept), dropped
 
 
@@ -71,7 +73,7 @@ def single_test_draw(outcomes: DataFrame, states: DataFrame, rows: int = 2, seed
 
 def build_single_test_status(states: DataFrame, known: DataFrame, rows: int = 2, seed: int = 0) -> DataFrame:
     """One test per group, asked about up to two of its states."""
-    kept, _ = sampled_source(states, known)
+    kept, _ = filter_states(narrow_states(states), known)
     outcomes = source_outcomes(states, kept)
     drawn = single_test_draw(outcomes, kept, rows, seed)
     wide = states.select(*COPIED)
@@ -92,7 +94,7 @@ def build_test_status_anchored(
 
     The list per row is bounded by `tests`, so gathering it is safe for any group size.
     """
-    kept, _ = sampled_source(states, known)
+    kept, _ = filter_states(narrow_states(states), known)
     outcomes = source_outcomes(states, kept)
     picked = sampling.draw_uniform(kept, rows, seed)
     asked = sampling.draw_tests(outcomes, kept, picked, tests, seed)
