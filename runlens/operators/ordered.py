@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from runlens.operators.skew import CHUNK_ROWS
 
 
-def seq_chunk(seq: str = "seq", rows: int = CHUNK_ROWS) -> Column:
+def seq_chunk(seq: str = "seq") -> Column:
     """Chunk of a dense ordinal."""
-    return F.floor(F.col(seq) / rows)
+    return F.floor(F.col(seq) / F.lit(CHUNK_ROWS))
 
 
 def hash_chunk(order: str, digits: int = 3) -> Column:
@@ -35,7 +35,8 @@ def nearest(
     direction = F.col(order).desc() if later else F.col(order).asc()
     pick = F.min_by if later else F.max_by
     df = df.withColumn("_chunk", seq_chunk(order) if chunk is None else chunk)
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
+    # A range frame, so that rows of the same ordinal see each other's value.
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(direction).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     local = df.withColumn("_local", F.last(value, True).over(inside))
     edges = df.groupBy(*keys, "_chunk").agg(
         pick(F.col(value), F.when(F.col(value).isNotNull(), F.col(order))).alias("_edge")
