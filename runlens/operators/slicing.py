@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from runlens.functions.testnames import test_func_name
 from runlens.operators.ordered import hash_chunk, running_sum
+from runlens.session import reliable_checkpoint
 
 # Budgets, windows and marker texts.
 SOURCE_BUDGET = 400_000
@@ -68,13 +69,13 @@ def _chars(lines: Column, first: Column, last: Column) -> Column:
     return total - F.when(last >= F.size(lines), 1).otherwise(0)
 
 
-def classified(files: DataFrame, executed: DataFrame) -> DataFrame:
+def classified(files: DataFrame, executed: DataFrame, spans: DataFrame | None = None) -> DataFrame:
     """Each (sample, file) with its lines and the spans that may be dropped, in source order.
 
     `files(file_id, content)`, `executed(sample_id, file_id, lines)`. Droppable are functions and
     classes nothing ran in, and such methods of classes something ran in.
     """
-    known = files.join(definition_spans(files), "file_id")
+    known = files.join(definition_spans(files) if spans is None else spans, "file_id")
     rows = executed.join(known, "file_id").withColumn("_lines", F.split("content", "\n"))
 
     def ran(span: Column) -> Column:
@@ -234,9 +235,12 @@ def smart_context(
     `samples(sample_id, start_chars)` starts with the test file's length; files come in the order of
     `executed.shuffle_key`, an md5. Each file's budget depends on what the former ones used, but only
     until the budget is spent: files whose predecessors' guaranteed text already exceeds it have
-    nothing left, so the sequential step sees at most about one budget's worth of text per sample.
+    nothing left. Every file that is not blank renders at least one character, so the sequential step
+    sees at most `budget` rows of span sizes per sample.
     """
-    rows = classified(files, executed).join(samples.select("sample_id", "start_chars"), "sample_id")
+    # The only Python stage over whole texts feeds three branches, so its small result is kept.
+    spans = reliable_checkpoint(definition_spans(files))
+    rows = classified(files, executed, spans).join(samples.select("sample_id", "start_chars"), "sample_id")
     blank = ~F.col("content").rlike(r"\S")
     narrow = rows.select(
         "sample_id",
@@ -251,7 +255,9 @@ def smart_context(
         F.size("_lines").alias("line_count"),
         F.col("content").endswith("\n").alias("ends_with_newline"),
     )
-    sure = F.when(F.col("plain"), F.col("plain_chars")).otherwise(F.col("essential_chars"))
+    # A blank file costs nothing and ignores its budget.
+    narrow = narrow.where(~F.col("plain") | (F.col("plain_chars") > 0))
+    sure = F.when(F.col("plain"), F.col("plain_chars")).otherwise(F.greatest("essential_chars", F.lit(1)))
     placed = running_sum(
         narrow.withColumn("_sure", sure), ["sample_id"], "shuffle_key", "_sure", "_before", hash_chunk("shuffle_key")
     )

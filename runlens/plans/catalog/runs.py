@@ -454,9 +454,12 @@ def verify_golden(spark, sf_dir):
     diffs = frame(
         spark,
         sf_dir,
-        f"""SELECT 'own/repo' AS repo, d.doc_id + 1 AS number, k.kind, CASE WHEN verdict = 'diff_fetch_failed' THEN NULL
-                   WHEN verdict = 'diff_mismatch' OR (verdict = 'request' AND k.kind = 'landed') THEN {text} || 'z' ELSE {text} END AS text
-            FROM documents d JOIN ({_CHECKS}) c ON c.doc_id = d.doc_id JOIN (SELECT 'landed' AS kind UNION ALL SELECT 'request' AS kind) k ON true""",
+        f"""SELECT 'own/repo' AS repo, d.doc_id + 1 AS number, 'landed' AS kind, CASE WHEN verdict = 'diff_fetch_failed' THEN NULL
+                   WHEN verdict IN ('diff_mismatch', 'request') THEN {text} || 'z' ELSE {text} END AS text
+            FROM documents d JOIN ({_CHECKS}) c ON c.doc_id = d.doc_id
+            UNION ALL SELECT 'own/repo', d.doc_id + 1, 'request', CASE WHEN verdict = 'diff_fetch_failed' THEN NULL
+                   WHEN verdict = 'diff_mismatch' THEN {text} || 'z' ELSE {text} END
+            FROM documents d JOIN ({_CHECKS}) c ON c.doc_id = d.doc_id""",
     )
     done = integration.verify_golden(rows, cache, prs, diffs)
     return rows.select("doc_id", "instance_id").join(done, "instance_id").select("doc_id", "golden_commit", "error")

@@ -103,9 +103,9 @@ def stream_completed_runs(spark, sf_dir):
     rows = frame(
         spark,
         sf_dir,
-        """SELECT 'run' || CAST(o_custkey AS STRING) AS run, CAST(o_orderkey AS STRING) AS unit, s.seq, expected,
-                  CASE WHEN s.seq = 0 THEN 'pending' WHEN o_orderstatus <> 'P' THEN 'succeeded' WHEN o_totalprice > 300000 THEN 'failed' ELSE 'active' END AS state
-           FROM (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS expected FROM orders)
-           JOIN (SELECT 0 AS seq UNION ALL SELECT 1 AS seq) s ON true""",
+        """WITH units AS (SELECT 'run' || CAST(o_custkey AS STRING) AS run, CAST(o_orderkey AS STRING) AS unit, o_orderstatus, o_totalprice,
+                                 count(*) OVER (PARTITION BY o_custkey) AS expected FROM orders)
+           SELECT run, unit, 0 AS seq, expected, 'pending' AS state FROM units
+           UNION ALL SELECT run, unit, 1, expected, CASE WHEN o_orderstatus <> 'P' THEN 'succeeded' WHEN o_totalprice > 300000 THEN 'failed' ELSE 'active' END FROM units""",
     )
     return _finish(jobs.stream_completed_runs(_derived_stream(spark, rows, folder)), folder)

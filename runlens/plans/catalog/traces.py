@@ -620,15 +620,15 @@ def call_sequence(spark, sf_dir):
 
 
 # Nested calls: every four consecutive events of a user call each other and return in reverse.
+VIEWS["fx_blocks"] = """
+SELECT 'u' || CAST(user_id AS VARCHAR(20)) AS session, CAST(floor((rn - 1) / 4) AS BIGINT) AS block, (rn - 1) % 4 AS depth,
+       CASE WHEN event_type IN ('click', 'view') THEN 'test_' ELSE 'fn_' END || event_type AS func
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)
+"""
 VIEWS["fx_frames"] = """
-SELECT session, CAST(block * 8 + CASE kind WHEN 'call' THEN depth ELSE 7 - depth END AS BIGINT) AS seq, kind, func, depth
-FROM (SELECT 'u' || CAST(user_id AS VARCHAR(20)) AS session, CAST(floor((rn - 1) / 4) AS BIGINT) AS block, (rn - 1) % 4 AS depth,
-             CASE WHEN event_type IN ('click', 'view') THEN 'test_' ELSE 'fn_' END || event_type AS func
-      FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)) f
-JOIN (SELECT 'call' AS kind UNION ALL SELECT 'return' AS kind) k ON true
+SELECT session, CAST(block * 8 + depth AS BIGINT) AS seq, 'call' AS kind, func, depth FROM fx_blocks
+UNION ALL SELECT session, CAST(block * 8 + 7 - depth AS BIGINT), 'return', func, depth FROM fx_blocks
 """
-
-
 SEGMENTS = """
 SELECT f.session, f.seq, COALESCE(o.func, 'session') AS test, o.seq AS test_start
 FROM fx_frames f LEFT JOIN (

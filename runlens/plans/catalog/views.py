@@ -226,11 +226,15 @@ FROM lineitem GROUP BY 1, 2, 3
 VIEWS["fx_score_truth"] = """
 SELECT sample_id, subtask, name, CAST(row_number() OVER (PARTITION BY sample_id, subtask ORDER BY value DESC, name) AS BIGINT) - 1 AS pos FROM fx_score_values
 """
+VIEWS["fx_score_told"] = """
+SELECT 'm0' AS model, sample_id, subtask, name, quantity FROM fx_score_values
+UNION ALL SELECT 'm1', sample_id, subtask, CASE WHEN quantity > 40 THEN 'g' || name ELSE name END, quantity FROM fx_score_values WHERE quantity > 10
+"""
 VIEWS["fx_score_preds"] = """
-SELECT model, sample_id, subtask, CASE WHEN model = 'm1' AND quantity > 40 THEN 'g' || name ELSE name END AS name,
+SELECT model, sample_id, subtask, name,
        CAST(row_number() OVER (PARTITION BY model, sample_id, subtask ORDER BY quantity, name) AS BIGINT) - 1 AS pos
-FROM fx_score_values JOIN (SELECT 'm0' AS model UNION ALL SELECT 'm1' AS model) m ON model = 'm0' OR quantity > 10
+FROM fx_score_told
 """
 VIEWS["fx_score_rows"] = """
-SELECT DISTINCT sample_id, model FROM fx_score_values JOIN (SELECT 'm0' AS model UNION ALL SELECT 'm1' AS model) m ON true
+SELECT DISTINCT sample_id, 'm0' AS model FROM fx_score_values UNION ALL SELECT DISTINCT sample_id, 'm1' FROM fx_score_values
 """
