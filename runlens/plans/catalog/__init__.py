@@ -10,6 +10,7 @@ from runlens.plans.catalog.registry import ORACLES, QUERIES
 from runlens.plans.catalog import (  # noqa: F401  (importing registers the queries)
     answers,
     builds,
+    files,
     runs,
     scores,
     states,

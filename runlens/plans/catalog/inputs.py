@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +45,13 @@ def narrow_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 def joined_list(col, alias: str):
     """Lists leave the registered queries as sorted, comma-joined text."""
     return F.array_join(F.array_sort(col), ",").alias(alias)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A fresh folder below the shared checkpoint folder; a local session may use a temporary one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        return tempfile.mkdtemp(prefix="run-")
+    return f"{shared.rstrip('/')}/run-{spark.sparkContext.applicationId}-{spark.sql('select uuid()').first()[0]}"

@@ -2,26 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runlens.plans.catalog.inputs import scratch_folder
 from runlens.plans.catalog.registry import frame, query
 from runlens.plans.catalog.traces import SEGMENTS
 from runlens.streaming import jobs
 
 
-def _folder(spark: SparkSession) -> str:
-    """A fresh folder below the shared checkpoint folder; a local session may use a temporary one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        return tempfile.mkdtemp(prefix="run-")
-    return f"{shared.rstrip('/')}/run-{spark.sparkContext.applicationId}-{spark.sql('select uuid()').first()[0]}"
-
-
 def _table_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
@@ -46,7 +35,7 @@ def _finish(stream: DataFrame, folder: str) -> DataFrame:
 
 @query("stream_results", "SELECT DISTINCT l_orderkey FROM lineitem")
 def stream_results(spark, sf_dir):
-    folder = _folder(spark)
+    folder = scratch_folder(spark)
     stream = _table_stream(spark, sf_dir, "lineitem").select("l_orderkey")
     jobs.stream_results(stream, f"{folder}/out", f"{folder}/checkpoint", "l_orderkey").awaitTermination()
     return spark.read.schema("l_orderkey long").parquet(f"{folder}/out")
@@ -57,7 +46,7 @@ def stream_results(spark, sf_dir):
     "SELECT user_id, max(event_id) AS event_id, max_by(event_type, event_id) AS event_type FROM events GROUP BY user_id",
 )
 def stream_upsert(spark, sf_dir):
-    folder = _folder(spark)
+    folder = scratch_folder(spark)
     stream = _table_stream(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
     jobs.stream_upsert(stream, f"{folder}/table", f"{folder}/checkpoint", "user_id", "event_id").awaitTermination()
     return spark.read.parquet(f"{folder}/table").select("user_id", "event_id", "event_type")
@@ -68,7 +57,7 @@ def stream_upsert(spark, sf_dir):
     "SELECT o_custkey AS run, o_orderpriority AS component, o_orderstatus AS state, count(*) AS n FROM orders GROUP BY 1, 2, 3",
 )
 def stream_run_status(spark, sf_dir):
-    folder = _folder(spark)
+    folder = scratch_folder(spark)
     events = _table_stream(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("run"), F.col("o_orderpriority").alias("component"), F.col("o_orderstatus").alias("state")
     )
@@ -86,7 +75,7 @@ def stream_run_status(spark, sf_dir):
 
 @query("stream_segment", SEGMENTS)
 def stream_segment(spark, sf_dir):
-    folder = _folder(spark)
+    folder = scratch_folder(spark)
     stream = _derived_stream(spark, frame(spark, sf_dir, "fx_frames"), folder)
     return _finish(jobs.stream_segment(stream), folder)
 
@@ -99,7 +88,7 @@ def stream_segment(spark, sf_dir):
     """,
 )
 def stream_completed_runs(spark, sf_dir):
-    folder = _folder(spark)
+    folder = scratch_folder(spark)
     rows = frame(
         spark,
         sf_dir,

@@ -314,7 +314,7 @@ def matches_target(spark, sf_dir):
     return filters.matches_target(tests, frame(spark, sf_dir, "fx_targets")).select(*KEYS)
 
 
-_SAMPLES = f"""
+SAMPLES_SQL = f"""
 SELECT e.instance_id || '::' || substr(sha1(e.test), 1, 10) || '::' || e.task || '::post' AS sample_id, e.task, e.instance_id, e.test,
        e.gt_outcome, e.gt_peak_bytes, round(w.wall_ms, 6) AS gt_wall_ms, e.wall_time_s, e.peak_rss_bytes, e.peak_traced_bytes
 FROM (SELECT *, {_GT_LABEL} AS gt_outcome, {_GT} AS gt_peak_bytes FROM ({_ELIGIBLE_ROWS}) WHERE functions AND ({_KEPT})) e
@@ -324,7 +324,7 @@ WHERE NOT (e.task LIKE 'hot%' AND (e.instance_id, e.test, e.task) NOT IN (SELECT
 """
 
 
-def _samples(spark, sf_dir):
+def sample_rows(spark, sf_dir):
     return samples.build_samples(
         frame(spark, sf_dir, "fx_tests"),
         frame(spark, sf_dir, "fx_functions"),
@@ -335,25 +335,25 @@ def _samples(spark, sf_dir):
 
 @query(
     "build_samples",
-    f"SELECT sample_id, task, instance_id, test, gt_outcome, gt_peak_bytes, gt_wall_ms FROM ({_SAMPLES})",
+    f"SELECT sample_id, task, instance_id, test, gt_outcome, gt_peak_bytes, gt_wall_ms FROM ({SAMPLES_SQL})",
 )
 def build_samples(spark, sf_dir):
-    return _samples(spark, sf_dir).select(
+    return sample_rows(spark, sf_dir).select(
         "sample_id", "task", *KEYS, "gt_outcome", "gt_peak_bytes", F.round("gt_wall_ms", 6).alias("gt_wall_ms")
     )
 
 
-@query("sample_manifest", f"SELECT task, count(*) AS samples, count(DISTINCT instance_id) AS instances FROM ({_SAMPLES}) GROUP BY task")
+@query("sample_manifest", f"SELECT task, count(*) AS samples, count(DISTINCT instance_id) AS instances FROM ({SAMPLES_SQL}) GROUP BY task")
 def sample_manifest(spark, sf_dir):
-    return samples.sample_manifest(_samples(spark, sf_dir), frame(spark, sf_dir, "fx_tests"))[0]
+    return samples.sample_manifest(sample_rows(spark, sf_dir), frame(spark, sf_dir, "fx_tests"))[0]
 
 
 @query(
     "instances_without_samples",
-    f"SELECT DISTINCT instance_id FROM fx_tests WHERE instance_id NOT IN (SELECT instance_id FROM ({_SAMPLES}))",
+    f"SELECT DISTINCT instance_id FROM fx_tests WHERE instance_id NOT IN (SELECT instance_id FROM ({SAMPLES_SQL}))",
 )
 def instances_without_samples(spark, sf_dir):
-    return samples.sample_manifest(_samples(spark, sf_dir), frame(spark, sf_dir, "fx_tests"))[1]
+    return samples.sample_manifest(sample_rows(spark, sf_dir), frame(spark, sf_dir, "fx_tests"))[1]
 
 
 @query(
@@ -363,14 +363,14 @@ def instances_without_samples(spark, sf_dir):
            COALESCE(string_agg(CASE WHEN t.subtask = 'hot_methods_time' THEN t.name END, ',' ORDER BY t.pos), '') AS methods_time,
            COALESCE(string_agg(CASE WHEN t.subtask = 'hot_lines_alloc' THEN t.name END, ',' ORDER BY t.pos), '') AS lines_alloc,
            (SELECT count(*) FROM fx_values v WHERE v.instance_id = s.instance_id AND v.test = s.test AND v.subtask = 'hot_lines_time') AS n_line_values
-    FROM ({_SAMPLES}) s LEFT JOIN fx_truth t ON t.instance_id = s.instance_id AND t.test = s.test
+    FROM ({SAMPLES_SQL}) s LEFT JOIN fx_truth t ON t.instance_id = s.instance_id AND t.test = s.test
     GROUP BY s.sample_id, s.instance_id, s.test, s.peak_rss_bytes
     """,
 )
 def benchmark_dataset(spark, sf_dir):
     functions, lines = frame(spark, sf_dir, "fx_functions"), frame(spark, sf_dir, "fx_test_lines")
     flat = samples.benchmark_dataset(
-        _samples(spark, sf_dir), samples.hot_truth(functions, lines), traces.value_tables(functions, lines, KEYS)
+        sample_rows(spark, sf_dir), samples.hot_truth(functions, lines), traces.value_tables(functions, lines, KEYS)
     )
     return flat.select(
         "sample_id",
@@ -388,11 +388,11 @@ def benchmark_dataset(spark, sf_dir):
     SELECT instance_id, 'post' AS side,
            COALESCE(string_agg(DISTINCT CASE WHEN gt_outcome = 'passed' THEN test END, ',' ORDER BY CASE WHEN gt_outcome = 'passed' THEN test END), '') AS tests_pass,
            COALESCE(string_agg(DISTINCT CASE WHEN gt_outcome = 'passed' THEN NULL ELSE test END, ',' ORDER BY CASE WHEN gt_outcome = 'passed' THEN NULL ELSE test END), '') AS tests_fail
-    FROM ({_SAMPLES}) WHERE gt_outcome IS NOT NULL GROUP BY instance_id
+    FROM ({SAMPLES_SQL}) WHERE gt_outcome IS NOT NULL GROUP BY instance_id
     """,
 )
 def environment_buckets(spark, sf_dir):
-    done = samples.environment_buckets(_samples(spark, sf_dir).where("gt_outcome IS NOT NULL"))
+    done = samples.environment_buckets(sample_rows(spark, sf_dir).where("gt_outcome IS NOT NULL"))
     return done.select(
         "instance_id", "side", F.array_join("tests_pass", ",").alias("tests_pass"), F.array_join("tests_fail", ",").alias("tests_fail")
     )
@@ -403,13 +403,13 @@ def environment_buckets(spark, sf_dir):
     f"""
     SELECT DISTINCT s.instance_id || '::' || side AS env_id, s.instance_id, side, c_mktsegment AS repo,
            CASE WHEN side = 'post' THEN c_name ELSE '' END AS patch, COALESCE(CASE WHEN c_acctbal > 0 THEN c_name END, '') AS container
-    FROM (SELECT instance_id, 'post' AS side FROM ({_SAMPLES}) WHERE gt_outcome IS NOT NULL UNION ALL
-          SELECT instance_id, 'pre' FROM ({_SAMPLES}) WHERE gt_outcome IS NOT NULL) s
+    FROM (SELECT instance_id, 'post' AS side FROM ({SAMPLES_SQL}) WHERE gt_outcome IS NOT NULL UNION ALL
+          SELECT instance_id, 'pre' FROM ({SAMPLES_SQL}) WHERE gt_outcome IS NOT NULL) s
     JOIN customer ON 'i' || CAST(c_custkey AS VARCHAR(20)) = s.instance_id
     """,
 )
 def environments(spark, sf_dir):
-    told = _samples(spark, sf_dir).where("gt_outcome IS NOT NULL")
+    told = sample_rows(spark, sf_dir).where("gt_outcome IS NOT NULL")
     both = told.unionByName(told.withColumn("side", F.lit("pre")))
     instances = frame(
         spark,
@@ -424,11 +424,11 @@ def environments(spark, sf_dir):
     "with_prompts",
     f"""
     SELECT s.sample_id, COALESCE(CASE WHEN t.outcome = 'passed' THEN 'stored ' || s.task END, 'embedded ' || s.test) AS user_prompt
-    FROM ({_SAMPLES}) s JOIN fx_tests t ON t.instance_id = s.instance_id AND t.test = s.test
+    FROM ({SAMPLES_SQL}) s JOIN fx_tests t ON t.instance_id = s.instance_id AND t.test = s.test
     """,
 )
 def with_prompts(spark, sf_dir):
-    rows = _samples(spark, sf_dir).withColumn("user_prompt", F.concat(F.lit("embedded "), "test"))
+    rows = sample_rows(spark, sf_dir).withColumn("user_prompt", F.concat(F.lit("embedded "), "test"))
     stored = rows.where("outcome = 'passed' OR outcome = 'error'").select(
         "sample_id",
         F.when(F.col("outcome") == "passed", F.concat(F.lit("stored "), "task")).otherwise("").alias("prompt"),

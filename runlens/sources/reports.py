@@ -17,12 +17,12 @@ from runlens.schemas import CASE_REPORT, EVAL_REPORT_NUMBERS, PREDICTIONS, PROFI
 WORKLOAD_TEST = "test_workload.py::test_workload"
 
 
-def read_junit(spark: SparkSession, path: str) -> DataFrame:
+def read_junit(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
     """Testcases of XML reports with their status; `instance_id` is the folder, `report` the file."""
     cases = (
         spark.read.format("xml")
         .option("rowTag", "testcase")
-        .option("pathGlobFilter", "*.xml")
+        .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .schema(TESTCASE_XML)
         .load(path)
@@ -48,10 +48,10 @@ def _well_formed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"path": batch["path"], "well_formed": verdicts})
 
 
-def list_reports(spark: SparkSession, path: str) -> DataFrame:
+def list_reports(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
     """Report files and whether each is well-formed; the XML reader yields nothing for broken ones."""
     files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").option("recursiveFileLookup", "true").load(path)
+        spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
     )
     checked = files.select("path", "content").mapInPandas(_well_formed, "path string, well_formed boolean")
     return checked.withColumn("instance_id", _segment("path", -2)).withColumn("report", _segment("path", -1))
@@ -91,7 +91,7 @@ FLAGS = ["passed", "failed", "runtime_errors", "timeouts", "memory_limit_exceede
 
 def read_case_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Cases of JSON harness reports, and solutions whose flag lists are missing or differ in length."""
-    documents = spark.read.text(path, wholetext=True).select(
+    documents = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(
         F.from_json("value", CASE_REPORT.simpleString()).alias("tasks"), F.col("_metadata.file_path").alias("path")
     )
     solutions = documents.select("path", F.explode("tasks").alias("task", "solutions")).select(
@@ -112,7 +112,7 @@ def read_case_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
 
 
 def read_workload_profiles(
-    spark: SparkSession, root: str, workload_test: str = WORKLOAD_TEST
+    spark: SparkSession, root: str, workload_test: str = WORKLOAD_TEST, pattern: str = "cprofile_output.json"
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Workload record and function rows per state, and how many reports lack the workload.
 
@@ -121,7 +121,7 @@ def read_workload_profiles(
     """
     files = (
         spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "cprofile_output.json")
+        .option("pathGlobFilter", pattern)
         .text(root, wholetext=True)
         .select("value", F.col("_metadata.file_path").alias("path"))
     )

@@ -80,9 +80,11 @@ def trace_lines(raw: DataFrame) -> DataFrame:
     ).where(F.col("line").isNotNull())
 
 
-def read_traces(spark: SparkSession, root: str, side: str = "post") -> TraceTables:
+def read_traces(
+    spark: SparkSession, root: str, side: str = "post", pattern: str = "trace_output*.json*"
+) -> TraceTables:
     """The latest run of each instance as run, test, function and line tables."""
-    documents = latest_run(read_documents(spark, root).where(F.col("side") == side))
+    documents = latest_run(read_documents(spark, root, pattern).where(F.col("side") == side))
     raw = documents.select("instance_id", "run", "path", F.from_json("value", TRACE_DOCUMENT).alias("document"))
     fields = ["tracer_version", "trace_level", "memory_tracking", "backend", "python_version", "test_count"]
     runs = raw.select("instance_id", "run", *[f"document.{c}" for c in fields])
