@@ -41,7 +41,7 @@ def _raw_answers(spark, sf_dir):
 _ANSWERS = "SELECT *, shape <> 'none' AS read FROM fx_answers"
 
 
-@query("parse_responses", f"SELECT model, sample_id, CASE WHEN read THEN conv_id * 1000 END AS peak, read FROM ({_ANSWERS})")
+@query("parse_responses", f"SELECT model, sample_id, CASE WHEN read THEN conv_id * 1000 END AS peak, read FROM ({_ANSWERS})", doubles=("peak",))
 def parse_responses(spark, sf_dir):
     parsed = responses.parse_responses(_raw_answers(spark, sf_dir))
     return parsed.select(
@@ -60,6 +60,7 @@ def parse_responses(spark, sf_dir):
            CASE WHEN read THEN 'a,f' || CAST(conv_id AS VARCHAR) END AS names
     FROM ({_ANSWERS})
     """,
+    doubles=("pred_failure_line", "pred_peak",),
 )
 def extract_prediction(spark, sf_dir):
     done = responses.extract_prediction(responses.parse_responses(_raw_answers(spark, sf_dir)))
@@ -165,6 +166,7 @@ def oracle_context(spark, sf_dir):
            length(text) * 3 + length(mid) + 2 > 60000 AS carved, true AS has_target
     FROM (SELECT doc_id, text, 'def test_x():' AS mid FROM documents)
     """,
+    doubles=("whole_chars",),
 )
 def carve_window(spark, sf_dir):
     docs = frame(spark, sf_dir, "documents")

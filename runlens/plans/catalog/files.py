@@ -36,6 +36,7 @@ def _key(path: str, name: str):
                 ELSE (SELECT count(*) FROM fx_outcomes o WHERE o.instance_id = s.instance_id AND o.status = 'PASSED') END AS passed
     FROM fx_states s
     """,
+    doubles=("passed",),
 )
 def read_states_jsonl(spark, sf_dir):
     folder = scratch_folder(spark)

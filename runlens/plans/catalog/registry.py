@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from runlens.plans.catalog.views import TABLES, VIEWS
 
@@ -64,15 +65,28 @@ def frame(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(text)
 
 
-def query(name: str, oracle: str | None = None):
-    """Register a query; `oracle` may refer to the shared views by name."""
+def query(name: str, oracle: str | None = None, doubles: tuple[str, ...] = ()):
+    """Register a query; `oracle` may refer to the shared views by name.
+
+    `doubles` are integer columns with nulls. Both engines return them as doubles, because tools that
+    compare through data frames render nullable integers differently.
+    """
 
     def register(run: Callable[[SparkSession, str], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = run
+
+        def with_doubles(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return run(spark, sf_dir).withColumns({c: F.col(c).cast("double") for c in doubles})
+
+        QUERIES[name] = with_doubles if doubles else run
+        QUERIES[name].__module__ = run.__module__
         if oracle is not None:
-            ORACLES[name] = with_views(oracle)
+            text = with_views(oracle)
+            if doubles:
+                casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in doubles)
+                text = f"SELECT * REPLACE ({casts}) FROM ({text})"
+            ORACLES[name] = text
         return run
 
     return register

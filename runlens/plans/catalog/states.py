@@ -130,6 +130,7 @@ def healthy_states(spark, sf_dir):
            CASE WHEN s.measured THEN (SELECT count(*) FROM fx_discovery d WHERE d.instance_id = s.instance_id) END AS n_discovery_errors
     FROM fx_states s LEFT JOIN fx_outcomes o ON o.instance_id = s.instance_id GROUP BY s.instance_id, s.measured
     """,
+    doubles=("n_passed_tests", "n_failed_tests", "n_skipped_tests", "n_errored_tests", "n_discovery_errors",),
 )
 def collect_counts(spark, sf_dir):
     return outcomes.collect_counts(states(spark, sf_dir))
@@ -271,6 +272,7 @@ WHERE s.measured GROUP BY s.grp, s.instance_id
              count(CASE WHEN sig.clean THEN 1 END) OVER (PARTITION BY sig.grp, sig.signature, sig.clean) END AS clones
     FROM sig LEFT JOIN base ON base.grp = sig.grp
     """,
+    doubles=("clones",),
 )
 def clone_classes(spark, sf_dir):
     classes = pairing.clone_classes(
@@ -547,6 +549,7 @@ def state_names(spark, sf_dir):
     """
     SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' AND o_custkey > 0 THEN o_custkey END AS number FROM orders
     """,
+    doubles=("number",),
 )
 def trailing_number(spark, sf_dir):
     orders = frame(spark, sf_dir, "orders")

@@ -73,7 +73,7 @@ def stream_run_status(spark, sf_dir):
     return spark.read.schema(counts.schema).parquet(f"{folder}/out")
 
 
-@query("stream_segment", SEGMENTS)
+@query("stream_segment", SEGMENTS, doubles=("test_start",))
 def stream_segment(spark, sf_dir):
     folder = scratch_folder(spark)
     stream = _derived_stream(spark, frame(spark, sf_dir, "fx_frames"), folder)

@@ -322,7 +322,7 @@ def adapt_command(spark, sf_dir):
 @query(
     "parse_timing_text",
     """
-    SELECT doc_id, CASE WHEN lang = 'en' THEN n_text / 8.0 END AS workload_mean_s, CASE WHEN lang = 'en' THEN 0.25 END AS workload_stdev_s,
+    SELECT doc_id, CASE WHEN lang = 'en' THEN CAST(n_text AS DOUBLE) / 8 END AS workload_mean_s, CASE WHEN lang = 'en' THEN CAST(0.25 AS DOUBLE) END AS workload_stdev_s,
            n_text + CASE WHEN lang = 'en' THEN length('Before Mean: 9' || chr(10) || 'Mean: ' || CAST(n_text / 8.0 AS VARCHAR) || chr(10) || 'Std Dev: 0.25' || chr(10)) ELSE 0 END > 16384 AS stdout_truncated
     FROM (SELECT doc_id, lang, length(text) + 1 AS n_text FROM documents)
     """,

@@ -64,6 +64,7 @@ def merge_cprofile(spark, sf_dir):
            COALESCE(m.peak_traced_bytes, t.peak_traced_bytes) AS peak_traced_bytes
     FROM fx_tests t LEFT JOIN fx_memprof_tests m ON m.instance_id = t.instance_id AND m.test = t.test
     """,
+    doubles=("start_traced_bytes", "peak_traced_bytes",),
 )
 def merge_memprof_tests(spark, sf_dir):
     done = traces.merge_memprof_tests(frame(spark, sf_dir, "fx_tests"), frame(spark, sf_dir, "fx_memprof_tests"))
@@ -84,6 +85,7 @@ def _passes(spark, sf_dir):
 @query(
     "merge_passes",
     f"SELECT instance_id, test, pos, func, round(exclusive_time_s, 6) AS exclusive_time_s, exclusive_alloc_bytes FROM ({_MERGED_FUNCTIONS})",
+    doubles=("exclusive_alloc_bytes",),
 )
 def merge_passes(spark, sf_dir):
     done = _passes(spark, sf_dir).functions
@@ -183,6 +185,7 @@ _GT_LABEL = "CASE WHEN outcome IN ('failed', 'error') THEN CASE WHEN is_assertio
            CASE WHEN outcome IN ('failed', 'error') AND exception_type <> '' THEN exception_type END AS gt_exception
     FROM fx_tests
     """,
+    doubles=("gt_failure_line",),
 )
 def ground_truth(spark, sf_dir):
     return frame(spark, sf_dir, "fx_tests").select(*KEYS, traces.gt_peak_bytes().alias("peak_bytes"), *traces.gt_outcome())
@@ -639,7 +642,7 @@ ON o.rn = 1 AND o.session = f.session AND o.block = CAST(floor(f.seq / 8) AS BIG
 """
 
 
-@query("segment_tests", SEGMENTS)
+@query("segment_tests", SEGMENTS, doubles=("test_start",))
 def segment_tests(spark, sf_dir):
     done = events.segment_tests(frame(spark, sf_dir, "fx_frames"))
     return done.select("session", "seq", "test", "test_start")
