@@ -117,13 +117,17 @@ def pair_states(
         "metadata_A",
         "metadata_B",
     )
-    # A pair is only built where its group has a base, which a base pair shows by itself.
-    skipped = good.where(F.lit(False)).select("pair_id", F.lit("").alias("reason"))
-    if requests is not None:
-        based = keyed.where(F.col("patch").isNull()).select("repo", "base_ref").distinct()
-        baseless = good.join(based, ["repo", "base_ref"], "left_anti")
-        good = good.join(based, ["repo", "base_ref"], "left_semi")
-        skipped = baseless.select("pair_id", F.lit("group has no base state").alias("reason"))
+    # A pair is only built where its group has a base; by default that is side A itself.
+    if requests is None:
+        good = good.withColumn("base_id", F.col("instance_id_A"))
+        skipped = good.where(F.lit(False)).select("pair_id", F.lit("").alias("reason"))
+    else:
+        bases = base_states(keyed).select("repo", "base_ref", F.col("instance_id").alias("base_id"))
+        placed = good.join(bases, ["repo", "base_ref"], "left")
+        good = placed.where(F.col("base_id").isNotNull())
+        skipped = placed.where(F.col("base_id").isNull()).select(
+            "pair_id", F.lit("group has no base state").alias("reason")
+        )
     if existing is not None:
         known = existing.select("pair_id")
         skipped = skipped.unionByName(
@@ -133,11 +137,13 @@ def pair_states(
     return Pairs(good, skipped, errors)
 
 
-def with_base_health(pairs: DataFrame, states: DataFrame, health: DataFrame) -> DataFrame:
-    """Attach the health of each pair's base. `health(instance_id, healthy)` is one row per state."""
-    bases = base_states(with_base_key(states)).select("repo", "base_ref", "instance_id")
-    flags = bases.join(health, "instance_id").select("repo", "base_ref", F.col("healthy").alias("is_base_healthy"))
-    return pairs.join(flags, ["repo", "base_ref"], "left")
+def with_base_health(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Attach the health of each pair's base; a base without any entry is healthy."""
+    broken = sizes.select(
+        F.col("instance_id").alias("base_id"), ((F.col("broken") + F.col("modules")) > 0).alias("_broken")
+    )
+    joined = pairs.join(broken, "base_id", "left")
+    return joined.withColumn("is_base_healthy", ~F.coalesce("_broken", F.lit(False))).drop("_broken")
 
 
 def entry_masks(entries: DataFrame, key: str = "instance_id") -> DataFrame:
@@ -176,13 +182,14 @@ def state_sizes(masks: DataFrame, errors: DataFrame) -> DataFrame:
 
 
 def pair_figures(pairs: DataFrame, entries: DataFrame, errors: DataFrame) -> DataFrame:
-    """Flipped tests, their ratio, and the clone decision per pair.
+    """Base health, flipped tests, their ratio, and the clone decision per pair.
 
     Side B's tests look up side A's by (state, test), so a large state spreads over its tests; tests
     only side A has follow from the per-state counts and are never emitted.
     """
     masks = entry_masks(entries)
     sizes = state_sizes(masks, errors)
+    pairs = with_base_health(pairs, sizes)
     heads = pairs.select("pair_id", "instance_id_A", "instance_id_B")
     right = masks.select(F.col("instance_id").alias("instance_id_B"), "test", F.col("mask").alias("mask_b"))
     left = masks.select(F.col("instance_id").alias("instance_id_A"), "test", F.col("mask").alias("mask_a"))
@@ -314,9 +321,5 @@ def pairs_of_lists(
     heads, skipped, errors = pair_states(measured, requests, existing)
     entries = list_entries(measured, "instance_id")
     modules = measured.select("instance_id", F.explode(F.array_distinct("discovery_errors")).alias("module"))
-    health = measured.select(
-        "instance_id",
-        ((F.size("failed_tests") + F.size("errored_tests") + F.size("discovery_errors")) == 0).alias("healthy"),
-    )
-    figures = pair_figures(with_base_health(heads, measured, health), entries, modules)
+    figures = pair_figures(heads, entries, modules)
     return Pairs(pair_records(figures, measured), skipped, errors)

@@ -186,40 +186,56 @@ def aggregate_common(scored: DataFrame, keys: list[str]) -> DataFrame:
     return scored.groupBy(*keys).agg(*common_figures())
 
 
-def aggregate_outcome(scored: DataFrame, keys: list[str]) -> DataFrame:
-    """Precision, recall and F1 of predicted failures; 0 on empty denominators."""
-    counts = scored.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")], F.avg("exception_match").alias("exception_match")
-    )
+def outcome_sums() -> list[Column]:
+    return [*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")], F.avg("exception_match").alias("exception_match")]
+
+
+def with_outcome_figures(sums: DataFrame) -> DataFrame:
     precision = _rate(F.col("tp"), F.col("tp") + F.col("fp"))
     recall = _rate(F.col("tp"), F.col("tp") + F.col("fn"))
     return (
-        counts.withColumn("precision", precision)
+        sums.withColumn("precision", precision)
         .withColumn("recall", recall)
         .withColumn("f1", _rate(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
         .withColumn("n_failure_gt", F.col("tp") + F.col("fn"))
     )
 
 
+def aggregate_outcome(scored: DataFrame, keys: list[str]) -> DataFrame:
+    """Precision, recall and F1 of predicted failures; 0 on empty denominators."""
+    return with_outcome_figures(scored.groupBy(*keys).agg(*outcome_sums()))
+
+
+FIT = ["n_fitted", "slope", "bias", "residual_std", "log10_mae"]
+
+
+def fit_moments(field: str) -> list[Column]:
+    x, y = F.col(f"{field}_gt_log10"), F.col(f"{field}_pred_log10")
+    fitted = F.count(F.when(x.isNotNull() & y.isNotNull(), F.lit(1)))
+    return [
+        fitted.alias(f"{field}_n_fitted"),
+        F.when(fitted >= 2, F.regr_slope(y, x)).alias(f"{field}_slope"),
+        F.when(fitted >= 2, F.regr_intercept(y, x)).alias(f"{field}_bias"),
+        F.regr_sxy(y, x).alias(f"{field}_sxy"),
+        F.regr_syy(y, x).alias(f"{field}_syy"),
+        F.avg(f"{field}_log10_mae").alias(f"{field}_log10_mae"),
+    ]
+
+
+def residual_std(field: str) -> Column:
+    """Population deviation of the residuals, from the same second moments as the slope."""
+    n, slope = F.col(f"{field}_n_fitted"), F.col(f"{field}_slope")
+    rest = F.greatest(F.lit(0.0), F.col(f"{field}_syy") - slope * F.col(f"{field}_sxy"))
+    return F.when((n >= 3) & slope.isNotNull(), F.sqrt(rest / n))
+
+
 def aggregate_numeric(scored: DataFrame, keys: list[str], field: str) -> DataFrame:
     """Log-log calibration: slope, bias, population residual deviation and mean error.
 
-    A fit needs two points with some variance, its residuals three. The residual sum of squares
-    follows from the same second moments as the slope, so one pass is enough.
+    A fit needs two points with some variance, its residuals three.
     """
-    x, y = F.col(f"{field}_gt_log10"), F.col(f"{field}_pred_log10")
-    fitted = F.count(F.when(x.isNotNull() & y.isNotNull(), F.lit(1)))
-    moments = scored.groupBy(*keys).agg(
-        fitted.alias("n_fitted"),
-        F.when(fitted >= 2, F.regr_slope(y, x)).alias("slope"),
-        F.when(fitted >= 2, F.regr_intercept(y, x)).alias("bias"),
-        F.regr_sxy(y, x).alias("_sxy"),
-        F.regr_syy(y, x).alias("_syy"),
-        F.avg(f"{field}_log10_mae").alias("log10_mae"),
-    )
-    rest = F.greatest(F.lit(0.0), F.col("_syy") - F.col("slope") * F.col("_sxy"))
-    deviation = F.when((F.col("n_fitted") >= 3) & F.col("slope").isNotNull(), F.sqrt(rest / F.col("n_fitted")))
-    return moments.withColumn("residual_std", deviation).drop("_sxy", "_syy")
+    moments = scored.groupBy(*keys).agg(*fit_moments(field)).withColumn(f"{field}_residual_std", residual_std(field))
+    return moments.select(*keys, *[F.col(f"{field}_{name}").alias(name) for name in FIT])
 
 
 HOT_METRICS = [
@@ -240,35 +256,34 @@ def aggregate_hot(hot: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _melt(df: DataFrame, keys: list[str], subtask: Column, metrics: list[str]) -> DataFrame:
-    named = df.select(*keys, subtask.alias("subtask"), *[F.col(m).cast("double").alias(m) for m in metrics])
-    return named.unpivot([*keys, "subtask"], metrics, "metric", "value")
+OUTCOME_METRICS = ["tp", "fp", "fn", "tn", "precision", "recall", "f1", "exception_match", "n_failure_gt"]
+HEALTH = ["n", "n_valid", "n_parse_failure", "n_api_error", "valid_pred_rate", "parse_failure_rate", "api_error_rate"]
 
 
-def leaderboard(scored: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    """Every metric of every sub-task per key, long: (keys, subtask, metric, value)."""
-    outcome = aggregate_outcome(scored, keys)
-    board = _melt(
-        outcome,
-        keys,
-        F.lit("outcome"),
-        ["tp", "fp", "fn", "tn", "precision", "recall", "f1", "exception_match", "n_failure_gt"],
+def _entry(subtask: Column, metric: str, value: str) -> Column:
+    return F.struct(
+        subtask.alias("subtask"), F.lit(metric).alias("metric"), F.col(value).cast("double").alias("value")
     )
-    for subtask, field in (("peak_rss", "peak"), ("wall_time", "wall")):
-        figures = aggregate_numeric(scored, keys, field)
-        board = board.unionByName(
-            _melt(figures, keys, F.lit(subtask), ["n_fitted", "slope", "bias", "residual_std", "log10_mae"])
-        )
+
+
+def leaderboard(scored: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Every metric of every sub-task per key, long: (keys, subtask, metric, value).
+
+    One aggregation over the responses and one over the rankings.
+    """
+    fields = {"peak_rss": "peak", "wall_time": "wall"}
+    moments = [m for field in fields.values() for m in fit_moments(field)]
+    one = with_outcome_figures(scored.groupBy(*keys).agg(*common_figures(), *outcome_sums(), *moments))
+    for field in fields.values():
+        one = one.withColumn(f"{field}_residual_std", residual_std(field))
+    entries = [_entry(F.lit("outcome"), m, m) for m in OUTCOME_METRICS]
+    entries += [_entry(F.lit(t), m, f"{field}_{m}") for t, field in fields.items() for m in FIT]
+    entries += [_entry(F.lit(t), m, m) for t in HEADLINES for m in HEALTH]
     of_hot = aggregate_hot(hot, [*keys, "subtask"])
-    board = board.unionByName(
-        of_hot.select(*keys, "subtask", *[F.col(m).cast("double").alias(m) for m in [*HOT_METRICS, "recall_at_5_top1_n"]]).unpivot(
-            [*keys, "subtask"], [*HOT_METRICS, "recall_at_5_top1_n"], "metric", "value"
-        )
+    ranked = [_entry(F.col("subtask"), m, m) for m in [*HOT_METRICS, "recall_at_5_top1_n"]]
+    return one.select(*keys, F.inline(F.array(*entries))).unionByName(
+        of_hot.select(*keys, F.inline(F.array(*ranked)))
     )
-    health = aggregate_common(scored, keys)
-    names = [c for c in health.columns if c not in keys]
-    every = health.withColumn("_subtask", F.explode(F.array(*[F.lit(t) for t in HEADLINES])))
-    return board.unionByName(_melt(every, keys, F.col("_subtask"), names))
 
 
 def rank_models(board: DataFrame, keys: list[str]) -> DataFrame:

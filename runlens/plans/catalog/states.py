@@ -172,11 +172,7 @@ def _pair_oracle(pairs: str) -> str:
 
 
 def _figures(pairs, spark, sf_dir):
-    outs = frame(spark, sf_dir, "fx_outcomes")
-    modules = frame(spark, sf_dir, "fx_discovery")
-    scalars = state_scalars(spark, sf_dir).where("measured")
-    health = outcomes.healthy_states(outs, modules, scalars.select("instance_id"))
-    figures = pairing.pair_figures(pairing.with_base_health(pairs, scalars, health), outs, modules)
+    figures = pairing.pair_figures(pairs, frame(spark, sf_dir, "fx_outcomes"), frame(spark, sf_dir, "fx_discovery"))
     return figures.select(
         "pair_id", "is_base_healthy", "is_clone", "num_flipped_tests", F.round("flipped_ratio", 6).alias("flipped_ratio")
     )

@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from runlens.operators import outcomes, pairing
+from runlens.operators import pairing
 from tests.conftest import rows
 
 HEAD = "instance_id string, repo string, base_commit string, patch string, container string, command string, metadata string"
@@ -78,8 +78,7 @@ def test_figures_and_classes_match_brute_force(spark):
         [(f"r__c__{a}", f"r__c__{b}") for a, b in itertools.combinations(sides, 2)],
         "instance_id_A string, instance_id_B string",
     )
-    health = outcomes.healthy_states(entries, errors, df.select("instance_id"))
-    pairs = pairing.with_base_health(pairing.pair_states(df, asked).pairs, df, health)
+    pairs = pairing.pair_states(df, asked).pairs
     got = {
         (r["instance_id_A"], r["instance_id_B"]): (r["num_flipped_tests"], round(r["flipped_ratio"], 9), r["is_clone"])
         for r in pairing.pair_figures(pairs, entries, errors).collect()
