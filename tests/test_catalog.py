@@ -10,7 +10,6 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tests.conftest import rows  # noqa: F401  (keeps the fixtures importable)
 from tools.check_oracle import canon
 
 SF = "/root/testdata/sf0.001"
