@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.plans.catalog.registry import ORACLES, QUERIES
+from runlens.plans.catalog.registry import ORACLES, QUERIES, oracle_text
 from runlens.plans.catalog import (  # noqa: F401  (importing registers the queries)
     answers,
     builds,
@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {name: oracle_text(name) for name in ORACLES}

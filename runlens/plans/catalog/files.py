@@ -9,7 +9,7 @@ from runlens.operators import samples
 from runlens.plans.catalog.inputs import scratch_folder, states
 from runlens.plans.catalog.registry import frame, query
 from runlens.plans.catalog.traces import SAMPLES_SQL, sample_rows
-from runlens.schemas import SAMPLES, STATES
+from runlens.schemas import EVAL_REPORT_NUMBERS, FAILURES, SAMPLES, STATES
 from runlens.sources import reports, runs, sinks
 from runlens.sources import states as state_files
 from runlens.sources import traces as trace_files
@@ -228,3 +228,39 @@ def read_samples(spark, sf_dir):
     sinks.write_samples(flat, f"{folder}/samples")
     tasks = [t for t in samples.TASKS if t != "outcome"]
     return runs.read_samples(spark, f"{folder}/samples", tasks, ["post"], 500).select("sample_id", "task")
+
+
+@query(
+    "read_eval_reports",
+    """
+    SELECT model_name_or_path, instance_id, human_speedup_ratio, CAST(correctness_pct AS DOUBLE) AS correctness_pct,
+           CASE WHEN model_name_or_path IN ('model1', 'model2') THEN NULL ELSE gold_speedup_ratio END AS gold_speedup_ratio, pre_edit_runtime
+    FROM fx_reports
+    """,
+)
+def read_eval_reports(spark, sf_dir):
+    folder = f"{scratch_folder(spark)}/reports"
+    rows = frame(spark, sf_dir, "fx_reports")
+    gold = F.when(rows.gold_speedup_ratio > 0, rows.gold_speedup_ratio.cast("string")).otherwise("n/a")
+    columns = ["instance_id", *EVAL_REPORT_NUMBERS]
+    rows.withColumn("gold_speedup_ratio", gold).select(*columns, "model_name_or_path").write.partitionBy(
+        "model_name_or_path"
+    ).csv(folder, header=True)
+    return reports.read_eval_reports(spark, folder, "model_name_or_path=([^/]+)/").drop("raw_pred_speedup_ratio")
+
+
+@query("publish", "SELECT instance_id, container, variant FROM fx_states")
+def publish(spark, sf_dir):
+    folder = f"{scratch_folder(spark)}/dataset"
+    sinks.publish(frame(spark, sf_dir, "fx_states").select("instance_id", "container", "variant"), folder, "v0.1.0")
+    schema = "instance_id string, container string, variant string, release string"
+    return spark.read.schema(schema).parquet(folder).where("release = 'v0.1.0'").drop("release")
+
+
+@query("write_failures", "SELECT instance_id, category, stage, reason, message FROM fx_failures")
+def write_failures(spark, sf_dir):
+    folder = f"{scratch_folder(spark)}/failures"
+    failures = frame(spark, sf_dir, "fx_failures")
+    sinks.write_failures(failures.where("category = 'row'"), folder)
+    sinks.write_failures(failures.where("category <> 'row'"), folder)
+    return spark.read.schema(FAILURES).parquet(folder)

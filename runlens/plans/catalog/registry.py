@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from runlens.plans.catalog.views import TABLES, VIEWS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 
 def _uses(sql: str, names: list[str]) -> list[str]:
@@ -82,11 +82,17 @@ def query(name: str, oracle: str | None = None, doubles: tuple[str, ...] = ()):
         QUERIES[name] = with_doubles if doubles else run
         QUERIES[name].__module__ = run.__module__
         if oracle is not None:
-            text = with_views(oracle)
-            if doubles:
-                casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in doubles)
-                text = f"SELECT * REPLACE ({casts}) FROM ({text})"
-            ORACLES[name] = text
+            ORACLES[name] = (oracle, doubles)
         return run
 
     return register
+
+
+def oracle_text(name: str) -> str:
+    """The oracle with the views it needs; resolved once every catalog module has defined its views."""
+    oracle, doubles = ORACLES[name]
+    text = with_views(oracle)
+    if doubles:
+        casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in doubles)
+        text = f"SELECT * REPLACE ({casts}) FROM ({text})"
+    return text

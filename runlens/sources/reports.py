@@ -160,17 +160,24 @@ def read_predictions(spark: SparkSession, path: str, harnesses: dict[str, str] |
     return placed.withColumn("source_stem", stem).withColumn("harness", harness)
 
 
-def read_eval_reports(spark: SparkSession, path: str) -> DataFrame:
+MODEL_IN_NAME = r"/(?:eval_report_)?([^/]*)\.csv\z"
+
+
+def read_eval_reports(spark: SparkSession, path: str, model: str = MODEL_IN_NAME) -> DataFrame:
     """Report rows per model; blank cells are null, numeric cells doubles.
 
-    The model is what follows `eval_report_` in the file name.
+    `model` is the pattern that finds the model in a file's path, by default what follows
+    `eval_report_` in its name.
     """
     columns = ["instance_id", *EVAL_REPORT_NUMBERS]
     schema = ", ".join(f"{c} string" for c in columns)
-    rows = spark.read.csv(path, header=True, schema=schema, pathGlobFilter="*.csv", enforceSchema=False)
-    model = F.regexp_extract(F.col("_metadata.file_name"), r"\A(?:eval_report_)?(.*)\.csv\z", 1)
+    rows = (
+        spark.read.option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.csv")
+        .csv(path, header=True, schema=schema, enforceSchema=False)
+    )
     return rows.select(
-        model.alias("model_name_or_path"),
+        F.regexp_extract(F.col("_metadata.file_path"), model, 1).alias("model_name_or_path"),
         F.nullif(F.trim("instance_id"), F.lit("")).alias("instance_id"),
         *[F.nullif(F.trim(c), F.lit("")).try_cast("double").alias(c) for c in EVAL_REPORT_NUMBERS],
     )
