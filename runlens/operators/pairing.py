@@ -263,8 +263,8 @@ def flipped_tests(pairs: DataFrame, entries: DataFrame) -> DataFrame:
 def clone_classes(states: DataFrame, entries: DataFrame, errors: DataFrame) -> DataFrame:
     """Class of each state within its base: equal classes are clones, null is never a clone.
 
-    The class digests the passed and skipped sets by order-free sums of two independent 64-bit hashes
-    plus the set sizes, so no list is gathered. Null when the base is unhealthy or the state is broken.
+    The class digests the passed and skipped sets by order-free sums of two 48-bit hashes plus the
+    set sizes, so no list is gathered. Null when the base is unhealthy or the state is broken.
     """
     masks = entry_masks(entries)
     sizes = state_sizes(masks, errors)
