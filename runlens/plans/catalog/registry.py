@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.plans.catalog.views import TABLES, VIEWS
+from runlens.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, tuple[str, tuple[str, ...]]] = {}
@@ -50,6 +51,7 @@ _READS: dict[tuple[str, str, str], DataFrame] = {}
 
 def _table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     place = (spark.sparkContext.applicationId, sf_dir, table)
+    ship_package(spark)
     if place not in _READS:
         _READS[place] = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return _READS[place]

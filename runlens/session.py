@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +33,26 @@ def local_session(cores: int = 8, partitions: int = 8, app: str = "runlens") ->
     )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that Python stages can import it there.
+
+    The archive lies in the driver's own temporary folder; Spark's file server hands it to the executors.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    handle, archive = tempfile.mkstemp(prefix="runlens-", suffix=".zip")
+    with os.fdopen(handle, "wb") as out, zipfile.ZipFile(out, "w") as files:
+        for path in sorted(package.rglob("*.py")):
+            files.write(path, path.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(application)
+
+
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through the shared folder named in spark.checkpoint.dir.
 
