@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm import langid
-from runlens.llm.shared import table
+from runlens.llm import bpe, langid, token_files
+from runlens.llm.shared import fresh_path, table
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "token-files")
+    token_files.write_files(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder
+    )
+    return token_files.read_digests(spark, folder)
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +28,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_token_files": op6_token_files,
+    "op7_bpe": op7_bpe,
     "op9_language_id": op9_language_id,
 }
 
