@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm import bpe, langid, token_files
+from runlens.llm import bpe, langid, neardup, token_files
 from runlens.llm.shared import fresh_path, table
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "token-files")
     token_files.write_files(
@@ -28,12 +32,44 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op6_token_files": op6_token_files,
     "op7_bpe": op7_bpe,
     "op9_language_id": op9_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_near_duplicates": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE
+                WHEN len(w) = 0 THEN []::VARCHAR[]
+                WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s
+            FROM words
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), pairs AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+            FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2
+        ), links AS (
+            SELECT a, b FROM pairs JOIN sizes sa ON sa.doc_id = a JOIN sizes sb ON sb.doc_id = b
+            WHERE 100 * c >= 85 * (sa.n + sb.n - c)
+        ), ways AS (
+            SELECT a, b FROM links UNION SELECT b, a FROM links
+        ), reach(doc_id, root) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT ways.b, reach.root FROM reach JOIN ways ON ways.a = reach.doc_id
+        ), lowest AS (
+            SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM lowest LEFT JOIN sizes USING (doc_id)
+    """,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
