@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm import bpe, langid, neardup, token_files
+from runlens.llm import bpe, decontaminate, langid, neardup, token_files
 from runlens.llm.shared import fresh_path, table
 
 
@@ -15,6 +15,10 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "token-files")
     token_files.write_files(
@@ -33,6 +37,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op3_decontamination": op3_decontamination,
     "op6_token_files": op6_token_files,
     "op7_bpe": op7_bpe,
     "op9_language_id": op9_language_id,
