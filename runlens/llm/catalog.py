@@ -6,15 +6,25 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from runlens.llm import bpe, decontaminate, langid, neardup, token_files
+from runlens.llm import bpe, decontaminate, langid, neardup, pseudonyms, token_files
 from runlens.llm.shared import fresh_path, table
 
 
+# A deployment passes its own secret; results of the registered queries are repeatable with this one.
+PSEUDONYM_KEY = "registered query"
+
+
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pseudonyms.pseudonymised(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+    return found.select("doc_id", "text", "findings", F.size("findings").alias("n_findings"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -37,6 +47,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_pseudonyms": op2_pseudonyms,
     "op3_decontamination": op3_decontamination,
     "op6_token_files": op6_token_files,
     "op7_bpe": op7_bpe,
