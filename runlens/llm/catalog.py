@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import bpe, decontaminate, fingerprints, langid, neardup, pseudonyms, token_files
+from runlens.llm import bpe, decontaminate, fingerprints, langid, licenses, neardup, pseudonyms, token_files
 from runlens.llm.shared import fresh_path, table
 
 
@@ -29,6 +29,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "token-files")
     token_files.write_files(
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_pseudonyms": op2_pseudonyms,
     "op3_decontamination": op3_decontamination,
+    "op5_licenses": op5_licenses,
     "op6_token_files": op6_token_files,
     "op7_bpe": op7_bpe,
     "op9_language_id": op9_language_id,
@@ -90,6 +95,7 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM lowest LEFT JOIN sizes USING (doc_id)
     """,
+    "op5_licenses": licenses.oracle(),
 }
 
 
