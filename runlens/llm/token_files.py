@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -23,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from runlens.llm.bpe import byte_letters
 from runlens.llm.huffman import LANE, Codebook, code_lengths, length_limit
 from runlens.llm.shared import map_arrow, stored
 
@@ -34,48 +37,80 @@ FILE_DOCUMENTS = 8_192
 MAX_FILES = 16_384
 # Ids handled at a time, and chunks of text whose ids a worker remembers.
 SLICE_IDS = 500_000
-MEMO_CHUNKS = 500_000
+MEMO_CHUNKS = 700_000
+MEMO_LENGTH = 64
 
 _LOADED: dict[int, tuple[Tokenizer, dict[str, bytes]]] = {}
 # A blank between two other characters always begins a new word of the byte-level splitter.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _ODD_SPACE = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-# Marks a remembered chunk that has no blank before it; it occurs in no text that is cut at its blanks.
+# Marks a chunk that has no blank before it; it occurs in no text that is cut at its blanks.
 _BARE = "\x1d"
+_MARKS = frozenset(".,;:!?")
+# Letters on which all Unicode versions agree.
+_LETTERS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
 
 def _chunks(text: str) -> list[str]:
-    """Parts of a text that the tokenizer encodes independently; those without `_BARE` follow a blank."""
-    chunks = text.split(" ")
-    if "" in chunks or " \n" in text or "\n " in text or _ODD_SPACE.search(text):
+    """Parts of a text that the tokenizer encodes independently; those without `_BARE` follow a blank.
+
+    A line break between two other characters is a word of its own.
+    """
+    if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] == " " or text[-1:] == " " or _ODD_SPACE.search(text):
         return [_BARE + chunk for chunk in _CUT.split(text)]
+    chunks = text.replace("\n", f" {_BARE}\n {_BARE}").split(" ")
     chunks[0] = _BARE + chunks[0]
     return chunks
 
 
+class ChunkIds(dict):
+    """Ids of chunks as packed bytes: a chunk seen for the first time goes to the tokenizers library."""
+
+    def __init__(self, tokenizer: Tokenizer, width: str):
+        super().__init__()
+        self.tokenizer, self.code = tokenizer, "H" if width == "<u2" else "I"
+        self.letters = dict(enumerate(byte_letters()))
+        self.blank = self.letters[ord(" ")]
+
+    def _packed(self, ids: list[int]) -> bytes:
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        bare = chunk[0] == _BARE
+        plain = chunk[1:] if bare else chunk
+        if _LETTERS.fullmatch(plain):
+            # Letters, with the blank before them, are one word, which the model takes as it is.
+            raw = plain if plain.isascii() else plain.encode().decode("latin-1").translate(self.letters)
+            raw = raw if bare else self.blank + raw
+            ids = self._packed([token.id for token in self.tokenizer.model.tokenize(raw)])
+        elif plain[-1:] in _MARKS and _LETTERS.fullmatch(plain[:-1]):
+            # A mark after letters is a word of its own.
+            ids = self[chunk[:-1]] + self[_BARE + plain[-1]]
+        else:
+            ids = self._packed(self.tokenizer.encode(plain if bare else " " + plain, add_special_tokens=False).ids)
+        if len(chunk) <= MEMO_LENGTH:
+            self[chunk] = ids
+        return ids
+
+
 class TextEncoder:
     """The tokenizers library over chunks; chunks seen before are remembered, up to a bound."""
 
     def __init__(self, definition: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_str(definition)
-        self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        tokenizer = Tokenizer.from_str(definition)
+        self.width = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.end = np.array([END_ID], dtype=self.width).tobytes()
-        self.memo: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, end id included, in the narrowest width that holds the vocabulary."""
-        if len(self.memo) > MEMO_CHUNKS:
-            self.memo.clear()
-        memo = self.memo
-        cut = [_chunks(text) for text in texts]
-        missing = {chunk for chunks in cut for chunk in chunks if chunk not in memo}
-        if missing:
-            new = list(missing)
-            plain = [chunk[1:] if chunk[:1] == _BARE else " " + chunk for chunk in new]
-            for chunk, found in zip(new, self.tokenizer.encode_batch(plain, add_special_tokens=False), strict=True):
-                memo[chunk] = np.array(found.ids, dtype=self.width).tobytes()
-        return [b"".join(map(memo.__getitem__, chunks)) + self.end for chunks in cut]
+        self.ids = ChunkIds(tokenizer, self.width)
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text, end id included, in the narrowest width that holds the vocabulary."""
+        if len(self.ids) > MEMO_CHUNKS:
+            self.ids.clear()
+        return b"".join(map(self.ids.__getitem__, _chunks(text))) + self.end
 
 
 def _text_encoder(definition: str) -> TextEncoder:
@@ -106,7 +141,7 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                ids = encoder.encode([text.as_py() or "" for text in part.column("text")])
+                ids = [encoder.encode(text.as_py() or "") for text in part.column("text")]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"]
                 )
