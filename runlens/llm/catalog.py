@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import bpe, decontaminate, fingerprints, langid, licenses, neardup, pseudonyms, token_files
+from runlens.llm import bpe, decontaminate, fingerprints, langid, licenses, neardup, pseudonyms, quality, token_files
 from runlens.llm.shared import fresh_path, table
 
 
@@ -29,6 +29,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_pseudonyms": op2_pseudonyms,
     "op3_decontamination": op3_decontamination,
+    "op4_quality": op4_quality,
     "op5_licenses": op5_licenses,
     "op6_token_files": op6_token_files,
     "op7_bpe": op7_bpe,
