@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import bpe, decontaminate, fingerprints, langid, licenses, neardup, pseudonyms, quality, token_files
+from runlens.llm import bpe, decontaminate, fingerprints, langid, licenses, neardup, pseudonyms, quality, secrets_scan, token_files
 from runlens.llm.shared import fresh_path, table
 
 
@@ -49,6 +49,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_licenses": op5_licenses,
     "op6_token_files": op6_token_files,
     "op7_bpe": op7_bpe,
+    "op8_secrets": op8_secrets,
     "op9_language_id": op9_language_id,
     "op10_fingerprints": op10_fingerprints,
 }

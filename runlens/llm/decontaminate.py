@@ -167,4 +167,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFr
     """The rows of `docs` that hold no benchmark item, with all columns."""
     held = stored(contaminations(docs, benchmark, share).select(F.col("doc_id").alias("held_id")).distinct(), "held")
     small = broadcast_if_small(held, held.count())
-    return docs.join(small, docs["doc_id"].cast("long").eqNullSafe(F.col("held_id")), "left_anti")
+    return docs.join(small, docs["doc_id"].cast("long").eqNullSafe(small["held_id"]), "left_anti")

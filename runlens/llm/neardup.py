@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.llm.components import components
@@ -236,3 +236,24 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         F.max("n").alias("n_shingles"), F.min(F.coalesce("root", "doc_id")).alias("component_id")
     )
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def one_of_each(docs: DataFrame, percent: int) -> DataFrame:
+    """The rows of `docs` without all but the first document of each component, with all columns.
+
+    Rows without a doc_id stay. Of rows that share a doc_id the one with the least text stays.
+    """
+    gone = stored(near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias("gone_id")), "gone")
+    gone = broadcast_if_small(gone, gone.count())
+    rows = docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
+    ids = docs.select(F.col("doc_id").cast("long").alias("again_id")).where("again_id IS NOT NULL")
+    again = stored(ids.groupBy("again_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("again_id"), "again")
+    if again.isEmpty():
+        return rows
+    single = rows.join(again, rows["doc_id"].cast("long") == again["again_id"], "left_anti")
+    several = rows.join(again, rows["doc_id"].cast("long") == again["again_id"], "left_semi")
+    place = "place"
+    while place in (c.lower() for c in docs.columns):
+        place += "_"
+    first = F.row_number().over(Window.partitionBy(F.col("doc_id").cast("long")).orderBy("text"))
+    return single.union(several.withColumn(place, first).where(F.col(place) == 1).drop(place))

@@ -280,11 +280,8 @@ class Values:
         return F.when(F.size(found) > 0, F.element_at(found, 1))
 
 
-def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
-    """All columns of `docs` with `text` replaced, and `findings`: kind and pseudonym of every value, in order.
-
-    A column `findings` of the input is overwritten.
-    """
+def pseudonymised(docs: DataFrame, key: str, into: str = "findings") -> DataFrame:
+    """All columns of `docs` with `text` replaced, and in column `into` kind and pseudonym of every value, in order."""
     values = Values(key)
     likely = F.col("text").rlike("[0-9@]")
     none = F.array().cast("array<struct<gap:string,old:string,kind:string,new:string>>")
@@ -299,9 +296,9 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
         )
 
     parts = F.transform(F.arrays_zip(matches.alias("old"), gaps.alias("gap")), told)
-    found = docs.withColumn("findings", F.when(likely, parts).otherwise(none))
-    rest = F.array_join(F.transform("findings", lambda z: F.concat(F.coalesce(z["new"], z["old"]), z["gap"])), "")
-    text = F.when(likely & (F.size("findings") > 0), F.concat(first, rest)).otherwise(F.col("text"))
-    valid = F.filter("findings", lambda z: z["kind"].isNotNull())
+    found = docs.withColumn(into, F.when(likely, parts).otherwise(none))
+    rest = F.array_join(F.transform(into, lambda z: F.concat(F.coalesce(z["new"], z["old"]), z["gap"])), "")
+    text = F.when(likely & (F.size(into) > 0), F.concat(first, rest)).otherwise(F.col("text"))
+    valid = F.filter(into, lambda z: z["kind"].isNotNull())
     told_only = F.transform(valid, lambda z: F.struct(z["kind"].alias("kind"), z["new"].alias("pseudonym")))
-    return found.withColumn("text", text).withColumn("findings", told_only)
+    return found.withColumn("text", text).withColumn(into, told_only)
