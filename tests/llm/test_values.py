@@ -1,0 +1,135 @@
+import datetime
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from runlens.llm import licenses, pseudonyms, secrets_scan
+from tests.llm.cases import frame, odd, oracle, told, words
+
+KEY = "k"
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def card(rnd, n=16):
+    body = "4" + "".join(rnd.choice("0123456789") for _ in range(n - 2))
+    return next(body + c for c in "0123456789" if luhn(body + c))
+
+
+def replaced(spark, values):
+    rows = frame(spark, [(i, f"see {v} here") for i, v in enumerate(values)])
+    out = pseudonyms.pseudonymised(rows, KEY).orderBy("doc_id").collect()
+    return [r.text[4:-5] for r in out], [[f.kind for f in r.findings] for r in out]
+
+
+def test_formats_and_validity(spark):
+    rnd = random.Random(2)
+    cards = [card(rnd, n) for n in (13, 15, 16, 19) for _ in range(20)]
+    new, kinds = replaced(spark, cards)
+    assert all(k == ["card"] for k in kinds) and all(luhn(x) and len(x) == len(c) and x != c for x, c in zip(new, cards, strict=True))
+    hosts = [".".join(str(rnd.randrange(256)) for _ in range(4)) for _ in range(60)]
+    new, kinds = replaced(spark, hosts)
+    assert all(k == ["ipv4"] for k in kinds) and all(max(map(int, x.split("."))) < 256 for x in new)
+    days = [(datetime.date(1950, 1, 1) + datetime.timedelta(rnd.randrange(30000))) for _ in range(40)]
+    for form, pattern in (("%Y-%m-%d", r"\d{4}-\d{2}-\d{2}"), ("%d.%m.%Y", r"\d{2}\.\d{2}\.\d{4}")):
+        new, kinds = replaced(spark, [d.strftime(form) for d in days])
+        assert all(k == ["date"] for k in kinds) and all(re.fullmatch(pattern, x) and datetime.datetime.strptime(x, form) for x in new)
+    phones = [f"+1 ({rnd.randrange(200, 1000)}) {rnd.randrange(200, 1000)}-{rnd.randrange(10000):04}" for _ in range(40)]
+    new, kinds = replaced(spark, phones)
+    assert all(k == ["phone"] for k in kinds) and all(re.fullmatch(r"\+1 \([2-9]\d\d\) [2-9]\d\d-\d{4}", x) for x in new)
+    new, kinds = replaced(spark, ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"])
+    assert kinds == [["iban"], ["iban"]] and re.fullmatch(r"DE\d\d( \d{4}){4} \d\d", new[0]) and new[1].startswith("GB")
+    again, kinds = replaced(spark, new)
+    assert kinds == [["iban"], ["iban"]]
+
+
+def test_it_is_a_permutation(spark):
+    """Over whole small domains every value comes up once."""
+    feistel = pseudonyms.Feistel(KEY)
+    rows = spark.range(35 * 11).select(F.floor(F.col("id") / 11).alias("l"), (F.col("id") % 11).alias("r"))
+    out = rows.select(feistel.numbers("t", F.col("l"), F.col("r"), F.lit(35), F.lit(11)).alias("z")).select("z.*")
+    assert sorted(map(tuple, out.collect())) == [(a, b) for a in range(35) for b in range(11)]
+    texts = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
+    assert texts.select(feistel.digits("t", F.col("d"))).distinct().count() == 1000
+    pairs = spark.createDataFrame([(a + b + "7.Z",) for a in "abcdefghijklmnopqrstuvwxyz" for b in "0123456789"], "v string")
+    out = [r[0] for r in pairs.select(feistel.characters("t", F.col("v"))).collect()]
+    assert len(set(out)) == 260 and all(re.fullmatch(r"[a-z]\d\d\.[A-Z]", x) for x in out)
+
+
+def test_values_stay_linked_and_the_rest_stands(spark):
+    rnd = random.Random(4)
+    c = card(rnd)
+    spaced = " ".join(c[i : i + 4] for i in range(0, 16, 4))
+    wrong = c[:-1] + str((int(c[-1]) + 1) % 10)
+    rows = [(1, f"{c}"), (2, f"pay {spaced}, then a.b1@x.org or {wrong} 2020-02-30 300.1.2.3 v1.2.3.4.5"), (3, "no value"), (4, None)]
+    out = {r.doc_id: r for r in pseudonyms.pseudonymised(frame(spark, rows), KEY, "out").collect()}
+    assert out[1].text != c and out[1].text in out[2].text.replace(" ", "")
+    assert wrong in out[2].text and "2020-02-30 300.1.2.3 v1.2.3.4.5" in out[2].text and "@x.org" in out[2].text
+    assert "a.b1@" not in out[2].text
+    assert out[3].text == "no value" and out[3].out == [] and out[4].text is None and out[4].out == []
+    other = pseudonyms.pseudonymised(frame(spark, rows[:1]), "another").first().text
+    assert other != out[1].text
+    docs = odd(spark)
+    same = pseudonyms.pseudonymised(docs, KEY, "out")
+    assert same.columns == [*docs.columns, "out"] and sorted(map(str, (r.text for r in same.collect()))) == sorted(map(str, (r.text for r in docs.collect())))
+    assert pseudonyms.pseudonymised(docs.limit(0), KEY, "out").count() == 0
+
+
+def test_licenses(spark):
+    mit = next(text for name, text in licenses.KNOWN if name == "MIT" and len(text) > 100)
+    rows = [
+        (1, "Copyright (c) 2020 Some One\nAll rights reserved.\n\n" + mit.upper().replace("SUBLICENSE", "sublicence").replace(" ", "\n", 5)),
+        (2, "prose\n# licenced under the APACHE licence version 2.0\nprose"),
+        (3, "Licensed under CC BY-NC 4.0. and more"),
+        (4, None), (5, ""), (6, words(1, 30000) + "\nReleased under the MIT License.\nLicensed under CC BY 4.0."),
+        (None, "Released under the MIT License."), (7, "x\n\nReleased under the MIT\nLicense.\n\ny"), (8, "Released under the MIT License."),
+        (8, "Released under the MIT License."),
+    ]
+    got = {r.doc_id: (r.license_ids, r.whole_document) for r in licenses.scan(frame(spark, rows)).collect()}
+    assert got == {
+        1: ("MIT", True), 2: ("Apache-2.0", False), 3: ("", False), 4: ("", False), 5: ("", False), 6: ("CC-BY-4.0,MIT", False),
+        None: ("MIT", True), 7: ("MIT", False), 8: ("MIT", True),
+    }
+    docs = frame(spark, [r for r in rows if r[0] is not None][:-1])
+    assert told(licenses.scan(docs)) == oracle(licenses.oracle(), documents=docs)
+    assert licenses.scan(odd(spark)).count() == odd(spark).count()
+    assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def findings(spark, n=80):
+    rnd = random.Random(9)
+    rows = []
+    for i in range(n):
+        hexa = "".join(rnd.choice("0123456789abcdef") for _ in range(32))
+        key = "AKIA" + "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))
+        rows.append((i, f"{words(i, 30)} password={hexa} {words(i + 1, 9)} {key} {words(i, 9)} {card(rnd)} at mail{i}.example.com"))
+    return rows
+
+
+def test_secrets(spark):
+    rows = findings(spark)
+    docs = frame(spark, rows)
+    got = secrets_scan.scan(docs)
+    assert got.count() >= 4 * len(rows) - 5
+    joined = {(r.doc_id, r.value): r for r in secrets_scan.candidates(docs).collect()}
+    texts = dict(rows)
+    assert all(texts[i][r.position : r.position + len(v)] == v for (i, v), r in joined.items())
+    by_value = {(r.doc_id, r.position): r.is_secret for r in got.collect()}
+    for (i, value), r in joined.items():
+        plain = value.isdigit() or "example" in value
+        assert by_value[i, r.position] == (not plain)
+    assert got.collect() and told(got) == told(secrets_scan.scan(docs))
+
+
+def test_secrets_of_odd_documents(spark):
+    assert secrets_scan.scan(odd(spark).limit(0)).count() == 0
+    got = secrets_scan.scan(odd(spark).union(frame(spark, [(None, "token: 12ab34cd56ef"), (None, "token: 12ab34cd56ef")])))
+    assert [(r.doc_id, r.size) for r in got.collect()] == [(None, 12), (None, 12)]
+    assert 0 <= got.first().score <= 1
