@@ -4,8 +4,9 @@ Equal sets form a class first. Every class has a signature of minwise tokens. In
 class follows the tokens at a few chosen coordinates of its signature, on average 1/threshold branches per
 node, so a pair at the threshold keeps meeting while unlike pairs part. Nodes of few classes are compared
 exhaustively. In a larger node all classes are compared with the node's leader, and the node branches on
-while it holds more than one component. After the last level, whatever is outside a node's main component
-is compared with the whole node. Candidates pass a lower bound on equal signature coordinates, five
+while it holds more than one component: by one coordinate first, by several at a time below, so that few
+levels are enough. After the last level, whatever is outside a node's main component is compared with the
+whole node. Candidates pass a lower bound on equal signature coordinates, five
 standard deviations below what the threshold gives, and links are confirmed on the full sets.
 
 Defined results: text that is null, empty or only white space has an empty set and is linked with nothing.
@@ -30,7 +31,8 @@ from runlens.llm.shingles import mix, shingles_of_rows
 COORDINATES = 64
 TREES = 12
 LEAF = 12
-MAX_DEPTH = 6
+# Coordinates that each level below the first adds to a path.
+STEPS = (3, 4)
 
 _U = np.uint64
 _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=_U) * _U(0x9E3779B97F4A7C15))
@@ -81,12 +83,7 @@ def _agreeing(least: int):
             left, right = (
                 np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, COORDINATES) for c in ("sa", "sb")
             )
-            equal = (left == right).sum(axis=1)
-            kept = pa.array(equal >= least)
-            found = pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(equal.astype(np.int32))], names=["a", "b", "equal"]
-            )
-            yield found.filter(kept)
+            yield batch.select(["a", "b"]).filter(pa.array((left == right).sum(axis=1) >= least))
 
     return run
 
@@ -108,14 +105,21 @@ def _roots(classes: DataFrame, threshold: float) -> DataFrame:
     return classes.select(F.explode(F.array(*nodes)).alias("node"), "id")
 
 
-def _branches(members: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Children of nodes: one chosen coordinate, and a second one in a share of the nodes."""
-    one = F.pmod(F.xxhash64("node", F.lit("one")), F.lit(COORDINATES)).cast("int")
-    two = F.pmod(F.xxhash64("node", F.lit("two")), F.lit(COORDINATES)).cast("int")
-    more = F.pmod(F.xxhash64("node", F.lit("more")), F.lit(1_000_000)) < int(_extra(threshold) * 1_000_000)
-    chosen = F.array_distinct(F.when(more, F.array(one, two)).otherwise(F.array(one)))
-    rows = members.join(classes.select("id", "signature"), "id").select("id", "node", "signature", F.explode(chosen).alias("c"))
-    return rows.select(F.xxhash64("node", "c", _token("signature", F.col("c"))).alias("node"), "id")
+def _branches(members: DataFrame, classes: DataFrame, threshold: float, steps: int) -> DataFrame:
+    """Descendants of nodes, `steps` generations down.
+
+    In each generation a node goes on with one chosen coordinate, and a share of the nodes with a second.
+    """
+    rows = members.select("node", "id").join(classes.select("id", "signature"), "id")
+    for _ in range(steps):
+        one = F.pmod(F.xxhash64("node", F.lit("one")), F.lit(COORDINATES)).cast("int")
+        two = F.pmod(F.xxhash64("node", F.lit("two")), F.lit(COORDINATES)).cast("int")
+        more = F.pmod(F.xxhash64("node", F.lit("more")), F.lit(1_000_000)) < int(_extra(threshold) * 1_000_000)
+        chosen = F.array_distinct(F.when(more, F.array(one, two)).otherwise(F.array(one)))
+        rows = rows.select("id", "node", "signature", F.explode(chosen).alias("c"))
+        child = F.xxhash64("node", "c", _token("signature", F.col("c")))
+        rows = rows.select("id", child.alias("node"), "signature")
+    return rows.select("node", "id")
 
 
 def _members(nodes: DataFrame) -> DataFrame:
@@ -137,7 +141,7 @@ def _candidates(members: DataFrame) -> DataFrame:
 
 
 class _Join:
-    """Confirms candidate pairs; the sets of classes in question are computed once per level."""
+    """Confirms candidate pairs; only classes with a close candidate get their full sets, once per level."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, percent: int):
         self.docs, self.classes, self.percent = docs, classes, percent
@@ -146,28 +150,26 @@ class _Join:
         self.least = max(1, math.floor(COORDINATES * (threshold - 5 * spread)))
 
     def close(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b, equal) that sizes and signatures allow."""
+        """Pairs (a, b) that sizes and signatures allow."""
         held = self.classes.select("id", "n", "signature")
         for side in "ab":
             held_side = held.toDF(side, f"n{side}", f"s{side}")
             pairs = pairs.join(held_side, side)
         fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
-        return stored(map_arrow(pairs.where(fits).select("a", "b", "sa", "sb"), _agreeing(self.least), "a long, b long, equal int"), "close")
+        return stored(map_arrow(pairs.where(fits).select("a", "b", "sa", "sb"), _agreeing(self.least), "a long, b long"), "close")
 
-    def sets(self, close: DataFrame) -> DataFrame:
-        ids = stored(close.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """Links (a, b) among candidate pairs, by their full sets."""
+        close = self.close(pairs)
+        ids = close.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         texts = self.docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-        texts = texts.join(broadcast_if_small(ids, ids.count()), "id")
-        return stored(map_arrow(texts, _sets, "id long, shingles array<bigint>"), "sets")
-
-    def confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        right = sets.toDF("b", "right")
-        left = sets.toDF("a", "left")
-        both = pairs.select("a", "b").join(right, "b").join(left, "a")
+        texts = texts.join(broadcast_if_small(ids, 2 * close.count()), "id")
+        sets = stored(map_arrow(texts, _sets, "id long, shingles array<bigint>"), "sets")
+        both = close.select("a", "b").join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
         shared = F.size(F.array_intersect("left", "right"))
         union = F.size("left") + F.size("right") - F.col("shared")
         found = both.select("a", "b", "left", "right", shared.alias("shared"))
-        return found.where(F.col("shared") * 100 >= union * self.percent).select("a", "b")
+        return stored(found.where(F.col("shared") * 100 >= union * self.percent).select("a", "b"), "confirmed")
 
 
 def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -178,19 +180,17 @@ def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.where("root_a <> root_b").drop("root_a", "root_b")
 
 
-def _link(join: _Join, pairs: DataFrame, links: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Links so far plus those among `pairs`, and the components of all.
-
-    Only one pair per class is confirmed at first, its most alike; then those that still join components.
-    """
-    close = join.close(pairs)
-    sets = join.sets(close)
-    best = close.groupBy("b").agg(F.max_by("a", F.struct("equal", -F.col("a"))).alias("a"))
-    found = stored(join.confirmed(best, sets), "confirmed")
-    links = found if links is None else links.union(found)
-    more = stored(join.confirmed(_across(close, components(links)), sets), "confirmed")
-    links = links.union(more)
-    return links, components(links)
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: they join the components so far, as a graph of those."""
+    if links.isEmpty():
+        return roots
+    for side in "ab":
+        links = links.join(roots.toDF(side, f"root_{side}"), side, "left")
+        links = links.withColumn(side, F.coalesce(f"root_{side}", side)).drop(f"root_{side}")
+    over = components(links).toDF("over", "top")
+    old = roots.join(over, roots["root"] == over["over"], "left").select("id", F.coalesce("top", "root").alias("root"))
+    new = over.join(roots, over["over"] == roots["id"], "left_anti").select(F.col("over").alias("id"), F.col("top").alias("root"))
+    return stored(old.union(new), "roots")
 
 
 def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -217,18 +217,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     signed = stored(map_arrow(rows, _sign, "doc_id long, n long, d1 long, d2 long, signature binary"), "signed")
     classes = signed.where("n > 0").groupBy("n", "d1", "d2")
     classes = stored(classes.agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")), "classes")
-    join, links, roots = _Join(docs, classes, percent), None, None
+    join = _Join(docs, classes, percent)
+    roots = docs.sparkSession.createDataFrame([], "id long, root long")
     nodes = _roots(classes, threshold)
-    for _ in range(MAX_DEPTH):
+    for steps in (*STEPS, 0):
         members = _members(nodes)
-        pairs = _candidates(members)
-        links, roots = _link(join, pairs if roots is None else _across(pairs, roots), links)
+        roots = _joined(roots, join.confirmed(_across(_candidates(members), roots)))
         mixed = _mixed(members, roots)
         if mixed.isEmpty():
             break
-        nodes = _branches(mixed, classes, threshold)
-    else:
-        links, roots = _link(join, _across(_rest(mixed), roots), links)
+        if steps:
+            nodes = _branches(mixed, classes, threshold, steps)
+        else:
+            roots = _joined(roots, join.confirmed(_across(_rest(mixed), roots)))
     named = classes.drop("signature").join(roots, "id", "left")
     named = named.select("n", "d1", "d2", F.coalesce("root", "id").alias("root"))
     placed = signed.drop("signature").join(named, ["n", "d1", "d2"], "left")
