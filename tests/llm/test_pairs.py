@@ -83,7 +83,7 @@ def test_near_duplicates(spark, percent, monkeypatch):
 
 def test_rest_of_deep_nodes(spark, monkeypatch):
     monkeypatch.setattr(neardup, "LEAF", 2)
-    monkeypatch.setattr(neardup, "MAX_DEPTH", 1)
+    monkeypatch.setattr(neardup, "STEPS", ())
     docs = frame(spark, copies(3))
     assert sorted(map(tuple, neardup.near_duplicates(docs).collect())) == brute(docs.collect(), 85)
 
