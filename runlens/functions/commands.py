@@ -118,6 +118,7 @@ def workload_body(col: Column | str) -> Column:
     return F.when(_col(col).contains(HEREDOC_START), F.substring_index(after, HEREDOC_END, 1))
 
 
+# Fixed value: the probe for parallel workers.
 PROBE = "$(python -c 'import xdist' 2>/dev/null && echo '-n 4 --max-worker-restart=4')"
 
 

@@ -5,17 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STDOUT_TAIL = 16_384
-
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def parse_timing_text(col: Column | str, tail: int = STDOUT_TAIL) -> list[Column]:
-    """Mean and deviation lines of a timing summary, the kept tail and whether it was cut.
+def parse_timing_text(col: Column | str, tail: int | None = None) -> list[Column]:
+    """Mean and deviation lines of a timing summary, the stored text and whether it was cut.
 
-    The summary is searched in the whole text; only what is stored is cut.
+    The whole text is stored unless the caller asks for a tail; the summary is searched in all of it.
     """
     text = _col(col)
 
@@ -23,8 +21,8 @@ def parse_timing_text(col: Column | str, tail: int = STDOUT_TAIL) -> list[Column
         return F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).try_cast("double")
 
     return [
-        F.right(text, F.lit(tail)).alias("stdout"),
-        (F.length(text) > tail).alias("stdout_truncated"),
+        (text if tail is None else F.right(text, F.lit(tail))).alias("stdout"),
+        (F.lit(False) if tail is None else F.length(text) > tail).alias("stdout_truncated"),
         number(r"(?m)^[ \t]*Mean:[ \t]*(\S+)").alias("workload_mean_s"),
         number(r"(?m)^[ \t]*Std\s*Dev:[ \t]*(\S+)").alias("workload_stdev_s"),
     ]

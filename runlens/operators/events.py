@@ -11,11 +11,6 @@ from pyspark.sql import functions as F
 from runlens.operators.ordered import first_rows, nearest, next_value, running_max, running_sum
 from runlens.operators.skew import top_n
 
-MAX_EVENTS = 5_000_000
-MAX_DEPTH = 200
-MAX_FUNCTIONS = 10_000
-MAX_CALL_SEQUENCE = 1_000
-
 
 def with_parent(events: DataFrame, key: str = "test") -> DataFrame:
     """Ordinal of each call's parent: the first later return one level up.
@@ -102,35 +97,38 @@ def line_costs(events: DataFrame, key: str = "test") -> DataFrame:
 
 
 def apply_limits(
-    events: DataFrame,
-    max_events: int = MAX_EVENTS,
-    max_depth: int = MAX_DEPTH,
-    max_functions: int = MAX_FUNCTIONS,
-    key: str = "test",
+    events: DataFrame, max_events: int, max_depth: int, max_functions: int, key: str = "test"
 ) -> tuple[DataFrame, DataFrame]:
-    """Events a bounded trace keeps, and the limits each test ran into."""
+    """Events a bounded trace keeps, and the limits each test ran into.
+
+    Limits act when a call is made. `called` is the ordinal of the test's last return before the call, 0
+    before the first; calls made after the same return follow each other in depth. Functions are known in
+    the order of their first call. Calls made before the `max_events`-th recorded return are kept, those
+    that enclose it included; later calls count towards the event limit only.
+    """
     shallow = events.where(F.col("depth") < max_depth)
-    uses = shallow.groupBy(key, "func").agg(F.min("seq").alias("_first"))
+    uses = shallow.groupBy(key, "func").agg(F.min(F.col("called") * max_depth + F.col("depth")).alias("_first"))
     known = first_rows(uses, [key], "_first", max_functions).select(key, "func")
     told = shallow.join(known, [key, "func"], "left_semi")
-    kept = first_rows(told, [key], "seq", max_events)
-    deep = events.groupBy(key).agg(
-        F.bool_or(F.col("depth") >= max_depth).alias("deep"), F.count(F.lit(1)).alias("_events")
-    )
-    functions = uses.groupBy(key).agg((F.count(F.lit(1)) > max_functions).alias("many_functions"))
-    counts = told.groupBy(key).agg((F.count(F.lit(1)) > max_events).alias("many_events"))
-    reasons = F.array_compact(
-        F.array(
-            F.when(F.col("deep"), F.lit("max_depth")),
-            F.when(F.col("many_functions"), F.lit("max_functions")),
-            F.when(F.col("many_events"), F.lit("max_events")),
-        )
+    recorded = first_rows(told, [key], "seq", max_events).groupBy(key)
+    full = recorded.agg(F.count(F.lit(1)).alias("_rows"), F.max("seq").alias("_full")).where(F.col("_rows") == max_events)
+    limits = full.select(key, "_full")
+    in_time = F.col("_full").isNull() | (F.col("called") < F.col("_full"))
+    kept = told.join(limits, key, "left").where(in_time).drop("_full")
+    seen = events.join(limits, key, "left").join(known.withColumn("_known", F.lit(True)), [key, "func"], "left")
+    is_shallow = F.col("depth") < max_depth
+    met = seen.groupBy(key).agg(
+        F.bool_or(~is_shallow).alias("_deep"),
+        F.bool_or(is_shallow & in_time & F.col("_known").isNull()).alias("_many_functions"),
+        F.bool_or(is_shallow & ~in_time).alias("_many_events"),
     )
-    trims = deep.join(functions, key, "left").join(counts, key, "left").select(key, reasons.alias("trim_reasons"))
+    names = (("_deep", "max_depth"), ("_many_functions", "max_functions"), ("_many_events", "max_events"))
+    reasons = F.array_compact(F.array(*[F.when(F.col(flag), F.lit(name)) for flag, name in names]))
+    trims = met.select(key, reasons.alias("trim_reasons"))
     return kept, trims.where(F.size("trim_reasons") > 0)
 
 
-def call_sequence(events: DataFrame, n: int = MAX_CALL_SEQUENCE, key: str = "test") -> tuple[DataFrame, DataFrame]:
+def call_sequence(events: DataFrame, n: int, key: str = "test") -> tuple[DataFrame, DataFrame]:
     """First n events per test, and the total with a truncation flag."""
     kept = top_n(events, [key], [F.col("seq")], n, "place")
     totals = events.groupBy(key).agg(

@@ -8,7 +8,6 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runlens.operators.skew import PART_SIZE, with_parts
 from runlens.schemas import OUTCOME_FIELDS, SEVERITY, STATUS_BY_FIELD
 
 
@@ -21,11 +20,10 @@ def label_of(rank: Column, ranks: dict[str, int]) -> Column:
     return F.coalesce(*[F.when(rank == position, F.lit(label)) for label, position in ranks.items()])
 
 
-def fold_outcomes(outcomes: DataFrame, errors: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """Long outcomes and discovery errors to one row of five sorted lists per state.
+def fold_outcomes(outcomes: DataFrame, errors: DataFrame) -> DataFrame:
+    """Long outcomes and discovery errors to one row of five sorted lists per state, whatever its size.
 
-    A state beyond `part_size` entries continues in rows with part > 0, so no task gathers an
-    unbounded list.
+    This is the record format of stored states; operators work on the long form.
     """
     long = outcomes.select("instance_id", F.col("test").alias("entry"), "status").unionByName(
         errors.select("instance_id", F.col("module").alias("entry"), F.lit("DISCOVERY").alias("status"))
@@ -35,10 +33,7 @@ def fold_outcomes(outcomes: DataFrame, errors: DataFrame, part_size: int = PART_
         F.sort_array(F.collect_list(F.when(F.col("status") == status, F.col("entry")))).alias(field)
         for field, status in statuses.items()
     ]
-    parts = with_parts(long, ["instance_id"], "entry", part_size)
-    return parts.groupBy("instance_id", "part").agg(*lists).withColumn(
-        "discovery_errors", F.array_distinct("discovery_errors")
-    )
+    return long.groupBy("instance_id").agg(*lists).withColumn("discovery_errors", F.array_distinct("discovery_errors"))
 
 
 def list_entries(states: DataFrame, *keys: str) -> DataFrame:

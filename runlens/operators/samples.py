@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from runlens.functions.ids import make_sample_id
 from runlens.operators import hotspots
 from runlens.operators.filters import keep_target_tests
-from runlens.operators.skew import first_row, with_parts
+from runlens.operators.skew import first_row
 from runlens.operators.traces import KEYS, gt_outcome, gt_peak_bytes, gt_wall_ms
 
 # Tasks, the metric of each, and the floor a timed test must reach.
@@ -144,10 +144,7 @@ def hot_flags(functions: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def benchmark_dataset(samples: DataFrame, truth: DataFrame, values: DataFrame) -> DataFrame:
-    """One flat row per sample: ranked lists and value maps of its test laid out as columns.
-
-    A value map larger than one row may hold continues in rows with part > 0.
-    """
+    """One flat row per sample: ranked lists and value maps of its test laid out as columns."""
     lists = truth.groupBy(*KEYS).agg(
         *[
             F.transform(
@@ -157,19 +154,15 @@ def benchmark_dataset(samples: DataFrame, truth: DataFrame, values: DataFrame) -
             for t in HOT_TASKS
         ]
     )
-    maps = (
-        with_parts(values, KEYS, "name")
-        .groupBy(*KEYS, "part")
-        .agg(
-            *[
-                F.to_json(
-                    F.map_from_entries(
-                        F.array_sort(F.collect_list(F.when(F.col("subtask") == t, F.struct("name", "value"))))
-                    )
-                ).alias(f"values_{t}")
-                for t in HOT_TASKS
-            ]
-        )
+    maps = values.groupBy(*KEYS).agg(
+        *[
+            F.to_json(
+                F.map_from_entries(
+                    F.array_sort(F.collect_list(F.when(F.col("subtask") == t, F.struct("name", "value"))))
+                )
+            ).alias(f"values_{t}")
+            for t in HOT_TASKS
+        ]
     )
     return (
         samples.join(lists, KEYS, "left")
@@ -178,18 +171,13 @@ def benchmark_dataset(samples: DataFrame, truth: DataFrame, values: DataFrame) -
         .withColumn("wall_time_s", F.coalesce("wall_time_s", F.lit(0.0)))
         .withColumn("peak_rss_bytes", F.coalesce("peak_rss_bytes", F.lit(0)))
         .withColumn("peak_traced_bytes", F.coalesce("peak_traced_bytes", F.lit(0)))
-        .withColumn("part", F.coalesce("part", F.lit(0)))
     )
 
 
 def environment_buckets(samples: DataFrame) -> DataFrame:
-    """Tests passed and not passed per environment, each once, sorted.
-
-    An environment larger than one row may hold continues in rows with part > 0.
-    """
+    """Tests passed and not passed per environment, each once, sorted, one row per environment."""
     tests = samples.select("instance_id", "side", "test", (F.col("gt_outcome") == "passed").alias("_passed")).distinct()
-    parts = with_parts(tests, ["instance_id", "side"], "test")
-    return parts.groupBy("instance_id", "side", "part").agg(
+    return tests.groupBy("instance_id", "side").agg(
         F.array_sort(F.collect_list(F.when(F.col("_passed"), F.col("test")))).alias("tests_pass"),
         F.array_sort(F.collect_list(F.when(~F.col("_passed"), F.col("test")))).alias("tests_fail"),
     )
@@ -203,7 +191,6 @@ def environments(samples: DataFrame, instances: DataFrame) -> DataFrame:
         F.concat_ws("::", "instance_id", "side").alias("env_id"),
         "instance_id",
         "side",
-        "part",
         "repo",
         "base_commit",
         F.when(F.col("side") == "post", F.coalesce("patch", blank)).otherwise(blank).alias("patch"),

@@ -216,12 +216,11 @@ OPEN_TOP_MARGIN = (1.4, 3.0)
 
 
 def ladder_table() -> list[list[float]]:
-    """Every constant-stride run of edges, sorted."""
-    runs = []
-    for stride in BUCKET_STRIDES:
-        for start in range(len(NICE_EDGES) - (NUM_BUCKETS - 2) * stride):
-            runs.append([float(NICE_EDGES[start + k * stride]) for k in range(NUM_BUCKETS - 1)])
-    return sorted(runs)
+    """Every run of neighbours in the edges and in each thinned-out list of them, sorted."""
+    width = NUM_BUCKETS - 1
+    thinned = [NICE_EDGES[first::stride] for stride in BUCKET_STRIDES for first in range(stride)]
+    runs = [edges[at : at + width] for edges in thinned for at in range(len(edges) - width + 1)]
+    return sorted([float(edge) for edge in run] for run in runs)
 
 
 def _holds(time: Column, dividers: Column, correct: int) -> Column:

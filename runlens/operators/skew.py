@@ -5,30 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A folded row never holds more list entries than this; larger groups continue in further parts.
-PART_SIZE = 200_000
 # Rows of one group that a window task sorts at a time.
 CHUNK_ROWS = 1_000_000
 
 
-def with_parts(df: DataFrame, keys: list[str], spread: str, part_size: int = PART_SIZE) -> DataFrame:
-    """Add `part`: 0 for groups up to `part_size` rows, a hash bucket of `spread` for larger ones.
-
-    The counts are a partial aggregate; only oversized keys are joined back, so an ordinary table
-    joins against an empty relation.
-    """
-    large = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > part_size)
-        .select(*keys, F.ceil(F.col("_rows") * 2 / part_size).cast("int").alias("_parts"))
-    )
-    part = F.when(
-        F.col("_parts").isNotNull(), F.pmod(F.xxhash64(spread), F.col("_parts").cast("long")).cast("int")
-    ).otherwise(F.lit(0))
-    return df.join(large, keys, "left").withColumn("part", part).drop("_parts")
-
-
 def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     """First `n` rows per key. The literal bound lets Spark prune before the shuffle."""
     window = Window.partitionBy(*keys).orderBy(*order)

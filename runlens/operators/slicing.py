@@ -17,12 +17,8 @@ from runlens.functions.testnames import test_func_name
 from runlens.operators.ordered import hash_chunk, running_sum
 from runlens.session import reliable_checkpoint
 
-# Budgets, windows and marker texts.
-SOURCE_BUDGET = 400_000
-PER_FILE = 30_000
-LEAST_LAST_FILE = 2_000
+# Fixed value: marker text.
 CUT_MARK = "\n... [truncated]"
-TEST_FILE_MAX, TEST_FILE_PREFIX, TEST_FILE_WINDOW = 60_000, 8_000, 50_000
 
 SPANS = "file_id string, spans array<struct<owner:int,first:int,last:int,kind:string>>, parsed boolean"
 _DEFINITIONS = (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)
@@ -228,7 +224,7 @@ def _rendered_chars(row, remaining: int) -> int:
 
 
 def smart_context(
-    samples: DataFrame, files: DataFrame, executed: DataFrame, budget: int = SOURCE_BUDGET
+    samples: DataFrame, files: DataFrame, executed: DataFrame, budget: int
 ) -> tuple[DataFrame, DataFrame]:
     """Slices per sample under one running budget, and the sample's statistics.
 
@@ -288,32 +284,37 @@ def _cut(text: Column, limit: Column) -> Column:
     )
 
 
-def oracle_context(files: DataFrame, budget: int = SOURCE_BUDGET) -> DataFrame:
+def oracle_context(files: DataFrame, budget: int, per_file: int, least_last: int) -> DataFrame:
     """Whole files in order under a budget: each cut at its own limit, the last one at what is left.
 
     `files(sample_id, file, content, shuffle_key, start_chars)`. The first file that does not fit is
-    cut if at least 2000 characters remain; nothing follows it.
+    cut if at least `least_last` characters remain; nothing follows it.
     """
-    cut = files.withColumn("content", _cut(F.col("content"), F.lit(PER_FILE))).withColumn("_chars", F.length("content"))
+    cut = files.withColumn("content", _cut(F.col("content"), F.lit(per_file))).withColumn("_chars", F.length("content"))
     placed = running_sum(cut, ["sample_id"], "shuffle_key", "_chars", "_before", hash_chunk("shuffle_key"))
     used = F.col("start_chars") + F.col("_before")
     left = F.lit(budget) - used
     whole = F.col("_chars") <= left
     # The running sum passes the budget once; that row is the one to cut.
-    kept = placed.where((used < budget) & (whole | (left >= LEAST_LAST_FILE)))
+    kept = placed.where((used < budget) & (whole | (left >= least_last)))
     text = F.when(whole, F.col("content")).otherwise(_cut(F.col("content"), left.cast("int")))
     return kept.select("sample_id", "file", "shuffle_key", text.alias("content"), (~whole).alias("cut"))
 
 
-def carve_window(files: DataFrame, content: str = "content", test: str = "test") -> DataFrame:
-    """Long test files as their head and a window around the target function, cut at line ends."""
+def carve_window(
+    files: DataFrame, longest: int, head: int, window: int, content: str = "content", test: str = "test"
+) -> DataFrame:
+    """Test files beyond `longest` characters as their head and a window around the target function.
+
+    Both are cut at line ends; other files stay whole.
+    """
     text = F.col(content)
     files = files.withColumn("_func", test_func_name(test))
     found = F.regexp_instr(text, F.concat(F.lit(r"(?m)^\s*def\s+\Q"), F.col("_func"), F.lit(r"\E\s*\(")))
     files = files.withColumn("_at", found - 1).withColumn("_n", F.length(content))
-    head_end = F.locate("\n", text, TEST_FILE_PREFIX + 1) - 1
-    files = files.withColumn("_head", F.when(head_end < 0, F.lit(TEST_FILE_PREFIX)).otherwise(head_end))
-    half = TEST_FILE_WINDOW // 2
+    head_end = F.locate("\n", text, head + 1) - 1
+    files = files.withColumn("_head", F.when(head_end < 0, F.lit(head)).otherwise(head_end))
+    half = window // 2
     files = files.withColumn("_from", F.greatest(F.col("_head") + 1, F.col("_at") - half))
     files = files.withColumn("_to", F.least(F.col("_n"), F.col("_at") + half))
     # Last line end before the window, first one after it.
@@ -326,8 +327,8 @@ def carve_window(files: DataFrame, content: str = "content", test: str = "test")
     def piece(start: Column, stop: Column) -> Column:
         return F.substring(text, start + 1, F.greatest(stop - start, F.lit(0)))
 
-    n, head, start, stop = (F.col(c) for c in ("_n", "_head", "_from", "_to"))
-    keep_to = F.greatest(head, stop)
+    n, head_to, start, stop = (F.col(c) for c in ("_n", "_head", "_from", "_to"))
+    keep_to = F.greatest(head_to, stop)
     inside = F.concat(
         piece(F.lit(0), keep_to),
         F.when(
@@ -335,19 +336,19 @@ def carve_window(files: DataFrame, content: str = "content", test: str = "test")
         ).otherwise(""),
     )
     windowed = F.concat(
-        piece(F.lit(0), head),
-        F.lit("\n# ... [skipped "), start - head, F.lit(" chars]\n"),
+        piece(F.lit(0), head_to),
+        F.lit("\n# ... [skipped "), start - head_to, F.lit(" chars]\n"),
         piece(start, stop),
         F.when(stop < n, F.concat(F.lit("\n# ... [skipped "), n - stop, F.lit(" trailing chars]\n"))).otherwise(""),
     )
     lost = F.concat(
-        F.substring(text, 1, TEST_FILE_MAX),
+        F.substring(text, 1, longest),
         F.lit("\n# ... [test file truncated — target `"), F.col("_func"), F.lit("` not located]\n"),
     )
     carved = (
-        F.when(n <= TEST_FILE_MAX, text)
+        F.when(n <= longest, text)
         .when(F.col("_at") < 0, lost)
-        .when(F.col("_at") < head, inside)
+        .when(F.col("_at") < head_to, inside)
         .otherwise(windowed)
     )
     return files.withColumn("window", carved).drop("_func", "_at", "_n", "_head", "_from", "_to")

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from runlens.functions import responses
 from runlens.operators import registries, sampling, slicing
-from runlens.plans.catalog.inputs import state_scalars
+from runlens.plans.catalog.inputs import scratch_folder, state_scalars
 from runlens.plans.catalog.registry import frame, query
 from runlens.plans.catalog.views import VIEWS
-from runlens.sources import sinks, states
+from runlens.schemas import STATES
+from runlens.sources import reports, runs, sinks, states
 
 # Conversations as answers: the text as prose around a JSON object in one of six spellings.
 _SHAPE = "CASE WHEN role = 'system' THEN 'bare' WHEN role = 'user' THEN CASE WHEN turn = 0 THEN 'fenced' ELSE 'prose' END ELSE CASE WHEN turn = 1 THEN 'comment' WHEN turn = 3 THEN 'broken' ELSE 'none' END END"
@@ -155,7 +156,7 @@ def oracle_context(spark, sf_dir):
         F.col("source").alias("sample_id"), F.col("doc_id").cast("string").alias("file"), F.col("text").alias("content"), F.lit(0).alias("start_chars")
     )
     keyed = sampling.shuffle_files(files, ["sample_id"])
-    done = slicing.oracle_context(keyed, 50_000)
+    done = slicing.oracle_context(keyed, 50_000, 30_000, 2_000)
     return done.select("sample_id", "file", F.md5("content").alias("digest"), "cut")
 
 
@@ -171,8 +172,8 @@ def oracle_context(spark, sf_dir):
 def carve_window(spark, sf_dir):
     docs = frame(spark, sf_dir, "documents")
     content = F.concat("text", F.lit("\ndef test_x():\n"), "text", "text")
-    done = slicing.carve_window(docs.select("doc_id", content.alias("content"), F.lit("a.py::test_x[1]").alias("test")))
-    long = F.length("content") > slicing.TEST_FILE_MAX
+    done = slicing.carve_window(docs.select("doc_id", content.alias("content"), F.lit("a.py::test_x[1]").alias("test")), 60_000, 8_000, 50_000)
+    long = F.length("content") > 60_000
     return done.select(
         "doc_id",
         F.when(~long, F.length("window")).alias("whole_chars"),
@@ -241,7 +242,121 @@ def read_states(spark, sf_dir):
     wanted = frame(
         spark, sf_dir, "SELECT instance_id FROM fx_states JOIN supplier ON s_suppkey = grp WHERE supplier.s_nationkey < 12"
     )
-    return states.pick_ids(frame(spark, sf_dir, "fx_states"), wanted).select("instance_id", "container")
+    folder = f"{scratch_folder(spark)}/states"
+    rows = state_scalars(spark, sf_dir)
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in STATES if f.name not in rows.columns}
+    rows.withColumns(missing).select(*STATES.names).write.parquet(folder)
+    return states.read_states(spark, folder, wanted).select("instance_id", "container")
+
+
+# Stored answers of several models, read back, parsed and scored to a table of run health.
+@query(
+    "read_responses",
+    f"""
+    SELECT model, 'plain' AS label, count(*) AS n, count(CASE WHEN read THEN 1 END) AS n_valid,
+           count(CASE WHEN read THEN 2 * conv_id END) * 2 AS n_names FROM ({_ANSWERS}) GROUP BY model
+    """,
+)
+def read_responses(spark, sf_dir):
+    folder = scratch_folder(spark)
+    raw = _raw_answers(spark, sf_dir).select("model", "sample_id", "task", "raw_response").persist()
+    for model in ("msystem", "muser", "massistant"):
+        raw.where(F.col("model") == model).drop("model").write.json(f"{folder}/{model}/responses")
+    raw.unpersist()
+    stored = runs.read_responses(spark, [folder], ["plain"])
+    predicted = responses.extract_prediction(responses.parse_responses(stored))
+    names = responses.prediction_items(predicted).groupBy("model", "sample_id").agg(F.count(F.lit(1)).alias("names"))
+    joined = predicted.join(names, ["model", "sample_id"], "left")
+    return joined.groupBy("model", F.col("group").alias("label")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("parsed").alias("n_valid"), F.sum(F.coalesce("names", F.lit(0))).alias("n_names")
+    )
+
+
+# One commit log per customer: its orders, oldest first.
+@query(
+    "read_commit_log",
+    """
+    SELECT md5(CAST(o_orderkey AS VARCHAR)) AS sha, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS idx,
+           CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1 THEN 0 ELSE 1 END AS n_parents, o_orderpriority AS message FROM orders
+    """,
+)
+def read_commit_log(spark, sf_dir):
+    folder = f"{scratch_folder(spark)}/logs"
+    commits = frame(spark, sf_dir, "SELECT o_custkey, o_orderkey, md5(CAST(o_orderkey AS STRING)) AS sha, o_orderpriority FROM orders")
+    ordered = commits.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "sha", "o_orderpriority"))).alias("c"))
+
+    def block(commit, at):
+        parent = F.when(at > 0, F.element_at("c.sha", F.greatest(at, F.lit(1)))).otherwise("")
+        return F.concat_ws("\n", F.lit("--commit--"), commit["sha"], parent, commit["o_orderpriority"], F.lit(""))
+
+    logs = ordered.select("o_custkey", F.array_join(F.transform("c", block), "").alias("value"))
+    logs.repartition("o_custkey").write.partitionBy("o_custkey").text(folder)
+    read = reports.read_commit_log(spark, folder)
+    return read.select("sha", "idx", F.size("parents").alias("n_parents"), "message")
+
+
+# The registry: a metric and a ground truth by their names, and a reader the user adds.
+@query(
+    "score_by_name",
+    "SELECT model, sample_id, round(peak_x, 6) AS peak_gt_log10, round(abs(peak_y - peak_x), 6) AS peak_log10_mae FROM fx_scored",
+)
+def score_by_name(spark, sf_dir):
+    scored = registries.score("peak_rss", frame(spark, sf_dir, "fx_responses"))
+    return scored.select("model", "sample_id", *[F.round(c, 6).alias(c) for c in ("peak_gt_log10", "peak_log10_mae")])
+
+
+@query(
+    "ground_truth_by_name",
+    """
+    SELECT instance_id, test, CAST(sum(COALESCE(exclusive_time_s, 0)) * 1000 AS DOUBLE) AS wall_ms FROM (
+      SELECT 'i' || CAST(l_suppkey AS VARCHAR(20)) AS instance_id, 't' || CAST(l_linenumber AS VARCHAR(8)) AS test,
+             CASE WHEN l_returnflag <> 'A' THEN CAST(l_quantity AS DOUBLE) / 8 END AS exclusive_time_s FROM lineitem) GROUP BY 1, 2
+    """,
+)
+def ground_truth_by_name(spark, sf_dir):
+    functions = frame(
+        spark,
+        sf_dir,
+        """SELECT 'i' || CAST(l_suppkey AS STRING) AS instance_id, 't' || CAST(l_linenumber AS STRING) AS test,
+                  CASE WHEN l_returnflag <> 'A' THEN CAST(l_quantity AS DOUBLE) / 8 END AS exclusive_time_s FROM lineitem""",
+    )
+    return registries.ground_truth("wall_time", functions)
+
+
+@query("read_report_by_name", "SELECT 'i' || CAST(l_suppkey AS VARCHAR(20)) AS instance_id, 't' || CAST(l_linenumber AS VARCHAR(8)) AS test, l_returnflag AS status, count(*) AS n FROM lineitem GROUP BY 1, 2, 3")
+def read_report_by_name(spark, sf_dir):
+    folder = f"{scratch_folder(spark)}/report"
+    lines = frame(
+        spark,
+        sf_dir,
+        "SELECT 'i' || CAST(l_suppkey AS STRING) AS instance_id, 't' || CAST(l_linenumber AS STRING) AS test, l_returnflag AS status FROM lineitem",
+    )
+    lines.select(F.concat_ws(";", "instance_id", "test", "status").alias("value")).write.text(folder)
+
+    def semicolons(session, path):
+        parts = F.split("value", ";", 3)
+        return session.read.text(path).select(parts[0].alias("instance_id"), parts[1].alias("test"), parts[2].alias("status"))
+
+    reports.register_reader("semicolons", semicolons)
+    told = reports.read_report("semicolons", spark, folder)
+    return told.groupBy("instance_id", "test", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+# An answer with a number that JSON does not have keeps its other fields.
+@query(
+    "parse_non_finite",
+    """
+    SELECT sample_id, 'failed' AS pred_outcome, conv_id * 1000 AS pred_peak, true AS no_wall
+    FROM fx_answers
+    """,
+)
+def parse_non_finite(spark, sf_dir):
+    wall = F.when(F.col("turn") % 3 == 0, "NaN").when(F.col("turn") % 3 == 1, "-Infinity").otherwise("1e999")
+    raw = F.concat(F.lit('{"outcome": "failed", "peak_bytes": '), F.col("conv_id") * 1000, F.lit(', "wall_ms": '), wall, F.lit("}"))
+    answers = frame(spark, sf_dir, "fx_answers").withColumn("raw_response", raw)
+    done = responses.extract_prediction(responses.parse_responses(answers))
+    finite = F.col("pred_wall").isNull() | F.col("pred_wall").isin(float("inf"), float("-inf"))
+    return done.select("sample_id", "pred_outcome", "pred_peak", finite.alias("no_wall"))
 
 
 @query("decode_metadata", "SELECT instance_id, group_id, CASE WHEN group_id IS NOT NULL THEN variant END AS variant FROM fx_states")

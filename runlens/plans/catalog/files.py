@@ -78,6 +78,8 @@ def _trace_documents(spark, sf_dir, folder: str) -> None:
     rows = frame(spark, sf_dir, _TRACED)
     function = F.struct("func", F.lit("m.py").alias("file"), F.col("line").alias("lineno"), "call_count")
     tests = rows.groupBy("instance_id", "run", "test").agg(
+        F.when(F.first("line") % 2 == 1, "passed").otherwise("failed").alias("outcome"),
+        (F.first("line") * 0.5).alias("wall_time_s"),
         F.sort_array(F.collect_list(function)).alias("functions"),
         F.map_from_entries(
             F.collect_list(F.struct(F.col("func").alias("k"), F.map_from_arrays(F.array(F.col("line").cast("string")), F.array(F.struct("time_ns", F.col("call_count").alias("hits")))).alias("v")))
@@ -87,7 +89,7 @@ def _trace_documents(spark, sf_dir, folder: str) -> None:
         F.to_json(
             F.struct(
                 F.first("instance_id").alias("instance_id"),
-                F.map_from_entries(F.collect_list(F.struct("test", F.struct("functions", "lines")))).alias("tests"),
+                F.map_from_entries(F.collect_list(F.struct("test", F.struct("outcome", "wall_time_s", "functions", "lines")))).alias("tests"),
             )
         ).alias("value")
     )
@@ -103,6 +105,15 @@ def _read_traces(spark, sf_dir):
     return trace_files.read_traces(spark, f"{folder}/traces", pattern="*.txt")
 
 
+@query(
+    "trace_tests",
+    f"SELECT DISTINCT instance_id, test, CASE WHEN line % 2 = 1 THEN 'passed' ELSE 'failed' END AS outcome, CAST(line AS DOUBLE) * 0.5 AS wall_time_s FROM ({_LATEST})",
+)
+def trace_tests(spark, sf_dir):
+    tests = _read_traces(spark, sf_dir).tests
+    return tests.withColumn("instance_id", _key("instance_id", "instance_id")).select("instance_id", "test", "outcome", "wall_time_s")
+
+
 @query("trace_functions", f"SELECT instance_id, test, func, call_count, row_number() OVER (PARTITION BY instance_id, test ORDER BY func) - 1 AS pos FROM ({_LATEST})")
 def trace_functions(spark, sf_dir):
     functions = _read_traces(spark, sf_dir).functions

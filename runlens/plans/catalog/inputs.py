@@ -29,7 +29,7 @@ def state_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States in record form: five lists each, null where nothing was measured."""
-    lists = fold_outcomes(frame(spark, sf_dir, "fx_outcomes"), frame(spark, sf_dir, "fx_discovery")).drop("part")
+    lists = fold_outcomes(frame(spark, sf_dir, "fx_outcomes"), frame(spark, sf_dir, "fx_discovery"))
     joined = state_scalars(spark, sf_dir).join(lists, "instance_id", "left")
     others = [c for c in joined.columns if c not in OUTCOME_FIELDS]
     return joined.select(*others, *[F.when(F.col("measured"), F.col(c)).alias(c) for c in OUTCOME_FIELDS])

@@ -319,21 +319,28 @@ def adapt_command(spark, sf_dir):
     return commands.adapt_command(orders, rules).select("o_orderkey", F.col("adapted").alias("command"))
 
 
+_CAPTURED = """
+SELECT doc_id, lang, n_text, text || chr(10) || CASE WHEN lang = 'en' THEN 'Before Mean: 9' || chr(10) || 'Mean: ' || CAST(n_text / 8.0 AS VARCHAR) || chr(10) || 'Std Dev: 0.25' || chr(10) ELSE '' END AS captured
+FROM (SELECT doc_id, lang, text, length(text) + 1 AS n_text FROM documents)
+"""
+
+
 @query(
     "parse_timing_text",
-    """
+    f"""
     SELECT doc_id, CASE WHEN lang = 'en' THEN CAST(n_text AS DOUBLE) / 8 END AS workload_mean_s, CASE WHEN lang = 'en' THEN CAST(0.25 AS DOUBLE) END AS workload_stdev_s,
-           n_text + CASE WHEN lang = 'en' THEN length('Before Mean: 9' || chr(10) || 'Mean: ' || CAST(n_text / 8.0 AS VARCHAR) || chr(10) || 'Std Dev: 0.25' || chr(10)) ELSE 0 END > 16384 AS stdout_truncated
-    FROM (SELECT doc_id, lang, length(text) + 1 AS n_text FROM documents)
+           length(captured) > 16384 AS stdout_truncated, md5(right(captured, 16384)) AS tail_digest, md5(captured) AS whole_digest
+    FROM ({_CAPTURED})
     """,
 )
 def parse_timing_text(spark, sf_dir):
     docs = frame(spark, sf_dir, "documents")
     mean = ((F.length("text") + 1) / F.lit(8.0)).cast("string")
     summary = F.concat(F.lit("Before Mean: 9\nMean: "), mean, F.lit("\nStd Dev: 0.25\n"))
-    captured = F.concat("text", F.lit("\n"), F.when(F.col("lang") == "en", summary).otherwise(""))
-    parsed = docs.select("doc_id", *texts.parse_timing_text(captured))
-    return parsed.select("doc_id", "workload_mean_s", "workload_stdev_s", "stdout_truncated")
+    captured = docs.select("doc_id", F.concat("text", F.lit("\n"), F.when(F.col("lang") == "en", summary).otherwise("")).alias("captured"))
+    whole = texts.parse_timing_text("captured")[0]
+    parsed = captured.select("doc_id", *texts.parse_timing_text("captured", 16_384), F.md5(whole).alias("whole_digest"))
+    return parsed.select("doc_id", "workload_mean_s", "workload_stdev_s", "stdout_truncated", F.md5("stdout").alias("tail_digest"), "whole_digest")
 
 
 @query(

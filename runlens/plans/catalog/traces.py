@@ -574,21 +574,30 @@ def line_costs(spark, sf_dir):
     return events.line_costs(frame(spark, sf_dir, _TIMELINE))
 
 
-_FIRST_USES = """
-SELECT test, func, row_number() OVER (PARTITION BY test ORDER BY min(seq)) AS place FROM fx_call_events WHERE depth < 3 GROUP BY test, func
+# Call events with the last return before each call: that of an event at most as deep.
+_CALLED = """
+SELECT test, seq, func, depth,
+       COALESCE(CASE depth WHEN 0 THEN last0 WHEN 1 THEN last1 WHEN 2 THEN last2 ELSE last3 END, 0) AS called
+FROM (SELECT test, seq, func, depth,
+             max(CASE WHEN depth <= 0 THEN seq END) OVER w AS last0, max(CASE WHEN depth <= 1 THEN seq END) OVER w AS last1,
+             max(CASE WHEN depth <= 2 THEN seq END) OVER w AS last2, max(seq) OVER w AS last3
+      FROM fx_call_events WINDOW w AS (PARTITION BY test ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS x
+"""
+_TOLD = f"""
+SELECT c.*, u.place, count(CASE WHEN u.place <= 4 AND c.depth < 3 THEN 1 END) OVER (PARTITION BY c.test ORDER BY c.seq) AS recorded
+FROM ({_CALLED}) c LEFT JOIN (
+  SELECT test, func, row_number() OVER (PARTITION BY test ORDER BY min(called * 3 + depth)) AS place
+  FROM ({_CALLED}) WHERE depth < 3 GROUP BY test, func) u ON u.test = c.test AND u.func = c.func
+"""
+_TIMED = f"""
+SELECT t.*, f.full_at IS NULL OR t.called < f.full_at AS in_time
+FROM ({_TOLD}) t LEFT JOIN (SELECT test, min(seq) AS full_at FROM ({_TOLD}) WHERE recorded >= 30 GROUP BY test) f ON f.test = t.test
 """
 
 
-@query(
-    "apply_limits",
-    f"""
-    SELECT test, seq FROM (
-      SELECT e.test, e.seq, row_number() OVER (PARTITION BY e.test ORDER BY e.seq) AS rn
-      FROM fx_call_events e JOIN ({_FIRST_USES}) u ON u.test = e.test AND u.func = e.func AND u.place <= 4 WHERE e.depth < 3) WHERE rn <= 30
-    """,
-)
+@query("apply_limits", f"SELECT test, seq FROM ({_TIMED}) WHERE in_time AND place <= 4 AND depth < 3")
 def apply_limits(spark, sf_dir):
-    kept, _ = events.apply_limits(frame(spark, sf_dir, "fx_call_events"), max_events=30, max_depth=3, max_functions=4)
+    kept, _ = events.apply_limits(frame(spark, sf_dir, _CALLED), max_events=30, max_depth=3, max_functions=4)
     return kept.select("test", "seq")
 
 
@@ -596,14 +605,14 @@ def apply_limits(spark, sf_dir):
     "trim_reasons",
     f"""
     SELECT test, trim_reasons FROM (
-      SELECT e.test, concat_ws(',', CASE WHEN max(e.depth) >= 3 THEN 'max_depth' END,
-             CASE WHEN max(u.place) > 4 THEN 'max_functions' END,
-             CASE WHEN count(CASE WHEN e.depth < 3 AND u.place <= 4 THEN 1 END) > 30 THEN 'max_events' END) AS trim_reasons
-      FROM fx_call_events e LEFT JOIN ({_FIRST_USES}) u ON u.test = e.test AND u.func = e.func GROUP BY e.test) WHERE trim_reasons <> ''
+      SELECT test, concat_ws(',', CASE WHEN max(depth) >= 3 THEN 'max_depth' END,
+             CASE WHEN bool_or(depth < 3 AND in_time AND COALESCE(place, 9) > 4) THEN 'max_functions' END,
+             CASE WHEN bool_or(depth < 3 AND NOT in_time) THEN 'max_events' END) AS trim_reasons
+      FROM ({_TIMED}) GROUP BY test) WHERE trim_reasons <> ''
     """,
 )
 def trim_reasons(spark, sf_dir):
-    _, trims = events.apply_limits(frame(spark, sf_dir, "fx_call_events"), max_events=30, max_depth=3, max_functions=4)
+    _, trims = events.apply_limits(frame(spark, sf_dir, _CALLED), max_events=30, max_depth=3, max_functions=4)
     return trims.select("test", F.array_join("trim_reasons", ",").alias("trim_reasons"))
 
 
@@ -649,14 +658,40 @@ def segment_tests(spark, sf_dir):
 
 
 # Memory: one segment per call of the nested frames, ended by its return.
-@query("memory_peaks")
+VIEWS["fx_memory"] = """
+SELECT session AS test, seq, depth, func, CAST(seq % 13 AS BIGINT) * 100 AS base, CAST(seq % 17 AS BIGINT) * 100 AS cur,
+       CAST(seq % 29 AS BIGINT) * 100 AS peak FROM fx_frames WHERE kind = 'return'
+"""
+# Each return with the previous one of its level and its parent; readings between the two levels of a
+# return lie below it.
+_RETURNS = """
+SELECT c.*, greatest(0, c.cur - c.base) AS incl_delta,
+       COALESCE(lag(c.seq) OVER (PARTITION BY c.test, c.depth ORDER BY c.seq), -1) AS previous,
+       (SELECT min(p.seq) FROM fx_memory p WHERE p.test = c.test AND p.depth = c.depth - 1 AND p.seq >= c.seq) AS parent
+FROM fx_memory c
+"""
+_PEAKS = f"""
+WITH returns AS ({_RETURNS}),
+highest AS (
+  SELECT c.test, c.seq, max(greatest(r.peak, r.base)) AS high
+  FROM returns c JOIN returns r ON r.test = c.test AND r.depth >= c.depth AND r.seq <= c.seq AND r.seq > c.previous GROUP BY 1, 2),
+own AS (
+  SELECT c.test, c.seq, max(r.peak - COALESCE((SELECT sum(k.incl_delta) FROM returns k WHERE k.test = c.test AND k.parent = c.seq AND k.seq < r.seq), 0)) AS own_high
+  FROM returns c JOIN returns r ON r.test = c.test AND r.depth = c.depth AND r.seq <= c.seq AND r.seq > c.previous GROUP BY 1, 2),
+children AS (SELECT test, parent AS seq, sum(incl_delta) AS child_delta FROM returns WHERE parent IS NOT NULL GROUP BY 1, 2)
+SELECT c.test, c.func, greatest(0, h.high - c.base) AS incl_peak, greatest(0, COALESCE(o.own_high - c.base, 0)) AS excl_peak,
+       c.incl_delta, greatest(0, c.incl_delta - COALESCE(k.child_delta, 0)) AS excl_delta
+FROM returns c LEFT JOIN highest h ON h.test = c.test AND h.seq = c.seq LEFT JOIN own o ON o.test = c.test AND o.seq = c.seq
+LEFT JOIN children k ON k.test = c.test AND k.seq = c.seq
+"""
+_QUANTITIES = ", ".join(
+    f"CAST({agg}({q}) AS BIGINT) AS {q}_{agg}" for q in ("incl_peak", "excl_peak", "incl_delta", "excl_delta") for agg in ("sum", "max")
+)
+
+
+@query("memory_peaks", f"SELECT test, func, count(*) AS call_count, {_QUANTITIES} FROM ({_PEAKS}) GROUP BY test, func")
 def memory_peaks(spark, sf_dir):
-    returns = frame(
-        spark,
-        sf_dir,
-        """SELECT session AS test, seq, depth, func, CAST(seq % 13 AS BIGINT) * 100 AS base, CAST(seq % 17 AS BIGINT) * 100 AS cur,
-                  CAST(seq % 29 AS BIGINT) * 100 AS peak FROM fx_frames WHERE kind = 'return'""",
-    )
+    returns = frame(spark, sf_dir, "fx_memory")
     done = events.memory_peaks(returns.drop("peak"), returns.select("test", "seq", "depth", "peak"))
     return events.memory_functions(done)
 

@@ -12,7 +12,6 @@ from runlens.functions import prompts
 from runlens.operators import filters, sampling
 from runlens.operators.hotspots import rank_hotspots
 from runlens.operators.outcomes import list_conflict_keys, unfold_outcomes
-from runlens.operators.skew import with_parts
 from runlens.schemas import STATUS_FIELDS
 from runlens.session import reliable_checkpoint
 
@@ -138,10 +137,7 @@ def _top_questions() -> list[Column]:
 
 
 def build_time_hotspot(states: DataFrame, workloads: DataFrame, functions: DataFrame) -> DataFrame:
-    """Ranked hotspots and the function pool they were ranked out of.
-
-    A pool larger than one row may hold continues in rows with part > 0.
-    """
+    """Ranked hotspots and the function pool they were ranked out of, one row per state."""
     usable, _ = filters.usable_profiles(functions, workloads)
     kept, _ = filters.filter_chain(
         states.select("instance_id", "group_id", "variant"), [filters.without_group(), filters.without_profile(usable)]
@@ -154,16 +150,12 @@ def build_time_hotspot(states: DataFrame, workloads: DataFrame, functions: DataF
         .agg(F.array_sort(F.collect_list(F.struct("rank", record.alias("function")))).alias("_ranked"))
         .select("instance_id", F.col("_ranked.function").alias("hotspots"))
     )
-    pools = (
-        with_parts(pool, ["instance_id"], "key")
-        .groupBy("instance_id", "part")
-        .agg(F.array_sort(F.collect_list(record)).alias("functions"))
-    )
+    pools = pool.groupBy("instance_id").agg(F.array_sort(F.collect_list(record)).alias("functions"))
     return (
         states.select(*COPIED_WORKLOAD)
         .join(hotspots, "instance_id")
         .join(pools, "instance_id")
-        .select(*COPIED_WORKLOAD, "hotspots", "functions", "part", *_top_questions())
+        .select(*COPIED_WORKLOAD, "hotspots", "functions", *_top_questions())
     )
 
 

@@ -9,9 +9,6 @@ from pyspark.sql import types as T
 from runlens.operators.filters import unknown_fields, validate_states
 from runlens.schemas import STATES
 
-# Up to this many ids go into the scan as a pushed-down predicate.
-PUSHED_IDS = 1_000
-
 
 def read_states_jsonl(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Valid states, and invalid lines with the rules they break and the line itself.
@@ -34,8 +31,7 @@ def read_states_jsonl(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
 def read_states(spark: SparkSession, path: str, instance_ids: list[str] | DataFrame | None = None) -> DataFrame:
     """Published states; only wanted ids are materialized.
 
-    A short list is pushed into the scan. A longer one, or a table of ids, becomes a semi join, for
-    which Spark can build a runtime filter.
+    A list or table of ids is a semi join, for which Spark can build a runtime filter.
     """
     states = spark.read.schema(STATES).parquet(path)
     return pick_ids(states, instance_ids)
@@ -44,12 +40,9 @@ def read_states(spark: SparkSession, path: str, instance_ids: list[str] | DataFr
 def pick_ids(states: DataFrame, instance_ids: list[str] | DataFrame | None) -> DataFrame:
     if instance_ids is None:
         return states
-    if isinstance(instance_ids, DataFrame):
-        return states.join(instance_ids.select("instance_id"), "instance_id", "left_semi")
-    if len(instance_ids) <= PUSHED_IDS:
-        return states.where(F.col("instance_id").isin(instance_ids))
-    wanted = states.sparkSession.createDataFrame([(i,) for i in instance_ids], "instance_id string")
-    return states.join(wanted, "instance_id", "left_semi")
+    if not isinstance(instance_ids, DataFrame):
+        instance_ids = states.sparkSession.createDataFrame([(i,) for i in instance_ids], "instance_id string")
+    return states.join(instance_ids.select("instance_id"), "instance_id", "left_semi")
 
 
 def select_ids(df: DataFrame, ids: DataFrame, key: str = "instance_id") -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -39,39 +40,76 @@ def stream_results(results: DataFrame, path: str, checkpoint: str, key: str = "i
     )
 
 
+def _fs_path(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _last_version(spark: SparkSession, path: str) -> int | None:
+    """Number of the newest complete list of bucket folders, if there is one."""
+    files, folder = _fs_path(spark, f"{path}/versions")
+    if not files.exists(folder):
+        return None
+    numbers = [int(s.getPath().getName()) for s in files.listStatus(folder) if s.getPath().getName().isdigit()]
+    done = [n for n in numbers if files.exists(_fs_path(spark, f"{path}/versions/{n}/_SUCCESS")[1])]
+    return max(done, default=None)
+
+
+def _bucket_folders(spark: SparkSession, path: str, version: int | None) -> dict[int, str]:
+    """Bucket -> data folder of a version; at most one small row per bucket."""
+    if version is None:
+        return {}
+    listed = spark.read.schema("bucket int, folder string").parquet(f"{path}/versions/{version}")
+    return dict(map(tuple, listed.collect()))
+
+
+def _buckets(spark: SparkSession, path: str, folders: dict[int, str], schema) -> DataFrame:
+    paths = [f"{path}/data/{folder}/bucket={bucket}" for bucket, folder in sorted(folders.items())]
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def read_upserted(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The table's rows as of its newest complete version."""
+    folders = _bucket_folders(spark, path, _last_version(spark, path))
+    return _buckets(spark, path, folders, schema) if folders else spark.createDataFrame([], schema)
+
+
 def upsert_batch(path: str, key: str, order: str, buckets: int = BUCKETS):
     """A foreachBatch function that merges a batch into a bucketed parquet table.
 
-    Only buckets the batch touches are rewritten, and a replayed batch gives the same table.
+    Of all rows of a key, stored or new, the one of the largest `order` stays, a stored one on ties, so
+    late and replayed batches change nothing that is newer. Only the buckets a batch touches are written,
+    to a new folder; a new list of bucket folders, written last, makes them the table's content.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        latest = first_row(batch, [key], [F.col(order).desc()])
-        changed = latest.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-        changed = changed.persist()
+        number = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        changed = first_row(batch, [key], [F.col(order).desc_nulls_last()]).withColumn("bucket", number).persist()
         try:
-            # At most `buckets` numbers come to the driver; they prune the table's partitions.
+            # At most `buckets` numbers come to the driver.
             touched = [r[0] for r in changed.select("bucket").distinct().collect()]
             if not touched:
                 return
-            merged = changed
-            if _exists(spark, path):
-                current = spark.read.parquet(path).where(F.col("bucket").isin(touched))
-                kept = current.join(changed.select(key), key, "left_anti")
-                merged = kept.select(*changed.columns).unionByName(changed)
-            merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+            version = _last_version(spark, path)
+            folders = _bucket_folders(spark, path, version)
+            merged = changed.withColumn("_new", F.lit(1))
+            known = {b: folders[b] for b in touched if b in folders}
+            if known:
+                stored = _buckets(spark, path, known, batch.schema).withColumn("bucket", number)
+                merged = merged.unionByName(stored.withColumn("_new", F.lit(0)))
+                merged = first_row(merged, [key], [F.col(order).desc_nulls_last(), F.col("_new")])
+            folder = uuid.uuid4().hex
+            merged.drop("_new").write.partitionBy("bucket").parquet(f"{path}/data/{folder}")
+            listed = folders | dict.fromkeys(touched, folder)
+            table = spark.createDataFrame(sorted(listed.items()), "bucket int, folder string")
+            table.coalesce(1).write.parquet(f"{path}/versions/{0 if version is None else version + 1}", mode="overwrite")
         finally:
             changed.unpersist()
 
     return merge
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def stream_upsert(rows: DataFrame, path: str, checkpoint: str, key: str = "instance_id", order: str = "seq") -> StreamingQuery:
     """Filled rows into the state table as they arrive; the newest version of an id wins."""
     return (

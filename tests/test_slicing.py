@@ -146,7 +146,7 @@ def test_long_test_files_are_carved_around_their_target(spark):
     early = "def test_x():\n    pass\n" + filler
     data = [("late", late, "a.py::T::test_x[1]"), ("early", early, "test_x (m.T)"), ("lost", filler, "test_x"), ("short", "def test_x(): 1\n", "test_x")]
     df = spark.createDataFrame(data, "name string, content string, test string")
-    got = {r["name"]: r["window"] for r in slicing.carve_window(df).collect()}
+    got = {r["name"]: r["window"] for r in slicing.carve_window(df, 60_000, 8_000, 50_000).collect()}
     assert got["short"] == "def test_x(): 1\n"
     assert got["lost"].startswith(filler[:60000]) and got["lost"].endswith("target `test_x` not located]\n")
     assert got["early"].startswith(early[:25000]) and "truncated past byte" in got["early"]

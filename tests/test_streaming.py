@@ -34,7 +34,18 @@ def test_upsert_keeps_the_newest(spark, tmp_path):
     schema = "instance_id string, seq int, v string"
     stream = feed(spark, tmp_path, schema, [("a", 1, "x"), ("b", 1, "x")], [("a", 2, "y"), ("a", 3, "z"), ("c", 1, "x")])
     jobs.stream_upsert(stream, f"{tmp_path}/t", f"{tmp_path}/cp").awaitTermination()
-    assert rows(spark.read.parquet(f"{tmp_path}/t"), "instance_id", "v") == [("a", "z"), ("b", "x"), ("c", "x")]
+    got = jobs.read_upserted(spark, f"{tmp_path}/t", schema)
+    assert rows(got, "instance_id", "v") == [("a", "z"), ("b", "x"), ("c", "x")]
+
+
+def test_late_rows_of_a_later_batch_change_nothing(spark, tmp_path):
+    schema = "instance_id string, seq int, v string"
+    merge = jobs.upsert_batch(f"{tmp_path}/t", "instance_id", "seq")
+    for number, data in enumerate([[("a", 5, "new"), ("b", 1, "b")], [("a", 1, "old"), ("b", 1, "again"), ("c", 1, "c")], [("a", 6, "newest")]]):
+        merge(spark.createDataFrame(data, schema), number)
+    got = jobs.read_upserted(spark, f"{tmp_path}/t", schema)
+    assert rows(got, "instance_id", "v") == [("a", "newest"), ("b", "b"), ("c", "c")]
+    assert jobs.read_upserted(spark, f"{tmp_path}/none", schema).count() == 0
 
 
 def test_segments_across_batches_equal_the_batch_twin(spark, tmp_path):
