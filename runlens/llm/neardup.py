@@ -3,10 +3,11 @@
 Equal sets form a class first. Every class has a signature of minwise tokens. In each of several trees a
 class follows the tokens at a few chosen coordinates of its signature, on average 1/threshold branches per
 node, so a pair at the threshold keeps meeting while unlike pairs part. Nodes of few classes are compared
-exhaustively. In a larger node all classes are compared with the node's leader, and the node branches on
-while it holds more than one component: by one coordinate first, by several at a time below, so that few
-levels are enough. After the last level, whatever is outside a node's main component is compared with the
-whole node. Candidates pass a lower bound on equal signature coordinates, five
+exhaustively. In a larger node all classes are compared with two leaders, one drawn and one with the least
+share of shingles of its own, and the node branches on while it holds more than one component: by one
+coordinate first, by several at a time below, so that few levels are enough. After the last level, whatever
+is outside a node's main component is compared with the whole node. Shingles that no other class of a large
+node has cannot be shared: they bound the overlap of a pair from above, which leaves out pairs without loss. Candidates pass a lower bound on equal signature coordinates, five
 standard deviations below what the threshold gives, and links are confirmed on the full sets.
 
 Defined results: text that is null, empty or only white space has an empty set and is linked with nothing.
@@ -130,14 +131,22 @@ def _members(nodes: DataFrame) -> DataFrame:
     return stored(nodes.join(sizes.where("size > 1"), "node"), "nodes")
 
 
-def _candidates(members: DataFrame) -> DataFrame:
-    """All pairs of small nodes, which hold LEAF classes at most, and the leader's pairs of the others."""
+def _small_pairs(members: DataFrame) -> DataFrame:
+    """All pairs of the nodes that hold LEAF classes at most."""
     small = members.where(F.col("size") <= LEAF).groupBy("node").agg(F.collect_list("id").alias("ids"))
     pairs = small.select("ids", F.explode("ids").alias("a"))
-    pairs = pairs.select("a", F.explode(F.filter("ids", lambda b: b > F.col("a"))).alias("b"))
-    led = members.where((F.col("size") > LEAF) & (F.col("id") != F.col("leader")))
-    led = led.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
-    return pairs.union(led).distinct()
+    return pairs.select("a", F.explode(F.filter("ids", lambda b: b > F.col("a"))).alias("b"))
+
+
+def _led_pairs(members: DataFrame, common: DataFrame) -> DataFrame:
+    """Every class of a larger node with the node's drawn leader and with its most common class."""
+    large = members.where(F.col("size") > LEAF)
+    central = large.join(common, "id").groupBy("node").agg(
+        F.max_by("id", F.struct(F.col("common") / F.col("n"), F.xxhash64("node", "id"))).alias("central")
+    )
+    leaders = F.explode(F.array_distinct(F.array("leader", "central")))
+    led = large.join(central, "node").select("id", leaders.alias("leader")).where("id <> leader")
+    return led.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
 
 
 class _Join:
@@ -149,8 +158,34 @@ class _Join:
         spread = math.sqrt(threshold * (1 - threshold) / COORDINATES)
         self.least = max(1, math.floor(COORDINATES * (threshold - 5 * spread)))
 
-    def close(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) that sizes and signatures allow."""
+    def sets(self, ids: DataFrame, rows: int) -> DataFrame:
+        texts = self.docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+        texts = texts.join(broadcast_if_small(ids, rows), "id")
+        return stored(map_arrow(texts, _sets, "id long, shingles array<bigint>"), "sets")
+
+    def common(self, members: DataFrame) -> DataFrame:
+        """(id, n, common): for classes of larger nodes, how many shingles some other of them has too."""
+        ids = stored(members.where(F.col("size") > LEAF).select("id").distinct(), "ids")
+        sets = self.sets(ids, ids.count())
+        rows = sets.select("id", F.explode("shingles").alias("shingle"))
+        alone = rows.groupBy("shingle").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("holders")).where("holders = 1")
+        own = alone.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+        # Rows of one id count together: its least set with all their common shingles is a bound for each.
+        sizes = sets.groupBy("id").agg(F.min(F.size("shingles")).alias("n"), F.sum(F.size("shingles")).alias("all"))
+        joined = sizes.join(own, "id", "left")
+        return stored(joined.select("id", "n", (F.col("all") - F.coalesce("own", F.lit(0))).alias("common")), "common")
+
+    def overlap_allows(self, common_a, common_b, n_a, n_b) -> Column:
+        """Whether a pair that shares all its common shingles would reach the threshold."""
+        most = F.least(F.col(common_a), F.col(common_b)) * (100 + self.percent)
+        return F.coalesce(most >= (F.col(n_a) + F.col(n_b)) * self.percent, F.lit(True))
+
+    def close(self, pairs: DataFrame, common: DataFrame | None) -> DataFrame:
+        """Pairs (a, b) that overlap bounds, sizes and signatures allow."""
+        if common is not None:
+            for side in "ab":
+                pairs = pairs.join(common.toDF(side, f"n{side}", f"common_{side}"), side, "left")
+            pairs = pairs.where(self.overlap_allows("common_a", "common_b", "na", "nb")).select("a", "b")
         held = self.classes.select("id", "n", "signature")
         for side in "ab":
             held_side = held.toDF(side, f"n{side}", f"s{side}")
@@ -158,13 +193,10 @@ class _Join:
         fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
         return stored(map_arrow(pairs.where(fits).select("a", "b", "sa", "sb"), _agreeing(self.least), "a long, b long"), "close")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
+    def confirmed(self, pairs: DataFrame, common: DataFrame | None = None) -> DataFrame:
         """Links (a, b) among candidate pairs, by their full sets."""
-        close = self.close(pairs)
-        ids = close.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        texts = self.docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-        texts = texts.join(broadcast_if_small(ids, 2 * close.count()), "id")
-        sets = stored(map_arrow(texts, _sets, "id long, shingles array<bigint>"), "sets")
+        close = self.close(pairs.distinct(), common)
+        sets = self.sets(close.select(F.explode(F.array("a", "b")).alias("id")).distinct(), 2 * close.count())
         both = close.select("a", "b").join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
         shared = F.size(F.array_intersect("left", "right"))
         union = F.size("left") + F.size("right") - F.col("shared")
@@ -193,21 +225,30 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     return stored(old.union(new), "roots")
 
 
-def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of large nodes that hold more than one component, with the component."""
-    large = members.where(F.col("size") > LEAF).join(roots, "id", "left")
-    large = large.select("node", "id", F.coalesce("root", "id").alias("root"))
+def _mixed(members: DataFrame, roots: DataFrame, common: DataFrame, join: _Join) -> DataFrame:
+    """Classes of larger nodes that hold more than one component, with the component.
+
+    Classes whose common shingles are too few for any partner in the node are left out.
+    """
+    large = members.where(F.col("size") > LEAF).select("node", "id").join(common, "id").join(roots, "id", "left")
+    large = large.select("node", "id", "n", "common", F.coalesce("root", "id").alias("root"))
+    least = large.groupBy("node").agg(F.min("n").alias("least"))
+    partner = F.greatest("least", F.ceil(F.col("n") * join.percent / 100))
+    able = F.col("common") * (100 + join.percent) >= (F.col("n") + partner) * join.percent
+    large = large.join(least, "node").where(able).drop("least")
     several = large.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     return stored(large.join(several.select("node"), "node"), "mixed")
 
 
-def _rest(mixed: DataFrame) -> DataFrame:
-    """Pairs of everything outside a node's main component with the node's other classes."""
+def _rest(mixed: DataFrame, join: _Join) -> DataFrame:
+    """Pairs of everything outside a node's main component with the node's other classes, by overlap bound."""
     counts = mixed.groupBy("node", "root").agg(F.count(F.lit(1)).alias("rows"))
     main = counts.groupBy("node").agg(F.max_by("root", "rows").alias("main"))
-    outside = mixed.join(main, "node").where("root <> main").select("node", F.col("id").alias("a"), F.col("root").alias("ra"))
-    pairs = outside.join(mixed.select("node", F.col("id").alias("b"), F.col("root").alias("rb")), "node").where("ra <> rb")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    outside = mixed.join(main, "node").where("root <> main").select("node", *[F.col(c).alias(f"{c}_a") for c in ("id", "root", "n", "common")])
+    others = mixed.select(F.col("node").alias("node_b"), *[F.col(c).alias(f"{c}_b") for c in ("id", "root", "n", "common")])
+    meets = (F.col("node") == F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
+    pairs = outside.join(others, meets & join.overlap_allows("common_a", "common_b", "n_a", "n_b"))
+    return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -219,17 +260,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = stored(classes.agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")), "classes")
     join = _Join(docs, classes, percent)
     roots = docs.sparkSession.createDataFrame([], "id long, root long")
-    nodes = _roots(classes, threshold)
+    nodes, common = _roots(classes, threshold), None
     for steps in (*STEPS, 0):
         members = _members(nodes)
-        roots = _joined(roots, join.confirmed(_across(_candidates(members), roots)))
-        mixed = _mixed(members, roots)
-        if mixed.isEmpty():
+        large = not members.where(F.col("size") > LEAF).isEmpty()
+        pairs = _small_pairs(members)
+        if large:
+            common = join.common(members) if common is None else common
+            pairs = pairs.union(_led_pairs(members, common))
+        roots = _joined(roots, join.confirmed(_across(pairs, roots), common))
+        mixed = _mixed(members, roots, common, join) if large else None
+        if mixed is None or mixed.isEmpty():
             break
         if steps:
             nodes = _branches(mixed, classes, threshold, steps)
         else:
-            roots = _joined(roots, join.confirmed(_across(_rest(mixed), roots)))
+            roots = _joined(roots, join.confirmed(_across(_rest(mixed, join), roots), common))
     named = classes.drop("signature").join(roots, "id", "left")
     named = named.select("n", "d1", "d2", F.coalesce("root", "id").alias("root"))
     placed = signed.drop("signature").join(named, ["n", "d1", "d2"], "left")
