@@ -146,6 +146,10 @@ def with_base_health(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     return joined.withColumn("is_base_healthy", ~F.coalesce("_broken", F.lit(False))).drop("_broken")
 
 
+# Parts of one state's tests in joins where the state meets many pairs.
+SALTS = 32
+
+
 def entry_masks(entries: DataFrame, key: str = "instance_id") -> DataFrame:
     """One row per (state, test): which lists name the test."""
     bit = F.coalesce(*[F.when(F.col("status") == s, F.lit(b)) for s, b in BITS.items()])
@@ -231,13 +235,17 @@ def pair_figures(pairs: DataFrame, entries: DataFrame, errors: DataFrame) -> Dat
 
 
 def flipped_tests(pairs: DataFrame, entries: DataFrame) -> DataFrame:
-    """Every test either side reports, with both statuses and whether they differ."""
-    masks = entry_masks(entries)
+    """Every test either side reports, with both statuses and whether they differ.
+
+    A base stands in every pair of its group, so its tests are dealt to `SALTS` parts of its key.
+    """
+    masks = entry_masks(entries).withColumn("_salt", F.pmod(F.xxhash64("test"), F.lit(SALTS)).cast("int"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
 
     def side(name: str) -> DataFrame:
         other = "b" if name == "A" else "a"
-        return pairs.select("pair_id", F.col(f"instance_id_{name}").alias("instance_id")).join(
-            masks, "instance_id"
+        return pairs.select("pair_id", F.col(f"instance_id_{name}").alias("instance_id"), salts).join(
+            masks, ["instance_id", "_salt"]
         ).select(
             "pair_id",
             "test",

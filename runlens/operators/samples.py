@@ -224,9 +224,10 @@ def match_trace_test(samples: DataFrame, tests: DataFrame) -> DataFrame:
         .groupBy("instance_id", F.substring_index("test", "[", 1).alias("_prefix"))
         .agg(F.min_by(F.struct("pos", "test"), F.col("pos")).alias("_found"))
     )
-    prefixes = open_rows.select("sample_id", "instance_id", "test").withColumn(
-        "_length", F.explode(F.sequence(F.lit(0), F.length("test")))
-    )
+    # A sample offers only prefixes as long as some bare id of its instance.
+    lengths = bare.groupBy("instance_id").agg(F.collect_set(F.length("_prefix")).alias("_lengths"))
+    prefixes = open_rows.select("sample_id", "instance_id", "test").join(lengths, "instance_id")
+    prefixes = prefixes.withColumn("_length", F.explode(F.filter("_lengths", lambda n: n <= F.length("test"))))
     prefixes = prefixes.withColumn("_prefix", F.expr("substring(test, 1, _length)"))
     hits = (
         prefixes.join(bare, ["instance_id", "_prefix"])
