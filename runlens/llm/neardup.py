@@ -112,15 +112,18 @@ def _branches(members: DataFrame, classes: DataFrame, threshold: float, steps: i
     In each generation a node goes on with one chosen coordinate, and a share of the nodes with a second.
     """
     rows = members.select("node", "id").join(classes.select("id", "signature"), "id")
+    nodes = F.array("node")
     for _ in range(steps):
-        one = F.pmod(F.xxhash64("node", F.lit("one")), F.lit(COORDINATES)).cast("int")
-        two = F.pmod(F.xxhash64("node", F.lit("two")), F.lit(COORDINATES)).cast("int")
-        more = F.pmod(F.xxhash64("node", F.lit("more")), F.lit(1_000_000)) < int(_extra(threshold) * 1_000_000)
-        chosen = F.array_distinct(F.when(more, F.array(one, two)).otherwise(F.array(one)))
-        rows = rows.select("id", "node", "signature", F.explode(chosen).alias("c"))
-        child = F.xxhash64("node", "c", _token("signature", F.col("c")))
-        rows = rows.select("id", child.alias("node"), "signature")
-    return rows.select("node", "id")
+        nodes = F.flatten(F.transform(nodes, lambda node: _children(node, threshold)))
+    return rows.select(F.explode(nodes).alias("node"), "id")
+
+
+def _children(node: Column, threshold: float) -> Column:
+    one = F.pmod(F.xxhash64(node, F.lit("one")), F.lit(COORDINATES)).cast("int")
+    two = F.pmod(F.xxhash64(node, F.lit("two")), F.lit(COORDINATES)).cast("int")
+    more = F.pmod(F.xxhash64(node, F.lit("more")), F.lit(1_000_000)) < int(_extra(threshold) * 1_000_000)
+    chosen = F.array_distinct(F.when(more, F.array(one, two)).otherwise(F.array(one)))
+    return F.transform(chosen, lambda c: F.xxhash64(node, c, _token("signature", c)))
 
 
 def _members(nodes: DataFrame) -> DataFrame:
