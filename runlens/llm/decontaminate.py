@@ -4,9 +4,14 @@ Numbers, units and names become typed placeholders, so a question that was asked
 has the same template. Windows of five template words are hashed and joined with the windows of the
 benchmark items. A document holds an item when it has at least `share` of the item's distinct windows and
 the slots agree: within one alignment, equal values of the item stand for equal values of the document.
-Windows with fewer than three literal words prove nothing and are left out.
+Template windows with fewer than three literal words prove nothing and are left out.
 
-Defined results: null or empty text holds nothing, nor does an item without usable windows get found. An
+Every text is read in three ways: names only inside sentences; every capitalised word but function words as
+a name, wherever it stands and however the lines break; and plain lower-case words without placeholders.
+An item is found by any reading of its own, windows of all readings of the document counting. The plain
+reading keeps all windows, so copies that changed only case, punctuation or line breaks are found.
+
+Defined results: null or empty text holds nothing, nor does an item without words get found. An
 item shorter than a window is found only in documents that consist of it. Repeated rows are judged each
 for itself, and an id is contaminated if one of its rows is; null ids are one id. Repeated items count
 once per item_id. An empty benchmark or table gives no finding.
@@ -29,8 +34,18 @@ _UNITS = (
     "km|m|cm|mm|miles?|feet|ft|inch(?:es)?|kg|g|mg|grams?|pounds?|lbs?|tons?|litres?|liters?|l|ml|seconds?|minutes?|"
     "hours?|days?|weeks?|months?|years?|dollars?|euros?|cents?|degrees?|percent"
 )
+# Words that begin sentences without being names.
+_FUNCTION_WORDS = (
+    "A|After|All|An|And|Are|As|At|Be|Because|Before|Both|But|By|Can|Could|Did|Do|Does|During|Each|Every|For|From|Given|"
+    "Had|Has|Have|He|Her|His|How|I|If|In|Is|It|Its|Let|May|My|No|Not|Of|On|Or|Our|She|Should|Since|So|Some|That|The|"
+    "Their|Then|There|These|They|This|Those|To|Was|We|Were|What|When|Where|Which|While|Who|Whose|Why|Will|With|Would|"
+    "You|Your"
+)
 # A capital inside a sentence begins a name, which goes on over further capitalised words.
 _NAME_PATTERN = r"\p{Lu}(?<=[\p{Ll}\p{Nd},;:] \p{Lu})[\p{L}'’-]*(?: \p{Lu}[\p{L}'’-]*)*"
+# The same wherever it stands: any capitalised words but function words.
+_CAPITALISED = rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}'’-])(?!(?:{_FUNCTION_WORDS})(?![\p{{L}}'’-]))\p{{Lu}}[\p{{L}}'’-]*"
+_FREE_NAME_PATTERN = rf"{_CAPITALISED}(?: {_CAPITALISED})*"
 _NUMBER_PATTERN = r"[0-9]+(?:[.,:/][0-9]+)*"
 _UNIT_PATTERN = rf"(?<={NUMBER} {{1,2}})(?:{_UNITS})(?![\p{{L}}\p{{N}}])|%"
 
@@ -38,19 +53,34 @@ _UNIT_PATTERN = rf"(?<={NUMBER} {{1,2}})(?:{_UNITS})(?![\p{{L}}\p{{N}}])|%"
 _ENTRIES = "array<struct<place:int,value:string>>"
 
 
-def _steps(text: Column) -> list[Column]:
+# Readings of a text; items and documents are read in each of them.
+INSIDE, FREE, PLAIN = 0, 1, 2
+READINGS = (INSIDE, FREE, PLAIN)
+_NAMES_OF = {INSIDE: _NAME_PATTERN, FREE: _FREE_NAME_PATTERN}
+
+
+def _steps(text: Column, reading: int) -> list[Column]:
     """The text, then with names, numbers and units replaced in turn."""
-    named = F.regexp_replace(text, _NAME_PATTERN, f" {NAME} ")
+    text = F.regexp_replace(text, r"\s+", " ") if reading == FREE else text
+    named = F.regexp_replace(text, _NAMES_OF[reading], f" {NAME} ")
     numbered = F.regexp_replace(named, _NUMBER_PATTERN, f" {NUMBER} ")
     return [text, named, numbered, F.regexp_replace(numbered, _UNIT_PATTERN, f" {UNIT} ")]
 
 
-def template_words(text: Column) -> Column:
-    """Lower-case words of the template; an empty array for null or empty text."""
-    plain = F.regexp_replace(F.lower(_steps(text)[-1]), rf"[^\p{{L}}\p{{M}}\p{{N}}{NAME}{NUMBER}{UNIT}]+", " ")
+def _words(replaced: Column) -> Column:
+    plain = F.regexp_replace(F.lower(replaced), rf"[^\p{{L}}\p{{M}}\p{{N}}{NAME}{NUMBER}{UNIT}]+", " ")
     return F.filter(F.split(F.coalesce(F.trim(plain), F.lit("")), " ", -1), lambda w: w != "")
 
 
+def _unmarked(text: Column) -> Column:
+    return F.translate(text, NAME + NUMBER + UNIT, "   ")
+
+
+def template_words(text: Column, reading: int = INSIDE) -> Column:
+    """Lower-case words of the template; an empty array for null or empty text."""
+    return _words(_unmarked(text) if reading == PLAIN else _steps(text, reading)[-1])
+
+
 def windows(words: Column) -> Column:
     """Hashes of all windows of the template in order; of the whole sequence where it is shorter."""
     hashes = F.transform(words, lambda w: F.xxhash64(w))
@@ -65,13 +95,15 @@ def _places(words: Column, kind: str) -> Column:
     return F.filter(F.transform(words, lambda w, i: F.when(w == kind, i)), lambda i: i.isNotNull())
 
 
-def _slots(words: Column, text: Column) -> Column:
-    """Place of each placeholder -> its value, lower-cased."""
-    kinds = zip((NAME, NUMBER, UNIT), (_NAME_PATTERN, _NUMBER_PATTERN, _UNIT_PATTERN), _steps(text), strict=False)
+def _slots(words: Column, steps: Column, reading: Column) -> Column:
+    """Place of each placeholder -> its value, lower-cased; nothing in the plain reading."""
+    names = [F.when(reading == r, F.regexp_extract_all(steps[0], F.lit(p), F.lit(0))) for r, p in _NAMES_OF.items()]
+    found = [F.coalesce(*names)]
+    found += [F.when(reading != PLAIN, F.regexp_extract_all(steps[k], F.lit(p), F.lit(0))) for k, p in ((1, _NUMBER_PATTERN), (2, _UNIT_PATTERN))]
     entries = []
-    for kind, pattern, source in kinds:
+    for kind, matches in zip((NAME, NUMBER, UNIT), found, strict=True):
         places = _places(words, kind)
-        values = F.transform(F.regexp_extract_all(source, F.lit(pattern), F.lit(0)), lambda v: F.lower(v))
+        values = F.transform(matches, lambda v: F.lower(v))
         # Stray placeholder characters in the text itself make the counts differ; such slots stay unknown.
         known = F.when(F.size(places) == F.size(values), F.arrays_zip(places, values))
         entries.append(F.coalesce(known.cast(_ENTRIES), F.array().cast(_ENTRIES)))
@@ -82,55 +114,69 @@ def _is_literal(word: Column) -> Column:
     return ~word.isin(NAME, NUMBER, UNIT)
 
 
+def _read(texts: DataFrame, *kept: str) -> DataFrame:
+    """One row per text and reading: the kept columns, reading, words and slots."""
+    each = [F.struct(F.lit(r).alias("reading"), F.array(*_steps(F.col("text"), r)).alias("steps")) for r in _NAMES_OF]
+    each.append(F.struct(F.lit(PLAIN).alias("reading"), F.array(_unmarked(F.col("text"))).alias("steps")))
+    read = texts.select(*kept, F.inline(F.array(*each)))
+    read = read.select(*kept, "reading", "steps", _words(F.element_at("steps", -1)).alias("words"))
+    return read.select(*kept, "reading", "words", _slots(F.col("words"), F.col("steps"), F.col("reading")).alias("slots"))
+
+
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, window, place, its slots as (offset, value), and the item's number of distinct windows."""
+    """item_id, reading, window, place, its slots as (offset, value), and the reading's number of distinct windows."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL")
-    items = items.withColumn("words", template_words(F.col("text")))
-    items = items.withColumn("slots", _slots(F.col("words"), F.col("text")))
-    rows = items.select("item_id", "words", "slots", F.posexplode(windows(F.col("words"))).alias("place", "window"))
+    items = _read(items, "item_id")
+    rows = items.select("item_id", "reading", "words", "slots", F.posexplode(windows(F.col("words"))).alias("place", "window"))
     inside = F.slice("words", F.col("place") + 1, WORDS)
     literal = F.size(F.filter(inside, _is_literal))
-    usable = rows.where(literal >= F.least(F.lit(LITERALS), F.size(inside)))
+    usable = rows.where((F.col("reading") == PLAIN) | (literal >= F.least(F.lit(LITERALS), F.size(inside))))
     offsets = F.filter(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda k: F.element_at("slots", F.col("place") + k).isNotNull())
     valued = F.transform(offsets, lambda k: F.struct(k.alias("offset"), F.element_at("slots", F.col("place") + k).alias("value")))
-    usable = usable.select("item_id", "window", "place", valued.alias("slots"))
-    totals = usable.groupBy("item_id").agg(F.count_distinct("window").alias("total"))
-    return stored(usable.join(totals, "item_id"), "item-windows")
+    usable = usable.select("item_id", "reading", "window", "place", valued.alias("slots"))
+    totals = usable.groupBy("item_id", "reading").agg(F.count_distinct("window").alias("total"))
+    return stored(usable.join(totals, ["item_id", "reading"]), "item-windows")
 
 
 def _holding(docs: DataFrame, known: DataFrame, share: float) -> DataFrame:
-    """(doc_id, item_id, coverage) by windows alone."""
-    wanted = known.select("window", "item_id", "total").distinct()
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), template_words(F.col("text")).alias("words"))
-    found = rows.select("doc_id", "row", F.explode(F.array_distinct(windows(F.col("words")))).alias("window"))
+    """(doc_id, item_id, reading, coverage) by windows alone; the reading is the item's."""
+    wanted = known.select("window", "item_id", "reading", "total").distinct()
+    read = [windows(template_words(F.col("text"), r)) for r in READINGS]
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.array_distinct(F.concat(*read)).alias("windows"))
+    found = rows.select("doc_id", "row", F.explode("windows").alias("window"))
     held = found.join(broadcast_if_small(wanted, known.count()), "window")
-    held = held.groupBy("doc_id", "row", "item_id").agg(F.count(F.lit(1)).alias("n"), F.first("total").alias("total"))
-    held = held.select("doc_id", "item_id", (F.col("n") / F.col("total")).alias("coverage")).where(F.col("coverage") >= share)
-    return held.groupBy("doc_id", "item_id").agg(F.max("coverage").alias("coverage"))
+    held = held.groupBy("doc_id", "row", "item_id", "reading").agg(F.count(F.lit(1)).alias("n"), F.first("total").alias("total"))
+    held = held.select("doc_id", "item_id", "reading", (F.col("n") / F.col("total")).alias("coverage")).where(F.col("coverage") >= share)
+    return held.groupBy("doc_id", "item_id", "reading").agg(F.max("coverage").alias("coverage"))
 
 
 def _agreeing(docs: DataFrame, pairs: DataFrame, known: DataFrame, share: float) -> DataFrame:
     """The pairs whose windows without contradicting slots still cover the item."""
     texts = docs.join(broadcast_if_small(pairs.select(F.col("doc_id").alias("held_id")).distinct(), pairs.count()), F.col("doc_id").eqNullSafe(F.col("held_id")), "left_semi")
-    texts = texts.select("doc_id", F.monotonically_increasing_id().alias("row"), "text", template_words(F.col("text")).alias("words"))
-    rows = texts.select("doc_id", "row", _slots(F.col("words"), F.col("text")).alias("of_doc"), F.posexplode(windows(F.col("words"))).alias("at", "window"))
+    texts = texts.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    read = _read(texts, "doc_id", "row")
+    rows = read.select("doc_id", "row", F.col("reading").alias("way"), F.col("slots").alias("of_doc"), F.posexplode(windows(F.col("words"))).alias("at", "window"))
     matched = rows.join(broadcast_if_small(known, known.count()), "window")
-    pair = pairs.select(F.col("doc_id").alias("held_id"), F.col("item_id").alias("held_item"))
-    matched = matched.join(pair, F.col("doc_id").eqNullSafe(F.col("held_id")) & (F.col("item_id") == F.col("held_item")), "left_semi")
+    pair = pairs.select(F.col("doc_id").alias("held_id"), F.col("item_id").alias("held_item"), F.col("reading").alias("held_reading"))
+    wanted = (F.col("item_id") == F.col("held_item")) & (F.col("reading") == F.col("held_reading"))
+    matched = matched.join(pair, F.col("doc_id").eqNullSafe(F.col("held_id")) & wanted, "left_semi")
     matched = matched.withColumn("shift", F.col("at") - F.col("place"))
-    one = matched.select("doc_id", "row", "item_id", "total", "window", "shift", "at", "of_doc", F.explode_outer("slots").alias("slot"))
+    held = ["doc_id", "row", "item_id", "reading", "total"]
+    one = matched.select(*held, "window", "way", "shift", "at", "of_doc", F.explode_outer("slots").alias("slot"))
     one = one.withColumn("given", F.element_at("of_doc", F.col("at") + F.col("slot.offset")))
     # The values that one value of the item stands for, within one alignment.
-    stands = one.groupBy("doc_id", "row", "item_id", "shift", F.col("slot.value").alias("value")).agg(
+    stands = one.groupBy("doc_id", "row", "item_id", "reading", "way", "shift", F.col("slot.value").alias("value")).agg(
         F.min("given").alias("low"), F.max("given").alias("high")
     )
     against = stands.where("low <> high").select(
-        F.col("doc_id").alias("d"), F.col("row").alias("r"), F.col("item_id").alias("i"), F.col("shift").alias("s"), F.col("value").alias("v")
+        F.col("doc_id").alias("d"), F.col("row").alias("r"), F.col("item_id").alias("i"), F.col("reading").alias("g"),
+        F.col("way").alias("w"), F.col("shift").alias("s"), F.col("value").alias("v"),
     )
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")) & (F.col("item_id") == F.col("i"))
-    one = one.join(against, same & (F.col("shift") == F.col("s")) & (F.col("slot.value") == F.col("v")), "left")
-    good = one.groupBy("doc_id", "row", "item_id", "total", "shift", "window").agg(F.max(F.col("v").isNotNull()).alias("bad")).where("NOT bad")
-    counted = good.groupBy("doc_id", "row", "item_id", "total").agg(F.count_distinct("window").alias("n"))
+    same &= (F.col("reading") == F.col("g")) & (F.col("way") == F.col("w")) & (F.col("shift") == F.col("s"))
+    one = one.join(against, same & (F.col("slot.value") == F.col("v")), "left")
+    good = one.groupBy(*held, "way", "shift", "window").agg(F.max(F.col("v").isNotNull()).alias("bad")).where("NOT bad")
+    counted = good.groupBy(*held).agg(F.count_distinct("window").alias("n"))
     counted = counted.select("doc_id", "item_id", (F.col("n") / F.col("total")).alias("coverage")).where(F.col("coverage") >= share)
     return counted.groupBy("doc_id", "item_id").agg(F.max("coverage").alias("coverage"))
 
@@ -140,12 +186,12 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, share: float = SHARE)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = item_windows(benchmark)
     held = stored(_holding(docs, known, share), "held")
-    varied = known.where(F.size("slots") > 0).select("item_id").distinct()
-    checked = stored(held.join(varied, "item_id", "left_semi"), "checked")
-    if checked.isEmpty():
-        return held
-    plain = held.join(varied, "item_id", "left_anti")
-    return plain.unionByName(_agreeing(docs, checked, known, share))
+    varied = known.where(F.size("slots") > 0).select("item_id", "reading").distinct()
+    checked = stored(held.join(varied, ["item_id", "reading"], "left_semi"), "checked")
+    found = held.join(varied, ["item_id", "reading"], "left_anti").select("doc_id", "item_id", "coverage")
+    if not checked.isEmpty():
+        found = found.unionByName(_agreeing(docs, checked, known, share))
+    return found.groupBy("doc_id", "item_id").agg(F.max("coverage").alias("coverage"))
 
 
 def marked(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:

@@ -138,6 +138,19 @@ def test_decontamination(spark):
     assert decontaminate.marked(odd(spark), items).count() == odd(spark).count()
 
 
+def test_names_at_any_place_and_copies_in_any_case(spark):
+    opening = "{0} has {1} apples in a big basket. {0} buys {2} more apples at the market. {0} then gives away half of them to friends."
+    inside = "On the long way home from school Betty met Carl and Dora near the old mill before they all went to see Emil"
+    items = spark.createDataFrame([(1, opening.format("Tom", 3, 5)), (2, inside)], "item_id long, text string")
+    rows = [
+        (1, opening.format("Ann", 7, 9), [1]), (2, "Read this\n" + opening.format("Ann", 7, 9).replace(" ", "\n"), [1]),
+        (3, "Ann has 7 apples in a big basket. Bob buys 9 more apples at the market. Carl then gives away half of them to friends.", []),
+        (4, inside.lower(), [2]), (5, inside.upper(), [2]), (6, inside.replace(" Betty", "\nBetty").replace(" Dora", "\nDora"), [2]),
+    ]
+    got = {r.doc_id: r.item_ids for r in decontaminate.marked(frame(spark, [r[:2] for r in rows]), items).collect()}
+    assert got == {i: held for i, _, held in rows}
+
+
 def test_decontamination_by_shuffle(spark, monkeypatch):
     from runlens.llm import shared
 
