@@ -4,7 +4,8 @@ Numbers, units and names become typed placeholders, so a question that was asked
 has the same template. Windows of five template words are hashed and joined with the windows of the
 benchmark items. A document holds an item when it has at least `share` of the item's distinct windows and
 the slots agree: within one alignment, equal values of the item stand for equal values of the document.
-Template windows with fewer than three literal words prove nothing and are left out.
+Template windows with fewer than three literal words prove nothing by themselves: they find no document, but
+count where they stand in line with windows that do, so that an item is judged on all its windows.
 
 Every text is read in three ways: names only inside sentences; every capitalised word but function words as
 a name, wherever it stands and however the lines break; and plain lower-case words without placeholders.
@@ -124,23 +125,26 @@ def _read(texts: DataFrame, *kept: str) -> DataFrame:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, reading, window, place, its slots as (offset, value), and the reading's number of distinct windows."""
+    """item_id, reading, window, place, its slots as (offset, value), whether it proves, and the reading's
+    numbers of distinct windows and of proving ones."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL")
     items = _read(items, "item_id")
     rows = items.select("item_id", "reading", "words", "slots", F.posexplode(windows(F.col("words"))).alias("place", "window"))
     inside = F.slice("words", F.col("place") + 1, WORDS)
     literal = F.size(F.filter(inside, _is_literal))
-    usable = rows.where((F.col("reading") == PLAIN) | (literal >= F.least(F.lit(LITERALS), F.size(inside))))
+    proves = (F.col("reading") == PLAIN) | (literal >= F.least(F.lit(LITERALS), F.size(inside)))
     offsets = F.filter(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda k: F.element_at("slots", F.col("place") + k).isNotNull())
     valued = F.transform(offsets, lambda k: F.struct(k.alias("offset"), F.element_at("slots", F.col("place") + k).alias("value")))
-    usable = usable.select("item_id", "reading", "window", "place", valued.alias("slots"))
-    totals = usable.groupBy("item_id", "reading").agg(F.count_distinct("window").alias("total"))
-    return stored(usable.join(totals, ["item_id", "reading"]), "item-windows")
+    rows = rows.select("item_id", "reading", "window", "place", valued.alias("slots"), proves.alias("proves"))
+    totals = rows.groupBy("item_id", "reading").agg(
+        F.count_distinct("window").alias("total"), F.count_distinct(F.when(F.col("proves"), F.col("window"))).alias("proving")
+    )
+    return stored(rows.join(totals, ["item_id", "reading"]), "item-windows")
 
 
 def _holding(docs: DataFrame, known: DataFrame, share: float) -> DataFrame:
-    """(doc_id, item_id, reading, coverage) by windows alone; the reading is the item's."""
-    wanted = known.select("window", "item_id", "reading", "total").distinct()
+    """(doc_id, item_id, reading, coverage) by proving windows alone; the reading is the item's."""
+    wanted = known.where("proves").select("window", "item_id", "reading", F.col("proving").alias("total")).distinct()
     read = [windows(template_words(F.col("text"), r)) for r in READINGS]
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.array_distinct(F.concat(*read)).alias("windows"))
     found = rows.select("doc_id", "row", F.explode("windows").alias("window"))
@@ -153,15 +157,22 @@ def _holding(docs: DataFrame, known: DataFrame, share: float) -> DataFrame:
 def _agreeing(docs: DataFrame, pairs: DataFrame, known: DataFrame, share: float) -> DataFrame:
     """The pairs whose windows without contradicting slots still cover the item."""
     texts = docs.join(broadcast_if_small(pairs.select(F.col("doc_id").alias("held_id")).distinct(), pairs.count()), F.col("doc_id").eqNullSafe(F.col("held_id")), "left_semi")
-    texts = texts.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    texts = stored(texts.select("doc_id", F.monotonically_increasing_id().alias("row"), "text"), "texts")
     read = _read(texts, "doc_id", "row")
     rows = read.select("doc_id", "row", F.col("reading").alias("way"), F.col("slots").alias("of_doc"), F.posexplode(windows(F.col("words"))).alias("at", "window"))
-    matched = rows.join(broadcast_if_small(known, known.count()), "window")
+    matched = rows.join(broadcast_if_small(known.where("proves"), known.count()), "window")
     pair = pairs.select(F.col("doc_id").alias("held_id"), F.col("item_id").alias("held_item"), F.col("reading").alias("held_reading"))
     wanted = (F.col("item_id") == F.col("held_item")) & (F.col("reading") == F.col("held_reading"))
     matched = matched.join(pair, F.col("doc_id").eqNullSafe(F.col("held_id")) & wanted, "left_semi")
     matched = matched.withColumn("shift", F.col("at") - F.col("place"))
     held = ["doc_id", "row", "item_id", "reading", "total"]
+    # The other windows of the item at the same alignments: one place each, whatever else of the text is like them.
+    spots = matched.select(*held, "way", "shift").distinct()
+    other = known.where("NOT proves").select("item_id", "reading", "window", "place", "slots")
+    other = spots.join(broadcast_if_small(other, known.count()), ["item_id", "reading"]).withColumn("at", F.col("shift") + F.col("place"))
+    matched = matched.select(*held, "window", "way", "shift", "at", "of_doc", "slots")
+    other = other.join(rows.drop("doc_id"), ["row", "way", "at", "window"])
+    matched = matched.unionByName(other.select(*matched.columns))
     one = matched.select(*held, "window", "way", "shift", "at", "of_doc", F.explode_outer("slots").alias("slot"))
     one = one.withColumn("given", F.element_at("of_doc", F.col("at") + F.col("slot.offset")))
     # The values that one value of the item stands for, within one alignment.

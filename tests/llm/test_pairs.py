@@ -151,6 +151,21 @@ def test_names_at_any_place_and_copies_in_any_case(spark):
     assert got == {i: held for i, _, held in rows}
 
 
+def test_items_of_few_literal_words(spark):
+    items = [
+        (1, "Compute 3 + 4 * 5 - 6 / 7 and 8 + 9."), (2, "1 2 3 5 7 11 13 17 19"), (3, "they met Ann, Bob, Carl, Dora, Emil, Fred and Gina"),
+        (4, "What is the value of 3 x 4 y 5 z 6 u 7 v 8 w 9 a 10 b 11 c 12"),
+    ]
+    rows = [(i, f"some words before it {text} and some words after it", [i]) for i, text in items]
+    rows += [
+        (5, "What is the value of 3 houses in this town when nobody lives there", []), (6, "1 2 3 4 6 8 9 10 12", []),
+        (7, "Say: What is the value of 4 x 5 y 6 z 7 u 8 v 9 w 10 a 11 b 12 c 13", [4]), (8, "3 4 5 6 7 8 9 " * 40, []),
+    ]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r.item_ids for r in decontaminate.marked(frame(spark, [r[:2] for r in rows]), items).collect()}
+    assert got == {i: held for i, _, held in rows}
+
+
 def test_decontamination_by_shuffle(spark, monkeypatch):
     from runlens.llm import shared
 
