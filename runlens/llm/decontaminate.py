@@ -82,14 +82,17 @@ def template_words(text: Column, reading: int = INSIDE) -> Column:
     return _words(_unmarked(text) if reading == PLAIN else _steps(text, reading)[-1])
 
 
-def windows(words: Column) -> Column:
-    """Hashes of all windows of the template in order; of the whole sequence where it is shorter."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    many = F.greatest(F.size(words) - (WORDS - 1), F.lit(0))
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def windows(hashes: Column) -> Column:
+    """Hashes of all windows of the hashed words in order; of the whole sequence where it is shorter."""
+    many = F.greatest(F.size(hashes) - (WORDS - 1), F.lit(0))
     aligned = F.arrays_zip(*[F.slice(hashes, k + 1, many).alias(f"w{k}") for k in range(WORDS)])
     full = F.transform(aligned, lambda z: F.xxhash64(*[z.getField(f"w{k}") for k in range(WORDS)]))
-    whole = F.when(F.size(words) > 0, F.array(F.xxhash64(hashes))).otherwise(F.array().cast("array<bigint>"))
-    return F.when(F.size(words) >= WORDS, full).otherwise(whole)
+    whole = F.when(F.size(hashes) > 0, F.array(F.xxhash64(hashes))).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(hashes) >= WORDS, full).otherwise(whole)
 
 
 def _places(words: Column, kind: str) -> Column:
@@ -116,12 +119,13 @@ def _is_literal(word: Column) -> Column:
 
 
 def _read(texts: DataFrame, *kept: str) -> DataFrame:
-    """One row per text and reading: the kept columns, reading, words and slots."""
+    """One row per text and reading: the kept columns, reading, words, their hashes and slots."""
     each = [F.struct(F.lit(r).alias("reading"), F.array(*_steps(F.col("text"), r)).alias("steps")) for r in _NAMES_OF]
     each.append(F.struct(F.lit(PLAIN).alias("reading"), F.array(_unmarked(F.col("text"))).alias("steps")))
     read = texts.select(*kept, F.inline(F.array(*each)))
     read = read.select(*kept, "reading", "steps", _words(F.element_at("steps", -1)).alias("words"))
-    return read.select(*kept, "reading", "words", _slots(F.col("words"), F.col("steps"), F.col("reading")).alias("slots"))
+    slots = _slots(F.col("words"), F.col("steps"), F.col("reading"))
+    return read.select(*kept, "reading", "words", _hashes(F.col("words")).alias("hashes"), slots.alias("slots"))
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
@@ -129,7 +133,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     numbers of distinct windows and of proving ones."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL")
     items = _read(items, "item_id")
-    rows = items.select("item_id", "reading", "words", "slots", F.posexplode(windows(F.col("words"))).alias("place", "window"))
+    rows = items.select("item_id", "reading", "words", "slots", F.posexplode(windows(F.col("hashes"))).alias("place", "window"))
     inside = F.slice("words", F.col("place") + 1, WORDS)
     literal = F.size(F.filter(inside, _is_literal))
     proves = (F.col("reading") == PLAIN) | (literal >= F.least(F.lit(LITERALS), F.size(inside)))
@@ -145,9 +149,12 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 def _holding(docs: DataFrame, known: DataFrame, share: float) -> DataFrame:
     """(doc_id, item_id, reading, coverage) by proving windows alone; the reading is the item's."""
     wanted = known.where("proves").select("window", "item_id", "reading", F.col("proving").alias("total")).distinct()
-    read = [windows(template_words(F.col("text"), r)) for r in READINGS]
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.array_distinct(F.concat(*read)).alias("windows"))
-    found = rows.select("doc_id", "row", F.explode("windows").alias("window"))
+    # Words, hashes and windows one after the other: each is made once for the many places that use it.
+    words = [template_words(F.col("text"), r).alias(f"words{r}") for r in READINGS]
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), *words)
+    rows = rows.select("doc_id", "row", *[_hashes(F.col(f"words{r}")).alias(f"hashes{r}") for r in READINGS])
+    read = [windows(F.col(f"hashes{r}")) for r in READINGS]
+    found = rows.select("doc_id", "row", F.explode(F.array_distinct(F.concat(*read))).alias("window"))
     held = found.join(broadcast_if_small(wanted, known.count()), "window")
     held = held.groupBy("doc_id", "row", "item_id", "reading").agg(F.count(F.lit(1)).alias("n"), F.first("total").alias("total"))
     held = held.select("doc_id", "item_id", "reading", (F.col("n") / F.col("total")).alias("coverage")).where(F.col("coverage") >= share)
@@ -158,23 +165,28 @@ def _agreeing(docs: DataFrame, pairs: DataFrame, known: DataFrame, share: float)
     """The pairs whose windows without contradicting slots still cover the item."""
     texts = docs.join(broadcast_if_small(pairs.select(F.col("doc_id").alias("held_id")).distinct(), pairs.count()), F.col("doc_id").eqNullSafe(F.col("held_id")), "left_semi")
     texts = stored(texts.select("doc_id", F.monotonically_increasing_id().alias("row"), "text"), "texts")
-    read = _read(texts, "doc_id", "row")
-    rows = read.select("doc_id", "row", F.col("reading").alias("way"), F.col("slots").alias("of_doc"), F.posexplode(windows(F.col("words"))).alias("at", "window"))
+    read = _read(texts, "doc_id", "row").withColumnRenamed("reading", "way")
+    read = stored(read.select("doc_id", "row", "way", windows(F.col("hashes")).alias("windows"), F.col("slots").alias("of_doc")), "read")
+    rows = read.select("doc_id", "row", "way", "of_doc", F.posexplode("windows").alias("at", "window"))
     matched = rows.join(broadcast_if_small(known.where("proves"), known.count()), "window")
     pair = pairs.select(F.col("doc_id").alias("held_id"), F.col("item_id").alias("held_item"), F.col("reading").alias("held_reading"))
     wanted = (F.col("item_id") == F.col("held_item")) & (F.col("reading") == F.col("held_reading"))
     matched = matched.join(pair, F.col("doc_id").eqNullSafe(F.col("held_id")) & wanted, "left_semi")
-    matched = matched.withColumn("shift", F.col("at") - F.col("place"))
+
+    def given(slots: Column, at: Column) -> Column:
+        return F.transform(slots, lambda s: F.struct(s["value"].alias("value"), F.element_at("of_doc", at + s["offset"]).alias("given")))
+
     held = ["doc_id", "row", "item_id", "reading", "total"]
+    shift = (F.col("at") - F.col("place")).alias("shift")
+    matched = stored(matched.select(*held, "way", shift, "window", given(F.col("slots"), F.col("at")).alias("slots")), "matched")
     # The other windows of the item at the same alignments: one place each, whatever else of the text is like them.
-    spots = matched.select(*held, "way", "shift").distinct()
-    other = known.where("NOT proves").select("item_id", "reading", "window", "place", "slots")
-    other = spots.join(broadcast_if_small(other, known.count()), ["item_id", "reading"]).withColumn("at", F.col("shift") + F.col("place"))
-    matched = matched.select(*held, "window", "way", "shift", "at", "of_doc", "slots")
-    other = other.join(rows.drop("doc_id"), ["row", "way", "at", "window"])
-    matched = matched.unionByName(other.select(*matched.columns))
-    one = matched.select(*held, "window", "way", "shift", "at", "of_doc", F.explode_outer("slots").alias("slot"))
-    one = one.withColumn("given", F.element_at("of_doc", F.col("at") + F.col("slot.offset")))
+    other = known.where("NOT proves").groupBy("item_id", "reading").agg(F.collect_list(F.struct("window", "place", "slots")).alias("others"))
+    spots = matched.select(*held, "way", "shift").distinct().join(other, ["item_id", "reading"])
+    spots = spots.join(read.select("row", "way", "windows", "of_doc"), ["row", "way"])
+    there = F.filter("others", lambda o: F.get("windows", F.col("shift") + o["place"]) == o["window"])
+    there = F.transform(there, lambda o: F.struct(o["window"].alias("window"), given(o["slots"], F.col("shift") + o["place"]).alias("slots")))
+    matched = matched.unionByName(spots.select(*held, "way", "shift", F.inline(there)))
+    one = matched.select(*held, "window", "way", "shift", F.explode_outer("slots").alias("slot")).withColumn("given", F.col("slot.given"))
     # The values that one value of the item stands for, within one alignment.
     stands = one.groupBy("doc_id", "row", "item_id", "reading", "way", "shift", F.col("slot.value").alias("value")).agg(
         F.min("given").alias("low"), F.max("given").alias("high")
