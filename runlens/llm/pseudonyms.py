@@ -23,15 +23,37 @@ ROUNDS = 10
 
 # What candidates look like.
 EMAIL = r"[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})(?:\.[A-Za-z0-9-]{1,63}){1,8}"
-IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+# Lengths of the IBAN registry; a country that is not in it may have any length.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    known = []
+    for size, countries in IBAN_LENGTHS.items():
+        fours, rest = divmod(size - 4, 4)
+        last = f"(?: ?[A-Z0-9]{{{rest}}})" if rest else ""
+        known.append(f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}{last}")
+    others = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+    known.append(rf"(?!{others})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?")
+    return rf"(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(known)})"
+
+
+IBAN = _iban_pattern()
 IPV4 = r"(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])"
 DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./])[0-9]{1,2}\1[0-9]{4}"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 NANP = r"(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
 ABROAD = r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}"
-CARD = r"[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}|[0-9]{13,19}"
+CARD = r"[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{13,19}"
 _ANY = "|".join((EMAIL, IBAN, IPV4, DATE, SSN, NANP, ABROAD, CARD))
-PATTERN = rf"(?<![\p{{L}}\p{{N}}])(?:{_ANY})(?![\p{{L}}\p{{N}}])"
+# The date of a timestamp ends before its T.
+_END = r"(?:(?![\p{L}\p{N}])|(?<=[0-9]{4}-[0-9]{2}-[0-9]{2})(?=T[0-9]{2}))"
+PATTERN = rf"(?<![\p{{L}}\p{{N}}])(?:{_ANY}){_END}"
 
 # Dates are numbered within four whole centuries of the calendar, from this day on.
 _FIRST_DAY = "1700-01-01"

@@ -50,6 +50,15 @@ def test_formats_and_validity(spark):
     assert kinds == [["iban"], ["iban"]]
 
 
+def test_values_with_words_and_numbers_after_them(spark):
+    ibans = ["BE68 5390 0754 7034 NOW", "BE68 5390 0754 7034 2024", "AT61 1904 3002 3457 3201 EUR 50"]
+    new, kinds = replaced(spark, [*ibans, "3782 822463 10005", "3056-930902-5904", "2024-01-31T12:00:00Z"])
+    assert kinds == [["iban"]] * 3 + [["card"]] * 2 + [["date"]]
+    assert [x.split(" ", 4)[4] for x in new[:2]] == ["NOW", "2024"] and new[2].endswith(" EUR 50")
+    assert re.fullmatch(r"3\d{3} \d{6} \d{5}", new[3]) and re.fullmatch(r"3\d{3}-\d{6}-\d{4}", new[4])
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT12:00:00Z", new[5]) and new[5] != "2024-01-31T12:00:00Z"
+
+
 def test_it_is_a_permutation(spark):
     """Over whole small domains every value comes up once."""
     feistel = pseudonyms.Feistel(KEY)
