@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import bpe, decontaminate, fingerprints, langid, licenses, neardup, pseudonyms, quality, secrets_scan, token_files
+from runlens.llm import (
+    bpe,
+    clusters,
+    decontaminate,
+    fingerprints,
+    langid,
+    licenses,
+    neardup,
+    pseudonyms,
+    quality,
+    secrets_scan,
+    simhash,
+    token_files,
+    vector_codes,
+)
 from runlens.llm.shared import fresh_path, table
 
 
@@ -61,6 +75,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_pseudonyms": op2_pseudonyms,
@@ -72,6 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_language_id": op9_language_id,
     "op10_fingerprints": op10_fingerprints,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_clusters": op12_clusters,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLES: dict[str, str] = {
@@ -106,6 +135,8 @@ ORACLES: dict[str, str] = {
         FROM lowest LEFT JOIN sizes USING (doc_id)
     """,
     "op5_licenses": licenses.oracle(),
+    "op11_vector_codes": vector_codes.oracle(),
+    "op12_clusters": clusters.oracle(),
 }
 
 
