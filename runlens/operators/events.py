@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runlens.operators.ordered import first_rows, nearest, next_value, running_max, running_sum
+from runlens.operators.ordered import first_rows, nearest, next_value, running_max
 from runlens.operators.skew import top_n
 
 
@@ -96,28 +96,48 @@ def line_costs(events: DataFrame, key: str = "test") -> DataFrame:
     )
 
 
+def with_called(events: DataFrame, key: str = "test") -> DataFrame:
+    """`called`: ordinal of the last earlier return of at most the event's own depth, 0 where there is none.
+
+    That return is the last one before the event's call. Between a return and the next one, calls are made from
+    the depth of the former to that of the latter; each such depth is offered once, and an event takes the latest
+    offer of its own depth.
+    """
+    depths = next_value(events.select(key, "seq", "depth"), [key], "seq", ["depth"])
+    reached = F.when(F.col("next_depth") >= F.col("depth"), F.sequence("depth", "next_depth"))
+    offers = depths.select(key, F.explode(reached).alias("depth"), "seq", F.col("seq").alias("_offer"))
+    both = events.withColumn("_offer", F.lit(None).cast("long")).withColumn("_asks", F.lit(True))
+    both = both.unionByName(offers, allowMissingColumns=True)
+    # An offer is made after its return: it stands between two ordinals.
+    both = both.withColumn("_at", F.col("seq") * 2 + F.col("_asks").isNull().cast("int"))
+    found = nearest(both, [key, "depth"], "_at", "_offer", "called").where("_asks").drop("_offer", "_asks", "_at")
+    return found.withColumn("called", F.coalesce("called", F.lit(0).cast("long")))
+
+
 def apply_limits(
     events: DataFrame, max_events: int, max_depth: int, max_functions: int, key: str = "test"
 ) -> tuple[DataFrame, DataFrame]:
     """Events a bounded trace keeps, and the limits each test ran into.
 
-    Limits act when a call is made. `called` is the ordinal of the test's last return before the call, 0
-    before the first; calls made after the same return follow each other in depth. Functions are known in
-    the order of their first call. Calls made before the `max_events`-th recorded return are kept, those
-    that enclose it included; later calls count towards the event limit only.
+    Limits act when a call is made, after the return that `with_called` tells; calls made after the same
+    return follow each other in depth. Functions are known in the order of their first call. Calls made before
+    the `max_events`-th recorded return are kept, those that enclose it included; later calls count towards the
+    event limit only.
     """
-    shallow = events.where(F.col("depth") < max_depth)
-    uses = shallow.groupBy(key, "func").agg(F.min(F.col("called") * max_depth + F.col("depth")).alias("_first"))
-    known = first_rows(uses, [key], "_first", max_functions).select(key, "func")
-    told = shallow.join(known, [key, "func"], "left_semi")
-    recorded = first_rows(told, [key], "seq", max_events).groupBy(key)
+    columns = events.columns
+    is_shallow = F.col("depth") < max_depth
+    called = with_called(events, key)
+    uses = called.where(is_shallow).groupBy(key, "func").agg(F.min(F.struct("called", "depth")).alias("_first"))
+    # The literal bound prunes before the shuffle; a test knows few functions of the many that it calls.
+    known = top_n(uses, [key], [F.col("_first")], max_functions, "_place").select(key, "func", F.lit(True).alias("_known"))
+    seen = called.join(known, [key, "func"], "left")
+    told = is_shallow & F.col("_known").isNotNull()
+    recorded = first_rows(seen.where(told).select(key, "seq"), [key], "seq", max_events).groupBy(key)
     full = recorded.agg(F.count(F.lit(1)).alias("_rows"), F.max("seq").alias("_full")).where(F.col("_rows") == max_events)
-    limits = full.select(key, "_full")
+    timed = seen.join(full.select(key, "_full"), key, "left")
     in_time = F.col("_full").isNull() | (F.col("called") < F.col("_full"))
-    kept = told.join(limits, key, "left").where(in_time).drop("_full")
-    seen = events.join(limits, key, "left").join(known.withColumn("_known", F.lit(True)), [key, "func"], "left")
-    is_shallow = F.col("depth") < max_depth
-    met = seen.groupBy(key).agg(
+    kept = timed.where(told & in_time).select(*columns, "called")
+    met = timed.groupBy(key).agg(
         F.bool_or(~is_shallow).alias("_deep"),
         F.bool_or(is_shallow & in_time & F.col("_known").isNull()).alias("_many_functions"),
         F.bool_or(is_shallow & ~in_time).alias("_many_events"),
@@ -171,6 +191,77 @@ def _outermost(spans: DataFrame, key: str) -> DataFrame:
     return seen.where(F.coalesce("_reached", F.lit(-1)) < F.col("start_seq")).drop("_reached")
 
 
+# Ordinals of a chunk, and chunks of the next wider one, that `memory_peaks` folds at a time.
+FOLD_ROWS, FOLD_CHUNKS = 2048, 2048
+
+_OPEN = "array<struct<depth:int,high:bigint,own:bigint,kept:bigint>>"
+
+
+def _merged(a: Column, b: Column) -> Column:
+    """What level `a` holds after `b` followed it: own peaks count net of what callees kept before."""
+    return F.struct(
+        a["depth"].alias("depth"),
+        F.greatest(a["high"], b["high"]).alias("high"),
+        F.greatest(a["own"], b["own"] - a["kept"]).alias("own"),
+        (a["kept"] + b["kept"]).alias("kept"),
+    )
+
+
+def _onto(levels: Column, one: Column) -> Column:
+    """Levels, outermost first, with one more reading; it goes to the innermost level but in broken streams."""
+    top = F.try_element_at(levels, F.lit(-1))
+    rest = F.slice(levels, 1, F.greatest(F.size(levels) - 1, F.lit(0)))
+    spread = F.transform(levels, lambda x: F.when(x["depth"] == one["depth"], _merged(x, one)).otherwise(x))
+    missing = F.array_sort(F.concat(levels, F.array(one)))
+    has = F.exists(levels, lambda x: x["depth"] == one["depth"])
+    return (
+        F.when(F.coalesce(top["depth"] < one["depth"], F.lit(True)), F.concat(levels, F.array(one)))
+        .when(top["depth"] == one["depth"], F.concat(rest, F.array(_merged(top, one))))
+        .otherwise(F.when(has, spread).otherwise(missing))
+    )
+
+
+def _folded(items: Column, item: str, row: str, whole: bool) -> Column:
+    """Walk through a chunk's items: (levels, done, rest).
+
+    A reading joins its level. A return takes the levels from its own depth on and leaves its share to its
+    caller. Where no shallower level is known yet, the call may have begun before the chunk: what is known goes to
+    `rest` with the return, and the caller's level is marked. `whole` chunks begin with the key.
+    """
+    level = lambda depth, high, own, kept: F.struct(
+        depth.cast("int").alias("depth"), high.cast("long").alias("high"), own.cast("long").alias("own"), kept.cast("long").alias("kept")
+    )
+    none = F.lit(None)
+    before = F.array(level(F.lit(-2), none, none, F.lit(0))) if whole else F.array()
+    start = F.struct(
+        before.cast(_OPEN).alias("levels"),
+        F.array().cast(f"array<struct<row:{row},high:bigint,own:bigint,kept:bigint>>").alias("done"),
+        F.array().cast(f"array<{item}>").alias("rest"),
+    )
+    of_level = lambda x: F.struct(none.cast(row).alias("row"), x.alias("level")).cast(item)
+
+    def step(acc: Column, i: Column) -> Column:
+        levels, row_of, one = acc["levels"], i["row"], i["level"]
+        inside = F.filter(levels, lambda x: x["depth"] >= one["depth"])
+        outside = F.filter(levels, lambda x: x["depth"] < one["depth"])
+        known = F.size(outside) > 0
+        mine = F.get(F.filter(inside, lambda x: x["depth"] == one["depth"]), F.lit(0))
+        high = F.array_max(F.transform(inside, lambda x: x["high"]))
+        done = F.struct(row_of.alias("row"), high.alias("high"), mine["own"].alias("own"), F.coalesce(mine["kept"], F.lit(0).cast("long")).alias("kept"))
+        share = level(one["depth"] - 1, F.greatest(high, row_of["base"]), none, F.greatest(F.lit(0), row_of["cur"] - row_of["base"]))
+        returned = F.struct(
+            F.when(known, _onto(outside, share)).otherwise(F.array(level(one["depth"] - 1, none, none, F.lit(0)))).alias("levels"),
+            F.when(known, F.concat(acc["done"], F.array(done))).otherwise(acc["done"]).alias("done"),
+            F.when(known, acc["rest"]).otherwise(F.concat(acc["rest"], F.transform(inside, of_level), F.array(i))).alias("rest"),
+        )
+        read = F.struct(_onto(levels, one).alias("levels"), acc["done"].alias("done"), acc["rest"].alias("rest"))
+        return F.when(row_of.isNull(), read).otherwise(returned)
+
+    return F.aggregate(
+        items, start, step, lambda acc: F.struct(acc["done"].alias("done"), F.concat(acc["rest"], F.transform(acc["levels"], of_level)).alias("rest"))
+    )
+
+
 def memory_peaks(calls: DataFrame, segments: DataFrame, key: str = "test") -> DataFrame:
     """Inclusive and exclusive peak and retained bytes per call.
 
@@ -178,53 +269,39 @@ def memory_peaks(calls: DataFrame, segments: DataFrame, key: str = "test") -> Da
     row per stretch in which a call was innermost, at the ordinal of the event that ended it.
     Inclusive peak: the highest segment peak or callee base below the call, above its own base.
     Exclusive peak: the highest own segment net of what earlier callees retained.
+
+    A chunk of ordinals is folded in one pass. What it cannot settle, the calls that began before it and the
+    levels it leaves open, is as small as the nesting is deep, and is folded again in wider chunks, at last per key.
     """
-    retained = F.greatest(F.lit(0), F.col("cur") - F.col("base"))
-    calls = calls.withColumn("incl_delta", retained)
-    own = segments.select(key, "seq", F.col("depth").alias("_level"), "peak")
-    # Each reading goes to every level above it; the next return at that level is its ancestor.
-    readings = segments.select(key, "seq", "depth", F.col("peak").alias("_value")).unionByName(
-        calls.select(key, "seq", "depth", F.col("base").alias("_value"))
-    )
-    spread = readings.select(key, "seq", F.explode(F.sequence(F.lit(0), "depth")).alias("_level"), "_value")
-    returns = calls.select(key, "seq", F.col("depth").alias("_level"), F.col("seq").alias("_offer"))
-    met = nearest(
-        spread.withColumn("_offer", F.lit(None).cast("long")).unionByName(returns, allowMissingColumns=True),
-        [key, "_level"],
-        "seq",
-        "_offer",
-        "_owner",
-        later=True,
-    )
-    highest = met.where(F.col("_offer").isNull()).groupBy(key, F.col("_owner").alias("seq")).agg(F.max("_value").alias("_high"))
-    # What callees kept before each own segment ended.
-    owned = nearest(
-        own.withColumn("_offer", F.lit(None).cast("long")).unionByName(returns, allowMissingColumns=True),
-        [key, "_level"],
-        "seq",
-        "_offer",
-        "_owner",
-        later=True,
-    ).where(F.col("_offer").isNull())
-    kept = with_parent(calls, key).select(
-        key, "seq", F.col("parent_seq").alias("_owner"), F.col("incl_delta").alias("_kept"), F.lit(None).cast("long").alias("peak")
-    )
-    children = kept.groupBy(key, F.col("_owner").alias("seq")).agg(F.sum("_kept").alias("_child_delta"))
-    series = kept.unionByName(
-        owned.select(key, "seq", "_owner", F.lit(0).cast("long").alias("_kept"), "peak")
-    ).where(F.col("_owner").isNotNull())
-    net = running_sum(series, [key, "_owner"], "seq", "_kept", "_before").where(F.col("peak").isNotNull())
-    own_high = net.groupBy(key, F.col("_owner").alias("seq")).agg(
-        F.max(F.col("peak") - F.col("_before")).alias("_own_high")
+    item = "struct<row:{0},level:struct<depth:int,high:bigint,own:bigint,kept:bigint>>"
+    row = F.struct(*calls.columns)
+    row_type = calls.select(row.alias("r")).schema["r"].dataType.simpleString()
+    item = item.format(row_type)
+    level = lambda high, own: F.struct(
+        F.col("depth").cast("int").alias("depth"), high.cast("long").alias("high"), own.cast("long").alias("own"), F.lit(0).cast("long").alias("kept")
     )
-    joined = (
-        calls.join(highest, [key, "seq"], "left").join(own_high, [key, "seq"], "left").join(children, [key, "seq"], "left")
-    )
-    return joined.select(
+    readings = segments.select(key, "seq", F.lit(0).alias("place"), F.struct(F.lit(None).cast(row_type).alias("row"), level(F.col("peak"), F.col("peak")).alias("level")).alias("item"))
+    returns = calls.select(key, "seq", F.lit(1).alias("place"), F.struct(row.alias("row"), level(F.lit(None), F.lit(None)).alias("level")).alias("item"))
+    rows = readings.unionByName(returns).withColumn("chunk", F.floor(F.col("seq") / FOLD_ROWS))
+    settled = []
+    for whole in (False, False, True):
+        keys = [key] if whole else [key, "chunk"]
+        ordered = F.array_sort(F.collect_list(F.struct("seq", "place", "item")))
+        folded = rows.groupBy(*keys).agg(F.transform(ordered, lambda x: x["item"]).alias("items"))
+        folded = folded.select(*keys, _folded(F.col("items"), item, row_type, whole).alias("f"))
+        settled.append(folded.select(F.inline("f.done")))
+        if not whole:
+            rows = folded.select(key, F.col("chunk").alias("seq"), F.posexplode("f.rest").alias("place", "item"))
+            rows = rows.withColumn("chunk", F.floor(F.col("seq") / FOLD_CHUNKS))
+    joined = settled[0].unionByName(settled[1]).unionByName(settled[2])
+    delta = F.greatest(F.lit(0), F.col("cur") - F.col("base"))
+    found = joined.select("row.*", "high", "own", "kept")
+    return found.select(
         *calls.columns,
-        F.greatest(F.lit(0), F.col("_high") - F.col("base")).alias("incl_peak"),
-        F.greatest(F.lit(0), F.coalesce(F.col("_own_high") - F.col("base"), F.lit(0))).alias("excl_peak"),
-        F.greatest(F.lit(0), F.col("incl_delta") - F.coalesce("_child_delta", F.lit(0))).alias("excl_delta"),
+        F.greatest(F.lit(0), F.col("high") - F.col("base")).alias("incl_peak"),
+        F.greatest(F.lit(0), F.col("own") - F.col("base")).alias("excl_peak"),
+        delta.alias("incl_delta"),
+        F.greatest(F.lit(0), delta - F.col("kept")).alias("excl_delta"),
     )
 
 

@@ -574,20 +574,19 @@ def line_costs(spark, sf_dir):
     return events.line_costs(frame(spark, sf_dir, _TIMELINE))
 
 
-# Call events with the last return before each call: that of an event at most as deep.
+# Call events of depths 0 to 12 with the last return before each call: that of an event at most as deep.
+VIEWS["fx_deep_events"] = """
+SELECT test, seq, func, CAST((wall_ns + lineno) % 13 AS INT) AS depth FROM fx_call_events
+"""
 _CALLED = """
-SELECT test, seq, func, depth,
-       COALESCE(CASE depth WHEN 0 THEN last0 WHEN 1 THEN last1 WHEN 2 THEN last2 ELSE last3 END, 0) AS called
-FROM (SELECT test, seq, func, depth,
-             max(CASE WHEN depth <= 0 THEN seq END) OVER w AS last0, max(CASE WHEN depth <= 1 THEN seq END) OVER w AS last1,
-             max(CASE WHEN depth <= 2 THEN seq END) OVER w AS last2, max(seq) OVER w AS last3
-      FROM fx_call_events WINDOW w AS (PARTITION BY test ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS x
+SELECT e.*, COALESCE((SELECT max(p.seq) FROM fx_deep_events p WHERE p.test = e.test AND p.seq < e.seq AND p.depth <= e.depth), 0) AS called
+FROM fx_deep_events e
 """
 _TOLD = f"""
-SELECT c.*, u.place, count(CASE WHEN u.place <= 4 AND c.depth < 3 THEN 1 END) OVER (PARTITION BY c.test ORDER BY c.seq) AS recorded
+SELECT c.*, u.place, count(CASE WHEN u.place <= 4 AND c.depth < 9 THEN 1 END) OVER (PARTITION BY c.test ORDER BY c.seq) AS recorded
 FROM ({_CALLED}) c LEFT JOIN (
-  SELECT test, func, row_number() OVER (PARTITION BY test ORDER BY min(called * 3 + depth)) AS place
-  FROM ({_CALLED}) WHERE depth < 3 GROUP BY test, func) u ON u.test = c.test AND u.func = c.func
+  SELECT test, func, row_number() OVER (PARTITION BY test ORDER BY min(called * 100 + depth)) AS place
+  FROM ({_CALLED}) WHERE depth < 9 GROUP BY test, func) u ON u.test = c.test AND u.func = c.func
 """
 _TIMED = f"""
 SELECT t.*, f.full_at IS NULL OR t.called < f.full_at AS in_time
@@ -595,9 +594,14 @@ FROM ({_TOLD}) t LEFT JOIN (SELECT test, min(seq) AS full_at FROM ({_TOLD}) WHER
 """
 
 
-@query("apply_limits", f"SELECT test, seq FROM ({_TIMED}) WHERE in_time AND place <= 4 AND depth < 3")
+@query("with_called", f"SELECT test, seq, depth, called FROM ({_CALLED})")
+def with_called(spark, sf_dir):
+    return events.with_called(frame(spark, sf_dir, "fx_deep_events")).select("test", "seq", "depth", "called")
+
+
+@query("apply_limits", f"SELECT test, seq FROM ({_TIMED}) WHERE in_time AND place <= 4 AND depth < 9")
 def apply_limits(spark, sf_dir):
-    kept, _ = events.apply_limits(frame(spark, sf_dir, _CALLED), max_events=30, max_depth=3, max_functions=4)
+    kept, _ = events.apply_limits(frame(spark, sf_dir, "fx_deep_events"), max_events=30, max_depth=9, max_functions=4)
     return kept.select("test", "seq")
 
 
@@ -605,14 +609,14 @@ def apply_limits(spark, sf_dir):
     "trim_reasons",
     f"""
     SELECT test, trim_reasons FROM (
-      SELECT test, concat_ws(',', CASE WHEN max(depth) >= 3 THEN 'max_depth' END,
-             CASE WHEN bool_or(depth < 3 AND in_time AND COALESCE(place, 9) > 4) THEN 'max_functions' END,
-             CASE WHEN bool_or(depth < 3 AND NOT in_time) THEN 'max_events' END) AS trim_reasons
+      SELECT test, concat_ws(',', CASE WHEN max(depth) >= 9 THEN 'max_depth' END,
+             CASE WHEN bool_or(depth < 9 AND in_time AND COALESCE(place, 9) > 4) THEN 'max_functions' END,
+             CASE WHEN bool_or(depth < 9 AND NOT in_time) THEN 'max_events' END) AS trim_reasons
       FROM ({_TIMED}) GROUP BY test) WHERE trim_reasons <> ''
     """,
 )
 def trim_reasons(spark, sf_dir):
-    _, trims = events.apply_limits(frame(spark, sf_dir, _CALLED), max_events=30, max_depth=3, max_functions=4)
+    _, trims = events.apply_limits(frame(spark, sf_dir, "fx_deep_events"), max_events=30, max_depth=9, max_functions=4)
     return trims.select("test", F.array_join("trim_reasons", ",").alias("trim_reasons"))
 
 
@@ -679,7 +683,7 @@ own AS (
   SELECT c.test, c.seq, max(r.peak - COALESCE((SELECT sum(k.incl_delta) FROM returns k WHERE k.test = c.test AND k.parent = c.seq AND k.seq < r.seq), 0)) AS own_high
   FROM returns c JOIN returns r ON r.test = c.test AND r.depth = c.depth AND r.seq <= c.seq AND r.seq > c.previous GROUP BY 1, 2),
 children AS (SELECT test, parent AS seq, sum(incl_delta) AS child_delta FROM returns WHERE parent IS NOT NULL GROUP BY 1, 2)
-SELECT c.test, c.func, greatest(0, h.high - c.base) AS incl_peak, greatest(0, COALESCE(o.own_high - c.base, 0)) AS excl_peak,
+SELECT c.test, c.seq, c.func, greatest(0, h.high - c.base) AS incl_peak, greatest(0, COALESCE(o.own_high - c.base, 0)) AS excl_peak,
        c.incl_delta, greatest(0, c.incl_delta - COALESCE(k.child_delta, 0)) AS excl_delta
 FROM returns c LEFT JOIN highest h ON h.test = c.test AND h.seq = c.seq LEFT JOIN own o ON o.test = c.test AND o.seq = c.seq
 LEFT JOIN children k ON k.test = c.test AND k.seq = c.seq
@@ -689,11 +693,23 @@ _QUANTITIES = ", ".join(
 )
 
 
+def _peaks(spark, sf_dir):
+    returns = frame(spark, sf_dir, "fx_memory")
+    return events.memory_peaks(returns.drop("peak"), returns.select("test", "seq", "depth", "peak"))
+
+
+@query(
+    "memory_calls",
+    f"""SELECT test, seq, func, CAST(incl_peak AS BIGINT) AS incl_peak, CAST(excl_peak AS BIGINT) AS excl_peak,
+               CAST(incl_delta AS BIGINT) AS incl_delta, CAST(excl_delta AS BIGINT) AS excl_delta FROM ({_PEAKS})""",
+)
+def memory_calls(spark, sf_dir):
+    return _peaks(spark, sf_dir).select("test", "seq", "func", "incl_peak", "excl_peak", "incl_delta", "excl_delta")
+
+
 @query("memory_peaks", f"SELECT test, func, count(*) AS call_count, {_QUANTITIES} FROM ({_PEAKS}) GROUP BY test, func")
 def memory_peaks(spark, sf_dir):
-    returns = frame(spark, sf_dir, "fx_memory")
-    done = events.memory_peaks(returns.drop("peak"), returns.select("test", "seq", "depth", "peak"))
-    return events.memory_functions(done)
+    return events.memory_functions(_peaks(spark, sf_dir))
 
 
 _ENTRIES = """

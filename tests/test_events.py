@@ -157,3 +157,65 @@ def test_profile_names_at_two_places(spark):
         ("m.f", 3, 0.75),
         ("m.f#L9", 7, 0.0625),
     ]
+
+
+def traced(frames, max_events, max_depth, max_functions):
+    """(kept returns, reasons) of one session as a tracer decides them, call by call."""
+    stack, known, recorded, kept, reasons = [], set(), 0, [], set()
+    ordinal = 0
+    for _, _, kind, func, depth in frames:
+        if kind == "call":
+            if depth >= max_depth:
+                reasons.add("max_depth")
+                stack.append(None)
+            elif recorded >= max_events:
+                reasons.add("max_events")
+                stack.append(None)
+            elif func not in known and len(known) >= max_functions:
+                reasons.add("max_functions")
+                stack.append(None)
+            else:
+                known.add(func)
+                stack.append(func)
+        else:
+            ordinal += 1
+            if stack.pop() is not None:
+                recorded += 1
+                kept.append(ordinal)
+    return kept, reasons
+
+
+def test_limits_act_as_a_tracer_does(spark, small_chunks):
+    rng = random.Random(8)
+    _, frames = nested(rng, 6, 40)
+    returns, ordinals = [], {}
+    for session, _, kind, func, depth in frames:
+        if kind == "return":
+            ordinals[session] = ordinals.get(session, 0) + 1
+            returns.append((session, ordinals[session], depth, func))
+    df = spark.createDataFrame(returns, "test string, seq long, depth int, func string")
+    for limits in ((8, 3, 2), (1000, 2, 4), (5, 9, 3), (1, 1, 1), (1000, 99, 99)):
+        kept, trims = events.apply_limits(df, *limits)
+        assert kept.columns == [*df.columns, "called"]
+        got, reasons = {}, {r["test"]: set(r["trim_reasons"]) for r in trims.collect()}
+        for r in kept.collect():
+            got.setdefault(r["test"], []).append(r["seq"])
+        for session in sorted(ordinals):
+            want, why = traced([f for f in frames if f[0] == session], *limits)
+            assert (sorted(got.get(session, [])), reasons.get(session, set())) == (want, why), (session, limits)
+
+
+def test_called_at_any_depth_and_over_gaps(spark, small_chunks):
+    """Frames whose return was not recorded leave gaps in depth."""
+    rng = random.Random(9)
+    data = [(f"t{t}", i + 1, rng.choice([0, 1, 5, 30, 31, 200])) for t in range(3) for i in range(60)]
+    got = {(r["test"], r["seq"]): r["called"] for r in events.with_called(spark.createDataFrame(data, "test string, seq long, depth int")).collect()}
+    want = {(t, s): max([x for u, x, e in data if u == t and x < s and e <= d], default=0) for t, s, d in data}
+    assert got == want
+
+
+def test_memory_peaks_fold_over_chunk_borders(spark, monkeypatch):
+    for rows_, chunks in ((2, 3), (1, 2), (5, 1000), (2048, 2048)):
+        monkeypatch.setattr(events, "FOLD_ROWS", rows_)
+        monkeypatch.setattr(events, "FOLD_CHUNKS", chunks)
+        test_memory_peaks_match_a_stack_walk(spark, None)
