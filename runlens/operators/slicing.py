@@ -191,36 +191,30 @@ def slice_sources(files: DataFrame, executed: DataFrame, budget: int) -> DataFra
     return render_slices(classified(files, executed), F.lit(budget))
 
 
-BUDGETS = "sample_id string, file_id string, remaining long"
-
-
-def _spend(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Budget each file of one sample has left when its turn comes."""
-    used, left = int(rows["start_chars"].iloc[0]), []
-    total = int(rows["budget"].iloc[0])
-    for row in rows.sort_values("shuffle_key").itertuples():
-        remaining = max(0, total - used)
-        left.append((key[0], row.file_id, remaining))
-        used += _rendered_chars(row, remaining)
-    return pd.DataFrame(left, columns=["sample_id", "file_id", "remaining"])
-
-
-def _rendered_chars(row, remaining: int) -> int:
-    """Length of the slice this budget gives, from span sizes alone."""
-    if row.plain:
-        return int(row.plain_chars)
-    used, gaps = int(row.essential_chars), []
-    for span in row.droppable:
-        if used + span["chars"] <= remaining:
-            used += span["chars"]
-        elif gaps and span["first"] <= gaps[-1][1] + 1:
-            gaps[-1][1] = max(gaps[-1][1], span["last"])
-        else:
-            gaps.append([span["first"], span["last"]])
-    marks = sum(len(f"# ... [{b - a + 1} lines elided: original lines {a}-{b}]") + 1 for a, b in gaps)
-    ends_in_gap = bool(gaps) and gaps[-1][1] >= row.line_count
-    lone_end = bool(gaps) and row.ends_with_newline and gaps[-1][1] == row.line_count - 1
-    return used + marks + int(lone_end or (not row.ends_with_newline and not ends_in_gap))
+def _rendered_chars(file: Column, remaining: Column) -> Column:
+    """Length of the slice that a budget gives, from span sizes alone."""
+    filled = fill_budget(file["droppable"], file["essential_chars"], remaining)
+    gaps = _gaps(filled["left"])
+    marks = F.aggregate(gaps, F.lit(0), lambda acc, g: acc + F.length(_marker(g["first"], g["last"])) + 1)
+    end = F.coalesce(F.try_element_at(gaps, F.lit(-1))["last"], F.lit(0))
+    # The empty line after the last one is kept by itself, or the text ends without a line end.
+    lone_end = F.when(file["ends_with_newline"], end == file["line_count"] - 1).otherwise(end < file["line_count"])
+    return F.when(file["plain"], file["plain_chars"]).otherwise(filled["used"] + marks + lone_end.cast("int"))
+
+
+def _spent(files: Column, start: Column, budget: int) -> Column:
+    """(file_id, remaining) of the files in their order: what is left of the budget when a file's turn comes."""
+    empty = F.struct(start.cast("long").alias("used"), F.array().cast("array<struct<file_id:string,remaining:bigint>>").alias("turns"))
+
+    def turn(acc: Column, file: Column) -> Column:
+        remaining = F.greatest(F.lit(0).cast("long"), F.lit(budget) - acc["used"])
+        here = F.struct(file["file_id"].alias("file_id"), remaining.alias("remaining"))
+        return F.struct(
+            (acc["used"] + _rendered_chars(file, remaining)).cast("long").alias("used"),
+            F.concat(acc["turns"], F.array(here)).alias("turns"),
+        )
+
+    return F.aggregate(files, empty, turn, lambda acc: acc["turns"])
 
 
 def smart_context(
@@ -243,7 +237,6 @@ def smart_context(
         "file_id",
         "shuffle_key",
         "start_chars",
-        F.lit(budget).alias("budget"),
         "droppable",
         "essential_chars",
         (blank | ~F.col("parsed")).alias("plain"),
@@ -257,8 +250,10 @@ def smart_context(
     placed = running_sum(
         narrow.withColumn("_sure", sure), ["sample_id"], "shuffle_key", "_sure", "_before", hash_chunk("shuffle_key")
     )
-    open_rows = placed.where(F.col("_before") + F.col("start_chars") < F.col("budget")).drop("_before", "_sure")
-    spent = open_rows.groupBy("sample_id").applyInPandas(_spend, BUDGETS)
+    open_rows = placed.where(F.col("_before") + F.col("start_chars") < budget).drop("_before", "_sure")
+    file = F.struct("shuffle_key", "file_id", "droppable", "essential_chars", "plain", "plain_chars", "line_count", "ends_with_newline")
+    turns = open_rows.groupBy("sample_id").agg(F.max("start_chars").alias("start"), F.array_sort(F.collect_list(file)).alias("files"))
+    spent = turns.select("sample_id", F.inline(_spent(F.col("files"), F.col("start"), budget)))
     budgets = rows.join(spent, ["sample_id", "file_id"], "left").withColumn("_open", F.coalesce("remaining", F.lit(0)))
     sliced = render_slices(budgets, F.col("_open"))
     order = rows.select("sample_id", "file_id", "shuffle_key", "start_chars")

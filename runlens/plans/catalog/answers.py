@@ -129,11 +129,105 @@ def slice_sources(spark, sf_dir):
     return sliced.select("file_id", "parse_fail", "essential_chars", "full_chars")
 
 
-@query("smart_context")
-def smart_context(spark, sf_dir):
+# The droppable spans of those files, by what ran in them: first() in lines 4-5, Box in 8-15 or its idle() in 14-15, last()
+# from line 18 to the last one. Chars count the line end.
+_SPANS = """
+SELECT *, length(t_first) + 1 AS c_first, length(t_mid) + 1 AS c_mid, length(t_last) + 1 AS c_last,
+       n - COALESCE(length(t_first) + 1, 0) - COALESCE(length(t_mid) + 1, 0) - COALESCE(length(t_last) + 1, 0) AS essential,
+       row_number() OVER (PARTITION BY sample_id ORDER BY md5(sample_id || '|' || file_id)) AS rn
+FROM (SELECT sample_id, file_id, lang, content, length(content) AS n, length(content) - length(replace(content, chr(10), '')) AS end_line,
+             CASE WHEN lang NOT IN ('es', 'en') THEN 'def first():' || chr(10) || '    return 1' END AS t_first,
+             CASE WHEN lang = 'de' THEN 'def idle(self):' || chr(10) || '        return 4' WHEN lang <> 'es'
+                  THEN substr(content, strpos(content, 'class Box'), strpos(content, '        return 4') + 16 - strpos(content, 'class Box')) END AS t_mid0,
+             CASE WHEN lang = 'de' THEN '    ' || t_mid0 ELSE t_mid0 END AS t_mid,
+             CASE WHEN lang <> 'es' THEN substr(content, strpos(content, 'def last'), length(content) - strpos(content, 'def last')) END AS t_last
+      FROM fx_python)
+"""
+
+
+def _mark(first: str, last: str) -> str:
+    return f"'# ... [' || ({last} - {first} + 1) || ' lines elided: original lines ' || {first} || '-' || {last} || ']'"
+
+
+_FIRST_MID = "CASE WHEN lang = 'de' THEN 14 ELSE 8 END"
+
+
+def _sliced(rows: str) -> str:
+    """SQL: `rows` of spans with `r`, the budget left, and what the slice keeps of them."""
+    for c, before, after in (("c_first", "essential", "u1"), ("c_mid", "u1", "u2"), ("c_last", "u2", "u3")):
+        rows = f"SELECT *, CASE WHEN {before} + {c} <= r THEN {before} + {c} ELSE {before} END AS {after}, COALESCE({before} + {c} > r, false) AS no_{c[2:]} FROM ({rows})"
+    text = "content"
+    for name, first, last in (("first", "4", "5"), ("mid", _FIRST_MID, "15"), ("last", "18", "end_line")):
+        text = f"CASE WHEN no_{name} THEN replace({text}, t_{name}, {_mark(first, last)}) ELSE {text} END"
+    rows = f"SELECT *, {text} || CASE WHEN no_last THEN chr(10) ELSE '' END AS slice, lang = 'es' AS parse_fail FROM ({rows})"
+    return f"SELECT *, length(slice) AS kept, NOT parse_fail AND essential > r AS essential_over FROM ({rows})"
+
+
+_CONTEXT = f"""
+fills AS (
+  SELECT sample_id, CAST(0 AS BIGINT) AS rn, CAST(100 AS BIGINT) AS used, '' AS file_id, '' AS digest, CAST(0 AS BIGINT) AS essential_chars, CAST(0 AS BIGINT) AS kept_chars,
+         false AS over_budget, false AS parse_fail FROM fx_python GROUP BY sample_id
+  UNION ALL
+  SELECT sample_id, rn, CAST(used + kept AS BIGINT), file_id, md5(slice), essential, kept, essential_over OR used + kept > 40000, parse_fail
+  FROM ({_sliced("SELECT s.*, f.used, greatest(0, 40000 - f.used) AS r FROM fills f JOIN ordered s ON s.sample_id = f.sample_id AND s.rn = f.rn + 1")}))
+"""
+
+
+def _smart(spark, sf_dir):
     files = frame(spark, sf_dir, "fx_python")
     starts = files.groupBy("sample_id").agg(F.lit(100).alias("start_chars"))
-    return slicing.smart_context(starts, files.select("file_id", "content"), _executed(files), 40_000)[1]
+    return slicing.smart_context(starts, files.select("file_id", "content"), _executed(files), 40_000)
+
+
+@query(
+    "smart_context",
+    f"""
+    WITH RECURSIVE ordered AS MATERIALIZED ({_SPANS}), {_CONTEXT}
+    SELECT sample_id, 100 AS test_file_chars, CAST(max(used) AS BIGINT) AS total_chars, count(*) - 1 AS n_files, count_if(over_budget) AS n_files_over_budget,
+           count_if(parse_fail) AS n_parse_failures, CAST(sum(essential_chars) AS BIGINT) AS essential_chars_total, max(used) > 40000 AS budget_exceeded
+    FROM fills GROUP BY sample_id
+    """,
+)
+def smart_context(spark, sf_dir):
+    return _smart(spark, sf_dir)[1]
+
+
+@query(
+    "smart_slices",
+    f"""
+    WITH RECURSIVE ordered AS MATERIALIZED ({_SPANS}), {_CONTEXT}
+    SELECT sample_id, file_id, digest, essential_chars, kept_chars, over_budget, parse_fail FROM fills WHERE rn > 0
+    """,
+)
+def smart_slices(spark, sf_dir):
+    return _smart(spark, sf_dir)[0].select(
+        "sample_id", "file_id", F.md5("slice").alias("digest"), "essential_chars", "kept_chars", "over_budget", "parse_fail"
+    )
+
+
+_EXEC = "CASE WHEN lang = 'de' THEN 2 ELSE 1 END"
+
+
+@query(
+    "slice_texts",
+    " UNION ALL ".join(
+        f"""SELECT file_id, {budget} AS budget, md5(slice) AS digest, kept AS kept_chars, essential AS essential_chars, essential_over AS essential_over_budget,
+                   parse_fail, {_EXEC} AS exec_total, {_EXEC} AS exec_in_kept
+            FROM ({_sliced(f"SELECT *, {budget} AS r FROM ({_SPANS})")})"""
+        for budget in (0, 200, 2000)
+    ),
+)
+def slice_texts(spark, sf_dir):
+    files = frame(spark, sf_dir, "fx_python")
+    rows = slicing.classified(files.select("file_id", "content"), _executed(files))
+    budgets = rows.withColumn("budget", F.explode(F.array(F.lit(0), F.lit(200), F.lit(2000))))
+    sliced = slicing.render_slices(budgets.withColumn("file_id", F.concat_ws("|", "file_id", "budget")), F.col("budget"))
+    return sliced.select(
+        F.substring_index("file_id", "|", 1).alias("file_id"),
+        F.substring_index("file_id", "|", -1).cast("int").alias("budget"),
+        F.md5("slice").alias("digest"),
+        "kept_chars", "essential_chars", "essential_over_budget", "parse_fail", "exec_total", "exec_in_kept",
+    )
 
 
 _FITTED = """

@@ -40,8 +40,9 @@ def with_views(sql: str) -> str:
     sql = sql.strip()
     if not parts:
         return sql
-    if sql.upper().startswith("WITH "):
-        return "WITH " + ",\n".join(parts) + ",\n" + sql[5:]
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if sql.upper().startswith(start):
+            return start + ",\n".join(parts) + ",\n" + sql[len(start) :]
     return "WITH " + ",\n".join(parts) + "\n" + sql
 
 
