@@ -12,6 +12,11 @@ a name, wherever it stands and however the lines break; and plain lower-case wor
 An item is found by any reading of its own, windows of all readings of the document counting. The plain
 reading keeps all windows, so copies that changed only case, punctuation or line breaks are found.
 
+Texts are first looked through once, for anchors. Literal words that stand side by side in a template stand side
+by side in the text too. So a proving window with three such words is anchored by them, and a document that
+covers an item holds the anchors of as many of its windows. Documents that do are few; they alone are read in
+all three ways, with the same result as if all were.
+
 Defined results: null or empty text holds nothing, nor does an item without words get found. An
 item shorter than a window is found only in documents that consist of it. Repeated rows are judged each
 for itself, and an id is contaminated if one of its rows is; null ids are one id. Repeated items count
@@ -28,6 +33,9 @@ from runlens.llm.shared import broadcast_if_small, stored
 WORDS = 5
 LITERALS = 3
 SHARE = 0.8
+# Literal words of an anchor, and the kinds of anchors: a run of words, a single one, first and last of all.
+RUN = 3
+RUN_OF, WORD, ENDS = 0, 1, 2
 
 # Placeholders: characters of the private-use area, one word each.
 NAME, NUMBER, UNIT = "\ue001", "\ue002", "\ue003"
@@ -43,14 +51,19 @@ _FUNCTION_WORDS = (
     "You|Your"
 )
 # A capital inside a sentence begins a name, which goes on over further capitalised words.
-_NAME_PATTERN = r"\p{Lu}(?<=[\p{Ll}\p{Nd},;:] \p{Lu})[\p{L}'’-]*(?: \p{Lu}[\p{L}'’-]*)*"
+# Repeated groups are possessive: Java runs those in a loop, others by recursion.
+_NAME_PATTERN = r"\p{Lu}(?<=[\p{Ll}\p{Nd},;:] \p{Lu})[\p{L}'’-]*+(?: \p{Lu}[\p{L}'’-]*+)*+"
 # The same wherever it stands: any capitalised words but function words.
-_CAPITALISED = rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}'’-])(?!(?:{_FUNCTION_WORDS})(?![\p{{L}}'’-]))\p{{Lu}}[\p{{L}}'’-]*"
-_FREE_NAME_PATTERN = rf"{_CAPITALISED}(?: {_CAPITALISED})*"
-_NUMBER_PATTERN = r"[0-9]+(?:[.,:/][0-9]+)*"
+_CAPITALISED = rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}'’-])(?!(?:{_FUNCTION_WORDS})(?![\p{{L}}'’-]))\p{{Lu}}[\p{{L}}'’-]*+"
+_FREE_NAME_PATTERN = rf"{_CAPITALISED}(?: {_CAPITALISED})*+"
+_NUMBER_PATTERN = r"[0-9]++(?:[.,:/][0-9]++)*+"
 _UNIT_PATTERN = rf"(?<={NUMBER} {{1,2}})(?:{_UNITS})(?![\p{{L}}\p{{N}}])|%"
 
 
+# Words whose ends a template may cut differently: capitals or units that run into marks or other digits.
+_MARKS = r"[\p{M}\p{N}&&[^0-9]]"
+_CUT_WORDS = r"\p{Lu}[\p{L}'’-]*+(?:\p{M}|(?![0-9])\p{N})|\p{M}\p{Lu}|[A-Za-z]\p{M}"
+
 _ENTRIES = "array<struct<place:int,value:string>>"
 
 
@@ -139,23 +152,100 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     proves = (F.col("reading") == PLAIN) | (literal >= F.least(F.lit(LITERALS), F.size(inside)))
     offsets = F.filter(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda k: F.element_at("slots", F.col("place") + k).isNotNull())
     valued = F.transform(offsets, lambda k: F.struct(k.alias("offset"), F.element_at("slots", F.col("place") + k).alias("value")))
-    rows = rows.select("item_id", "reading", "window", "place", valued.alias("slots"), proves.alias("proves"))
+    rows = rows.select("item_id", "reading", "window", "place", valued.alias("slots"), proves.alias("proves"), inside.alias("words"))
     totals = rows.groupBy("item_id", "reading").agg(
         F.count_distinct("window").alias("total"), F.count_distinct(F.when(F.col("proves"), F.col("window"))).alias("proving")
     )
     return stored(rows.join(totals, ["item_id", "reading"]), "item-windows")
 
 
+def _tokens(text: Column) -> Column:
+    """Lower-case words of a text, cut where digits begin and end; an empty one may stand at either end."""
+    return F.split(F.regexp_replace(F.lower(text), "[0-9]+", " $0 "), r"[^\p{L}\p{M}\p{N}]+", -1)
+
+
+def _runs(hashes: Column) -> Column:
+    """Hashes of all RUN neighbouring words."""
+    runs = hashes
+    for k in range(1, RUN):
+        many = F.greatest(F.size(hashes) - k, F.lit(0))
+        runs = F.zip_with(F.slice(runs, 1, many), F.slice(hashes, k + 1, many), lambda a, b: F.xxhash64(a, b))
+    return runs
+
+
+def _ends(hashes: Column) -> Column:
+    """One key of the first and the last word; none without words."""
+    key = F.xxhash64(F.lit("ends"), F.get(hashes, F.lit(0)), F.get(hashes, F.size(hashes) - 1))
+    return F.when(F.size(hashes) > 0, F.array(key)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _anchors(known: DataFrame, share: float) -> DataFrame:
+    """(key, kind, item_id, reading, weight, spare, total): what a document must hold to be read in all ways.
+
+    A proving window is anchored by three literal words in a row, the run that the fewest items hold. An item
+    of fewer words is anchored by its first and last. Other windows are spared: they count as held. Where
+    they alone would cover the item, all its windows are anchored by their longest literal word instead.
+    """
+    proving = known.where("proves").select("item_id", "reading", "window", "proving", "words").dropDuplicates(["item_id", "reading", "window"])
+    cut = F.flatten(F.transform("words", lambda w: F.filter(_tokens(w), lambda x: x != "")))
+    proving = proving.withColumn("tokens", F.when(F.col("reading") == PLAIN, cut).otherwise(F.col("words")))
+    tokens = F.col("tokens")
+    places = F.when(F.size(tokens) >= RUN, F.sequence(F.lit(0), F.size(tokens) - RUN)).otherwise(F.array().cast("array<int>"))
+    run = lambda k: F.slice(tokens, k + 1, RUN)
+    runs = F.transform(F.filter(places, lambda k: F.forall(run(k), _is_literal)), lambda k: F.get(_runs(_hashes(run(k))), F.lit(0)))
+    held = stored(proving.withColumn("runs", runs), "window-runs")
+    items = held.select(F.explode("runs").alias("key"), "item_id").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("items"))
+    chosen = held.select("item_id", "reading", "window", F.explode("runs").alias("key")).join(items, "key")
+    chosen = chosen.groupBy("item_id", "reading", "window").agg(F.min_by("key", F.struct("items", "key")).alias("run"))
+    held = held.join(chosen, ["item_id", "reading", "window"], "left")
+    whole = F.col("run").isNull() & (F.size("words") < WORDS)
+    of_item = held.groupBy("item_id", "reading").agg(F.count_if(F.col("run").isNull() & ~whole).alias("spare"))
+    held = held.join(of_item, ["item_id", "reading"])
+    loose = F.col("spare") >= F.col("proving") * share
+    longest = F.aggregate(F.filter(tokens, _is_literal), F.lit(""), lambda a, w: F.when(F.length(w) > F.length(a), w).otherwise(a))
+    kind = F.when(whole, ENDS).when(loose, WORD).when(F.col("run").isNotNull(), RUN_OF)
+    key = F.when(kind == ENDS, F.get(_ends(_hashes(tokens)), F.lit(0))).when(kind == WORD, F.xxhash64(F.lit("word"), F.xxhash64(longest)))
+    spare = F.when(loose, 0).otherwise(F.col("spare")).alias("spare")
+    rows = held.select(F.coalesce(key, F.col("run")).alias("key"), kind.alias("kind"), "item_id", "reading", spare, F.col("proving").alias("total"))
+    return rows.where("kind IS NOT NULL").groupBy("key", "kind", "item_id", "reading", "spare", "total").agg(F.count(F.lit(1)).alias("weight"))
+
+
+def _wanted(known: DataFrame) -> DataFrame:
+    return known.where("proves").select("window", "item_id", "reading", F.col("proving").alias("total")).distinct()
+
+
+def _to_read(docs: DataFrame, known: DataFrame, share: float) -> DataFrame:
+    """(doc_id) of the documents that may hold an item, by one look at the words of every text."""
+    anchors = stored(_anchors(known, share), "anchors")
+    kinds = {r.kind for r in anchors.select("kind").distinct().collect()}
+    texts = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    # Each step is made once for the places that use it.
+    words = texts.select("doc_id", "row", _hashes(F.filter(_tokens(F.col("text")), lambda w: w != "")).alias("words"))
+    keys = [_runs(F.col("words"))]
+    if WORD in kinds:
+        keys.append(F.transform("words", lambda w: F.xxhash64(F.lit("word"), w)))
+    if ENDS in kinds:
+        keys.append(_ends(F.col("words")))
+    found = words.select("doc_id", "row", F.explode(F.array_distinct(F.concat(*keys))).alias("key"))
+    held = found.join(broadcast_if_small(anchors, anchors.count()), "key")
+    held = held.groupBy("doc_id", "row", "item_id", "reading", "spare", "total").agg(F.sum("weight").alias("weight"))
+    held = held.where(F.col("weight") + F.col("spare") >= F.col("total") * share).select("doc_id")
+    # Templates may cut the words of such texts otherwise; the quick look finds those that could.
+    odd = texts.where(F.col("text").rlike(_MARKS)).where(F.col("text").rlike(_CUT_WORDS)).select("doc_id")
+    return stored((held.union(odd) if kinds else held).distinct(), "to-read")
+
+
 def _holding(docs: DataFrame, known: DataFrame, share: float) -> DataFrame:
     """(doc_id, item_id, reading, coverage) by proving windows alone; the reading is the item's."""
-    wanted = known.where("proves").select("window", "item_id", "reading", F.col("proving").alias("total")).distinct()
+    read = _to_read(docs, known, share).withColumnRenamed("doc_id", "read_id")
+    texts = docs.join(broadcast_if_small(read, read.count()), F.col("doc_id").eqNullSafe(F.col("read_id")), "left_semi")
     # Words, hashes and windows one after the other: each is made once for the many places that use it.
     words = [template_words(F.col("text"), r).alias(f"words{r}") for r in READINGS]
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), *words)
+    rows = texts.select("doc_id", F.monotonically_increasing_id().alias("row"), *words)
     rows = rows.select("doc_id", "row", *[_hashes(F.col(f"words{r}")).alias(f"hashes{r}") for r in READINGS])
-    read = [windows(F.col(f"hashes{r}")) for r in READINGS]
-    found = rows.select("doc_id", "row", F.explode(F.array_distinct(F.concat(*read))).alias("window"))
-    held = found.join(broadcast_if_small(wanted, known.count()), "window")
+    each = [windows(F.col(f"hashes{r}")) for r in READINGS]
+    found = rows.select("doc_id", "row", F.explode(F.array_distinct(F.concat(*each))).alias("window"))
+    held = found.join(broadcast_if_small(_wanted(known), known.count()), "window")
     held = held.groupBy("doc_id", "row", "item_id", "reading").agg(F.count(F.lit(1)).alias("n"), F.first("total").alias("total"))
     held = held.select("doc_id", "item_id", "reading", (F.col("n") / F.col("total")).alias("coverage")).where(F.col("coverage") >= share)
     return held.groupBy("doc_id", "item_id", "reading").agg(F.max("coverage").alias("coverage"))
@@ -168,7 +258,7 @@ def _agreeing(docs: DataFrame, pairs: DataFrame, known: DataFrame, share: float)
     read = _read(texts, "doc_id", "row").withColumnRenamed("reading", "way")
     read = stored(read.select("doc_id", "row", "way", windows(F.col("hashes")).alias("windows"), F.col("slots").alias("of_doc")), "read")
     rows = read.select("doc_id", "row", "way", "of_doc", F.posexplode("windows").alias("at", "window"))
-    matched = rows.join(broadcast_if_small(known.where("proves"), known.count()), "window")
+    matched = rows.join(known.where("proves").drop("words"), "window")
     pair = pairs.select(F.col("doc_id").alias("held_id"), F.col("item_id").alias("held_item"), F.col("reading").alias("held_reading"))
     wanted = (F.col("item_id") == F.col("held_item")) & (F.col("reading") == F.col("held_reading"))
     matched = matched.join(pair, F.col("doc_id").eqNullSafe(F.col("held_id")) & wanted, "left_semi")
