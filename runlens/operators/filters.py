@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.functions.ids import valid_instance_id, valid_test_scope
@@ -48,82 +49,126 @@ def unknown_fields(record: Column) -> Column:
     return F.array_except(F.json_object_keys(record), F.array(*[F.lit(name) for name in STATES.names]))
 
 
-# A rule marks the rows it drops; it sees only rows that earlier rules kept.
-Rule = tuple[str, Callable[[DataFrame], DataFrame], Column]
+@dataclass(frozen=True)
+class Rule:
+    """Rows that one rule of a chain drops, with a detail for the report; it sees only what earlier rules kept.
 
+    `drop` looks at the row itself; a function of the column names may choose among forms of rows. With `known`, rows go whose `keys` are not in that table. With `parts`, values
+    of all rows of the same keys are folded, each by its aggregate, and `verdict` of the folded values drops the
+    keys.
+    """
+
+    name: str
+    detail: Column
+    drop: Column | Callable[[list[str]], Column] | None = None
+    keys: tuple[tuple[str, Column], ...] = ()
+    known: DataFrame | None = None
+    parts: tuple[tuple[Column, Callable[[Column], Column]], ...] = ()
+    verdict: Callable[..., Column] | None = None
 
-def _flag(df: DataFrame, keys: list[str], flag: Column, name: str) -> DataFrame:
-    """Join a per-key aggregate of the rows still kept back onto all rows."""
-    flags = df.where(F.col("reason").isNull()).groupBy(*keys).agg(flag.alias(name))
-    return df.join(flags, keys, "left")
+
+def _key(name: str, value: Column | None = None) -> tuple[tuple[str, Column], ...]:
+    return ((name, F.col(name) if value is None else value),)
 
 
 def without_group() -> Rule:
-    return ("no group metadata", lambda df: df.withColumn("_drop", F.col("group_id").isNull()), F.lit(None).cast("string"))
+    return Rule("no group metadata", F.lit(None).cast("string"), drop=F.col("group_id").isNull())
 
 
 def without_outcomes() -> Rule:
-    """A state that reported no passed, failed or errored test."""
+    """A state that reported no passed, failed or errored test; narrow rows carry `has_outcomes` for it."""
 
-    def mark(df: DataFrame) -> DataFrame:
-        reported = (
-            F.col("has_outcomes")
-            if "has_outcomes" in df.columns
-            else has_entries("passed_tests", "failed_tests", "errored_tests")
-        )
-        return df.withColumn("_drop", ~reported)
+    def drop(columns: list[str]) -> Column:
+        return ~(F.col("has_outcomes") if "has_outcomes" in columns else has_entries("passed_tests", "failed_tests", "errored_tests"))
 
-    return ("no test outcomes", mark, F.lit(None).cast("string"))
+    return Rule("no test outcomes", F.lit(None).cast("string"), drop=drop)
 
 
 def container_conflicts() -> Rule:
     """Every state of a (repo, commit) stem that spans several containers."""
+    stem = (*_key("repo"), *_key("stem", F.coalesce("base_commit", F.lit("\0"))))
+    container = F.col("container")
+    return Rule("container conflict", container, keys=stem, parts=((container, F.min), (container, F.max)), verdict=lambda low, high: low != high)
 
-    def mark(df: DataFrame) -> DataFrame:
-        stem = F.coalesce("base_commit", F.lit("\0"))
-        spans = F.min("container") != F.max("container")
-        return _flag(df.withColumn("_stem", stem), ["repo", "_stem"], spans, "_drop").drop("_stem")
 
-    return ("container conflict", mark, F.col("container"))
+def unknown_groups(known: DataFrame) -> Rule:
+    return Rule("unknown group", F.col("group_id"), keys=_key("group_id"), known=known.select("group_id"))
 
 
-def unknown_groups(known: DataFrame) -> Rule:
-    def mark(df: DataFrame) -> DataFrame:
-        flags = known.select("group_id").distinct().withColumn("_known", F.lit(True))
-        return df.join(flags, "group_id", "left").withColumn("_drop", F.col("_known").isNull()).drop("_known")
+def groups_without_variant(variant: str) -> Rule:
+    is_variant = F.coalesce(F.col("variant") == variant, F.lit(False))
+    return Rule(f"group has no {variant} state", F.col("variant"), keys=_key("group_id"), parts=((is_variant, F.bool_or),), verdict=lambda has: ~has)
 
-    return ("unknown group", mark, F.col("group_id"))
 
+def without_profile(profiles: DataFrame) -> Rule:
+    return Rule("no profile record", F.col("instance_id"), keys=_key("instance_id"), known=profiles.select("instance_id"))
 
-def groups_without_variant(variant: str) -> Rule:
-    def mark(df: DataFrame) -> DataFrame:
-        lacks = ~F.bool_or(F.coalesce(F.col("variant") == variant, F.lit(False)))
-        return _flag(df, ["group_id"], lacks, "_drop")
 
-    return (f"group has no {variant} state", mark, F.col("variant"))
+def _looked_up(df: DataFrame, rule: Rule, names: list[str], flag: str) -> DataFrame:
+    """`flag` is true where the key columns `names` are in the rule's table."""
+    table = rule.known.distinct().toDF(*[f"_known_{i}" for i in range(len(names))]).withColumn(flag, F.lit(True))
+    on = reduce(Column.__and__, [df[name] == table[f"_known_{i}"] for i, name in enumerate(names)])
+    return df.join(table, on, "left").drop(*[f"_known_{i}" for i in range(len(names))])
 
 
-def without_profile(profiles: DataFrame) -> Rule:
-    def mark(df: DataFrame) -> DataFrame:
-        flags = profiles.select("instance_id").distinct().withColumn("_profiled", F.lit(True))
-        return df.join(flags, "instance_id", "left").withColumn("_drop", F.col("_profiled").isNull()).drop("_profiled")
+def judged(states: DataFrame, rules: list[Rule]) -> DataFrame:
+    """All rows with the first rule that drops them as `reason`, null for kept rows, and a detail.
 
-    return ("no profile record", mark, F.col("instance_id"))
+    The rows are folded once, by the keys of all rules that look at other rows; those keys settle such rules one
+    after the other among themselves. One join then brings every row its verdicts, and the first that drops it
+    is its reason.
+    """
+    columns = states.columns
+    keys = {name: value for rule in rules if rule.parts for name, value in rule.keys}
+    rows, flags = states.withColumns({f"_key_{name}": value for name, value in keys.items()}), {}
+    for i, rule in enumerate(rules):
+        if rule.drop is not None:
+            drop = rule.drop if isinstance(rule.drop, Column) else rule.drop(columns)
+            rows, flags[i] = rows.withColumn(f"_drop_{i}", F.coalesce(drop, F.lit(False))), f"_drop_{i}"
+        elif rule.known is not None and not all(name in keys for name, _ in rule.keys):
+            asked = [f"_asked_{name}" for name, _ in rule.keys]
+            rows = _looked_up(rows.withColumns({a: value for a, (_, value) in zip(asked, rule.keys, strict=True)}), rule, asked, f"_found_{i}").drop(*asked)
+            rows, flags[i] = rows.withColumn(f"_drop_{i}", F.col(f"_found_{i}").isNull()).drop(f"_found_{i}"), f"_drop_{i}"
+    if keys:
+        rows = _with_verdicts(rows, rules, [f"_key_{name}" for name in keys], flags)
+    reason, detail = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, rule in reversed(list(enumerate(rules))):
+        reason = F.when(F.col(f"_drop_{i}"), F.lit(rule.name)).otherwise(reason)
+        detail = F.when(F.col(f"_drop_{i}"), rule.detail).otherwise(detail)
+    return rows.select(*columns, reason.alias("reason"), detail.alias("detail"))
 
 
 def filter_chain(states: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
-    """Kept rows, and dropped rows with the first rule that dropped them and a detail."""
-    columns = states.columns
-    df = states.withColumn("reason", F.lit(None).cast("string")).withColumn("detail", F.lit(None).cast("string"))
-    for name, mark, detail in rules:
-        marked = mark(df)
-        hit = F.col("reason").isNull() & F.coalesce("_drop", F.lit(False))
-        df = marked.select(
-            *columns,
-            F.when(hit, F.lit(name)).otherwise(F.col("reason")).alias("reason"),
-            F.when(hit, detail).otherwise(F.col("detail")).alias("detail"),
-        )
-    return df.where(F.col("reason").isNull()).select(*columns), df.where(F.col("reason").isNotNull())
+    """Kept rows, and dropped rows with the rule that dropped them and a detail."""
+    told = judged(states, rules)
+    return told.where(F.col("reason").isNull()).select(*states.columns), told.where(F.col("reason").isNotNull())
+
+
+def _with_verdicts(rows: DataFrame, rules: list[Rule], keys: list[str], flags: dict[int, str]) -> DataFrame:
+    """`_drop_<i>` of the rules that are settled by keys; `flags` are those already told by the row itself."""
+    folds = []
+    for i, rule in enumerate(rules):
+        # Only rows that the row-wise rules before it keep count for a rule.
+        seen = reduce(Column.__and__, [~F.col(flag) for j, flag in flags.items() if j < i], F.lit(True))
+        folds += [fold(F.when(seen, value)).alias(f"_part_{i}_{n}") for n, (value, fold) in enumerate(rule.parts)]
+    table, settled = rows.groupBy(*keys).agg(*folds), []
+    for i, rule in enumerate(rules):
+        own = [f"_key_{name}" for name, _ in rule.keys]
+        if i in flags:
+            continue
+        if rule.known is not None:
+            table = _looked_up(table, rule, own, f"_found_{i}").withColumn(f"_drop_{i}", F.col(f"_found_{i}").isNull()).drop(f"_found_{i}")
+        else:
+            alive = reduce(Column.__and__, [~F.col(flag) for flag in settled], F.lit(True))
+            # The table holds a row per combination of keys, whatever the rows behind it.
+            same = Window.partitionBy(*own)
+            parts = [fold(F.when(alive, F.col(f"_part_{i}_{n}"))).over(same) for n, (_, fold) in enumerate(rule.parts)]
+            keyed = reduce(Column.__and__, [F.col(name).isNotNull() for name in own])
+            table = table.withColumn(f"_drop_{i}", F.coalesce(rule.verdict(*parts) & keyed, F.lit(False)))
+        settled.append(f"_drop_{i}")
+    told = table.select(*[F.col(k).alias(f"{k}_") for k in keys], *settled)
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys])
+    return rows.join(told, same, "left").drop(*keys, *[f"{k}_" for k in keys])
 
 
 def apply_rule(states: DataFrame, rule: Rule) -> DataFrame:

@@ -10,7 +10,6 @@ from runlens.plans import datasets
 from runlens.plans.catalog.inputs import joined_list, narrow_states, state_scalars, states
 from runlens.plans.catalog.registry import frame, query
 from runlens.schemas import OUTCOME_FIELDS
-from runlens.session import reliable_checkpoint
 
 
 def _folded(status: str) -> str:
@@ -595,11 +594,8 @@ for _name, (_condition, _rules) in _CHAIN_RULES.items():
     """,
 )
 def filter_chain(spark, sf_dir):
-    narrow = reliable_checkpoint(narrow_states(spark, sf_dir))
-    kept, dropped = filters.filter_chain(narrow, datasets.standard_rules(frame(spark, sf_dir, "fx_known_groups")))
-    return kept.select("instance_id", F.lit("kept").alias("reason"), F.lit(None).cast("string").alias("detail")).unionByName(
-        dropped.select("instance_id", "reason", "detail")
-    )
+    told = filters.judged(narrow_states(spark, sf_dir), datasets.standard_rules(frame(spark, sf_dir, "fx_known_groups")))
+    return told.select("instance_id", F.coalesce("reason", F.lit("kept")).alias("reason"), "detail")
 
 
 @query(

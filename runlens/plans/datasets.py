@@ -13,7 +13,6 @@ from runlens.operators import filters, sampling
 from runlens.operators.hotspots import rank_hotspots
 from runlens.operators.outcomes import list_conflict_keys, unfold_outcomes
 from runlens.schemas import STATUS_FIELDS
-from runlens.session import reliable_checkpoint
 
 COPIED = ["instance_id", "repo", "base_commit", "patch", "container", "command"]
 COPIED_WORKLOAD = ["instance_id", "repo", "base_commit", "patch", "container", "command_workload"]
@@ -40,13 +39,8 @@ def narrow_states(states: DataFrame) -> DataFrame:
 
 
 def filter_states(narrow: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Kept and dropped scalar rows.
-
-    Each rule that looks at whole groups reads the rows again, and the kept ones feed several draws.
-    Both are a few scalars per state, so they are checkpointed instead of recomputed from the source.
-    """
-    kept, dropped = filters.filter_chain(reliable_checkpoint(narrow), standard_rules(known))
-    return reliable_checkpoint(kept), dropped
+    """Kept and dropped scalar rows, decided in one pass over them."""
+    return filters.filter_chain(narrow, standard_rules(known))
 
 
 def source_outcomes(states: DataFrame, kept: DataFrame) -> DataFrame:
