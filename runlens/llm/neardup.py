@@ -1,13 +1,15 @@
 """Near duplicates by a chosen-path similarity join over sets of 5-word shingles.
 
 Equal sets form a class first. Every class has a signature of minwise tokens. In each of several trees a
-class follows the tokens at a few chosen coordinates of its signature, on average 1/threshold branches per
-node, so a pair at the threshold keeps meeting while unlike pairs part. Nodes of few classes are compared
-exhaustively. In a larger node all classes are compared with two leaders, one drawn and one with the least
-share of shingles of its own, and the node branches on while it holds more than one component: by one
-coordinate first, by several at a time below, so that few levels are enough. After the last level, whatever
-is outside a node's main component is compared with the whole node. Shingles that no other class of a large
-node has cannot be shared: they bound the overlap of a pair from above, which leaves out pairs without loss. Candidates pass a lower bound on equal signature coordinates, five
+class follows the tokens at a few chosen coordinates of its signature, on average 1 + EXTRA branches per
+node, so a pair at the threshold keeps meeting while unlike pairs part; `miss_chance` tells how often one never
+does, and the number of trees follows from it. Nodes of few classes are compared exhaustively. In a larger node
+all classes are compared with two leaders, one drawn and one with the least share of shingles of its own. If it still
+holds more than one component, whatever is outside its main component is compared with the whole node, each pair
+in the first node that both are in; beyond REST classes the node branches on instead, by several coordinates at a
+time, until the last level. Classes of one component are never paired again.
+Shingles that no other class of a large node has cannot be shared: they bound the overlap of a pair from above,
+which leaves out pairs without loss. Candidates pass a lower bound on equal signature coordinates, five
 standard deviations below what the threshold gives, and links are confirmed on the full sets.
 
 Defined results: text that is null, empty or only white space has an empty set and is linked with nothing.
@@ -30,8 +32,12 @@ from runlens.llm.shared import broadcast_if_small, map_arrow, stored
 from runlens.llm.shingles import mix, shingles_of_rows
 
 COORDINATES = 64
-TREES = 12
 LEAF = 12
+# Classes of a node up to which what its leaders left apart is compared at once; larger nodes branch on.
+REST = 4096
+# Branches of a node beyond the first, on average, and the chance to miss a pair at the threshold that sets the trees.
+EXTRA = 0.45
+MISS = 5e-5
 # Coordinates that each level below the first adds to a path.
 STEPS = (3, 4)
 
@@ -93,63 +99,89 @@ def _token(signature: str, coordinate: Column) -> Column:
     return F.substr(F.col(signature), coordinate * 4 + 1, F.lit(4))
 
 
-def _extra(threshold: float) -> float:
-    """Branches beyond the first, on average, that keep a pair at the threshold meeting."""
-    return 1 / threshold - 1
+def miss_chance(similarity: float, trees: int) -> float:
+    """Chance that a pair meets in no node of the last level of any tree, whatever the sizes of the nodes.
 
+    The pair agrees at some of the coordinates; roots have coordinates of their own, and below each agreeing root
+    the nodes that hold both are a branching process. A pair that is compared at an earlier level is not missed.
+    """
+    roots, generations, missed = _root_count(trees), sum(STEPS), 0.0
+    for equal in range(COORDINATES + 1):
+        share, over = equal / COORDINATES, 0.0
+        for _ in range(generations):
+            over = (1 - share + share * over) * (1 - EXTRA * share + EXTRA * share * over)
+        drawn = range(max(0, roots - (COORDINATES - equal)), min(equal, roots) + 1)
+        none = sum(math.comb(equal, k) * math.comb(COORDINATES - equal, roots - k) * over**k for k in drawn)
+        missed += math.comb(COORDINATES, equal) * similarity**equal * (1 - similarity) ** (COORDINATES - equal) * none
+    return missed / math.comb(COORDINATES, roots)
+
+
+def _root_count(trees: int) -> int:
+    return min(COORDINATES, trees + math.ceil(trees * EXTRA))
+
+
+def trees_for(threshold: float) -> int:
+    """The least number of trees that misses pairs at the threshold no more often than MISS."""
+    return next((t for t in range(1, COORDINATES + 1) if miss_chance(threshold, t) <= MISS), COORDINATES)
 
-def _roots(classes: DataFrame, threshold: float) -> DataFrame:
-    """First level of every tree; each tree has coordinates of its own."""
-    chosen = [(tree, tree) for tree in range(TREES)]
-    chosen += [(tree, TREES + tree) for tree in range(math.ceil(TREES * _extra(threshold)))]
-    nodes = [F.xxhash64(F.lit(tree), F.lit(c), _token("signature", F.lit(c % COORDINATES))) for tree, c in chosen]
-    return classes.select(F.explode(F.array(*nodes)).alias("node"), "id")
 
+def _roots(classes: DataFrame, trees: int) -> DataFrame:
+    """First level of every tree, each with coordinates of its own; every class is a component so far."""
+    chosen = [(c % trees, c) for c in range(_root_count(trees))]
+    nodes = [F.xxhash64(F.lit(tree), F.lit(c), _token("signature", F.lit(c))) for tree, c in chosen]
+    return classes.select(F.explode(F.array(*nodes)).alias("node"), "id", F.col("id").alias("root"))
 
-def _branches(members: DataFrame, classes: DataFrame, threshold: float, steps: int) -> DataFrame:
+
+def _branches(members: DataFrame, classes: DataFrame, steps: int) -> DataFrame:
     """Descendants of nodes, `steps` generations down.
 
     In each generation a node goes on with one chosen coordinate, and a share of the nodes with a second.
     """
-    rows = members.select("node", "id").join(classes.select("id", "signature"), "id")
+    rows = members.select("node", "id", "root").join(classes.select("id", "signature"), "id")
     nodes = F.array("node")
     for _ in range(steps):
-        nodes = F.flatten(F.transform(nodes, lambda node: _children(node, threshold)))
-    return rows.select(F.explode(nodes).alias("node"), "id")
+        nodes = F.flatten(F.transform(nodes, _children))
+    return rows.select(F.explode(nodes).alias("node"), "id", "root")
 
 
-def _children(node: Column, threshold: float) -> Column:
+def _children(node: Column) -> Column:
     one = F.pmod(F.xxhash64(node, F.lit("one")), F.lit(COORDINATES)).cast("int")
     two = F.pmod(F.xxhash64(node, F.lit("two")), F.lit(COORDINATES)).cast("int")
-    more = F.pmod(F.xxhash64(node, F.lit("more")), F.lit(1_000_000)) < int(_extra(threshold) * 1_000_000)
+    more = F.pmod(F.xxhash64(node, F.lit("more")), F.lit(1_000_000)) < int(EXTRA * 1_000_000)
     chosen = F.array_distinct(F.when(more, F.array(one, two)).otherwise(F.array(one)))
     return F.transform(chosen, lambda c: F.xxhash64(node, c, _token("signature", c)))
 
 
 def _members(nodes: DataFrame) -> DataFrame:
-    """Rows of nodes that hold more than one class, with the node's size and leader."""
-    sizes = nodes.groupBy("node").agg(
-        F.count(F.lit(1)).alias("size"), F.min_by("id", F.xxhash64("node", "id")).alias("leader")
-    )
-    return stored(nodes.join(sizes.where("size > 1"), "node"), "nodes")
+    """Rows of nodes that hold more than one component, with the node's size."""
+    sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size"), (F.min("root") < F.max("root")).alias("mixed"))
+    return stored(nodes.join(sizes.where("mixed").drop("mixed"), "node"), "nodes")
 
 
 def _small_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of the nodes that hold LEAF classes at most."""
-    small = members.where(F.col("size") <= LEAF).groupBy("node").agg(F.collect_list("id").alias("ids"))
-    pairs = small.select("ids", F.explode("ids").alias("a"))
-    return pairs.select("a", F.explode(F.filter("ids", lambda b: b > F.col("a"))).alias("b"))
+    """All pairs of different components in the nodes that hold LEAF classes at most."""
+    small = members.where(F.col("size") <= LEAF).groupBy("node").agg(F.collect_list(F.struct("id", "root")).alias("held"))
+    pairs = small.select("held", F.explode("held").alias("one"))
+    others = F.filter("held", lambda b: (b["id"] > F.col("one.id")) & (b["root"] != F.col("one.root")))
+    return pairs.select(F.col("one.id").alias("a"), F.explode(F.transform(others, lambda b: b["id"])).alias("b")).distinct()
 
 
-def _led_pairs(members: DataFrame, common: DataFrame) -> DataFrame:
-    """Every class of a larger node with the node's drawn leader and with its most common class."""
-    large = members.where(F.col("size") > LEAF)
-    central = large.join(common, "id").groupBy("node").agg(
-        F.max_by("id", F.struct(F.col("common") / F.col("n"), F.xxhash64("node", "id"))).alias("central")
+def _led_pairs(members: DataFrame, common: DataFrame, join: _Join) -> DataFrame:
+    """Every class of a larger node with the node's leaders, where bounds allow a link.
+
+    One leader has the least hash of all, so that nodes of the same classes mostly have the same one; the other has
+    the greatest share of common shingles.
+    """
+    large = members.where(F.col("size") > LEAF).join(common, "id")
+    one = F.struct("id", "root", "n", "common")
+    leaders = large.groupBy("node").agg(
+        F.min_by(one, F.xxhash64("id")).alias("first"), F.max_by(one, F.struct(F.col("common") / F.col("n"), F.xxhash64("id"))).alias("central")
     )
-    leaders = F.explode(F.array_distinct(F.array("leader", "central")))
-    led = large.join(central, "node").select("id", leaders.alias("leader")).where("id <> leader")
-    return led.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
+    led = large.join(leaders, "node")
+    led = led.select("id", "root", "n", "common", F.col("first").alias("leader")).union(led.select("id", "root", "n", "common", F.col("central").alias("leader")))
+    allowed = join.overlap_allows("common", "leader.common", "n", "leader.n") & join.sizes_allow("n", "leader.n")
+    led = led.where((F.col("root") != F.col("leader.root")) & allowed)
+    return led.select(F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")).distinct()
 
 
 class _Join:
@@ -181,24 +213,23 @@ class _Join:
     def overlap_allows(self, common_a, common_b, n_a, n_b) -> Column:
         """Whether a pair that shares all its common shingles would reach the threshold."""
         most = F.least(F.col(common_a), F.col(common_b)) * (100 + self.percent)
-        return F.coalesce(most >= (F.col(n_a) + F.col(n_b)) * self.percent, F.lit(True))
-
-    def close(self, pairs: DataFrame, common: DataFrame | None) -> DataFrame:
-        """Pairs (a, b) that overlap bounds, sizes and signatures allow."""
-        if common is not None:
-            for side in "ab":
-                pairs = pairs.join(common.toDF(side, f"n{side}", f"common_{side}"), side, "left")
-            pairs = pairs.where(self.overlap_allows("common_a", "common_b", "na", "nb")).select("a", "b")
+        return most >= (F.col(n_a) + F.col(n_b)) * self.percent
+
+    def sizes_allow(self, n_a, n_b) -> Column:
+        return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * self.percent
+
+    def close(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) that sizes and signatures allow."""
         held = self.classes.select("id", "n", "signature")
         for side in "ab":
             held_side = held.toDF(side, f"n{side}", f"s{side}")
             pairs = pairs.join(held_side, side)
-        fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
-        return stored(map_arrow(pairs.where(fits).select("a", "b", "sa", "sb"), _agreeing(self.least), "a long, b long"), "close")
+        pairs = pairs.where(self.sizes_allow("na", "nb")).select("a", "b", "sa", "sb")
+        return stored(map_arrow(pairs, _agreeing(self.least), "a long, b long"), "close")
 
-    def confirmed(self, pairs: DataFrame, common: DataFrame | None = None) -> DataFrame:
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Links (a, b) among candidate pairs, by their full sets."""
-        close = self.close(pairs.distinct(), common)
+        close = self.close(pairs.distinct())
         sets = self.sets(close.select(F.explode(F.array("a", "b")).alias("id")).distinct(), 2 * close.count())
         both = close.select("a", "b").join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
         shared = F.size(F.array_intersect("left", "right"))
@@ -207,14 +238,6 @@ class _Join:
         return stored(found.where(F.col("shared") * 100 >= union * self.percent).select("a", "b"), "confirmed")
 
 
-def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different components."""
-    for side in "ab":
-        pairs = pairs.join(roots.toDF(side, f"root_{side}"), side, "left")
-        pairs = pairs.withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
-    return pairs.where("root_a <> root_b").drop("root_a", "root_b")
-
-
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     """Components after more links: they join the components so far, as a graph of those."""
     if links.isEmpty():
@@ -229,7 +252,7 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _mixed(members: DataFrame, roots: DataFrame, common: DataFrame, join: _Join) -> DataFrame:
-    """Classes of larger nodes that hold more than one component, with the component.
+    """Classes of larger nodes that hold more than one component, with the component and the size left.
 
     Classes whose common shingles are too few for any partner in the node are left out.
     """
@@ -239,18 +262,30 @@ def _mixed(members: DataFrame, roots: DataFrame, common: DataFrame, join: _Join)
     partner = F.greatest("least", F.ceil(F.col("n") * join.percent / 100))
     able = F.col("common") * (100 + join.percent) >= (F.col("n") + partner) * join.percent
     large = large.join(least, "node").where(able).drop("least")
-    several = large.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    return stored(large.join(several.select("node"), "node"), "mixed")
+    several = large.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size")).where("low <> high")
+    return stored(large.join(several.select("node", "size"), "node"), "mixed")
 
 
 def _rest(mixed: DataFrame, join: _Join) -> DataFrame:
-    """Pairs of everything outside a node's main component with the node's other classes, by overlap bound."""
+    """Pairs of everything outside a node's main component with the node's other classes, by overlap bound.
+
+    Two classes that share several nodes are paired in the first of those.
+    """
     counts = mixed.groupBy("node", "root").agg(F.count(F.lit(1)).alias("rows"))
-    main = counts.groupBy("node").agg(F.max_by("root", "rows").alias("main"))
-    outside = mixed.join(main, "node").where("root <> main").select("node", *[F.col(c).alias(f"{c}_a") for c in ("id", "root", "n", "common")])
-    others = mixed.select(F.col("node").alias("node_b"), *[F.col(c).alias(f"{c}_b") for c in ("id", "root", "n", "common")])
+    main = counts.groupBy("node").agg(F.max_by("root", F.struct("rows", "root")).alias("main"))
+    rows = mixed.join(main, "node")
+    # Only outside the main component of one of its nodes is a class paired; those nodes are listed.
+    listed = rows.groupBy("id").agg(F.collect_set("node").alias("nodes"), F.collect_set(F.when(F.col("root") != F.col("main"), F.col("node"))).alias("outer"))
+    rows = stored(rows.join(listed, "id"), "rest")
+    columns = ("id", "root", "n", "common", "nodes", "outer")
+    outside = rows.where("root <> main").select("node", *[F.col(c).alias(f"{c}_a") for c in columns])
+    others = rows.select(F.col("node").alias("node_b"), "main", *[F.col(c).alias(f"{c}_b") for c in columns])
     meets = (F.col("node") == F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
-    pairs = outside.join(others, meets & join.overlap_allows("common_a", "common_b", "n_a", "n_b"))
+    # Of two classes outside the main component one side is enough.
+    once = (F.col("root_b") == F.col("main")) | (F.col("id_a") < F.col("id_b"))
+    both = F.array_union(F.array_intersect("outer_a", "nodes_b"), F.array_intersect("outer_b", "nodes_a"))
+    first = F.array_min(both) == F.col("node")
+    pairs = outside.join(others, meets & once & join.overlap_allows("common_a", "common_b", "n_a", "n_b") & join.sizes_allow("n_a", "n_b") & first)
     return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
 
 
@@ -263,22 +298,24 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = stored(classes.agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")), "classes")
     join = _Join(docs, classes, percent)
     roots = docs.sparkSession.createDataFrame([], "id long, root long")
-    nodes, common = _roots(classes, threshold), None
+    nodes, common = _roots(classes, trees_for(threshold)), None
     for steps in (*STEPS, 0):
         members = _members(nodes)
         large = not members.where(F.col("size") > LEAF).isEmpty()
         pairs = _small_pairs(members)
         if large:
             common = join.common(members) if common is None else common
-            pairs = pairs.union(_led_pairs(members, common))
-        roots = _joined(roots, join.confirmed(_across(pairs, roots), common))
-        mixed = _mixed(members, roots, common, join) if large else None
-        if mixed is None or mixed.isEmpty():
+            pairs = pairs.union(_led_pairs(members, common, join))
+        roots = _joined(roots, join.confirmed(pairs))
+        if not large:
+            break
+        mixed = _mixed(members, roots, common, join)
+        now = mixed.where(F.col("size") <= REST) if steps else mixed
+        roots = _joined(roots, join.confirmed(_rest(now, join)))
+        larger = mixed.where(F.col("size") > REST)
+        if not steps or larger.isEmpty():
             break
-        if steps:
-            nodes = _branches(mixed, classes, threshold, steps)
-        else:
-            roots = _joined(roots, join.confirmed(_across(_rest(mixed, join), roots), common))
+        nodes = _branches(larger, classes, steps)
     named = classes.drop("signature").join(roots, "id", "left")
     named = named.select("n", "d1", "d2", F.coalesce("root", "id").alias("root"))
     placed = signed.drop("signature").join(named, ["n", "d1", "d2"], "left")

@@ -205,3 +205,67 @@ def test_fingerprints_of_odd_documents(spark):
     alone = fingerprints.fingerprints(frame(spark, [(5, PROSE)])).collect()
     assert len(alone) == 1 and alone[0].near_next == 1.0
     assert fingerprints.fingerprints(odd(spark).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("similarity", [0.80, 0.85])
+def test_miss_chance_is_simulated(similarity):
+    """The figure that sets the trees, against drawn signatures walked down drawn paths."""
+    assert neardup.miss_chance(similarity, neardup.trees_for(similarity)) <= 5e-5
+    assert neardup.miss_chance(similarity + 0.02, neardup.trees_for(similarity)) < 2e-5
+    rnd = random.Random(int(similarity * 100))
+    trees, missed, pairs = 3, 0, 4000
+    for _ in range(pairs):
+        equal = [rnd.random() < similarity for _ in range(neardup.COORDINATES)]
+        nodes = sum(equal[: neardup._root_count(trees)])
+        for _ in range(sum(neardup.STEPS)):
+            after = 0
+            for _ in range(nodes):
+                chosen = {rnd.randrange(neardup.COORDINATES)} | ({rnd.randrange(neardup.COORDINATES)} if rnd.random() < neardup.EXTRA else set())
+                after += sum(equal[c] for c in chosen)
+            nodes = after
+        missed += nodes == 0
+    want = neardup.miss_chance(similarity, trees)
+    assert abs(missed / pairs - want) < 4 * (want / pairs) ** 0.5 + 0.004
+
+
+def dense(seed, n, changes):
+    """One group of copies of a text, most of whose pairs lie just about the threshold."""
+    rnd = random.Random(seed)
+    base = words(seed, 120).split(" ")
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(rnd.choice(changes)):
+            w[rnd.randrange(len(w))] = f"new{rnd.randrange(40)}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("changes", [[1, 2], [2, 3, 4], [0, 3, 5, 6]])
+def test_dense_groups(spark, changes, monkeypatch):
+    docs = frame(spark, dense(7, 150, changes))
+    want = brute(docs.collect(), 85)
+    assert sorted(map(tuple, neardup.near_duplicates(docs).collect())) == want
+    monkeypatch.setattr(neardup, "STEPS", (1, 1))
+    monkeypatch.setattr(neardup, "LEAF", 3)
+    monkeypatch.setattr(neardup, "REST", 20)
+    assert sorted(map(tuple, neardup.near_duplicates(docs).collect())) == want
+
+
+def test_rest_pairs_each_two_classes_once(spark):
+    """Every pair of which one lies outside the main component of a shared node, and no pair twice."""
+    rnd = random.Random(4)
+    root_of = {i: i if i % 5 else 0 for i in range(40)}
+    rows = [(node, i, root_of[i], 100, 100) for node in range(12) for i in range(40) if rnd.random() < 0.4]
+    mixed = spark.createDataFrame(rows, "node long, id long, root long, n long, common long")
+    join = neardup._Join(None, None, 85)
+    got = sorted(map(tuple, neardup._rest(mixed, join).collect()))
+    want = set()
+    for node in range(12):
+        held = [r[1] for r in rows if r[0] == node]
+        sizes = {}
+        for i in held:
+            sizes[root_of[i]] = sizes.get(root_of[i], 0) + 1
+        main = max(sizes, key=lambda r: (sizes[r], r))
+        want |= {(min(a, b), max(a, b)) for a in held for b in held if root_of[a] != main and root_of[a] != root_of[b]}
+    assert got == sorted(want)
