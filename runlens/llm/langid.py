@@ -4,9 +4,13 @@ A word seen in training scores by its log frequency in each language. An unseen
 the longest n-grams of which training knows one: 5, 4, 3, 2, then single letters, with the word's
 borders marked. A document's score is the sum over all its words.
 
+Every language is learned from its own bounded sample and keeps its own share of the words and n-grams, so a rare
+language is learned beside a frequent one.
+
 Defined results: text that is null or holds no letter gives `und` with score 0, and so does every
-document when there are no labelled rows to learn from. Rows with a null lang teach nothing. Equal
-scores go to the alphabetically first language. Repeated rows are separate rows; a null doc_id is kept.
+document when there are no labelled rows to learn from; `accepted` then keeps documents with letters. Rows with
+a null lang teach nothing. Equal scores go to the alphabetically first language. Repeated rows are separate rows;
+a null doc_id is kept.
 """
 
 from __future__ import annotations
@@ -18,23 +22,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.llm.shared import held_out, map_arrow, stored
 
 UNKNOWN = "und"
-# Documents that training reads at most, in expectation; a sample by hash of the id.
-TRAINING_DOCUMENTS = 10_000
-# Words and n-grams kept in the model, by total count, over all languages together.
+# Documents of one language that training reads at most, in expectation; a sample by hash of the id.
+TRAINING_DOCUMENTS = 2_500
+# Words and n-grams kept in the model, shared out evenly: the most frequent of every language.
 MODEL_WORDS = 50_000
 MODEL_NGRAMS = 50_000
-# Languages kept, by number of sampled documents.
-MODEL_LANGUAGES = 256
+# Languages kept, by number of labelled documents.
+MODEL_LANGUAGES = 1024
 ORDERS = (5, 4, 3, 2, 1)
 SMOOTHING = 0.5
-# Scored words that a task remembers.
-MEMO_WORDS = 300_000
+# Word scores, one for each language, that a task remembers.
+MEMO_SCORES = 400_000
 
 _WORD = regex.compile(r"\p{L}+")
 
@@ -72,62 +76,63 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 class Model:
-    """Log frequencies of known words and n-grams, one column per language."""
-
-    def __init__(self, languages: list[str], words: dict[str, list[float]], grams: dict[str, list[float]]):
-        self.languages, self.words, self.grams = languages, words, grams
-
-    def of_word(self, word: str) -> list[float]:
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        zero = [0.0] * len(self.languages)
-        if not word:
-            return zero
+    """Log frequencies of known words and n-grams: what a language gives to unseen ones, and where terms differ."""
+
+    def __init__(self, languages: list[str], unseen: dict[int, np.ndarray], terms: list[dict[str, tuple[np.ndarray, np.ndarray]]]):
+        self.languages, self.unseen, self.terms = languages, unseen, terms
+
+    def _scores(self, order: int, entry: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        scores = self.unseen[order].copy()
+        scores[entry[0]] = entry[1]
+        return scores
+
+    def of_word(self, word: str) -> np.ndarray:
+        words, grams = self.terms
+        if word in words:
+            return self._scores(0, words[word])
         for n in ORDERS:
-            found = [g for g in map(self.grams.get, _grams(word, n)) if g is not None]
+            found = [self._scores(len(g), grams[g]) for g in _grams(word, n) if g in grams]
             if found:
-                return [sum(column) / len(found) for column in zip(*found, strict=True)]
-        return zero
+                return np.sum(found, axis=0) / len(found)
+        return np.zeros(len(self.languages))
 
 
 def train(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> Model:
-    """Learn from `text` and `lang` of the rows that are not held out."""
+    """Learn from `text` and `lang` of the rows that are not held out, up to `documents` of each language."""
+    spark = docs.sparkSession
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out("doc_id"))
-    rows = known.count()
-    share = min(1.0, documents / rows) if rows else 1.0
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = known.where(drawn).select("text", "lang")
-    counted = map_arrow(sample, _count_batches, "lang string, kind int, term string, n long")
-    counts = counted.groupBy("kind", "term", "lang").agg(F.sum("n").alias("n"))
-    vectors = stored(
-        counts.groupBy("kind", "term").agg(
-            F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by_lang")
-        ),
-        "langid",
-    )
-    languages_by_size = vectors.where("kind = 0").select(F.inline("by_lang")).orderBy(F.desc("n"), "lang")
-    languages = sorted(r["lang"] for r in languages_by_size.limit(MODEL_LANGUAGES).collect())
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MODEL_LANGUAGES).collect()
+    languages = sorted(r["lang"] for r in sizes)
     if not languages:
-        return Model([], {}, {})
-
-    def table(kind: int, limit: int, order_of) -> dict[str, list[float]]:
-        top = vectors.where(F.col("kind") == kind).orderBy(F.desc("total"), "term").limit(limit).collect()
-        totals: dict[int, Counter] = defaultdict(Counter)
-        kept: Counter = Counter()
-        for r in top:
-            kept[order_of(r["term"])] += 1
-            for lang, n in r["by_lang"]:
-                totals[order_of(r["term"])][lang] += n
-        out = {}
-        for r in top:
-            of, n = order_of(r["term"]), dict(map(tuple, r["by_lang"]))
-            out[r["term"]] = [
-                math.log((n.get(x, 0) + SMOOTHING) / (totals[of][x] + SMOOTHING * kept[of])) for x in languages
-            ]
-        return out
-
-    return Model(languages, table(1, MODEL_WORDS, lambda term: 0), table(2, MODEL_NGRAMS, len))
+        return Model([], {}, [{}, {}])
+    parts = spark.createDataFrame([(r["lang"], int((1 << 30) * min(1.0, documents / r["n"]))) for r in sizes], "of_lang string, part long")
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)) < F.col("part")
+    sample = known.select("doc_id", "lang", "text").join(F.broadcast(parts), F.col("lang") == F.col("of_lang")).where(drawn).select("text", "lang")
+    counted = map_arrow(sample, _count_batches, "lang string, kind int, term string, n long")
+    counts = counted.where("kind > 0").groupBy("kind", "term", "lang").agg(F.sum("n").alias("n"))
+    # Words are one order of their own, n-grams one order for each length.
+    counts = stored(counts.withColumn("order", F.when(F.col("kind") == 1, 0).otherwise(F.length("term"))), "langid")
+    share = F.when(F.col("kind") == 1, max(1, MODEL_WORDS // len(languages))).otherwise(max(1, MODEL_NGRAMS // len(languages)))
+    place = F.row_number().over(Window.partitionBy("kind", "lang").orderBy(F.desc("n"), "term"))
+    kept = counts.withColumn("place", place).where(F.col("place") <= share).select("kind", "term").distinct()
+    rows = counts.join(kept, ["kind", "term"]).groupBy("kind", "order", "term").agg(F.sort_array(F.collect_list(F.struct("lang", "n"))).alias("by_lang")).collect()
+
+    number = {lang: i for i, lang in enumerate(languages)}
+    orders = (0, *ORDERS)
+    total, terms_of = {o: np.zeros(len(languages)) for o in orders}, Counter()
+    entries: list[tuple[int, int, str, np.ndarray, np.ndarray]] = []
+    for r in rows:
+        order = r["order"]
+        at, n = np.array([number[lang] for lang, _ in r["by_lang"]]), np.array([float(n) for _, n in r["by_lang"]])
+        total[order][at] += n
+        terms_of[order] += 1
+        entries.append((r["kind"], order, r["term"], at, n))
+    whole = {o: np.log(total[o] + SMOOTHING * max(1, terms_of[o])) for o in orders}
+    unseen = {o: math.log(SMOOTHING) - whole[o] for o in orders}
+    terms: list[dict[str, tuple[np.ndarray, np.ndarray]]] = [{}, {}]
+    for kind, order, term, at, n in entries:
+        terms[kind - 1][term] = (at.astype(np.int16), (np.log(n + SMOOTHING) - whole[order][at]).astype(np.float32))
+    return Model(languages, unseen, terms)
 
 
 class Scorer:
@@ -154,7 +159,7 @@ class Scorer:
         words = Counter(_WORD.findall(text.lower())) if text else None
         if not words or not self.width:
             return UNKNOWN, 0.0
-        if len(self.place) > MEMO_WORDS:
+        if len(self.place) * self.width > MEMO_SCORES:
             self._forget()
         places = np.fromiter(map(self._place, words), dtype=np.int64, count=len(words))
         counts = np.fromiter(words.values(), dtype=np.float64, count=len(words))
@@ -192,14 +197,20 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` whose language is told; rows that predict to `und` go. All columns stay."""
+    """The rows of `docs` whose language is told; rows that predict to `und` go. All columns stay.
+
+    Without a labelled row no language can be told; then the rows with letters stay.
+    """
     model = docs.sparkSession.sparkContext.broadcast(train(docs))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.value)
         place = names.index("text")
         for batch in batches:
-            kept = [scorer.predict(text.as_py())[0] != UNKNOWN for text in batch.column(place)]
+            if scorer.width:
+                kept = [scorer.predict(text.as_py())[0] != UNKNOWN for text in batch.column(place)]
+            else:
+                kept = [_WORD.search(text.as_py() or "") is not None for text in batch.column(place)]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     names = docs.columns

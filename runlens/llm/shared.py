@@ -12,6 +12,8 @@ from runlens.session import ship_package
 
 # Rows up to which a table may be broadcast by hint; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+# Bytes of an Arrow batch; a session that sets less keeps its own limit.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def map_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """mapInArrow with this package present on the executors."""
-    ship_package(df.sparkSession)
+    """mapInArrow with this package present on the executors, in batches of bounded size whatever the rows hold."""
+    spark = df.sparkSession
+    ship_package(spark)
+    # A set value comes back as it was written, the default as bytes.
+    limit = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").lower().rstrip("b")
+    if not limit.isdigit() or int(limit) > BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(function, schema)
 
 

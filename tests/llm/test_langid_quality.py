@@ -24,7 +24,7 @@ def test_languages_of_held_out_documents(spark):
 
 def test_unseen_words_back_off_to_ngrams(spark):
     model = langid.train(corpus(spark))
-    assert "lotibalotibalo" not in model.words
+    assert "lotibalotibalo" not in model.terms[0]
     assert langid.Scorer(model).predict("lotibalotibalo")[0] == "xx"
     assert langid.Scorer(model).predict("zegokuzegokuze")[0] == "yy"
 
@@ -43,6 +43,66 @@ def test_odd_documents(spark):
     assert [tuple(r)[2:] for r in langid.identify(unlabelled).collect()] == [("und", 0.0)]
 
 
+def plain_scores(rows, text):
+    """Log frequencies counted and added up one by one."""
+    import math
+    import re
+    from collections import Counter
+
+    counts = {}
+    for _, known, lang in rows:
+        for word in re.findall(r"[^\W\d_]+", known.lower()):
+            counts.setdefault((0, word), Counter())[lang] += 1
+            for n in (5, 4, 3, 2, 1):
+                for g in langid._grams(word, n):
+                    counts.setdefault((len(g), g), Counter())[lang] += 1
+    langs = sorted({r[2] for r in rows})
+    total, kept = Counter(), Counter()
+    for (order, _), by_lang in counts.items():
+        kept[order] += 1
+        for lang, n in by_lang.items():
+            total[order, lang] += n
+    scores = Counter({lang: 0.0 for lang in langs})
+    found = re.findall(r"[^\W\d_]+", text.lower())
+    for word in found:
+        terms = [(0, word)] if (0, word) in counts else []
+        for n in (5, 4, 3, 2, 1):
+            terms = terms or [(len(g), g) for g in langid._grams(word, n) if (len(g), g) in counts]
+        for lang in langs:
+            scores[lang] += sum(math.log((counts[t][lang] + 0.5) / (total[t[0], lang] + 0.5 * kept[t[0]])) for t in terms) / max(1, len(terms))
+    scaled = {lang: s / math.sqrt(len(found)) for lang, s in scores.items()}
+    best = max(langs, key=lambda x: scaled[x])
+    return best, 1 / sum(math.exp(s - scaled[best]) for s in scaled.values())
+
+
+def test_scores_against_plain_counting(spark):
+    docs = corpus(spark, 90)
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]
+    known = [r for r, d in zip(rows, langid.identify(docs).orderBy("doc_id").collect(), strict=True) if not d.held_out]
+    for r in langid.identify(docs).orderBy("doc_id").limit(25).collect():
+        best, score = plain_scores(known, rows[r.doc_id][1])
+        assert r.lang_pred == best and abs(r.score - score) < 1e-4
+
+
+def test_many_languages_and_rare_ones_are_learned(spark):
+    def text(lang, seed):
+        rnd = random.Random(lang * 7919 + seed)
+        own = random.Random(lang)
+        stems = ["".join(own.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(25)]
+        return " ".join(rnd.choice(stems) for _ in range(40))
+
+    rows = [(lang * 10 + k, text(lang, k), f"l{lang:03d}") for lang in range(300) for k in range(8)]
+    hot = [(100_000 + k, words(k, 80), "hot") for k in range(1500)]
+    got = langid.identify(frame(spark, rows + hot)).where("doc_id < 100000 AND held_out").collect()
+    right = sum(r.lang_pred == f"l{r.doc_id // 10:03d}" for r in got)
+    assert len(got) > 400 and right > 0.97 * len(got)
+
+
+def test_pipeline_stage_without_languages_keeps_documents(spark):
+    docs = frame(spark, [(1, "some text", None), (2, "12 34", None), (3, None, None), (4, "", None)])
+    assert [r.doc_id for r in langid.accepted(docs).collect()] == [1]
+
+
 def labelled(spark, n=400):
     rows, labels = [], []
     for i in range(n):
