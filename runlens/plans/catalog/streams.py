@@ -49,7 +49,7 @@ def stream_upsert(spark, sf_dir):
     folder = scratch_folder(spark)
     stream = _table_stream(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
     jobs.stream_upsert(stream, f"{folder}/table", f"{folder}/checkpoint", "user_id", "event_id").awaitTermination()
-    return jobs.read_upserted(spark, f"{folder}/table", stream.schema).select("user_id", "event_id", "event_type")
+    return jobs.read_upserted(spark, f"{folder}/table", stream.schema, "user_id", "event_id").select("user_id", "event_id", "event_type")
 
 
 @query(
@@ -62,7 +62,7 @@ def stream_upsert_late(spark, sf_dir):
     events = _table_stream(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
     for part, rows in (("new", events.where("event_id % 2 = 1")), ("late", events.where("event_id % 2 = 0"))):
         jobs.stream_upsert(rows, f"{folder}/table", f"{folder}/{part}", "user_id", "event_id").awaitTermination()
-    return jobs.read_upserted(spark, f"{folder}/table", events.schema).select("user_id", "event_id", "event_type")
+    return jobs.read_upserted(spark, f"{folder}/table", events.schema, "user_id", "event_id").select("user_id", "event_id", "event_type")
 
 
 @query(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -15,7 +16,6 @@ from runlens.operators.skew import first_row
 
 # State larger than memory lives on disk and is checkpointed incrementally.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-BUCKETS = 256
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -40,80 +40,49 @@ def stream_results(results: DataFrame, path: str, checkpoint: str, key: str = "i
     )
 
 
-def _fs_path(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
-def _last_version(spark: SparkSession, path: str) -> int | None:
-    """Number of the newest complete list of bucket folders, if there is one."""
-    files, folder = _fs_path(spark, f"{path}/versions")
-    if not files.exists(folder):
-        return None
-    numbers = [int(s.getPath().getName()) for s in files.listStatus(folder) if s.getPath().getName().isdigit()]
-    done = [n for n in numbers if files.exists(_fs_path(spark, f"{path}/versions/{n}/_SUCCESS")[1])]
-    return max(done, default=None)
+def upsert_batch(path: str, source: str, key: str, order: str):
+    """A foreachBatch function that adds a batch's newest row of each key, in a folder of the batch's own.
 
+    A batch that is replayed after a failure writes the same folder again. `source` names the stream, since
+    every stream counts its own batches.
+    """
 
-def _bucket_folders(spark: SparkSession, path: str, version: int | None) -> dict[int, str]:
-    """Bucket -> data folder of a version; at most one small row per bucket."""
-    if version is None:
-        return {}
-    listed = spark.read.schema("bucket int, folder string").parquet(f"{path}/versions/{version}")
-    return dict(map(tuple, listed.collect()))
+    def add(batch: DataFrame, number: int) -> None:
+        newest = first_row(batch, [key], [F.col(order).desc_nulls_last()])
+        newest.write.mode("overwrite").parquet(f"{path}/source={source}/batch={number}")
 
+    return add
 
-def _buckets(spark: SparkSession, path: str, folders: dict[int, str], schema) -> DataFrame:
-    paths = [f"{path}/data/{folder}/bucket={bucket}" for bucket, folder in sorted(folders.items())]
-    return spark.read.schema(schema).parquet(*paths)
 
+def read_upserted(spark: SparkSession, path: str, schema, key: str = "instance_id", order: str = "seq") -> DataFrame:
+    """The newest row of each key over all batches so far; of equal ones that of the earliest batch.
 
-def read_upserted(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The table's rows as of its newest complete version."""
-    folders = _bucket_folders(spark, path, _last_version(spark, path))
-    return _buckets(spark, path, folders, schema) if folders else spark.createDataFrame([], schema)
+    Late and replayed batches change nothing that is newer. A folder that does not exist yet holds no rows.
+    """
+    try:
+        rows = spark.read.schema(f"{_ddl(schema)}, source string, batch bigint").option("basePath", path).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    newest = first_row(rows, [key], [F.col(order).desc_nulls_last(), F.col("batch"), F.col("source")])
+    return newest.drop("source", "batch")
 
 
-def upsert_batch(path: str, key: str, order: str, buckets: int = BUCKETS):
-    """A foreachBatch function that merges a batch into a bucketed parquet table.
+def _ddl(schema) -> str:
+    return schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
-    Of all rows of a key, stored or new, the one of the largest `order` stays, a stored one on ties, so
-    late and replayed batches change nothing that is newer. Only the buckets a batch touches are written,
-    to a new folder; a new list of bucket folders, written last, makes them the table's content.
-    """
 
-    def merge(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        number = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-        changed = first_row(batch, [key], [F.col(order).desc_nulls_last()]).withColumn("bucket", number).persist()
-        try:
-            # At most `buckets` numbers come to the driver.
-            touched = [r[0] for r in changed.select("bucket").distinct().collect()]
-            if not touched:
-                return
-            version = _last_version(spark, path)
-            folders = _bucket_folders(spark, path, version)
-            merged = changed.withColumn("_new", F.lit(1))
-            known = {b: folders[b] for b in touched if b in folders}
-            if known:
-                stored = _buckets(spark, path, known, batch.schema).withColumn("bucket", number)
-                merged = merged.unionByName(stored.withColumn("_new", F.lit(0)))
-                merged = first_row(merged, [key], [F.col(order).desc_nulls_last(), F.col("_new")])
-            folder = uuid.uuid4().hex
-            merged.drop("_new").write.partitionBy("bucket").parquet(f"{path}/data/{folder}")
-            listed = folders | dict.fromkeys(touched, folder)
-            table = spark.createDataFrame(sorted(listed.items()), "bucket int, folder string")
-            table.coalesce(1).write.parquet(f"{path}/versions/{0 if version is None else version + 1}", mode="overwrite")
-        finally:
-            changed.unpersist()
-
-    return merge
+def compact_upserted(spark: SparkSession, path: str, target: str, schema, key: str = "instance_id", order: str = "seq") -> None:
+    """Write what `read_upserted` finds to another folder, as the first batch of the table that goes on there."""
+    read_upserted(spark, path, schema, key, order).write.mode("overwrite").parquet(f"{target}/source=compacted/batch=-1")
 
 
 def stream_upsert(rows: DataFrame, path: str, checkpoint: str, key: str = "instance_id", order: str = "seq") -> StreamingQuery:
     """Filled rows into the state table as they arrive; the newest version of an id wins."""
+    source = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
     return (
-        rows.writeStream.foreachBatch(upsert_batch(path, key, order))
+        rows.writeStream.foreachBatch(upsert_batch(path, source, key, order))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

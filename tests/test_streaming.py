@@ -40,11 +40,21 @@ def test_upsert_keeps_the_newest(spark, tmp_path):
 
 def test_late_rows_of_a_later_batch_change_nothing(spark, tmp_path):
     schema = "instance_id string, seq int, v string"
-    merge = jobs.upsert_batch(f"{tmp_path}/t", "instance_id", "seq")
+    merge = jobs.upsert_batch(f"{tmp_path}/t", "feed", "instance_id", "seq")
     for number, data in enumerate([[("a", 5, "new"), ("b", 1, "b")], [("a", 1, "old"), ("b", 1, "again"), ("c", 1, "c")], [("a", 6, "newest")]]):
         merge(spark.createDataFrame(data, schema), number)
     got = jobs.read_upserted(spark, f"{tmp_path}/t", schema)
     assert rows(got, "instance_id", "v") == [("a", "newest"), ("b", "b"), ("c", "c")]
+    # A replayed batch writes its folder again; another stream counts its own batches.
+    merge(spark.createDataFrame([("a", 6, "newest")], schema), 2)
+    jobs.upsert_batch(f"{tmp_path}/t", "other", "instance_id", "seq")(spark.createDataFrame([("b", 2, "b2")], schema), 0)
+    got = jobs.read_upserted(spark, f"{tmp_path}/t", schema)
+    assert rows(got, "instance_id", "v") == [("a", "newest"), ("b", "b2"), ("c", "c")]
+    jobs.compact_upserted(spark, f"{tmp_path}/t", f"{tmp_path}/small", schema)
+    merge = jobs.upsert_batch(f"{tmp_path}/small", "feed", "instance_id", "seq")
+    merge(spark.createDataFrame([("c", 2, "c2"), ("b", 1, "late")], schema), 3)
+    got = jobs.read_upserted(spark, f"{tmp_path}/small", schema)
+    assert rows(got, "instance_id", "seq", "v") == [("a", 6, "newest"), ("b", 2, "b2"), ("c", 2, "c2")]
     assert jobs.read_upserted(spark, f"{tmp_path}/none", schema).count() == 0
 
 
