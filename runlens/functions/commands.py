@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # The runner word, install arguments before it, and the workload file.
 RUNNER_WORD = r"(?:^|(?<=\s))(?:\S*/)?pytest(?=\s|$)"
-INSTALL_TAIL = r"\binstall\s+(?:[-\w=.\[\]]+\s+)*\z"
+# Possessive, so that any number of arguments is a loop and not a recursion.
+INSTALL_TAIL = r"\binstall\s++(?:[-\w=.\[\]]++\s++)*+\z"
 WORKLOAD_FILE = "/tmp/test_workload.py"
 HEREDOC_START, HEREDOC_END = "<<'PYEOF'\n", "PYEOF\n"
 CANONICAL_RUN = "pytest /tmp/test_workload.py -rA -vv --tb=no --junitxml=/results/junit.xml'"

@@ -138,3 +138,11 @@ def test_generated_files(spark):
     df = spark.createDataFrame([(k,) for k in data], "text string")
     for r in responses.check_generated(df, "# SCALE:", ["test_a"], "timeit").collect():
         assert r["problem"] == data[r["text"]], r
+
+
+def test_runner_after_very_many_install_arguments(spark):
+    many = "pip install " + "pkg-name[x]==1.0 " * 20_000
+    df = spark.createDataFrame([(many + "pytest",), (many + "&& pytest -q",), (many,)], "command string")
+    parts = df.select(commands.runner_parts("command").alias("p")).collect()
+    assert parts[0]["p"] is None and parts[2]["p"] is None
+    assert parts[1]["p"]["upto"] == many + "&& pytest" and parts[1]["p"]["after"] == " -q"
