@@ -1,12 +1,13 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest, in DataFrame functions only.
 
-A candidate is the value of an assignment to a telling name, or a run of at least twelve key characters
-with a digit in it. Its features are its length, what characters it has and how they change from one to
+A candidate is the value of an assignment to a telling name, a private key block, the user and password of an
+address, or a run of at least twelve key characters with a digit in it. Its features are its length, what characters it has and how they change from one to
 the next, how much of it the corpus's frequent words cover, where it was found and the words around it.
-The forest is trained from labelled findings, `TRAINING_FINDINGS` in expectation.
+The forest is trained from labelled findings, half of `TRAINING_FINDINGS` of each kind in expectation. Where findings
+of one kind are missing, there is no forest: labelled findings keep their label as score, and of the others those
+assigned to a telling name get 0.5, the rest 0.25.
 
-Defined results: null or empty text has no candidates; without labelled findings of both kinds every
-candidate gets the share of label 1, or 0.5 without labels. Repeated rows give their findings once each; a
+Defined results: null or empty text has no candidates. Repeated rows give their findings once each; a
 null doc_id or path is kept. Candidates of any length are whole; their text does not leave the operator
 but as a digest.
 """
@@ -31,9 +32,16 @@ CONTEXT = 40
 # Names whose values are secret, beginnings of issued keys, and words of harmless context.
 _NAMES = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth)"
 _ASSIGNMENT = rf"{_NAMES}[\"']?[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?"
-_KEY = r"(?<![A-Za-z0-9_+/=.-])(?=[A-Za-z_+/=.-]{0,40}[0-9])[A-Za-z0-9_+/=.-]{12,}+"
-PATTERN = rf"{_ASSIGNMENT}[^\s\"']{{6,}}+|{_KEY}"
-_ISSUED = r"^(?:AKIA|ASIA|ghp_|gho_|glpat-|sk_|sk-|xox[abp]-|AIza|eyJ)"
+_KEY = r"(?<![A-Za-z0-9_+/=.-])(?=[A-Za-z_+/=.-]*+[0-9])[A-Za-z0-9_+/=.-]{12,}+"
+_BLOCK = r"-----BEGIN (?:(?!PRIVATE )[A-Z0-9]++ ){0,4}PRIVATE KEY-----(?:\s++[A-Za-z0-9+/=]{16,}+)*+"
+_LOGIN = r"(?<=[A-Za-z0-9]://)[^\s/:@\"'<>]++:[^\s/:@\"'<>]++(?=@)"
+PATTERN = rf"{_BLOCK}|{_LOGIN}|{_ASSIGNMENT}[^\s\"']{{6,}}+|{_KEY}"
+_ISSUED = r"^(?:AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|sk_|sk-|xox[abprs]-|AIza|eyJ|-----BEGIN )"
+# Issued keys in full.
+_ISSUED_KEY = (
+    r"^(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|github_pat_\w{20,}|glpat-[\w-]{16,}|sk[_-][\w-]{16,}|"
+    r"xox[abprs]-[\w-]{10,}|AIza[\w-]{30,}|eyJ[\w-]{8,}\.[\w-]{8,}\.?[\w-]*)$|^-----BEGIN "
+)
 _HARMLESS = r"(?i)\b(?:example|sample|dummy|checksum|commit|digest|hash|version|uuid|isbn|phone|card)\b"
 _TEST_PATH = r"(?i)(?:test|spec|example|sample|mock|fixture|doc)"
 _CODE_PATH = r"(?i)\.(?:py|js|ts|java|go|rb|env|ya?ml|json|toml|ini|cfg|properties|sh)$"
@@ -47,7 +55,7 @@ FEATURES = (
 
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     """doc_id, path, row, nth, position, value, assigned and the text before and after, one row per candidate."""
-    likely = F.col("text").rlike("[0-9=:]")
+    likely = F.col("text").rlike("[0-9=:]|-----BEGIN ")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col(path).cast("string").alias("path"),
@@ -140,24 +148,29 @@ def _assembled(found: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame):
-    """A forest from rows with features and a `label` of 0 or 1, or the constant share where one kind is missing."""
+    """A forest from rows with features and a `label` of 0 or 1; None where one kind is missing."""
     rows = labelled.where("label IN (0, 1)")
-    count, share = rows.agg(F.count(F.lit(1)), F.avg("label")).first()
-    if not count or share in (0.0, 1.0):
-        return 0.5 if share is None else float(share)
-    part = int((1 << 30) * min(1.0, TRAINING_FINDINGS / count))
+    ones, count = rows.agg(F.count_if(F.col("label") == 1), F.count(F.lit(1))).first()
+    if not 0 < ones < count:
+        return None
+    # As many of either kind, however rare one is.
+    parts = [int((1 << 30) * min(1.0, TRAINING_FINDINGS / 2 / n)) for n in (count - ones, ones)]
     features = [f"f_{name}" for name in FEATURES]
-    drawn = rows.where(F.pmod(F.xxhash64(*features, F.lit("secrets")), F.lit(1 << 30)) < part) if part < 1 << 30 else rows
+    part = F.when(F.col("label") == 1, parts[1]).otherwise(parts[0])
+    drawn = rows.where(F.pmod(F.xxhash64(*features, "value", F.lit("secrets")), F.lit(1 << 30)) < part)
     # A bounded sample in one sorted partition: the same rows always give the same forest.
     sample = drawn.select("label", *features).coalesce(1).sortWithinPartitions("label", *features)
+    if min(parts) == 0 or sample.select("label").distinct().count() < 2:
+        return None
     forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=TREES, maxDepth=DEPTH, seed=11)
     return forest.fit(_assembled(sample))
 
 
 def scored(found: DataFrame, model) -> DataFrame:
     """doc_id, position, size, digest, score and is_secret of every candidate."""
-    if isinstance(model, float):
-        rows = found.withColumn("score", F.lit(model))
+    if model is None:
+        unsure = F.when(F.col("assigned"), 0.5).otherwise(0.25)
+        rows = rule_labels(found).withColumn("score", F.coalesce(F.col("label").cast("double"), unsure))
     else:
         chance = vector_to_array("probability")[1]
         rows = model.transform(_assembled(found)).withColumn("score", chance)
@@ -172,17 +185,19 @@ def scored(found: DataFrame, model) -> DataFrame:
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
-    """Labels where rules are sure: issued keys and assigned values that look drawn are secret; plain numbers,
-    addresses and words with a number are not. What is left gets no label."""
+    """Labels where rules are sure: issued keys, key blocks, logins in addresses and assigned values that look drawn
+    are secret; plain numbers, addresses and words with a number are not. What is left gets no label."""
     value = F.col("value")
     drawn = value.rlike("[0-9]") & value.rlike("[a-zA-Z]") & (F.col("f_turns") >= 0.15)
     plain = value.rlike(r"^[0-9./:+-]+$") | value.rlike(r"^[A-Za-z]+[0-9]{0,4}(?:\.[A-Za-z0-9-]+)*\.?$")
-    secret = value.rlike("^AKIA[0-9A-Z]{16}$") | (F.col("assigned") & drawn)
+    login = F.col("before").endswith("://") & F.col("after").startswith("@")
+    secret = value.rlike(_ISSUED_KEY) | login | (F.col("assigned") & drawn)
     return found.withColumn("label", F.when(secret, 1).when(~F.col("assigned") & plain, 0))
 
 
 def scan(docs: DataFrame, path: str = "source") -> DataFrame:
     """Find the candidates of `docs`, learn from those that rules can label, and score all of them."""
     words = stored(dictionary(docs), "dictionary")
-    found = stored(with_features(candidates(docs, path), words), "findings")
+    # Stored first: the features look at the candidates twice.
+    found = stored(with_features(stored(candidates(docs, path), "candidates"), words), "findings")
     return scored(found, train(rule_labels(found).where(~held_out("doc_id"))))
