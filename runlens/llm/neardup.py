@@ -230,7 +230,8 @@ class _Join:
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Links (a, b) among candidate pairs, by their full sets."""
         close = self.close(pairs.distinct())
-        sets = self.sets(close.select(F.explode(F.array("a", "b")).alias("id")).distinct(), 2 * close.count())
+        ids = close.select(F.col("a").alias("id")).distinct().union(close.select("b").distinct()).distinct()
+        sets = self.sets(ids, 2 * close.count())
         both = close.select("a", "b").join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
         shared = F.size(F.array_intersect("left", "right"))
         union = F.size("left") + F.size("right") - F.col("shared")
