@@ -105,11 +105,9 @@ def exact_type(points: np.ndarray, entries: np.ndarray):
     return np.float64 if 4 * points.shape[1] * most * most < 1 << 53 else np.int64
 
 
-def distances(points: np.ndarray, entries: np.ndarray) -> np.ndarray:
-    """Squared distances of all points to all entries, as exact integers."""
-    kind = exact_type(points, entries)
-    x, e = points.astype(kind), entries.astype(kind)
-    if kind is np.float64:
-        found = (x * x).sum(axis=1)[:, None] - 2 * (x @ e.T) + (e * e).sum(axis=1)
-        return found.astype(np.int64)
-    return np.stack([((x - one) ** 2).sum(axis=1) for one in e], axis=1)
+def nearest(points: np.ndarray, entries: np.ndarray) -> np.ndarray:
+    """The first of the nearest entries of every point, in exact integers; both have the type of `exact_type`."""
+    if points.dtype == np.float64:
+        # Without the square of the point, which is the same for all entries.
+        return ((entries * entries).sum(axis=1) - 2 * (points @ entries.T)).argmin(axis=1)
+    return np.stack([((points - one) ** 2).sum(axis=1) for one in entries], axis=1).argmin(axis=1)

@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runlens.llm.shared import broadcast_if_small, map_arrow, stored
-from runlens.llm.trees import Tree, build, depth_of, distances, nearest_nodes, starts
+from runlens.llm.trees import Tree, build, depth_of, exact_type, nearest, nearest_nodes, starts
 from runlens.llm.vectors import floor_means, integers, is_complete, list_of, matrix, totals
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
-# Vectors of a block; points of a tree leaf, entries of one.
-BLOCK, LEAF, ENTRY_LEAF = 8192, 32, 1
+# Vectors of a block; points of a tree leaf. A leaf of entries holds one.
+BLOCK, LEAF = 8192, 128
 
 _TREE = {"order": np.int32, "points": np.int32, "low": np.int32, "high": np.int32, "sums": np.int64}
 
@@ -69,19 +69,25 @@ def _assign(tree: Tree, entries: Tree, each: bool) -> tuple[np.ndarray, np.ndarr
         if each:
             for node, entry in zip(nodes, own, strict=True):
                 codes[begins[node] : begins[node + 1]] = entry
-    begins, entry_begins = starts(n, tree.depth), starts(k, entries.depth)
+    begins = starts(n, tree.depth)
+    left = entries.order[starts(k, entries.depth)[others]]
+    book = entries.points[np.argsort(entries.order)]
     first = np.flatnonzero(np.append(True, leaves[1:] != leaves[:-1])) if len(leaves) else np.zeros(0, np.int64)
-    former = np.argsort(entries.order)
+    kind = exact_type(np.stack([tree.low[0], tree.high[0]]), book)
+    points, book = tree.points.astype(kind), book.astype(kind)
     uncertain = []
     for a, b in zip(first, np.append(first, len(leaves))[1:], strict=True):
-        left = np.sort(np.concatenate([entries.order[entry_begins[x] : entry_begins[x + 1]] for x in others[a:b]]))
+        # In their order, so that the first of equal distances has the lowest index.
+        some = np.sort(left[a:b])
         lot = slice(begins[leaves[a]], begins[leaves[a] + 1])
-        codes[lot] = left[np.argmin(distances(tree.points[lot], entries.points[former[left]]), axis=1)]
+        codes[lot] = some[nearest(points[lot], book if len(some) == k else book[some])]
         uncertain.append(np.arange(lot.start, lot.stop))
     if uncertain:
         rows = np.concatenate(uncertain)
         counts += np.bincount(codes[rows], minlength=k)
-        np.add.at(sums, codes[rows], tree.points[rows])
+        for place in range(sums.shape[1]):
+            # Doubles add integers exactly below 2**53, which a block's sums are.
+            sums[:, place] += np.bincount(codes[rows], tree.points[rows, place], k).astype(np.int64)
     by_row = np.empty(n, np.int64)
     by_row[tree.order] = codes
     return counts, sums, by_row
@@ -91,7 +97,7 @@ def _sums(books: np.ndarray) -> Callable:
     parts, k, width = books.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = [build(book, ENTRY_LEAF) for book in books]
+        entries = [build(book, 1) for book in books]
         total = np.zeros((parts, k, width + 1), np.int64)
         for batch in batches:
             for row in range(len(batch)):
@@ -110,7 +116,7 @@ def _codes(books: np.ndarray) -> Callable:
     parts, k, width = books.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = [build(book, ENTRY_LEAF) for book in books]
+        entries = [build(book, 1) for book in books]
         for batch in batches:
             for row in range(len(batch)):
                 ids, labels = batch.column("ids")[row].values, batch.column("labels")[row].values

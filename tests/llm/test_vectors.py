@@ -130,7 +130,7 @@ def test_whole_nodes_are_assigned_by_their_sums():
     sizes = [int((trees.starts(4000, level)[nodes + 1] - trees.starts(4000, level)[nodes]).sum()) for level, nodes, _ in owned]
     assert sum(sizes) > 3000 and sum(sizes) + 32 * len(set(leaves.tolist())) >= 4000
     counts, sums, codes = vector_codes._assign(tree, entries, each=False)[0:2] + (vector_codes._assign(tree, entries, each=True)[2],)
-    want = trees.distances(points, middle.astype(np.int64)).argmin(axis=1)
+    want = trees.nearest(points, middle.astype(np.int64))
     assert (codes == want).all() and (counts == np.bincount(want, minlength=16)).all()
     assert (sums == np.array([points[want == k].sum(axis=0) for k in range(16)])).all()
 
