@@ -128,6 +128,20 @@ def diff_fingerprint(spark, sf_dir):
     )
 
 
+def _section_digest(section: str) -> str:
+    lines = f"list_filter(string_split({section}, chr(10)), lambda x: NOT (starts_with(x, 'index ') OR starts_with(x, '@@ ') OR starts_with(x, chr(92) || ' ')))"
+    return f"sha256(regexp_replace(array_to_string({lines}, ''), '[ \\t\\n\\x0B\\f\\r]+', '', 'g'))"
+
+
+@query(
+    "diff_fingerprints",
+    f"""SELECT doc_id, sha256(array_to_string(list_sort([{_section_digest("first_section")}, {_section_digest("second_section")}]), '')) AS fingerprint
+        FROM fx_diffs""",
+)
+def diff_fingerprints(spark, sf_dir):
+    return frame(spark, sf_dir, "fx_diffs").select("doc_id", patches.diff_fingerprint("patch").alias("fingerprint"))
+
+
 @query("heredoc_patch", "SELECT doc_id, CASE WHEN lang = 'es' THEN '' ELSE md5(rtrim(patch, chr(10))) END AS digest FROM fx_diffs")
 def heredoc_patch(spark, sf_dir):
     df = frame(spark, sf_dir, "fx_diffs").withColumn("body", F.regexp_replace("patch", r"\n+\z", ""))
