@@ -13,6 +13,7 @@ from runlens.operators import filters, sampling
 from runlens.operators.hotspots import rank_hotspots
 from runlens.operators.outcomes import list_conflict_keys, unfold_outcomes
 from runlens.schemas import STATUS_FIELDS
+from runlens.session import reliable_checkpoint
 
 COPIED = ["instance_id", "repo", "base_commit", "patch", "container", "command"]
 COPIED_WORKLOAD = ["instance_id", "repo", "base_commit", "patch", "container", "command_workload"]
@@ -39,8 +40,12 @@ def narrow_states(states: DataFrame) -> DataFrame:
 
 
 def filter_states(narrow: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Kept and dropped scalar rows, decided in one pass over them."""
-    return filters.filter_chain(narrow, standard_rules(known))
+    """Kept and dropped scalar rows, decided in one pass over them.
+
+    The kept ones are a few scalars per state and feed several draws, so they are checkpointed, not decided again.
+    """
+    kept, dropped = filters.filter_chain(narrow, standard_rules(known))
+    return reliable_checkpoint(kept), dropped
 
 
 def source_outcomes(states: DataFrame, kept: DataFrame) -> DataFrame:
