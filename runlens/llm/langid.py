@@ -76,25 +76,50 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 class Model:
-    """Log frequencies of known words and n-grams: what a language gives to unseen ones, and where terms differ."""
+    """Log frequencies of known words and n-grams, as a sparse matrix of terms and languages.
 
-    def __init__(self, languages: list[str], unseen: dict[int, np.ndarray], terms: list[dict[str, tuple[np.ndarray, np.ndarray]]]):
-        self.languages, self.unseen, self.terms = languages, unseen, terms
-
-    def _scores(self, order: int, entry: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        scores = self.unseen[order].copy()
-        scores[entry[0]] = entry[1]
-        return scores
+    `unseen` holds, by order, what a language gives to a term it does not have; order 0 is that of words. A term's
+    row holds the differences from it of the languages that have the term.
+    """
 
-    def of_word(self, word: str) -> np.ndarray:
-        words, grams = self.terms
-        if word in words:
-            return self._scores(0, words[word])
-        for n in ORDERS:
-            found = [self._scores(len(g), grams[g]) for g in _grams(word, n) if g in grams]
-            if found:
-                return np.sum(found, axis=0) / len(found)
-        return np.zeros(len(self.languages))
+    def __init__(self, languages: list[str], unseen: np.ndarray, places: list[dict[str, int]], begins: np.ndarray, at: np.ndarray, more: np.ndarray):
+        self.languages, self.unseen, self.places = languages, unseen, places
+        self.begins, self.at, self.more = begins, at, more
+
+    def of_words(self, words: list[str]) -> np.ndarray:
+        """One row of scores for each word; zeros where nothing of it is known."""
+        known, grams = self.places
+        terms, orders, sizes = [], [], []
+        for word in words:
+            place = known.get(word)
+            if place is not None:
+                terms.append(place)
+                orders.append(0)
+                sizes.append(1)
+                continue
+            found = 0
+            for n in ORDERS:
+                for gram in _grams(word, n):
+                    place = grams.get(gram)
+                    if place is not None:
+                        terms.append(place)
+                        orders.append(len(gram))
+                        found += 1
+                if found:
+                    break
+            sizes.append(found)
+        width, counts = len(self.languages), np.array(sizes, np.int64)
+        out = np.zeros((len(words), width))
+        if not terms:
+            return out
+        rows, owner = np.array(terms, np.int64), np.repeat(np.arange(len(words)), counts)
+        lengths = self.begins[rows + 1] - self.begins[rows]
+        first = np.cumsum(lengths) - lengths
+        cells = np.repeat(self.begins[rows] - first, lengths) + np.arange(int(lengths.sum()))
+        out += np.bincount(np.repeat(owner, lengths) * width + self.at[cells], self.more[cells], out.size).reshape(out.shape)
+        some = counts > 0
+        out[some] += np.add.reduceat(self.unseen[np.array(orders)], (np.cumsum(counts) - counts)[some], axis=0)
+        return out / np.maximum(counts, 1)[:, None]
 
 
 def train(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> Model:
@@ -104,7 +129,7 @@ def train(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> Model:
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MODEL_LANGUAGES).collect()
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
-        return Model([], {}, [{}, {}])
+        return Model([], np.zeros((len(ORDERS) + 1, 0)), [{}, {}], *[np.zeros(1, np.int64)] * 3)
     parts = spark.createDataFrame([(r["lang"], int((1 << 30) * min(1.0, documents / r["n"]))) for r in sizes], "of_lang string, part long")
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)) < F.col("part")
     sample = known.select("doc_id", "lang", "text").join(F.broadcast(parts), F.col("lang") == F.col("of_lang")).where(drawn).select("text", "lang")
@@ -118,21 +143,21 @@ def train(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> Model:
     rows = counts.join(kept, ["kind", "term"]).groupBy("kind", "order", "term").agg(F.sort_array(F.collect_list(F.struct("lang", "n"))).alias("by_lang")).collect()
 
     number = {lang: i for i, lang in enumerate(languages)}
-    orders = (0, *ORDERS)
-    total, terms_of = {o: np.zeros(len(languages)) for o in orders}, Counter()
-    entries: list[tuple[int, int, str, np.ndarray, np.ndarray]] = []
-    for r in rows:
-        order = r["order"]
-        at, n = np.array([number[lang] for lang, _ in r["by_lang"]]), np.array([float(n) for _, n in r["by_lang"]])
-        total[order][at] += n
-        terms_of[order] += 1
-        entries.append((r["kind"], order, r["term"], at, n))
-    whole = {o: np.log(total[o] + SMOOTHING * max(1, terms_of[o])) for o in orders}
-    unseen = {o: math.log(SMOOTHING) - whole[o] for o in orders}
-    terms: list[dict[str, tuple[np.ndarray, np.ndarray]]] = [{}, {}]
-    for kind, order, term, at, n in entries:
-        terms[kind - 1][term] = (at.astype(np.int16), (np.log(n + SMOOTHING) - whole[order][at]).astype(np.float32))
-    return Model(languages, unseen, terms)
+    lengths = np.array([0, *[len(r["by_lang"]) for r in rows]])
+    at = np.array([number[lang] for r in rows for lang, _ in r["by_lang"]], np.int64)
+    n = np.array([float(n) for r in rows for _, n in r["by_lang"]])
+    orders = np.array([r["order"] for r in rows], np.int64)
+    of_cell = np.repeat(orders, lengths[1:])
+    total = np.zeros((len(ORDERS) + 1, len(languages)))
+    np.add.at(total, (of_cell, at), n)
+    terms = np.bincount(orders, minlength=len(total))
+    whole = np.log(total + SMOOTHING * np.maximum(terms, 1)[:, None])
+    unseen = math.log(SMOOTHING) - whole
+    more = np.log(n + SMOOTHING) - math.log(SMOOTHING)
+    places: list[dict[str, int]] = [{}, {}]
+    for place, r in enumerate(rows):
+        places[r["kind"] - 1][r["term"]] = place
+    return Model(languages, unseen, places, np.cumsum(lengths), at, more)
 
 
 class Scorer:
@@ -146,14 +171,16 @@ class Scorer:
         self.place: dict[str, int] = {}
         self.vectors = np.zeros((1024, self.width))
 
-    def _place(self, word: str) -> int:
-        place = self.place.get(word)
-        if place is None:
-            place = self.place[word] = len(self.place)
-            if place == len(self.vectors):
+    def _places(self, words: list[str]) -> np.ndarray:
+        """Rows of the words' scores; those of new words are added."""
+        new = [w for w in words if w not in self.place]
+        if new:
+            held = len(self.place)
+            while held + len(new) > len(self.vectors):
                 self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
-            self.vectors[place] = self.model.of_word(word)
-        return place
+            self.vectors[held : held + len(new)] = self.model.of_words(new)
+            self.place.update(zip(new, range(held, held + len(new)), strict=True))
+        return np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = Counter(_WORD.findall(text.lower())) if text else None
@@ -161,7 +188,7 @@ class Scorer:
             return UNKNOWN, 0.0
         if len(self.place) * self.width > MEMO_SCORES:
             self._forget()
-        places = np.fromiter(map(self._place, words), dtype=np.int64, count=len(words))
+        places = self._places(list(words))
         counts = np.fromiter(words.values(), dtype=np.float64, count=len(words))
         # Words of a text depend on each other; the root keeps scores of long texts from all running to 1.
         scaled = (counts @ self.vectors[places]) / math.sqrt(counts.sum())

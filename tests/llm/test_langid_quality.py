@@ -24,7 +24,7 @@ def test_languages_of_held_out_documents(spark):
 
 def test_unseen_words_back_off_to_ngrams(spark):
     model = langid.train(corpus(spark))
-    assert "lotibalotibalo" not in model.terms[0]
+    assert "lotibalotibalo" not in model.places[0]
     assert langid.Scorer(model).predict("lotibalotibalo")[0] == "xx"
     assert langid.Scorer(model).predict("zegokuzegokuze")[0] == "yy"
 
