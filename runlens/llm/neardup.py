@@ -8,8 +8,8 @@ all classes are compared with two leaders, one drawn and one with the least shar
 holds more than one component, whatever is outside its main component is compared with the whole node, each pair
 in the first node that both are in; beyond REST classes the node branches on instead, by several coordinates at a
 time, until the last level. Classes of one component are never paired again.
-Shingles that no other class of a large node has cannot be shared: they bound the overlap of a pair from above,
-which leaves out pairs without loss. Candidates pass a lower bound on equal signature coordinates, five
+Two bounds of the overlap from above leave out pairs without loss: shingles that no other class of a large node has
+cannot be shared, and of the shingles in a hash bucket no more can be than the lesser set has there. Candidates pass a lower bound on equal signature coordinates, five
 standard deviations below what the threshold gives, and links are confirmed on the full sets.
 
 Defined results: text that is null, empty or only white space has an empty set and is linked with nothing.
@@ -33,6 +33,8 @@ from runlens.llm.shingles import mix, shingles_of_rows
 
 COORDINATES = 64
 LEAF = 12
+# Buckets of the sketches that bound the overlap of two sets.
+BUCKETS = 128
 # Classes of a node up to which what its leaders left apart is compared at once; larger nodes branch on.
 REST = 4096
 # Branches of a node beyond the first, on average, and the chance to miss a pair at the threshold that sets the trees.
@@ -84,6 +86,17 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles of each set lie in each hash bucket."""
+    for batch in batches:
+        sets = batch.column("shingles")
+        owner = np.repeat(np.arange(len(sets)), np.asarray(sets.value_lengths()))
+        bucket = np.asarray(sets.flatten()) & (BUCKETS - 1)
+        counts = np.bincount(owner * BUCKETS + bucket, minlength=len(sets) * BUCKETS).astype(np.int32)
+        lists = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * BUCKETS, pa.array(counts))
+        yield pa.RecordBatch.from_arrays([batch.column("id"), lists], names=["id", "sketch"])
+
+
 def _agreeing(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,6 +215,7 @@ class _Join:
         """(id, n, common): for classes of larger nodes, how many shingles some other of them has too."""
         ids = stored(members.where(F.col("size") > LEAF).select("id").distinct(), "ids")
         sets = self.sets(ids, ids.count())
+        self.large_sets = sets
         rows = sets.select("id", F.explode("shingles").alias("shingle"))
         alone = rows.groupBy("shingle").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("holders")).where("holders = 1")
         own = alone.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
@@ -215,6 +229,16 @@ class _Join:
         most = F.least(F.col(common_a), F.col(common_b)) * (100 + self.percent)
         return most >= (F.col(n_a) + F.col(n_b)) * self.percent
 
+    def sketches(self) -> DataFrame:
+        """(id, sketch) of the classes of larger nodes; of an id with several texts the greatest counts."""
+        each = map_arrow(self.large_sets, _sketches, "id long, sketch array<int>").groupBy("id").agg(F.collect_list("sketch").alias("all"))
+        most = lambda a, b: F.zip_with(a, b, lambda x, y: F.greatest(x, y))
+        return each.select("id", F.when(F.size("all") == 1, F.get("all", F.lit(0))).otherwise(F.reduce("all", F.get("all", F.lit(0)), most)).alias("sketch"))
+
+    def sketches_allow(self, sketch_a, sketch_b, n_a, n_b) -> Column:
+        most = F.reduce(F.zip_with(sketch_a, sketch_b, lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
+        return most * (100 + self.percent) >= (F.col(n_a) + F.col(n_b)) * self.percent
+
     def sizes_allow(self, n_a, n_b) -> Column:
         return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * self.percent
 
@@ -277,8 +301,8 @@ def _rest(mixed: DataFrame, join: _Join) -> DataFrame:
     rows = mixed.join(main, "node")
     # Only outside the main component of one of its nodes is a class paired; those nodes are listed.
     listed = rows.groupBy("id").agg(F.collect_set("node").alias("nodes"), F.collect_set(F.when(F.col("root") != F.col("main"), F.col("node"))).alias("outer"))
-    rows = stored(rows.join(listed, "id"), "rest")
-    columns = ("id", "root", "n", "common", "nodes", "outer")
+    rows = stored(rows.join(listed, "id").join(join.sketches(), "id"), "rest")
+    columns = ("id", "root", "n", "common", "nodes", "outer", "sketch")
     outside = rows.where("root <> main").select("node", *[F.col(c).alias(f"{c}_a") for c in columns])
     others = rows.select(F.col("node").alias("node_b"), "main", *[F.col(c).alias(f"{c}_b") for c in columns])
     meets = (F.col("node") == F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
@@ -286,7 +310,8 @@ def _rest(mixed: DataFrame, join: _Join) -> DataFrame:
     once = (F.col("root_b") == F.col("main")) | (F.col("id_a") < F.col("id_b"))
     both = F.array_union(F.array_intersect("outer_a", "nodes_b"), F.array_intersect("outer_b", "nodes_a"))
     first = F.array_min(both) == F.col("node")
-    pairs = outside.join(others, meets & once & join.overlap_allows("common_a", "common_b", "n_a", "n_b") & join.sizes_allow("n_a", "n_b") & first)
+    allowed = join.overlap_allows("common_a", "common_b", "n_a", "n_b") & join.sizes_allow("n_a", "n_b")
+    pairs = outside.join(others, meets & once & allowed & first & join.sketches_allow("sketch_a", "sketch_b", "n_a", "n_b"))
     return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
 
 

@@ -252,6 +252,17 @@ def test_dense_groups(spark, changes, monkeypatch):
     assert sorted(map(tuple, neardup.near_duplicates(docs).collect())) == want
 
 
+def test_sketches_bound_the_overlap(spark):
+    rnd = random.Random(5)
+    sets = [(i, rnd.sample(range(-900, 900), rnd.randrange(20, 400))) for i in range(30)] + [(3, rnd.sample(range(-900, 900), 50))]
+    join = neardup._Join(None, None, 85)
+    join.large_sets = spark.createDataFrame(sets, "id long, shingles array<bigint>")
+    held = {r.id: r.sketch for r in join.sketches().collect()}
+    assert all(len(v) == neardup.BUCKETS for v in held.values())
+    for (i, a), (j, b) in itertools.combinations(sets, 2):
+        assert sum(map(min, zip(held[i], held[j], strict=True))) >= len(set(a) & set(b))
+
+
 def test_rest_pairs_each_two_classes_once(spark):
     """Every pair of which one lies outside the main component of a shared node, and no pair twice."""
     rnd = random.Random(4)
@@ -259,6 +270,8 @@ def test_rest_pairs_each_two_classes_once(spark):
     rows = [(node, i, root_of[i], 100, 100) for node in range(12) for i in range(40) if rnd.random() < 0.4]
     mixed = spark.createDataFrame(rows, "node long, id long, root long, n long, common long")
     join = neardup._Join(None, None, 85)
+    # All sets are alike, so that no bound leaves out a pair.
+    join.large_sets = spark.createDataFrame([(i, list(range(100))) for i in range(40)], "id long, shingles array<bigint>")
     got = sorted(map(tuple, neardup._rest(mixed, join).collect()))
     want = set()
     for node in range(12):
