@@ -12,22 +12,47 @@ from pyspark.sql import functions as F
 from runlens.functions.testnames import flag_status, with_case_status
 from runlens.operators.outcomes import merge_report_cases, report_conflicts
 from runlens.schemas import CASE_REPORT, EVAL_REPORT_NUMBERS, PREDICTIONS, PROFILE_DOCUMENT, TESTCASE_XML
+from runlens.sources.documents import map_documents, read_whole
 
 # Fixed value: the test a workload profile is read for.
 WORKLOAD_TEST = "test_workload.py::test_workload"
 
 
-def read_junit(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
-    """Testcases of XML reports with their status; `instance_id` is the folder, `report` the file."""
-    cases = (
-        spark.read.format("xml")
-        .option("rowTag", "testcase")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .schema(TESTCASE_XML)
-        .load(path)
-    )
-    placed = cases.select("*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("report"))
+# A comment, a CDATA section or a whole testcase; possessive, so that a text of any length takes no stack.
+_APART = r"<!--(?:[^-]++|-(?!->))*+-->|<!\[CDATA\[(?:[^\]]++|\](?!\]>))*+\]\]>"
+_TESTCASE = (
+    rf"(?:{_APART})|"
+    rf"""<testcase(?=[\s/>])(?:[^>"'/]++|"[^"]*+"|'[^']*+'|/(?!>))*+(?:/>|>(?:[^<]++|{_APART}|<(?!/testcase[\s>]))*+</testcase\s*+>)"""
+)
+
+
+def read_junit(spark: SparkSession, path: str, pattern: str = "*.xml", packed: bool = False) -> DataFrame:
+    """Testcases of XML reports with their status; `instance_id` is the folder, `report` the file.
+
+    Packed reports (`documents.write_packed`) are cut into their testcases, which the same XML parser reads.
+    """
+    if packed:
+        whole = map_documents(read_whole(spark, path, pattern, packed=True), _only_well_formed, "path string, value string")
+        pieces = F.filter(
+            F.regexp_extract_all("value", F.lit(_TESTCASE), F.lit(0)), lambda piece: piece.startswith("<testcase")
+        )
+        # One parse per report, whatever encloses its cases.
+        flat = F.concat(F.lit("<report>"), F.array_join(pieces, ""), F.lit("</report>"))
+        parsed = F.from_xml(flat, f"testcase array<{TESTCASE_XML.simpleString()}>")
+        cases = whole.select("path", F.explode(parsed["testcase"]).alias("case"))
+        placed = cases.select("case.*", "path", _segment("path", -1).alias("report"))
+    else:
+        cases = (
+            spark.read.format("xml")
+            .option("rowTag", "testcase")
+            .option("pathGlobFilter", pattern)
+            .option("recursiveFileLookup", "true")
+            .schema(TESTCASE_XML)
+            .load(path)
+        )
+        placed = cases.select(
+            "*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("report")
+        )
     return with_case_status(placed.withColumn("instance_id", _segment("path", -2)))
 
 
@@ -35,25 +60,36 @@ def _segment(name: str, position: int):
     return F.element_at(F.split(name, "/"), position)
 
 
+def _parses(content: bytes | str) -> bool:
+    try:
+        xml.parsers.expat.ParserCreate().Parse(content, True)
+    except xml.parsers.expat.ExpatError:
+        return False
+    return True
+
+
 def _well_formed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        verdicts = []
-        for content in batch["content"]:
-            parser = xml.parsers.expat.ParserCreate()
-            try:
-                parser.Parse(content, True)
-                verdicts.append(True)
-            except xml.parsers.expat.ExpatError:
-                verdicts.append(False)
-        yield pd.DataFrame({"path": batch["path"], "well_formed": verdicts})
-
-
-def list_reports(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
+        yield pd.DataFrame({"path": batch["path"], "well_formed": [_parses(c) for c in batch["content"]]})
+
+
+def _only_well_formed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch[[_parses(c) for c in batch["value"]]]
+
+
+def list_reports(spark: SparkSession, path: str, pattern: str = "*.xml", packed: bool = False) -> DataFrame:
     """Report files and whether each is well-formed; the XML reader yields nothing for broken ones."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    )
-    checked = files.select("path", "content").mapInPandas(_well_formed, "path string, well_formed boolean")
+    if packed:
+        files = read_whole(spark, path, pattern, packed=True).withColumnRenamed("value", "content")
+    else:
+        files = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", pattern)
+            .option("recursiveFileLookup", "true")
+            .load(path)
+        )
+    checked = map_documents(files.select("path", "content"), _well_formed, "path string, well_formed boolean")
     return checked.withColumn("instance_id", _segment("path", -2)).withColumn("report", _segment("path", -1))
 
 
@@ -89,10 +125,10 @@ def junit_problems(instances: DataFrame, files: DataFrame, cases: DataFrame) ->
 FLAGS = ["passed", "failed", "runtime_errors", "timeouts", "memory_limit_exceeded"]
 
 
-def read_case_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_case_report(spark: SparkSession, path: str, packed: bool = False) -> tuple[DataFrame, DataFrame]:
     """Cases of JSON harness reports, and solutions whose flag lists are missing or differ in length."""
-    documents = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(
-        F.from_json("value", CASE_REPORT.simpleString()).alias("tasks"), F.col("_metadata.file_path").alias("path")
+    documents = read_whole(spark, path, packed=packed).select(
+        F.from_json("value", CASE_REPORT.simpleString()).alias("tasks"), "path"
     )
     solutions = documents.select("path", F.explode("tasks").alias("task", "solutions")).select(
         "path", "task", F.explode("solutions").alias("solution", "lists")
@@ -112,19 +148,18 @@ def read_case_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
 
 
 def read_workload_profiles(
-    spark: SparkSession, root: str, workload_test: str = WORKLOAD_TEST, pattern: str = "cprofile_output.json"
+    spark: SparkSession,
+    root: str,
+    workload_test: str = WORKLOAD_TEST,
+    pattern: str = "cprofile_output.json",
+    packed: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Workload record and function rows per state, and how many reports lack the workload.
 
     The first path segment below `root` is the state id. Reports are read whole: one JSON document
     is one record, so a report has to fit a task.
     """
-    files = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .text(root, wholetext=True)
-        .select("value", F.col("_metadata.file_path").alias("path"))
-    )
+    files = read_whole(spark, root, pattern, packed)
     below = F.element_at(F.split("path", F.lit(f"/{root.rstrip('/').split('/')[-1]}/")), -1)
     parsed = files.select(
         F.substring_index(below, "/", 1).alias("instance_id"),
@@ -183,14 +218,18 @@ def read_eval_reports(spark: SparkSession, path: str, model: str = MODEL_IN_NAME
     )
 
 
-def read_commit_log(spark: SparkSession, path: str, delimiter: str = "--commit--\n") -> DataFrame:
+def read_commit_log(
+    spark: SparkSession, path: str, delimiter: str = "--commit--\n", packed: bool = False
+) -> DataFrame:
     """Commits of logs made of delimited blocks, oldest first, numbered per log file.
 
     A block holds the sha, the parents on one line, then the message. One log is one record.
     """
-    logs = spark.read.text(path, wholetext=True).select(
-        F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*\z", "").alias("repo"), "value"
-    )
+    if packed:
+        files = read_whole(spark, path, packed=True).select(_segment("path", -1).alias("name"), "value")
+    else:
+        files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("name"), "value")
+    logs = files.select(F.regexp_replace("name", r"\.[^.]*\z", "").alias("repo"), "value")
     trimmed = F.transform(F.split("value", F.lit(_literal(delimiter))), lambda b: F.regexp_replace(b, r"\A\n+|\n+\z", ""))
     blocks = F.filter(trimmed, lambda b: b != "")
     return logs.select("repo", F.posexplode(blocks).alias("idx", "block")).select(

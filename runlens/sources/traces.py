@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from runlens.operators.traces import latest_run
 from runlens.schemas import TRACE_DOCUMENT
+from runlens.sources.documents import read_whole
 
 
 class TraceTables(NamedTuple):
@@ -18,18 +19,15 @@ class TraceTables(NamedTuple):
     lines: DataFrame
 
 
-def read_documents(spark: SparkSession, root: str, pattern: str = "trace_output*.json*") -> DataFrame:
+def read_documents(
+    spark: SparkSession, root: str, pattern: str = "trace_output*.json*", packed: bool = False
+) -> DataFrame:
     """Raw documents with run, instance and side taken from the path.
 
     Layouts `<root>/<run>/<instance>/file` and `<root>/<instance>/file` are both read; the text reader
     inflates `.gz` files by itself. One document is one record.
     """
-    files = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .text(root, wholetext=True)
-        .select("value", F.col("_metadata.file_path").alias("path"))
-    )
+    files = read_whole(spark, root, pattern, packed)
     leaf = root.rstrip("/").split("/")[-1]
     parts = F.split(F.element_at(F.split("path", F.lit(f"/{leaf}/")), -1), "/")
     name = F.element_at(parts, -1)
@@ -81,10 +79,14 @@ def trace_lines(raw: DataFrame) -> DataFrame:
 
 
 def read_traces(
-    spark: SparkSession, root: str, side: str = "post", pattern: str = "trace_output*.json*"
+    spark: SparkSession,
+    root: str,
+    side: str = "post",
+    pattern: str = "trace_output*.json*",
+    packed: bool = False,
 ) -> TraceTables:
     """The latest run of each instance as run, test, function and line tables."""
-    documents = latest_run(read_documents(spark, root, pattern).where(F.col("side") == side))
+    documents = latest_run(read_documents(spark, root, pattern, packed).where(F.col("side") == side))
     raw = documents.select("instance_id", "run", "path", F.from_json("value", TRACE_DOCUMENT).alias("document"))
     fields = ["tracer_version", "trace_level", "memory_tracking", "backend", "python_version", "test_count"]
     runs = raw.select("instance_id", "run", *[f"document.{c}" for c in fields])

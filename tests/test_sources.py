@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from runlens.operators.runs import triage_run
-from runlens.sources import reports, runs, sinks, states, traces
+from runlens.plans.catalog import files as catalog_files
+from runlens.sources import documents, reports, runs, sinks, states, traces
 from tests.conftest import rows
 
 
@@ -181,3 +182,70 @@ def test_responses_of_two_groups(spark, tmp_path):
         write(tmp_path / group / model / "responses" / "x.jsonl", json.dumps({"sample_id": "s", "task": "combined"}) + "\n")
     got = runs.read_responses(spark, [str(tmp_path / "a"), str(tmp_path / "b")], ["plain", "tuned"])
     assert rows(got, "group", "model", "sample_id") == [("plain", "m1", "s"), ("tuned", "m2", "s")]
+
+
+def packed(spark, folder, to):
+    """The loose documents of a folder as packed ones."""
+    rows = [(str(p.relative_to(folder)), p.read_text()) for p in sorted(folder.rglob("*")) if p.is_file()]
+    documents.write_packed(spark.createDataFrame(rows, "path string, value string"), to)
+    return to
+
+
+def test_packed_reports_read_like_loose_ones(spark, tmp_path):
+    root = tmp_path / "loose"
+    write(root / "a" / "r1.xml", '<?xml version="1.0"?><testsuites><testsuite><testcase classname="t.mod" name="a&gt;b>"/><testcase classname="t.mod"'
+          " name='q\"/x'><failure message=\"m\">no <![CDATA[</testcase>]]></failure></testcase ></testsuite></testsuites>")
+    write(root / "a" / "r2.xml", '<testsuite><!-- <testcase classname="t.no" name="no"/> --><properties><testcases/></properties><testcase classname="t.mod" name="a"><skipped/><!-- </testcase> -->'
+          '<system-out><![CDATA[<testcase classname="t.no" name="inner"/>]]></system-out></testcase>\n<testcase classname="" name="t.mod"><error message="e"/></testcase></testsuite>')
+    write(root / "b" / "r1.xml", '<testsuite><testcase classname="t.mod" name="cut"/>')
+    write(root / "c" / "r1.xml", '<testsuite><testcase name="lacking"/></testsuite>')
+    write(root / "c" / "r1.log", "<testsuite><testcase/></testsuite>")
+    write(root / "d" / "r1.xml", "<testsuite/>")
+    store = packed(spark, root, str(tmp_path / "packed"))
+    columns = ["instance_id", "report", "kind", "test", "status", "module", "failure"]
+    fine = reports.list_reports(spark, str(root)).where("well_formed").select("instance_id", "report")
+    loose = reports.read_junit(spark, str(root)).join(fine, ["instance_id", "report"], "left_semi")
+    told = reports.read_junit(spark, store, packed=True)
+    assert sorted(map(str, rows(told, *columns))) == sorted(map(str, rows(loose, *columns)))
+    assert told.count() == 5
+    listed = ["instance_id", "report", "well_formed"]
+    assert rows(reports.list_reports(spark, store, packed=True), *listed) == rows(reports.list_reports(spark, str(root)), *listed)
+    # A case of any length takes no stack.
+    text = "<testsuite><testcase classname='t.mod' name='long'><failure>" + "<b>x</b>-" * 300_000 + "</failure></testcase></testsuite>"
+    documents.write_packed(spark.createDataFrame([("e/r1.xml", text)], "path string, value string"), str(tmp_path / "long"))
+    assert rows(reports.read_junit(spark, str(tmp_path / "long"), packed=True), "test", "status") == [("t/mod.py::long", "FAILED")]
+
+
+def test_packed_documents_read_like_loose_ones(spark, tmp_path):
+    document = {"tests": {"t.py::a": {"outcome": "passed", "functions": [], "lines": {"m.py": {"3": {"time_ns": 5, "hits": 1}}}}}}
+    for run, wall in (("run1", 1.0), ("run2", 2.0)):
+        document["tests"]["t.py::a"]["wall_time_s"] = wall
+        write(tmp_path / "traces" / run / "i" / "trace_output.json", json.dumps(document))
+    loose = traces.read_traces(spark, str(tmp_path / "traces"))
+    told = traces.read_traces(spark, packed(spark, tmp_path / "traces", str(tmp_path / "p1")), packed=True)
+    assert rows(told.tests, "instance_id", "wall_time_s") == rows(loose.tests, "instance_id", "wall_time_s") == [("i", 2.0)]
+    assert rows(told.lines) == rows(loose.lines)
+    write(tmp_path / "log" / "r.log", "--commit--\na1\n\nfirst\n--commit--\nb2\na1\nsecond\n\nmore\n")
+    store = packed(spark, tmp_path / "log", str(tmp_path / "p2"))
+    assert rows(reports.read_commit_log(spark, store, packed=True)) == rows(reports.read_commit_log(spark, str(tmp_path / "log")))
+    flags = {f: [False, True] for f in reports.FLAGS}
+    write(tmp_path / "cases" / "i" / "r.json", json.dumps({"task": {"v1": flags, "v2": {**flags, "passed": [True]}}}))
+    store = packed(spark, tmp_path / "cases", str(tmp_path / "p3"))
+    for one, other in zip(reports.read_case_report(spark, store, packed=True), reports.read_case_report(spark, str(tmp_path / "cases"))):
+        assert sorted(map(str, rows(one.drop("path")))) == sorted(map(str, rows(other.drop("path")))) != []
+    profile = {"tests": {reports.WORKLOAD_TEST: {"outcome": "passed", "profile_time_s": 2.0, "functions": {"k": {"filename": "m.py", "call_count": 1}}}}}
+    write(tmp_path / "prof" / "s1" / "cprofile_output.json", json.dumps(profile))
+    write(tmp_path / "prof" / "s2" / "cprofile_output.json", json.dumps({"tests": {}}))
+    write(tmp_path / "prof" / "s2" / "other.json", json.dumps(profile))
+    store = packed(spark, tmp_path / "prof", str(tmp_path / "p4"))
+    for one, other in zip(reports.read_workload_profiles(spark, store, packed=True), reports.read_workload_profiles(spark, str(tmp_path / "prof"))):
+        assert rows(one) == rows(other) != []
+
+
+def test_documents_of_a_query_take_no_file_each(spark, tmp_path):
+    table = spark.range(500).select(F.when(F.col("id") > 0, F.col("id").cast("string")).alias("k"), F.lit("a\nb").alias("value"))
+    catalog_files._write_documents(table.unionAll(table.where("k = '7'")), str(tmp_path / "out"), "k")
+    assert len(list((tmp_path / "out").glob("part-*"))) <= 8
+    told = {r["path"]: r["value"] for r in documents.read_whole(spark, str(tmp_path / "out"), "*.txt", packed=True).collect()}
+    assert len(told) == 500 and told["k=7/document.txt"] == "a\nb\na\nb\n"
+    assert told["k=__HIVE_DEFAULT_PARTITION__/document.txt"] == "a\nb\n"
