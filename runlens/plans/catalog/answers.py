@@ -11,6 +11,7 @@ from runlens.plans.catalog.registry import frame, query
 from runlens.plans.catalog.views import VIEWS
 from runlens.schemas import STATES
 from runlens.sources import reports, runs, sinks, states
+from runlens.sources.documents import write_packed
 
 # Conversations as answers: the text as prose around a JSON object in one of six spellings.
 _SHAPE = "CASE WHEN role = 'system' THEN 'bare' WHEN role = 'user' THEN CASE WHEN turn = 0 THEN 'fenced' ELSE 'prose' END ELSE CASE WHEN turn = 1 THEN 'comment' WHEN turn = 3 THEN 'broken' ELSE 'none' END END"
@@ -383,9 +384,10 @@ def read_commit_log(spark, sf_dir):
         parent = F.when(at > 0, F.element_at("c.sha", F.greatest(at, F.lit(1)))).otherwise("")
         return F.concat_ws("\n", F.lit("--commit--"), commit["sha"], parent, commit["o_orderpriority"], F.lit(""))
 
-    logs = ordered.select("o_custkey", F.array_join(F.transform("c", block), "").alias("value"))
-    logs.repartition("o_custkey").write.partitionBy("o_custkey").text(folder)
-    read = reports.read_commit_log(spark, folder)
+    # The text ends with a line end of its own.
+    text = F.concat(F.array_join(F.transform("c", block), ""), F.lit("\n"))
+    write_packed(ordered.select(F.concat_ws("/", F.col("o_custkey").cast("string"), F.lit("log.txt")).alias("path"), text.alias("value")), folder)
+    read = reports.read_commit_log(spark, folder, packed=True)
     return read.select("sha", "idx", F.size("parents").alias("n_parents"), "message")
 
 
