@@ -51,6 +51,10 @@ def outcomes_from_states(states: DataFrame) -> DataFrame:
     return unfold_outcomes(states).select("instance_id", "test", F.lower("status").alias("outcome"))
 
 
+# Shares that the logs of one repository are dealt into.
+SHARES = 256
+
+
 def outcomes_from_log(logs: DataFrame, rules: DataFrame) -> DataFrame:
     """Outcomes from run logs by one line pattern per repository.
 
@@ -58,8 +62,12 @@ def outcomes_from_log(logs: DataFrame, rules: DataFrame) -> DataFrame:
     patterns and is a registry the user maintains. The last line about a test decides. Repositories
     without a rule give no rows; `logs_without_rule` names them.
     """
-    lines = logs.select("instance_id", "repo", F.posexplode(F.split("log", "\r\n|\n")).alias("at", "line"))
-    matched = lines.join(rules, "repo").where(F.expr("line rlike pattern"))
+    # Each log meets the rules of its repository whole, in one of many shares of that repository.
+    dealt = logs.select("instance_id", "repo", "log", F.pmod(F.xxhash64("instance_id", "log"), F.lit(SHARES)).alias("_share"))
+    spread = rules.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)).cast("array<bigint>")))
+    ruled = dealt.join(spread, ["repo", "_share"]).drop("_share")
+    lines = ruled.select("*", F.posexplode(F.split("log", "\r\n|\n")).alias("at", "line")).drop("log")
+    matched = lines.where(F.expr("line rlike pattern"))
     told = matched.select(
         "instance_id",
         "at",
