@@ -49,12 +49,28 @@ def with_views(sql: str) -> str:
 # Table readers per session and folder: the schema is read from a footer only once.
 _READS: dict[tuple[str, str, str], DataFrame] = {}
 
+# Stored bytes of the read tables that one partition of a shuffle stands for at most.
+SHARE_BYTES = 4 << 20
+FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def _fit_shuffles(spark: SparkSession, path: str) -> None:
+    """Shuffles start with as many partitions as the largest table calls for, so that what a task holds does not
+    grow with the tables; adaptive execution joins small ones."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    stored = files.agg(F.sum("length")).first()[0] or 0
+    now = int(spark.conf.get(FIRST_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    needed = -(-stored // SHARE_BYTES)
+    if needed > now:
+        spark.conf.set(FIRST_PARTITIONS, str(needed))
+
 
 def _table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     place = (spark.sparkContext.applicationId, sf_dir, table)
     ship_package(spark)
     if place not in _READS:
         _READS[place] = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        _fit_shuffles(spark, f"{sf_dir}/{table}.parquet")
     return _READS[place]
 
 

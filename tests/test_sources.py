@@ -4,8 +4,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from runlens.operators import registries
 from runlens.operators.runs import triage_run
 from runlens.plans.catalog import files as catalog_files
+from runlens.plans.catalog import registry
 from runlens.sources import documents, reports, runs, sinks, states, traces
 from tests.conftest import rows
 
@@ -249,3 +251,25 @@ def test_documents_of_a_query_take_no_file_each(spark, tmp_path):
     told = {r["path"]: r["value"] for r in documents.read_whole(spark, str(tmp_path / "out"), "*.txt", packed=True).collect()}
     assert len(told) == 500 and told["k=7/document.txt"] == "a\nb\na\nb\n"
     assert told["k=__HIVE_DEFAULT_PARTITION__/document.txt"] == "a\nb\n"
+
+
+def test_logs_of_one_repository_are_dealt_into_shares(spark):
+    logs = spark.range(2000).select(
+        F.concat(F.lit("i"), "id").alias("instance_id"), F.lit("r").alias("repo"), F.concat(F.lit("PASSED t1\r\nnoise\nFAILED t1\nPASSED t"), "id").alias("log")
+    )
+    logs = logs.unionByName(logs.limit(1).select("instance_id", F.lit("other").alias("repo"), F.lit("PASSED t9").alias("log")))
+    rules = spark.createDataFrame([("r", "^(PASSED|FAILED) (t\\d+)$", 2, 1)], "repo string, pattern string, test_group int, status_group int")
+    told = registries.outcomes_from_log(logs, rules)
+    assert told.count() == 3999 and told.where("test = 't1' and outcome = 'failed'").count() == 1999
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert "_share" in plan
+
+
+def test_shuffles_start_as_wide_as_the_tables_call_for(spark, tmp_path, monkeypatch):
+    spark.range(1000).write.parquet(str(tmp_path / "nation.parquet"))
+    monkeypatch.setattr(registry, "SHARE_BYTES", 100)
+    try:
+        assert registry.frame(spark, str(tmp_path), "nation").count() == 1000
+        assert int(spark.conf.get(registry.FIRST_PARTITIONS)) > 40
+    finally:
+        spark.conf.unset(registry.FIRST_PARTITIONS)
