@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from runlens.functions.testnames import test_func_name
 from runlens.operators.ordered import hash_chunk, running_sum
 from runlens.session import reliable_checkpoint
+from runlens.sources.documents import map_documents
 
 # Fixed value: marker text.
 CUT_MARK = "\n... [truncated]"
@@ -55,7 +56,7 @@ def _name_spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def definition_spans(files: DataFrame) -> DataFrame:
     """Definitions of each file `(file_id, content)`; `parsed` is false where the text is no Python."""
-    return files.select("file_id", "content").mapInPandas(_name_spans, SPANS)
+    return map_documents(files.select("file_id", "content"), _name_spans, SPANS)
 
 
 def _chars(lines: Column, first: Column, last: Column) -> Column:

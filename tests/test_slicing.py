@@ -163,3 +163,14 @@ def test_optional_ranges_skip_and_go_on(spark):
     df = spark.createDataFrame([([(1, 1, 50), (2, 2, 70), (3, 3, 40), (4, 4, 10)],)], "r array<struct<first:int,last:int,chars:int>>")
     filled = df.select(slicing.fill_budget("r", F.lit(0), F.lit(100)).alias("x")).first()["x"]
     assert filled["used"] == 100 and [s["first"] for s in filled["left"]] == [2]
+
+
+def test_files_reach_python_in_batches_of_bounded_size(spark):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(limit)
+    files = spark.range(40, numPartitions=1).select(
+        F.concat(F.lit("f"), "id").alias("file_id"), F.concat(F.lit("def a():\n    return '"), F.repeat(F.lit("x"), 300_000), F.lit("'\n")).alias("content")
+    )
+    spans = slicing.definition_spans(files)
+    assert int(spark.conf.get(limit)) <= 4 << 20
+    assert spans.where("parsed and size(spans) = 1").count() == 40
