@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from runlens.functions.ids import make_sample_id
 from runlens.operators import hotspots
 from runlens.operators.filters import keep_target_tests
-from runlens.operators.skew import first_row
-from runlens.operators.traces import KEYS, gt_outcome, gt_peak_bytes, gt_wall_ms
+from runlens.operators.skew import first_row, top_n
+from runlens.operators.traces import KEYS, gt_outcome, gt_peak_bytes, wall_ms
 
 # Tasks, the metric of each, and the floor a timed test must reach.
 METRICS = {
@@ -33,16 +33,33 @@ WALL_FLOOR_S = 0.001
 
 def with_signals(tests: DataFrame, functions: DataFrame, lines: DataFrame) -> DataFrame:
     """Which measurements each test has: functions, lines, allocation per function and per line."""
+    return _with_figures(tests, functions, lines).select(*tests.columns, *SIGNALS)
+
+
+SIGNALS = ["has_functions", "has_function_alloc", "has_lines", "has_line_alloc"]
+
+
+def _with_figures(tests: DataFrame, functions: DataFrame, lines: DataFrame) -> DataFrame:
+    """Signals, wall time and whether each hot list would hold anything, from one aggregate per table."""
+
+    def any_positive(value: Column, task: str) -> Column:
+        return F.bool_or(value > 0).alias(f"_any_{task}")
+
     of_functions = functions.groupBy(*KEYS).agg(
         F.lit(True).alias("has_functions"),
         F.bool_or(F.coalesce(F.col("exclusive_alloc_bytes") != 0, F.lit(False))).alias("has_function_alloc"),
+        any_positive(F.coalesce("exclusive_time_s", F.lit(0.0)), "hot_methods_time"),
+        any_positive(hotspots.exclusive_memory(), "hot_methods_alloc"),
+        wall_ms().alias("wall_ms"),
     )
     of_lines = lines.groupBy(*KEYS).agg(
         F.lit(True).alias("has_lines"),
         F.bool_or(F.coalesce(F.col("alloc_bytes") != 0, F.lit(False))).alias("has_line_alloc"),
+        any_positive(F.coalesce("time_ns", F.lit(0)), "hot_lines_time"),
+        any_positive(hotspots.line_memory(), "hot_lines_alloc"),
     )
     joined = tests.join(of_functions, KEYS, "left").join(of_lines, KEYS, "left")
-    for flag in ("has_functions", "has_function_alloc", "has_lines", "has_line_alloc"):
+    for flag in SIGNALS:
         joined = joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
     return joined
 
@@ -76,18 +93,42 @@ def eligible_tasks(signalled: DataFrame, tasks: list[str] | None = None) -> Data
 
 
 def hot_truth(functions: DataFrame, lines: DataFrame, k: int = hotspots.TOP_K) -> DataFrame:
-    """Ground-truth ranking of every sub-task, long: (instance, test, subtask, pos, name)."""
-    ranked = {
-        "hot_methods_time": hotspots.hot_methods_time(functions, KEYS, k).withColumnRenamed("func", "name"),
-        "hot_methods_alloc": hotspots.hot_methods_alloc(functions, KEYS, k).withColumnRenamed("func", "name"),
-        "hot_lines_time": hotspots.hot_lines_time(lines, KEYS, k),
-        "hot_lines_alloc": hotspots.hot_lines_alloc(lines, KEYS, k),
-    }
-    out = None
-    for subtask, rows in ranked.items():
-        part = rows.select(*KEYS, F.lit(subtask).alias("subtask"), (F.col("rank") - 1).alias("pos"), "name")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Ground-truth ranking of every sub-task, long: (instance, test, subtask, pos, name).
+
+    One ranking over the functions and lines, each with both its values.
+    """
+
+    def entry(subtask: str, seconds: Column, amount: Column) -> Column:
+        return F.struct(F.lit(subtask).alias("subtask"), seconds.alias("_seconds"), amount.alias("_amount"))
+
+    no_seconds, no_amount = F.lit(None).cast("double"), F.lit(None).cast("long")
+    of_functions = functions.select(
+        *KEYS,
+        F.col("func").alias("name"),
+        F.col("pos").alias("_pos"),
+        F.inline(
+            F.array(
+                entry("hot_methods_time", F.coalesce("exclusive_time_s", F.lit(0.0)).cast("double"), no_amount),
+                entry("hot_methods_alloc", no_seconds, hotspots.exclusive_memory().cast("long")),
+            )
+        ),
+    )
+    of_lines = lines.select(
+        *KEYS,
+        hotspots.line_name().alias("name"),
+        F.lit(None).cast(functions.schema["pos"].dataType).alias("_pos"),
+        F.inline(
+            F.array(
+                entry("hot_lines_time", no_seconds, F.coalesce("time_ns", F.lit(0)).cast("long")),
+                entry("hot_lines_alloc", no_seconds, hotspots.line_memory().cast("long")),
+            )
+        ),
+    )
+    rows = of_functions.unionByName(of_lines).where((F.col("_seconds") > 0) | (F.col("_amount") > 0))
+    # A sub-task has one of the two; functions with equal values keep their order, lines go by name, descending.
+    order = [F.col("_seconds").desc(), F.col("_amount").desc(), F.col("_pos"), F.col("name").desc()]
+    ranked = top_n(rows, [*KEYS, "subtask"], order, k)
+    return ranked.select(*KEYS, "subtask", (F.col("rank") - 1).alias("pos"), "name")
 
 
 def build_samples(
@@ -103,10 +144,8 @@ def build_samples(
     Tests without functions or outside the target list are left out, and so is a single hot task
     whose list would be empty. The lists themselves stay long, in `hot_truth` and `value_tables`.
     """
-    signalled = with_signals(keep_target_tests(tests, targets), functions, lines).where("has_functions")
-    rows = eligible_tasks(signalled, tasks).join(gt_wall_ms(functions), KEYS, "left")
-    filled = hot_flags(functions, lines)
-    rows = rows.join(filled, KEYS, "left")
+    figures = _with_figures(keep_target_tests(tests, targets), functions, lines).where("has_functions")
+    rows = eligible_tasks(figures, tasks)
     empty = F.coalesce(
         *[F.when(F.col("task") == t, ~F.coalesce(F.col(f"_any_{t}"), F.lit(False))) for t in HOT_TASKS], F.lit(False)
     )
@@ -126,23 +165,6 @@ def build_samples(
     )
 
 
-def hot_flags(functions: DataFrame, lines: DataFrame) -> DataFrame:
-    """Whether each hot list would hold anything, from aggregates rather than from the ranking."""
-
-    def any_positive(value: Column, task: str) -> Column:
-        return F.bool_or(value > 0).alias(f"_any_{task}")
-
-    of_functions = functions.groupBy(*KEYS).agg(
-        any_positive(F.coalesce("exclusive_time_s", F.lit(0.0)), "hot_methods_time"),
-        any_positive(hotspots.exclusive_memory(), "hot_methods_alloc"),
-    )
-    of_lines = lines.groupBy(*KEYS).agg(
-        any_positive(F.coalesce("time_ns", F.lit(0)), "hot_lines_time"),
-        any_positive(hotspots.line_memory(), "hot_lines_alloc"),
-    )
-    return of_functions.join(of_lines, KEYS, "left")
-
-
 def benchmark_dataset(samples: DataFrame, truth: DataFrame, values: DataFrame) -> DataFrame:
     """One flat row per sample: ranked lists and value maps of its test laid out as columns."""
     lists = truth.groupBy(*KEYS).agg(

@@ -129,11 +129,13 @@ def fail_to_pass(outcomes: DataFrame, states: DataFrame) -> DataFrame:
     return flags.where(F.col("_broken") & F.col("_passes")).select("base_ref", "test")
 
 
+def wall_ms() -> Column:
+    return F.sum(F.coalesce("exclusive_time_s", F.lit(0.0))) * 1000
+
+
 def gt_wall_ms(functions: DataFrame) -> DataFrame:
     """Ground truth time: the sum of exclusive function times, in milliseconds."""
-    return functions.groupBy(*KEYS).agg(
-        (F.sum(F.coalesce("exclusive_time_s", F.lit(0.0))) * 1000).alias("wall_ms")
-    )
+    return functions.groupBy(*KEYS).agg(wall_ms().alias("wall_ms"))
 
 
 def gt_peak_bytes() -> Column:
@@ -173,25 +175,28 @@ def trace_files(lines: DataFrame, functions: DataFrame, keys: list[str]) -> Data
 
 
 def value_tables(functions: DataFrame, lines: DataFrame, keys: list[str]) -> DataFrame:
-    """Name to value per sub-task, long. A function named twice counts with its last value."""
-    named = functions.where(F.length("func") > 0)
-    totals = named.groupBy(*keys, F.col("func").alias("name")).agg(
+    """Name to value per sub-task, long. A function named twice counts with its last value.
+
+    One pass over the functions and one over the lines: a row gives the entries of both its sub-tasks.
+    """
+    totals = functions.groupBy(*keys, F.col("func").alias("name")).agg(
         F.max_by(F.coalesce("exclusive_time_s", F.lit(0.0)), F.col("pos")).alias("_time"),
         F.max_by(exclusive_memory().cast("double"), F.col("pos")).alias("_memory"),
     )
 
-    def pick(df: DataFrame, subtask: str, value: Column) -> DataFrame:
-        return df.select(*keys, F.lit(subtask).alias("subtask"), "name", value.cast("double").alias("value"))
+    def entry(subtask: str, value: Column) -> Column:
+        return F.struct(F.lit(subtask).alias("subtask"), value.cast("double").alias("value"))
+
+    def entries(df: DataFrame, *found: Column) -> DataFrame:
+        rows = df.select(*keys, "name", F.inline(F.array(*found)))
+        return rows.select(*keys, "subtask", "name", "value")
 
     spots = lines.withColumn("name", line_name())
-    line_time = pick(spots, "hot_lines_time", F.coalesce("time_ns", F.lit(0)))
-    line_alloc = pick(spots, "hot_lines_alloc", line_memory())
-    return (
-        pick(totals, "hot_methods_time", F.col("_time"))
-        .unionByName(pick(totals, "hot_methods_alloc", F.col("_memory")))
-        .unionByName(line_time.where(F.col("value") > 0))
-        .unionByName(line_alloc.where(F.col("value") > 0))
-    )
+    of_lines = entries(spots, entry("hot_lines_time", F.coalesce("time_ns", F.lit(0))), entry("hot_lines_alloc", line_memory()))
+    # The condition stays above the aggregation, so that other readers of the same functions share its shuffle.
+    named = F.when(F.length("name") > 0, F.array(entry("hot_methods_time", F.col("_time")), entry("hot_methods_alloc", F.col("_memory"))))
+    of_functions = totals.select(*keys, "name", F.inline(named)).select(*keys, "subtask", "name", "value")
+    return of_functions.unionByName(of_lines.where(F.col("value") > 0))
 
 
 def latest_run(documents: DataFrame) -> DataFrame:
