@@ -73,64 +73,109 @@ def shuffled_gain(mean: Column, count: Column, k: int = NDCG_K) -> Column:
     return mean * F.get(F.array(*[F.lit(s) for s in sums]), filled)
 
 
-def with_values(items: DataFrame, values: DataFrame) -> DataFrame:
-    """Value of each named item; `known` tells whether the table lists it at all."""
-    table = values.select("sample_id", "subtask", "name", F.col("value").alias("_value"), F.lit(True).alias("_known"))
-    joined = items.join(table, ["sample_id", "subtask", "name"], "left")
-    return joined.select(
-        *items.columns,
-        F.coalesce("_value", F.lit(0.0)).alias("value"),
-        F.coalesce("_known", F.lit(False)).alias("known"),
-    )
+def _of(items: str, subtask: Column) -> Column:
+    return F.filter(F.coalesce(F.col(items), F.array()), lambda x: x["subtask"] == subtask)
 
 
-def truth_gains(truth: DataFrame, values: DataFrame) -> DataFrame:
-    """Per (sample, subtask): ideal gain, expected gain of shuffled lists, hottest true item."""
-    keys = ["sample_id", "subtask"]
-    valued = with_values(truth, values)
-    ideal = top_n(valued, keys, [F.col("value").desc(), F.col("pos")], NDCG_K, "rank").groupBy(*keys).agg(
-        F.sum(F.col("value") * discount(F.col("rank") - 1)).alias("idcg"),
-        F.min_by("name", "rank").alias("_top"),
-        F.max("value").alias("_top_value"),
-    )
-    first = valued.where(F.col("pos") < NDCG_K).groupBy(*keys).agg(
-        shuffled_gain(F.avg("value"), F.count(F.lit(1))).alias("gt5_gain")
-    )
-    pool = top_n(values, keys, [F.col("value").desc(), F.col("name")], VALUE_POOL, "rank").groupBy(*keys).agg(
-        shuffled_gain(F.avg("value"), F.count(F.lit(1))).alias("gt20_gain")
-    )
-    return (
-        ideal.join(first, keys, "left")
-        .join(pool, keys, "left")
-        .withColumn("hottest", F.when(F.col("_top_value") > 0, F.col("_top")))
-        .drop("_top", "_top_value")
-    )
+def with_values(items: Column, table: Column) -> Column:
+    """(pos, name, value, known) of each named item; `known` tells whether the table lists it at all.
+
+    A name that the table lists twice gives two entries.
+    """
+
+    def found(item: Column) -> Column:
+        listed = F.filter(table, lambda v: v["name"] == item["name"])
+        none = F.array(_valued(item, F.lit(0.0), F.lit(False)))
+        return F.when(F.size(listed) == 0, none).otherwise(
+            F.transform(listed, lambda v: _valued(item, F.coalesce(v["value"].cast("double"), F.lit(0.0)), F.lit(True)))
+        )
+
+    return F.flatten(F.transform(items, found))
 
 
-def pred_gains(preds: DataFrame, values: DataFrame) -> DataFrame:
-    """Per (model, sample, subtask): gain as predicted, reordered by true value, and shuffled."""
-    keys = [*RESPONSE, "subtask"]
-    valued = with_values(preds, values)
-    told = valued.groupBy(*keys).agg(
-        F.avg(F.col("known").cast("double")).alias("executed_ratio"),
-        F.coalesce(
-            F.sum(F.when(F.col("pos") < NDCG_K, F.col("value") * discount(F.col("pos")))), F.lit(0.0)
-        ).alias("dcg"),
-        shuffled_gain(F.avg("value"), F.count(F.lit(1))).alias("pred_gain"),
-        F.array_compact(F.collect_list(F.when(F.col("pos") < RECALL_K, F.col("name")))).alias("first_names"),
+def _valued(item: Column, value: Column, known: Column) -> Column:
+    return F.struct(item["pos"].alias("pos"), item["name"].alias("name"), value.alias("value"), known.alias("known"))
+
+
+def _total(items: Column, number) -> Column:
+    """Sum of what `number` gives for each item; items it gives null for do not count."""
+    return F.reduce(items, F.lit(0.0), lambda total, x: total + F.coalesce(number(x), F.lit(0.0)))
+
+
+def _gain(largest: Column, size: Column) -> Column:
+    """Gain of numbers in descending order; items of equal value give the same in any order. Null over nothing."""
+    first = [F.coalesce(F.get(largest, F.lit(i)) / math.log2(i + 2), F.lit(0.0)) for i in range(NDCG_K)]
+    return F.when(size > 0, sum(first[1:], first[0]))
+
+
+def truth_gains(rows: DataFrame) -> DataFrame:
+    """Of `_truth` and `_table`: ideal gain, expected gains of shuffled lists, hottest true item; null without a truth."""
+    before = lambda x: F.coalesce(-x["pos"].cast("long"), F.lit((1 << 63) - 1)).alias("before")
+    keyed = lambda x: F.struct(x["value"].alias("value"), before(x), x["name"].alias("name"))
+    rows = rows.withColumn("_valued", with_values(F.col("_truth"), F.col("_table")))
+    rows = rows.withColumns(
+        {
+            "_top": F.array_max(F.transform("_valued", keyed)),
+            "_largest": F.sort_array(F.transform("_valued", lambda x: x["value"]), asc=False),
+            "_first": F.filter("_valued", lambda x: x["pos"] < NDCG_K),
+            "_pool": F.slice(F.sort_array(F.transform("_table", lambda v: v["value"].cast("double")), asc=False), 1, VALUE_POOL),
+        }
     )
-    best = top_n(valued, keys, [F.col("value").desc(), F.col("pos")], NDCG_K, "rank").groupBy(*keys).agg(
-        F.sum(F.col("value") * discount(F.col("rank") - 1)).alias("oracle_gain")
+    rows = rows.withColumn("_told", F.array_compact("_pool"))
+    first, pool = F.size("_first"), F.size("_pool")
+    mean = lambda items, number: F.when(F.size(items) > 0, _total(F.col(items), number) / F.size(items))
+    return rows.withColumns(
+        {
+            "idcg": _gain(F.col("_largest"), F.size("_largest")),
+            "hottest": F.when(F.col("_top.value") > 0, F.col("_top.name")),
+            "gt5_gain": shuffled_gain(mean("_first", lambda x: x["value"]), first),
+            "gt20_gain": shuffled_gain(mean("_told", lambda x: x), pool),
+        }
+    ).drop("_valued", "_top", "_largest", "_first", "_pool", "_told")
+
+
+def pred_gains(rows: DataFrame) -> DataFrame:
+    """Of a response's `_own` and `_table`: gain as predicted, reordered by true value, and shuffled; null without predictions."""
+    rows = rows.withColumn("_valued", with_values(F.col("_own"), F.col("_table")))
+    rows = rows.withColumn("_largest", F.sort_array(F.transform("_valued", lambda x: x["value"]), asc=False))
+    valued, size = F.col("_valued"), F.size("_valued")
+    told = lambda column: F.when(size > 0, column)
+    discounted = lambda x: F.when(x["pos"] < NDCG_K, x["value"] * discount(x["pos"]))
+    hit = F.exists(valued, lambda x: (x["pos"] < RECALL_K) & (x["name"] == F.col("hottest")))
+    return rows.withColumns(
+        {
+            "executed_ratio": told(_total(valued, lambda x: x["known"].cast("double")) / size),
+            "dcg": told(_total(valued, discounted)),
+            "pred_gain": told(shuffled_gain(_total(valued, lambda x: x["value"]) / size, size)),
+            "oracle_gain": _gain(F.col("_largest"), size),
+            "hit": F.when(F.col("hottest").isNotNull(), F.coalesce(hit, F.lit(False))),
+        }
     )
-    return told.join(best, keys, "left")
 
 
 def score_hot(responses: DataFrame, preds: DataFrame, truth: DataFrame, values: DataFrame) -> DataFrame:
-    """Ranking metrics for each response and hot sub-task."""
-    rows = responses.select(*RESPONSE).withColumn("subtask", F.explode(F.array(*[F.lit(t) for t in HOT])))
-    joined = rows.join(pred_gains(preds, values), [*RESPONSE, "subtask"], "left").join(
-        truth_gains(truth, values), ["sample_id", "subtask"], "left"
-    )
+    """Ranking metrics for each response and hot sub-task.
+
+    Every table is laid out by sample once. A sample's rankings meet in one row, as the stored records hold them, and
+    all its responses are scored there.
+    """
+
+    def folded(df: DataFrame, alias: str, *columns: str) -> DataFrame:
+        return df.groupBy("sample_id").agg(F.collect_list(F.struct(*columns)).alias(alias))
+
+    samples = folded(responses, "_responses", "model")
+    for df, alias, columns in (
+        (truth, "_truth", ("subtask", "pos", "name")),
+        (values, "_values", ("subtask", "name", "value")),
+        (preds, "_preds", ("model", "subtask", "pos", "name")),
+    ):
+        samples = samples.join(folded(df, alias, *columns), "sample_id", "left")
+    subtask = F.col("subtask")
+    rows = samples.withColumn("subtask", F.explode(F.array(*[F.lit(t) for t in HOT])))
+    rows = rows.select("sample_id", "subtask", "_responses", _of("_preds", subtask).alias("_preds"), _of("_truth", subtask).alias("_truth"), _of("_values", subtask).alias("_table"))
+    rows = truth_gains(rows).withColumn("_response", F.explode("_responses")).withColumn("model", F.col("_response.model"))
+    rows = rows.withColumn("_own", F.filter("_preds", lambda p: p["model"] == F.col("model")))
+    joined = pred_gains(rows)
     scorable = F.col("idcg") > 0
 
     def ratio(gain: str) -> Column:
@@ -145,10 +190,7 @@ def score_hot(responses: DataFrame, preds: DataFrame, truth: DataFrame, values:
         ratio("gt20_gain").alias("ndcg_gt20_shuffled"),
         ratio("pred_gain").alias("ndcg_pred_shuffled"),
         ratio("oracle_gain").alias("ndcg_pred_oracle"),
-        F.when(
-            F.col("hottest").isNotNull(),
-            F.coalesce(F.array_contains("first_names", F.col("hottest")), F.lit(False)).cast("double"),
-        ).alias("recall_at_5_top1"),
+        F.col("hit").cast("double").alias("recall_at_5_top1"),
     )
 
 

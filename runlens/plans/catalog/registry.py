@@ -20,13 +20,13 @@ def _uses(sql: str, names: list[str]) -> list[str]:
     return [name for name in names if name in words]
 
 
-def _needed(sql: str) -> list[str]:
-    """Views a text needs, inner ones first."""
+def _needed(sql: str, given: tuple[str, ...] = ()) -> list[str]:
+    """Views a text needs, inner ones first; those that are given need no text."""
     order: list[str] = []
 
     def visit(text: str) -> None:
         for name in _uses(text, list(VIEWS)):
-            if name not in order:
+            if name not in order and name not in given:
                 visit(VIEWS[name])
                 order.append(name)
 
@@ -34,9 +34,9 @@ def _needed(sql: str) -> list[str]:
     return order
 
 
-def with_views(sql: str) -> str:
+def with_views(sql: str, given: tuple[str, ...] = ()) -> str:
     """Prefix the views a text refers to as common table expressions."""
-    parts = [f"{name} AS ({VIEWS[name].strip()})" for name in _needed(sql)]
+    parts = [f"{name} AS ({VIEWS[name].strip()})" for name in _needed(sql, given)]
     sql = sql.strip()
     if not parts:
         return sql
@@ -74,13 +74,19 @@ def _table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return _READS[place]
 
 
-def frame(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Run view SQL on Spark; a bare name means the whole view or table."""
+def frame(spark: SparkSession, sf_dir: str, sql: str, **given: DataFrame) -> DataFrame:
+    """Run view SQL on Spark; a bare name means the whole view or table.
+
+    `given` stands in for views or tables of those names: the same rows, laid out for what follows.
+    """
     if re.fullmatch(r"\w+", sql):
         sql = f"SELECT * FROM {sql}"
-    text = with_views(sql)
+    text = with_views(sql, tuple(given))
     for table in _uses(text, TABLES):
-        _table(spark, sf_dir, table).createOrReplaceTempView(table)
+        if table not in given:
+            _table(spark, sf_dir, table).createOrReplaceTempView(table)
+    for name, rows in given.items():
+        rows.createOrReplaceTempView(name)
     return spark.sql(text)
 
 
