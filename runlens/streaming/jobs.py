@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -146,29 +147,67 @@ def stream_segment(events: DataFrame) -> DataFrame:
     )
 
 
+# Units of one page of a run's state, on average, and units of a run settled at a time.
+PAGE_UNITS = 256
+SETTLED_UNITS = 100_000
+
+
 class OpenUnits(StatefulProcessor):
-    """Counts the units of a run that are not finished; one map entry per unit, kept on disk."""
+    """Counts the units of a run that are not finished.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.units = handle.getMapState("units", "unit string", "open boolean")
-        self.counts = handle.getValueState("counts", "units long, open long, expected long, done boolean")
+    Units lie on pages by a hash of their name, as many pages as the run's size calls for when it is first seen, kept
+    on disk. A batch reads and writes a page once, and only pages of the units it brings. A run that was told needs
+    no pages any more.
+    """
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        units, still_open, expected, done = self.counts.get() if self.counts.exists() else (0, 0, 0, False)
-        for batch in rows:
-            for row in batch.sort_values("seq").itertuples():
-                entry = (row.unit,)
-                is_open = row.state in JOB_STATES[:2]
-                known = self.units.containsKey(entry)
-                was_open = bool(self.units.getValue(entry)[0]) if known else False
-                units += 0 if known else 1
-                still_open += int(is_open) - int(was_open)
-                expected = max(expected, int(row.expected))
-                self.units.updateValue(entry, (is_open,))
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.pages = handle.getMapState("pages", "page int", "open array<string>, finished array<string>")
+        self.counts = handle.getValueState("counts", "units long, open long, expected long, pages int, done boolean")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        found = self.counts.get()
+        units, still_open, expected, pages, done = found or (0, 0, 0, 0, False)
+        if done:
+            return
+        fresh: dict[int, tuple[set, set]] = {}
+        newest: dict[str, tuple[int, bool]] = {}
+
+        def settle() -> None:
+            nonlocal units, still_open, pages
+            pages = pages or 1 + expected // PAGE_UNITS
+            by_page: dict[int, list] = {}
+            for unit, (_, is_open) in newest.items():
+                by_page.setdefault(zlib.crc32(str(unit).encode()) % pages, []).append((unit, is_open))
+            for page, changed in by_page.items():
+                if page not in fresh:
+                    held = self.pages.getValue((page,)) if found and self.pages.containsKey((page,)) else ([], [])
+                    fresh[page] = set(held[0]), set(held[1])
+                unfinished, finished = fresh[page]
+                before = len(unfinished), len(unfinished) + len(finished)
+                for unit, is_open in changed:
+                    (finished if is_open else unfinished).discard(unit)
+                    (unfinished if is_open else finished).add(unit)
+                still_open += len(unfinished) - before[0]
+                units += len(unfinished) + len(finished) - before[1]
+            newest.clear()
+
+        for row in rows:
+            expected = max(expected, int(row["expected"]))
+            seq, is_open = row["seq"], row["state"] in JOB_STATES[:2]
+            if row["unit"] not in newest or newest[row["unit"]][0] <= seq:
+                newest[row["unit"]] = seq, is_open
+            if len(newest) >= SETTLED_UNITS:
+                settle()
+        settle()
         complete = units >= expected and still_open == 0
-        self.counts.update((units, still_open, expected, bool(done or complete)))
-        if complete and not done:
-            yield pd.DataFrame({"run": [key[0]], "units": [units]})
+        self.counts.update((units, still_open, expected, pages, complete))
+        if complete:
+            if found:
+                self.pages.clear()
+            yield Row(run=key[0], units=units)
+            return
+        for page, (unfinished, finished) in fresh.items():
+            self.pages.updateValue((page,), (list(unfinished), list(finished)))
 
     def close(self) -> None:
         pass
@@ -180,6 +219,6 @@ def stream_completed_runs(events: DataFrame) -> DataFrame:
     `events(run, unit, state, seq, expected)` carries the unit's newest state and the run's size.
     """
     use_rocksdb(events.sparkSession)
-    return events.groupBy("run").transformWithStateInPandas(
+    return events.groupBy("run").transformWithState(
         statefulProcessor=OpenUnits(), outputStructType="run string, units long", outputMode="append", timeMode="none"
     )

@@ -5,6 +5,7 @@ import pathlib
 import pytest
 import __spark_entry__ as entry
 from runlens.operators import scoring
+from runlens.streaming import jobs
 
 SF = "/root/testdata/sf0.001"
 tables = pytest.mark.skipif(not pathlib.Path(SF).exists(), reason="driver tables not present")
@@ -41,3 +42,46 @@ def test_scores_of_repeated_and_missing_rows(spark):
     assert told["ndcg_pred_oracle"] == pytest.approx(1.0)
     assert by["n", "s"]["ndcg_at_5"] == 0.0 and by["n", "s"]["ndcg_pred_oracle"] is None and by["n", "s"]["recall_at_5_top1"] == 0.0
     assert by["m", None]["executed_ratio"] == 0.0 and by["m", None]["recall_at_5_top1"] is None
+
+
+class Held:
+    """A state variable that counts its calls."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def __getattr__(self, name):
+        def call(key=(), value=None):
+            self.calls += 1
+            if name in ("update", "updateValue"):
+                self.held[key if name == "updateValue" else ()] = value if name == "updateValue" else key
+            elif name == "clear":
+                self.held.clear()
+            return {"get": self.held.get(()), "getValue": self.held.get(key), "containsKey": key in self.held}.get(name)
+
+        return call
+
+
+class Handle:
+    def __init__(self):
+        self.states = []
+
+    def getMapState(self, *_):
+        self.states.append(Held())
+        return self.states[-1]
+
+    getValueState = getMapState
+
+
+def test_a_run_costs_a_few_state_calls_whatever_units_it_has():
+    handle, units = Handle(), jobs.OpenUnits()
+    units.init(handle)
+
+    def batch(*rows):
+        return [(r["run"], r["units"]) for r in units.handleInputRows(("r",), iter([Row(unit=u, seq=s, expected=200, state=t) for u, s, t in rows]), None)]
+
+    assert batch(*[(f"u{i}", s, "pending" if s == 0 else "active" if i == 7 else "succeeded") for i in range(200) for s in (0, 1)]) == []
+    assert sum(s.calls for s in handle.states) <= 6
+    assert batch(("u3", 2, "failed")) == []
+    assert batch(("u7", 2, "failed"), ("u7", 1, "active")) == [("r", 200)]
+    assert batch(("u7", 3, "active")) == [] and batch(("u7", 4, "failed")) == []
