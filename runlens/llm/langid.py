@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ MODEL_NGRAMS = 50_000
 MODEL_LANGUAGES = 1024
 ORDERS = (5, 4, 3, 2, 1)
 SMOOTHING = 0.5
+# Counts that a task hands over at a time.
+COUNTED_ROWS = 20_000
 # Word scores, one for each language, that a task remembers.
 MEMO_SCORES = 400_000
 
@@ -58,21 +61,27 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for text, lang in zip(batch.column("text"), batch.column("lang"), strict=True):
             documents[lang.as_py()] += 1
             words[lang.as_py()].update(_WORD.findall(text.as_py().lower()))
-        rows: list[tuple[str, int, str, int]] = [(lang, 0, "", n) for lang, n in documents.items()]
-        for lang, counts in words.items():
-            rows += [(lang, 1, word, n) for word, n in counts.items()]
+        for lang in list(documents):
+            counts = words.pop(lang)
+            yield from _counted(lang, 0, {"": documents[lang]})
+            yield from _counted(lang, 1, counts)
             grams: Counter = Counter()
             for word, n in counts.items():
                 for order in ORDERS:
                     for gram in _grams(word, order):
                         grams[gram] += n
-            rows += [(lang, 2, gram, n) for gram, n in grams.items()]
-        for start in range(0, len(rows), 100_000):
-            lang, kind, term, n = zip(*rows[start : start + 100_000], strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(lang), pa.array(kind, pa.int32()), pa.array(term), pa.array(n, pa.int64())],
-                names=["lang", "kind", "term", "n"],
-            )
+            yield from _counted(lang, 2, grams)
+
+
+def _counted(lang: str, kind: int, counts: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    """The counts of one language and kind, some at a time, so that a worker holds few of them as rows."""
+    held = iter(counts.items())
+    while part := list(islice(held, COUNTED_ROWS)):
+        terms, n = zip(*part, strict=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(part)), pa.array([kind] * len(part), pa.int32()), pa.array(terms), pa.array(n, pa.int64())],
+            names=["lang", "kind", "term", "n"],
+        )
 
 
 class Model:

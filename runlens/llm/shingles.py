@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 
 WORDS = 5
-# Bytes hashed at a time; a longer run without white space is hashed whole.
-CHUNK = 1 << 20
+# Bytes hashed at a time; a longer run without white space is hashed whole. Each takes some 70 bytes of a worker while
+# it is hashed, and what a worker once took it keeps beside the heap of its executor.
+CHUNK = 1 << 18
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -33,11 +34,11 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < size:
-        size = max(size, 2 * CHUNK)
+        size = max(size, CHUNK + 1)
         _POWERS[:] = [
             np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full(size - 1, x, _U)])) for x in (_BASE, _INVERSE)
         ]
-        if size > 4 * CHUNK:
+        if size > 2 * CHUNK:
             return tuple(_POWERS.pop(0) for _ in range(2))  # a giant is not kept
     return _POWERS[0], _POWERS[1]
 
