@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from runlens.llm.shared import map_arrow
+from runlens.llm.shared import SMALL_BATCH, map_arrow
 
 # Chunks between white space whose ids a worker remembers.
 MEMO_CHUNKS = 400_000
@@ -301,4 +301,4 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_arrow(rows, run, "doc_id long, n_tokens long, input_ids array<int>, decoded string")
+    return map_arrow(rows, run, "doc_id long, n_tokens long, input_ids array<int>, decoded string", SMALL_BATCH)

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runlens.llm.shared import held_out, map_arrow, stored
+from runlens.llm.shared import BATCH_BYTES, SMALL_BATCH, held_out, map_arrow, stored
 
 UNKNOWN = "und"
 # Documents of one language that training reads at most, in expectation; a sample by hash of the id.
@@ -54,23 +54,32 @@ def _grams(word: str, n: int) -> list[str]:
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, kind, term, count) of a batch: kind 0 counts documents, 1 words, 2 n-grams."""
+    """(lang, kind, term, count) of some batches at a time: kind 0 counts documents, 1 words, 2 n-grams."""
+    words: dict[str, Counter] = defaultdict(Counter)
+    documents: Counter = Counter()
+    held = 0
     for batch in batches:
-        words: dict[str, Counter] = defaultdict(Counter)
-        documents: Counter = Counter()
         for text, lang in zip(batch.column("text"), batch.column("lang"), strict=True):
             documents[lang.as_py()] += 1
             words[lang.as_py()].update(_WORD.findall(text.as_py().lower()))
-        for lang in list(documents):
-            counts = words.pop(lang)
-            yield from _counted(lang, 0, {"": documents[lang]})
-            yield from _counted(lang, 1, counts)
-            grams: Counter = Counter()
-            for word, n in counts.items():
-                for order in ORDERS:
-                    for gram in _grams(word, order):
-                        grams[gram] += n
-            yield from _counted(lang, 2, grams)
+        held += batch.nbytes
+        if held >= BATCH_BYTES:
+            yield from _counts(documents, words)
+            documents, held = Counter(), 0
+    yield from _counts(documents, words)
+
+
+def _counts(documents: Counter, words: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+    for lang in list(documents):
+        counts = words.pop(lang)
+        yield from _counted(lang, 0, {"": documents[lang]})
+        yield from _counted(lang, 1, counts)
+        grams: Counter = Counter()
+        for word, n in counts.items():
+            for order in ORDERS:
+                for gram in _grams(word, order):
+                    grams[gram] += n
+        yield from _counted(lang, 2, grams)
 
 
 def _counted(lang: str, kind: int, counts: dict[str, int]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +151,7 @@ def train(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> Model:
     parts = spark.createDataFrame([(r["lang"], int((1 << 30) * min(1.0, documents / r["n"]))) for r in sizes], "of_lang string, part long")
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)) < F.col("part")
     sample = known.select("doc_id", "lang", "text").join(F.broadcast(parts), F.col("lang") == F.col("of_lang")).where(drawn).select("text", "lang")
-    counted = map_arrow(sample, _count_batches, "lang string, kind int, term string, n long")
+    counted = map_arrow(sample, _count_batches, "lang string, kind int, term string, n long", SMALL_BATCH)
     counts = counted.where("kind > 0").groupBy("kind", "term", "lang").agg(F.sum("n").alias("n"))
     # Words are one order of their own, n-grams one order for each length.
     counts = stored(counts.withColumn("order", F.when(F.col("kind") == 1, 0).otherwise(F.length("term"))), "langid")
@@ -224,7 +233,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id").alias("held_out"), "text")
-    return map_arrow(rows, score, "doc_id long, held_out boolean, lang_pred string, score double")
+    return map_arrow(rows, score, "doc_id long, held_out boolean, lang_pred string, score double", SMALL_BATCH)
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -250,4 +259,4 @@ def accepted(docs: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     names = docs.columns
-    return map_arrow(docs, keep, docs.schema)
+    return map_arrow(docs, keep, docs.schema, SMALL_BATCH)

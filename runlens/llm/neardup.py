@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.llm.components import components
-from runlens.llm.shared import broadcast_if_small, map_arrow, stored
+from runlens.llm.shared import SMALL_BATCH, broadcast_if_small, map_arrow, stored
 from runlens.llm.shingles import mix, shingles_of_rows
 
 COORDINATES = 64
@@ -37,6 +37,9 @@ LEAF = 12
 BUCKETS = 128
 # Classes of a node up to which what its leaders left apart is compared at once; larger nodes branch on.
 REST = 4096
+# Shingles that a worker sums up at a time, and those that a task meets at a time.
+SUMMED = 1 << 16
+MET = 250_000
 # Branches of a node beyond the first, on average, and the chance to miss a pair at the threshold that sets the trees.
 EXTRA = 0.45
 MISS = 5e-5
@@ -97,6 +100,22 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("id"), lists], names=["id", "sketch"])
 
 
+def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shingle, id, holders): how many of some sets hold a shingle, and the id of one of those."""
+    for batch in batches:
+        ids, sets = np.asarray(batch.column("id")), batch.column("shingles")
+        ends = np.cumsum(np.asarray(sets.value_lengths()))
+        start = 0
+        while start < len(sets):
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + SUMMED, side="right")))
+            part = sets.slice(start, end - start)
+            values, at, holders = np.unique(np.asarray(part.flatten()), return_index=True, return_counts=True)
+            one = ids[start + np.searchsorted(ends[start:end] - before, at, side="right")]
+            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(one), pa.array(holders)], names=["shingle", "id", "holders"])
+            start = end
+
+
 def _agreeing(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,21 +228,31 @@ class _Join:
     def sets(self, ids: DataFrame, rows: int) -> DataFrame:
         texts = self.docs.select(F.col("doc_id").cast("long").alias("id"), "text")
         texts = texts.join(broadcast_if_small(ids, rows), "id")
-        return stored(map_arrow(texts, _sets, "id long, shingles array<bigint>"), "sets")
+        return stored(map_arrow(texts, _sets, "id long, shingles array<bigint>", SMALL_BATCH), "sets")
 
     def common(self, members: DataFrame) -> DataFrame:
         """(id, n, common): for classes of larger nodes, how many shingles some other of them has too."""
         ids = stored(members.where(F.col("size") > LEAF).select("id").distinct(), "ids")
-        sets = self.sets(ids, ids.count())
+        n_ids = ids.count()
+        sets = self.sets(ids, n_ids)
         self.large_sets = sets
-        rows = sets.select("id", F.explode("shingles").alias("shingle"))
-        alone = rows.groupBy("shingle").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("holders")).where("holders = 1")
-        own = alone.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+        n_shingles = self.classes.join(broadcast_if_small(ids, n_ids), "id").agg(F.sum("n")).first()[0]
+        own = self.held_alone(sets, n_shingles or 0).groupBy("id").agg(F.count(F.lit(1)).alias("own"))
         # Rows of one id count together: its least set with all their common shingles is a bound for each.
         sizes = sets.groupBy("id").agg(F.min(F.size("shingles")).alias("n"), F.sum(F.size("shingles")).alias("all"))
         joined = sizes.join(own, "id", "left")
         return stored(joined.select("id", "n", (F.col("all") - F.coalesce("own", F.lit(0))).alias("common")), "common")
 
+    def held_alone(self, sets: DataFrame, n_shingles: int) -> DataFrame:
+        """(shingle, id, holders) of the shingles that one set alone has.
+
+        Nearly all shingles are of one set, so a table of them in every task that reads sets would hold what it reads
+        without making it less. Workers sum up a part of the sets, and then tasks meet a bounded share of the shingles.
+        """
+        rows = map_arrow(sets, _holders, "shingle long, id long, holders long", SMALL_BATCH)
+        rows = rows.repartition(max(1, math.ceil(n_shingles / MET)), "shingle")
+        return rows.groupBy("shingle").agg(F.min("id").alias("id"), F.sum("holders").alias("holders")).where("holders = 1")
+
     def overlap_allows(self, common_a, common_b, n_a, n_b) -> Column:
         """Whether a pair that shares all its common shingles would reach the threshold."""
         most = F.least(F.col(common_a), F.col(common_b)) * (100 + self.percent)
@@ -231,7 +260,7 @@ class _Join:
 
     def sketches(self) -> DataFrame:
         """(id, sketch) of the classes of larger nodes; of an id with several texts the greatest counts."""
-        each = map_arrow(self.large_sets, _sketches, "id long, sketch array<int>").groupBy("id").agg(F.collect_list("sketch").alias("all"))
+        each = map_arrow(self.large_sets, _sketches, "id long, sketch array<int>", SMALL_BATCH).groupBy("id").agg(F.collect_list("sketch").alias("all"))
         most = lambda a, b: F.zip_with(a, b, lambda x, y: F.greatest(x, y))
         return each.select("id", F.when(F.size("all") == 1, F.get("all", F.lit(0))).otherwise(F.reduce("all", F.get("all", F.lit(0)), most)).alias("sketch"))
 
@@ -249,7 +278,7 @@ class _Join:
             held_side = held.toDF(side, f"n{side}", f"s{side}")
             pairs = pairs.join(held_side, side)
         pairs = pairs.where(self.sizes_allow("na", "nb")).select("a", "b", "sa", "sb")
-        return stored(map_arrow(pairs, _agreeing(self.least), "a long, b long"), "close")
+        return stored(map_arrow(pairs, _agreeing(self.least), "a long, b long", SMALL_BATCH), "close")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Links (a, b) among candidate pairs, by their full sets."""
@@ -319,7 +348,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document; sets link at `percent` similarity."""
     threshold = percent / 100
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    signed = stored(map_arrow(rows, _sign, "doc_id long, n long, d1 long, d2 long, signature binary"), "signed")
+    signed = stored(map_arrow(rows, _sign, "doc_id long, n long, d1 long, d2 long, signature binary", SMALL_BATCH), "signed")
     classes = signed.where("n > 0").groupBy("n", "d1", "d2")
     classes = stored(classes.agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")), "classes")
     join = _Join(docs, classes, percent)

@@ -12,22 +12,29 @@ from runlens.session import ship_package
 
 # Rows up to which a table may be broadcast by hint; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
-# Bytes of an Arrow batch; a session that sets less keeps its own limit.
+# Bytes of an Arrow batch; a session that sets less keeps its own limit. Batches of texts that are taken one by one can
+# be small: buffers beyond 4 MB come from no pool of the executor's, and what malloc keeps of them lies beside its heap.
 BATCH_BYTES = 4 << 20
+SMALL_BATCH = 1 << 20
+_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+def map_arrow(df: DataFrame, function, schema, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """mapInArrow with this package present on the executors, in batches of bounded size whatever the rows hold."""
     spark = df.sparkSession
     ship_package(spark)
+    limit = spark.conf.get(_LIMIT)
+    if limit == spark.conf.get("runlens.arrow.set", None):
+        limit = spark.conf.get("runlens.arrow.own")  # the session's, before this function set one
     # A set value comes back as it was written, the default as bytes.
-    limit = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").lower().rstrip("b")
-    if not limit.isdigit() or int(limit) > BATCH_BYTES:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    own = limit.lower().rstrip("b")
+    now = str(batch_bytes) if not own.isdigit() or int(own) > batch_bytes else limit
+    for key, value in ((_LIMIT, now), ("runlens.arrow.own", limit), ("runlens.arrow.set", now)):
+        spark.conf.set(key, value)
     return df.mapInArrow(function, schema)
 
 

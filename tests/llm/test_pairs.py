@@ -1,7 +1,9 @@
 import itertools
 import random
 import re
+from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from runlens.llm import decontaminate, fingerprints, neardup
@@ -263,6 +265,49 @@ def test_sketches_bound_the_overlap(spark):
         assert sum(map(min, zip(held[i], held[j], strict=True))) >= len(set(a) & set(b))
 
 
+def test_tasks_that_read_sets_hold_no_table_of_their_shingles(spark, monkeypatch):
+    """Shingles of large nodes are dealt out as they are read, and as many meet in a task whatever the number of sets."""
+    plans = {}
+
+    def kept(df, name, *rest):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString().split("\n")
+        return df
+
+    monkeypatch.setattr(neardup, "stored", kept)
+    monkeypatch.setattr(neardup, "MET", 100, raising=False)
+    texts = {i: [words(i % 7, 30) + f" {words(100 + i, 20)}"] for i in range(40)} | {50: [words(3, 9), words(900, 12)]}
+    docs = frame(spark, [(i, t) for i, held in texts.items() for t in held])
+    classes = [(i, len(shingles(t))) for i, held in texts.items() for t in held]
+    members = spark.createDataFrame([(1, i, i, 99) for i in texts] + [(2, i, i, 3) for i in (1, 2)], "node long, id long, root long, size long")
+    got = {r.id: (r.n, r.common) for r in neardup._Join(docs, spark.createDataFrame(classes, "id long, n long"), 85).common(members).collect()}
+
+    sets = {i: [shingles(t) for t in held] for i, held in texts.items()}
+    holders = Counter(s for held in sets.values() for one in held for s in one)
+    assert got == {i: (min(map(len, held)), sum(holders[s] > 1 for one in held for s in one)) for i, held in sets.items()}
+    at = next(i for i, line in enumerate(plans["common"]) if "Exchange hashpartitioning(shingle#" in line)
+    assert "Aggregate" not in plans["common"][at + 1]
+    assert f", {-(-sum(n for _, n in classes) // 100)})" in plans["common"][at]
+
+
+@pytest.mark.parametrize("summed", [1, 7, 1 << 17])
+def test_holders_of_shingles(summed, monkeypatch):
+    monkeypatch.setattr(neardup, "SUMMED", summed)
+    rnd = random.Random(summed)
+    rows = [(rnd.randrange(12), rnd.sample(range(-20, 20), rnd.randrange(9))) for _ in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([v for _, v in rows], pa.list_(pa.int64()))], names=["id", "shingles"])
+    for one in (batch, batch.slice(5, 20), batch.slice(0, 0)):
+        held = defaultdict(list)
+        for i, values in zip(one["id"].to_pylist(), one["shingles"].to_pylist(), strict=True):
+            for v in values:
+                held[v].append(i)
+        found = defaultdict(list)
+        for out in neardup._holders(iter([one])):
+            for r in out.to_pylist():
+                found[r["shingle"]].append(r)
+        assert {v: sum(r["holders"] for r in rs) for v, rs in found.items()} == {v: len(ids) for v, ids in held.items()}
+        assert all(r["id"] in held[v] for v, rs in found.items() for r in rs)
+
+
 def test_rest_pairs_each_two_classes_once(spark):
     """Every pair of which one lies outside the main component of a shared node, and no pair twice."""
     rnd = random.Random(4)

@@ -37,6 +37,14 @@ def test_hashing_a_batch_holds_little_beside_it(monkeypatch, function, id_name):
     assert peak < 32 << 20
 
 
+def test_summing_up_the_sets_of_a_batch_holds_little_beside_it():
+    values = pa.array([hash(str(i)) % (1 << 62) for i in range(500_000)], pa.int64())
+    sets = pa.ListArray.from_arrays(pa.array(range(0, 500_001, 400), pa.int32()), values)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sets))), sets], names=["id", "shingles"])
+    peak = _peak(lambda: neardup._holders(iter([batch])))
+    assert peak < 16 << 20
+
+
 def test_counts_are_held_as_rows_a_few_at_a_time():
     langs = [f"l{i}" for i in range(6)]
     batch = pa.RecordBatch.from_arrays(
