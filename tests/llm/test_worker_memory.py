@@ -9,7 +9,7 @@ from collections import Counter
 import pyarrow as pa
 import pytest
 
-from runlens.llm import langid, neardup, shingles
+from runlens.llm import langid, neardup, shared, shingles
 
 
 def _words(seed: int, n: int) -> list[str]:
@@ -77,3 +77,33 @@ def test_counts_of_every_language_are_whole(monkeypatch):
                 for gram in langid._grams(word, order):
                     expected[lang, 2, gram] += 1
     assert sorted(found) == sorted((*key, n) for key, n in expected.items())
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 1])
+def test_counts_do_not_follow_the_size_of_batches(monkeypatch, limit):
+    monkeypatch.setattr(langid, "BATCH_BYTES", limit, raising=False)
+    rows = [("Ab ab c", "x"), ("ab", "y"), ("", "y"), ("12 ab", "x")]
+    batch = pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows]), pa.array([lang for _, lang in rows])], names=["text", "lang"])
+    counted = lambda batches: [tuple(r.values()) for out in langid._count_batches(iter(batches)) for r in out.to_pylist()]
+    parts = counted([batch.slice(i, 1) for i in range(len(rows))])
+    totals: Counter = Counter()
+    for *key, n in parts:
+        totals[tuple(key)] += n
+    whole = counted([batch])
+    assert totals == {tuple(key): n for *key, n in whole}
+    assert len(parts) == len(whole) if limit > 1 else len(parts) > len(whole)
+
+
+def test_batches_are_as_small_as_a_step_or_its_session_asks(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    used = lambda *size: (shared.map_arrow(spark.range(1), lambda batches: batches, "id long", *size), spark.conf.get(key))[1]
+    try:
+        spark.conf.unset(key)
+        assert [used(shared.SMALL_BATCH), used(), used(shared.SMALL_BATCH)] == [str(1 << 20), str(4 << 20), str(1 << 20)]
+        spark.conf.set(key, str(2 << 20))
+        assert [used(), used(shared.SMALL_BATCH), used()] == [str(2 << 20), str(1 << 20), str(2 << 20)]
+        spark.conf.set(key, "1000b")
+        assert {used().rstrip("bB"), used(shared.SMALL_BATCH).rstrip("bB")} == {"1000"}
+    finally:
+        spark.conf.set(key, before)
