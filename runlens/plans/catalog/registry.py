@@ -87,7 +87,13 @@ def frame(spark: SparkSession, sf_dir: str, sql: str, **given: DataFrame) -> Dat
             _table(spark, sf_dir, table).createOrReplaceTempView(table)
     for name, rows in given.items():
         rows.createOrReplaceTempView(name)
-    return spark.sql(text)
+    if not given:
+        return spark.sql(text)
+    # Frames that stand in for others come several times in one plan. Spark tells table expressions apart by id, and
+    # mixes up those that come again with other columns, so such frames are made of views without any.
+    for name in _needed(sql, tuple(given)):
+        spark.sql(VIEWS[name]).createOrReplaceTempView(name)
+    return spark.sql(sql)
 
 
 def query(name: str, oracle: str | None = None, doubles: tuple[str, ...] = ()):
