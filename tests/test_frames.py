@@ -41,7 +41,7 @@ def defined(df):
     return collections.Counter(re.findall(r"CTERelationDef (\d+)", plan))
 
 
-@pytest.mark.parametrize("name", ["leaderboard"])
+@pytest.mark.parametrize("name", ["leaderboard", "rank_models"])
 def test_boards_define_no_table_expression_twice(spark, folder, name):
     df = entry.queries()[name](spark, folder)
     assert max(defined(df).values(), default=0) <= 1
