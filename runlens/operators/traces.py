@@ -45,6 +45,17 @@ def merge_memprof_functions(functions: DataFrame, memprof_functions: DataFrame)
     return joined.withColumn("exclusive_alloc_bytes", F.coalesce("_alloc", "exclusive_alloc_bytes")).drop("_alloc")
 
 
+def laid_out(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The same rows, those of a key together.
+
+    They are folded to one row per key and unfolded again. A fold holds all columns, so every reader shares its one
+    shuffle; what readers group and rank by the key, or by more, needs none.
+    """
+    rest = [c for c in rows.columns if c not in keys]
+    folded = rows.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_rows"))
+    return folded.select(*keys, F.inline("_rows"))
+
+
 class MergedPasses(NamedTuple):
     tests: DataFrame
     functions: DataFrame

@@ -74,10 +74,11 @@ def _table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return _READS[place]
 
 
-def frame(spark: SparkSession, sf_dir: str, sql: str, **given: DataFrame) -> DataFrame:
+def frame(spark: SparkSession, sf_dir: str, sql: str, repeated: bool = False, **given: DataFrame) -> DataFrame:
     """Run view SQL on Spark; a bare name means the whole view or table.
 
-    `given` stands in for views or tables of those names: the same rows, laid out for what follows.
+    `given` stands in for views or tables of those names: the same rows, laid out for what follows. Such a frame, or
+    one that is `repeated` on purpose, may come several times in one plan.
     """
     if re.fullmatch(r"\w+", sql):
         sql = f"SELECT * FROM {sql}"
@@ -87,10 +88,10 @@ def frame(spark: SparkSession, sf_dir: str, sql: str, **given: DataFrame) -> Dat
             _table(spark, sf_dir, table).createOrReplaceTempView(table)
     for name, rows in given.items():
         rows.createOrReplaceTempView(name)
-    if not given:
+    if not (given or repeated):
         return spark.sql(text)
-    # Frames that stand in for others come several times in one plan. Spark tells table expressions apart by id, and
-    # mixes up those that come again with other columns, so such frames are made of views without any.
+    # Spark tells table expressions apart by id, and mixes up those that come again in a plan with other columns; views
+    # have none.
     for name in _needed(sql, tuple(given)):
         spark.sql(VIEWS[name]).createOrReplaceTempView(name)
     return spark.sql(sql)

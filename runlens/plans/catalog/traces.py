@@ -327,11 +327,11 @@ WHERE NOT (e.task LIKE 'hot%' AND (e.instance_id, e.test, e.task) NOT IN (SELECT
 """
 
 
-def sample_rows(spark, sf_dir):
+def sample_rows(spark, sf_dir, functions=None, lines=None):
     return samples.build_samples(
         frame(spark, sf_dir, "fx_tests"),
-        frame(spark, sf_dir, "fx_functions"),
-        frame(spark, sf_dir, "fx_test_lines"),
+        frame(spark, sf_dir, "fx_functions") if functions is None else functions,
+        frame(spark, sf_dir, "fx_test_lines") if lines is None else lines,
         frame(spark, sf_dir, "fx_targets"),
     )
 
@@ -371,9 +371,13 @@ def instances_without_samples(spark, sf_dir):
     """,
 )
 def benchmark_dataset(spark, sf_dir):
-    functions, lines = frame(spark, sf_dir, "fx_functions"), frame(spark, sf_dir, "fx_test_lines")
+    # Functions are laid out by test once; samples, truth and values, and the lines made of them, need no further shuffle.
+    columns = ["pos", "func", "file", "lineno", "call_count", "exclusive_time_s", "exclusive_alloc_bytes", "exclusive_rss_bytes"]
+    records = frame(spark, sf_dir, "fx_functions", repeated=True).select(*KEYS, *columns)
+    functions = traces.laid_out(records, KEYS)
+    lines = frame(spark, sf_dir, "fx_test_lines", fx_functions=functions)
     flat = samples.benchmark_dataset(
-        sample_rows(spark, sf_dir), samples.hot_truth(functions, lines), traces.value_tables(functions, lines, KEYS)
+        sample_rows(spark, sf_dir, functions, lines), samples.hot_truth(functions, lines), traces.value_tables(functions, lines, KEYS)
     )
     return flat.select(
         "sample_id",

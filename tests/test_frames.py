@@ -8,10 +8,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from runlens.operators import traces
 from tools.check_oracle import canon
 
 LINES = """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double,
            l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"""
+ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +26,9 @@ def folder(spark, tmp_path_factory):
     ]
     at = tmp_path_factory.mktemp("tables")
     spark.createDataFrame(rows, LINES).write.parquet(f"{at}/lineitem.parquet")
+    # Orders may come twice, also with another customer, and their keys may be null.
+    orders = [(i % 43 if i < 50 else None, i * 3 % 20, "FOP"[i % 3], 20_000.0 + i * 9_973 % 480_000, day, PRIORITIES[i % 5]) for i in range(52)]
+    spark.createDataFrame(orders, ORDERS).write.parquet(f"{at}/orders.parquet")
     return str(at)
 
 
@@ -46,3 +52,18 @@ def test_boards_define_no_table_expression_twice(spark, folder, name):
     df = entry.queries()[name](spark, folder)
     assert max(defined(df).values(), default=0) <= 1
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == oracle(folder, name, "lineitem")
+
+
+def test_functions_of_a_flat_dataset_are_shuffled_by_test_once(spark, folder):
+    df = entry.queries()["benchmark_dataset"](spark, folder)
+    assert canon(df.columns, [tuple(r) for r in df.collect()]) == oracle(folder, "benchmark_dataset", "lineitem", "orders")
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert not re.findall(r"Exchange hashpartitioning\(instance_id#\d+, test#\d+, [a-z]", plan)
+    assert len(re.findall(r"(?<!Reused)Exchange hashpartitioning\(l_orderkey#", plan)) <= 1
+    assert plan.count("partial_collect_list(struct(pos, ") == 1
+
+
+def test_rows_laid_out_are_the_same_rows(spark):
+    rows = [("a", "t", 1, None), ("a", "t", 1, None), ("a", None, 2, "x"), (None, None, 3, "y"), ("a", "t", None, "z")]
+    df = spark.createDataFrame(rows, "instance_id string, test string, pos int, name string")
+    assert collections.Counter(tuple(r) for r in traces.laid_out(df, traces.KEYS).collect()) == collections.Counter(rows)
