@@ -3,6 +3,8 @@
 import pathlib
 
 import pytest
+from pyspark.sql import Row
+
 import __spark_entry__ as entry
 from runlens.operators import scoring
 from runlens.streaming import jobs
